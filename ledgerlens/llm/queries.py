@@ -7,7 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, packing, shared
+from . import chat, exactdedup, licenses, linededup, mixing, packing, shared, syncmers
+
+
+#: A conversation that holds the template's own marks.
+MARKED = (-7, r"\### Assistant: </turn> ok")
+
+
+def op1_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = spark.createDataFrame([(MARKED[0], i, role, MARKED[1]) for i, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    rows = shared.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(marked)
+    messages = shared.stored(chat.message_chain(rows), "chat-messages")
+    names = messages.select("tree", "conv_id").distinct()
+    return chat.read_back(chat.format_trees(messages).join(names, "tree"))
+
+
+def op2_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(shared.table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(shared.table(spark, sf_dir, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +35,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.dedup_exact(spark, f"{sf_dir}/documents.parquet").drop("file", "row")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(shared.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -24,12 +48,37 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_format_chats": op1_format_chats,
+    "op2_scan_licenses": op2_scan_licenses,
+    "op4_fingerprint": op4_fingerprint,
     "op5_line_dedup": op5_line_dedup,
+    "op7_exact_dedup": op7_exact_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_pack": op10_pack,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_format_chats": r"""
+WITH marked AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn', '\</turn'), ':', '\:'))
+            + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn', '\</turn')) + 15 AS written FROM marked)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       sum(written)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op7_exact_dedup": r"""
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM documents),
+groups AS (
+  SELECT text_sha256, arg_min(doc_id, (-n, doc_id)) AS keep_id, count(*) AS group_size FROM rows GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM rows JOIN groups USING (text_sha256)
+""",
     "op5_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, u.i AS n, u.line,
