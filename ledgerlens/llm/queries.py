@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, licenses, linededup, mixing, packing, shared, syncmers
+from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity
 
 
 #: A conversation that holds the template's own marks.
@@ -26,6 +26,10 @@ def op2_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(shared.table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.components(shared.table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(shared.table(spark, sf_dir, "documents"))
 
@@ -35,10 +39,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, shared.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("row.doc_id", "severity", "p_clean", "grade", "toxic", "n_features")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.dedup_exact(spark, f"{sf_dir}/documents.parquet").drop("file", "row")
 
 
+def op8_extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_pages(shared.table(spark, sf_dir, "pages"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(shared.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,9 +64,12 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_format_chats": op1_format_chats,
     "op2_scan_licenses": op2_scan_licenses,
+    "op3_near_dup": op3_near_dup,
     "op4_fingerprint": op4_fingerprint,
     "op5_line_dedup": op5_line_dedup,
+    "op6_score_toxicity": op6_score_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_extract_pages": op8_extract_pages,
     "op9_mix_sources": op9_mix_sources,
     "op10_pack": op10_pack,
 }
