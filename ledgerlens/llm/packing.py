@@ -24,8 +24,10 @@ from . import shared
 WINDOW = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words whose ids a worker keeps; beyond it the table starts afresh. About 100 MB.
+#: Distinct words in the newer half of what a worker remembers; both halves take about 150 MB.
 CACHED_WORDS = 400_000
+# Fixed value: how the tokenizer file splits texts.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 IDS = "doc_id long, pid long, local_start long, doc_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -38,31 +40,81 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordEncoder:
-    """Ids of texts, word by word: this tokenizer never joins anything across white space, so the
-    ids of a text are those of its words in turn, and repeated words are looked up."""
+    """Ids of texts, word by word where the tokenizer allows it.
+
+    A tokenizer that drops white space and splits by WORD_PATTERN joins nothing across white
+    space, so the ids of a text are those of its words in turn, and repeated words are looked up.
+    Words of printable Latin-1 are split here and only their pieces go to the model; any other
+    word goes through the whole tokenizer. Tokenizers of another build get whole texts.
+    """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
+        import json
+
+        import regex
         from tokenizers import Tokenizer
 
-        self.model, self.cached, self.known = Tokenizer.from_file(path), cached, {}
+        self.model, self.cached = Tokenizer.from_file(path), cached
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        pieces = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        split = pieces[0].get("pattern") == {"Regex": WORD_PATTERN} and pieces[0].get("behavior") == "Removed" and pieces[0].get("invert") is True
+        bytewise = len(pieces) == 2 and pieces[1].get("type") == "ByteLevel" and not pieces[1].get("add_prefix_space") and not pieces[1].get("use_regex")
+        self.by_word = split and bytewise and kinds == ["NFC", "Replace", "Lowercase"] and not spec.get("post_processor")
+        self.piece_of, self.plain = regex.compile(WORD_PATTERN), regex.compile(r"[!-~\xa1-\xff]+")
+        self.letters = byte_letters()
+        self.words: dict[bytes, bytes] = {}
+        self.words_before: dict[bytes, bytes] = {}  # the older half of what is remembered
+        self.pieces: dict[str, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         import numpy as np
 
-        words = [t.split() for t in texts]
-        known = self.known
-        new = set().union(*words).difference(known)
-        if new:
-            if len(known) + len(new) > self.cached:
-                known = self.known = {}
-                new = set().union(*words)
-            todo = list(new)
-            for at in range(0, len(todo), 20_000):
-                part = todo[at : at + 20_000]
-                for word, found in zip(part, self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                    known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        if not self.by_word:
+            return [np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+        out = []
+        for text in texts:
+            words = text.split()
+            known = self.words
+            for word in set(words).difference(known):
+                found = self.words_before.get(word)
+                known[word] = self.word(word) if found is None else found
+            out.append(b"".join(map(known.__getitem__, words)))
+            if len(known) > self.cached:
+                self.words_before, self.words, self.pieces = known, {}, {}
+        return out
+
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if b"<|" in word or not self.plain.fullmatch(text):
+            return b"".join(i.to_bytes(4, "little") for i in self.model.encode(text, add_special_tokens=False).ids)
+        pieces = self.piece_of.findall(text.lower())
+        return b"".join([self.pieces.get(p) or self.piece(p) for p in pieces])
+
+    def piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        self.pieces[piece] = ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.model.tokenize(letters)])
+        return ids
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 for
+    itself, the others, in order, from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in own)
+    return {b: 0x100 + i for i, b in enumerate(others)}
+
+
+#: Encoders of this worker process: a worker that is used for several tasks keeps its words.
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def _ids(path: str, end_id: int):
@@ -73,7 +125,7 @@ def _ids(path: str, end_id: int):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, end, pid, at = WordEncoder(path), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
+        encode, end, pid, at = encoder(path), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = [x + end for x in encode(shared.text_bytes(batch.column(1)))]
             sizes = [len(x) // 4 for x in ids]
