@@ -1,8 +1,9 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
-Block elements of a page are nodes of a tree; each is content or not. Parent-child potentials say
-how likely an element of its kind is content inside a content or other parent; node potentials
-say how likely its looks are (length and link share of its own text, hints in class and id).
+Block elements of a page are nodes of a tree; each is content, boilerplate, or a wrapper that may
+hold both. Parent-child potentials say how likely an element of its kind (with hints in its class
+and id) has a label inside a parent with a label; node potentials say how likely its looks are
+(length and link share of its own text).
 Both are counted on labelled pages. Messages pass from the leaves to the root and back, which
 gives every node's exact marginal; text of nodes with a marginal of at least a half is kept.
 
@@ -15,7 +16,6 @@ are judged as one block; rows that repeat are extracted each; an empty table giv
 from __future__ import annotations
 
 import html
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -173,85 +173,121 @@ def looks_of(node: Node, blocks: list[str]) -> tuple[str, str]:
     return size, "plain" if share < 0.2 else "mixed" if share < 0.7 else "links"
 
 
+#: Weight of one node's looks, and how many whole nodes the looks of a page count as at most.
+EVIDENCE = (0.5, 4.0)
+#: Labels of a node: boilerplate, content, or a wrapper that is neither but may hold both.
+OTHER, CONTENT, WRAPPER = 0, 1, 2
+LABELS = (OTHER, CONTENT, WRAPPER)
+
+
+def labels_of(nodes: list[Node]) -> list[int]:
+    """Labels of a labelled page: marks are inherited; what is not content but has some inside is
+    a wrapper."""
+    own = [0] * len(nodes)
+    holds = [False] * len(nodes)
+    for i, node in enumerate(nodes):
+        own[i] = (own[node.parent] if i else 0) if node.label is None else int(node.label)
+    for i in range(len(nodes) - 1, 0, -1):
+        holds[nodes[i].parent] |= holds[i] or own[i] == CONTENT
+    return [CONTENT if y == CONTENT else WRAPPER if inside else OTHER for y, inside in zip(own, holds, strict=True)]
+
+
 class PageModel:
-    """Log potentials: of a node's label given its parent's, by kind, and of its looks."""
+    """Potentials: of a node's label given its parent's, by kind, and of its looks."""
 
-    def __init__(self, pages: list[str], prior: float = 0.3):
+    def __init__(self, pages: list[str], prior: float = 0.2):
         edges, looks, totals = Counter(), Counter(), Counter()
         for page in pages:
             nodes, pieces = parse(page)
             blocks = ["".join(b) for b in pieces]
-            labels = [0]
-            for node in nodes[1:]:
-                label = labels[node.parent] if node.label is None else int(node.label)
-                labels.append(label)
+            labels = labels_of(nodes)
+            for node, label in zip(nodes[1:], labels[1:], strict=True):
                 edges[kind_of(node), labels[node.parent], label] += 1
                 for name, value in zip(("size", "links"), looks_of(node, blocks), strict=True):
                     looks[name, value, label] += 1
                 totals[label] += 1
-        self.edges: dict[str, tuple] = {}
-        self.general = self._edge(Counter({(a, b): sum(n for (k, x, y), n in edges.items() if (x, y) == (a, b)) for a in (0, 1) for b in (0, 1)}), prior)
-        for kind in {k for k, _, _ in edges}:
-            self.edges[kind] = self._edge(Counter({(a, b): edges[kind, a, b] for a in (0, 1) for b in (0, 1)}), prior)
-        # a kind never seen with its hint counts as the kind without one, moved by the hint
-        self.looks = {}
-        for name, value in {(n, v) for n, v, _ in looks}:
-            self.looks[name, value] = tuple(math.log((looks[name, value, y] + 2.0) / (totals[y] + 10.0)) for y in (0, 1))
+        general = Counter()
+        for (_, a, b), n in edges.items():
+            general[a, b] += n
+        self.general = self._rows(general, [[1 / 3] * 3] * 3, prior)
+        plain = {}
+        for kind in {k.partition("/")[0] for k, _, _ in edges}:
+            counts = Counter()
+            for (k, a, b), n in edges.items():
+                if k.partition("/")[0] == kind:
+                    counts[a, b] += n
+            plain[kind] = self._rows(counts, self.general, 10 * prior)
+        # kinds with few examples lean on the same element without regard to hints
+        self.edges = {kind: self._rows(Counter({(a, b): edges[kind, a, b] for a in LABELS for b in LABELS}), plain[kind.partition("/")[0]], 10 * prior) for kind in {k for k, _, _ in edges}}
+        self.plain = plain
+        self.looks = {(name, value): tuple((looks[name, value, y] + 2.0) / (totals[y] + 10.0) for y in LABELS) for name, value in {(n, v) for n, v, _ in looks}}
 
     @staticmethod
-    def _edge(counts: Counter, prior: float) -> tuple:
-        rows = []
-        for a in (0, 1):
-            n = counts[a, 0] + counts[a, 1]
-            rows.append(tuple(math.log((counts[a, b] + prior) / (n + 2 * prior)) for b in (0, 1)))
-        return tuple(rows)
-
-    def edge(self, node: Node) -> tuple:
+    def _rows(counts: Counter, toward, weight: float) -> list[list[float]]:
+        """P(label | parent's label), drawn toward other rows by so many imagined examples."""
+        out = []
+        for a in LABELS:
+            n = sum(counts[a, b] for b in LABELS)
+            out.append([(counts[a, b] + weight * toward[a][b]) / (n + weight) for b in LABELS])
+        return out
+
+    def edge(self, node: Node) -> list[list[float]]:
         kind = kind_of(node)
         found = self.edges.get(kind)
         if found is None:
-            found = self.edges.get(kind.partition("/")[0] + "/", self.general)
-            move = {"other": -3.0, "content": 1.0, "": 0.0}[node.hint]
-            found = tuple(self._moved(row, move) for row in found)
+            # never seen with its hint: as without, moved by what the hint says
+            move = {"other": (20.0, 1.0, 1.0), "content": (1.0, 4.0, 2.0), "": (1.0, 1.0, 1.0)}[node.hint]
+            found = []
+            for row in self.plain.get(kind.partition("/")[0], self.general):
+                moved = [p * m for p, m in zip(row, move, strict=True)]
+                found.append([p / sum(moved) for p in moved])
             self.edges[kind] = found
         return found
 
-    @staticmethod
-    def _moved(row: tuple, move: float) -> tuple:
-        low, high = row[0], row[1] + move
-        total = max(low, high) + math.log1p(math.exp(-abs(low - high)))
-        return low - total, high - total
+    def look(self, nodes: list[Node], blocks: list[str]) -> list[list[float]]:
+        """Potentials of all nodes' looks. Looks within a page go together (a page of many short
+        lines is no rarity), so what they say in all is held to that of a few nodes."""
+        weight = min(EVIDENCE[0], EVIDENCE[1] / max(1, sum(1 for node in nodes if node.blocks)))
+        known = {("none", "none"): (1.0, 1.0, 1.0)}
+        out = []
+        for node in nodes:
+            seen = looks_of(node, blocks)
+            if seen not in known:
+                one, two = self.looks.get(("size", seen[0]), (1.0, 1.0, 1.0)), self.looks.get(("links", seen[1]), (1.0, 1.0, 1.0))
+                known[seen] = tuple((a * b) ** weight for a, b in zip(one, two, strict=True))
+            out.append(list(known[seen]))
+        return out
 
     def marginals(self, nodes: list[Node], blocks: list[str]) -> list[float]:
-        """P(content) of every node by messages up, then down."""
+        """P(content) of every node by sum-product messages up, then down; the root is a wrapper.
+
+        Messages are scaled to sum to 1, so pages of any size stay within range."""
         n = len(nodes)
-        unary = []
-        for node in nodes:
-            size, links = looks_of(node, blocks)
-            a, b = self.looks.get(("size", size), (0.0, 0.0)), self.looks.get(("links", links), (0.0, 0.0))
-            unary.append((a[0] + b[0], a[1] + b[1]))
-        add = lambda x, y: (x if x > y else y) + math.log1p(math.exp(-abs(x - y)))
-        inside = [list(u) for u in unary]
+        looks = self.look(nodes, blocks)
+        inside = [list(x) for x in looks]
         edges = [None, *(self.edge(node) for node in nodes[1:])]
         up: list = [None] * n
         for i in range(n - 1, 0, -1):  # a node comes after its parent
-            (e00, e01), (e10, e11) = edges[i]
-            zero, one = inside[i]
-            up[i] = (add(e00 + zero, e01 + one), add(e10 + zero, e11 + one))
+            x, y, z = inside[i]
+            message = [e[0] * x + e[1] * y + e[2] * z for e in edges[i]]
+            scale = message[0] + message[1] + message[2]
+            up[i] = message = [m / scale for m in message]
             parent = inside[nodes[i].parent]
-            parent[0] += up[i][0]
-            parent[1] += up[i][1]
+            x, y, z = parent[0] * message[0], parent[1] * message[1], parent[2] * message[2]
+            scale = x + y + z
+            parent[0], parent[1], parent[2] = x / scale, y / scale, z / scale
         belief: list = [None] * n
-        belief[0] = (inside[0][0], inside[0][1] - 20.0)  # the page as a whole is no content
+        belief[0] = [0.0, 0.0, 1.0]
         out = [0.0] * n
         for i in range(1, n):
-            (e00, e01), (e10, e11) = edges[i]
-            b0, b1 = belief[nodes[i].parent]
-            b0, b1 = b0 - up[i][0], b1 - up[i][1]
-            zero, one = add(b0 + e00, b1 + e10) + inside[i][0], add(b0 + e01, b1 + e11) + inside[i][1]
-            belief[i] = (zero, one)
-            gap = zero - one
-            out[i] = 1 / (1 + math.exp(gap)) if gap < 700 else 0.0
+            (a0, a1, a2), (b0, b1, b2), (c0, c1, c2) = edges[i]
+            from_parent = belief[nodes[i].parent]
+            x, y, z = (p / m for p, m in zip(from_parent, up[i], strict=True))
+            own = inside[i]
+            x, y, z = own[0] * (x * a0 + y * b0 + z * c0), own[1] * (x * a1 + y * b1 + z * c1), own[2] * (x * a2 + y * b2 + z * c2)
+            scale = x + y + z
+            belief[i] = [x / scale, y / scale, z / scale]
+            out[i] = y / scale
         return out
 
 

@@ -1,7 +1,8 @@
 """Labelled pages to train the extraction model on.
 
 Hand-written page layouts. ``y`` on an element says whether it and what is inside, up to the next
-``y``, is article content (1) or not (0); it is a label, not a feature. ``{p}`` stands for
+``y``, is article content (1) or not (0); it is a label, not a feature. (Of what is not content,
+elements that hold some count as wrappers; see the model.) ``{p}`` stands for
 paragraphs, ``{s}`` for a sentence, ``{w}`` for a word or two, ``{a}`` for some links in items.
 """
 
