@@ -53,7 +53,8 @@ def position_key(block: Column, log_index: Column) -> Column:
 
 def readable_size(size: Column) -> Column:
     """Bytes in binary units with two digits."""
-    out = F.concat(F.format_number(size / F.lit(float(1 << 30)), 2), F.lit(" GiB"))
+    shown = lambda value, unit: F.format_string(f"%.2f {unit}", value)
+    out = shown(size / F.lit(float(1 << 30)), "GiB")
     for power, unit in ((20, "MiB"), (10, "KiB")):
-        out = F.when(size < 1 << (power + 10), F.concat(F.format_number(size / F.lit(float(1 << power)), 2), F.lit(f" {unit}"))).otherwise(out)
-    return F.when(size < 1 << 10, F.concat(F.format_number(size.cast("double"), 2), F.lit(" B"))).otherwise(out)
+        out = F.when(size < 1 << (power + 10), shown(size / F.lit(float(1 << power)), unit)).otherwise(out)
+    return F.when(size < 1 << 10, shown(size.cast("double"), "B")).otherwise(out)
