@@ -111,3 +111,16 @@ def rolling_median(value: Column, window, around: int = 10) -> Column:
     """Exact median (upper element) of the rows up to ``around`` before and after."""
     held = F.collect_list(value).over(window.rowsBetween(-around, around))
     return F.get(F.array_sort(held), F.floor(F.size(held) / 2).cast("int"))
+
+
+def with_borders(step: Buckets, around: int, chunk_rows: int = 65_536) -> DataFrame:
+    """Rows dealt into chunks of neighbouring rows, each with ``around`` rows of both neighbours.
+
+    Adds chunk and own (false for the rows lent by a neighbour): a window over keys and chunk sees
+    what a window over the whole stream would, for the own rows and frames of up to ``around``.
+    """
+    numbered = step.running_sum("_n", F.lit(1)).df.withColumn("_n", F.col("_n") - 1)
+    chunk, place = F.floor(F.col("_n") / chunk_rows), F.col("_n") % chunk_rows
+    also = F.array(chunk, F.when((place < around) & (chunk > 0), chunk - 1), F.when(place >= chunk_rows - around, chunk + 1))
+    spread = numbered.withColumn("_home", chunk).withColumn("chunk", F.explode(F.filter(also, lambda x: x.isNotNull())))
+    return spread.withColumn("own", F.col("chunk") == F.col("_home")).drop("_n", "_home")
