@@ -30,7 +30,7 @@ from .licenses import words_of
 TOXIC_ROWS, CLEAN_ROWS = 2_000, 6_000
 MAX_FEATURES = 4_000
 #: A feature needs this many toxic rows, and this share of its rows (by class rate) toxic.
-LEAST_ROWS, LEAST_SHARE = 4, 0.9
+LEAST_ROWS, LEAST_SHARE = 5, 0.97
 PREFIXES = (4, 5, 6)
 GRADES = 4
 CACHED_WORDS = 300_000
@@ -81,7 +81,7 @@ class SeverityModel:
         return [upto[0], *(b - a for a, b in zip(upto, upto[1:], strict=False))]
 
 
-def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = 1e-3, steps: int = 400, rate: float = 0.05) -> SeverityModel:
+def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = 1e-4, steps: int = 400, rate: float = 0.05) -> SeverityModel:
     """Cumulative-link regression of (grade, features) rows by full gradient steps (Adam)."""
     import numpy as np
 
