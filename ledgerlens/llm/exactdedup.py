@@ -27,8 +27,13 @@ from pyspark.sql.window import Window
 
 from . import shared
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Settings of the session while the state is brought up to date: a state store on disk, without
+#: space allotted in advance, of which many small stores would take more than their rows.
+STATE = {
+    PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Parts over which the texts of one digest are compared first.
 SALTS = 64
 
@@ -60,12 +65,17 @@ class StreamingDedup:
         place = F.struct("n_chars", F.bitwise_not("doc_id").alias("order"), "file", "row")
         groups = self.spark.readStream.schema(rows.drop("norm").schema).parquet(f"{self.home}/catalog")
         groups = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(place).alias("best"))
-        before = self.spark.conf.get(PROVIDER)
-        self.spark.conf.set(PROVIDER, ROCKS)
+        before = {key: self.spark.conf.get(key, None) for key in STATE}
+        for key, value in STATE.items():
+            self.spark.conf.set(key, value)
         try:
             self._run(groups.writeStream.outputMode("update").foreachBatch(self._keep), "state-place")
         finally:
-            self.spark.conf.set(PROVIDER, before)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
 
     def _digested(self, docs: DataFrame) -> DataFrame:
         rows = docs.select(
