@@ -29,7 +29,8 @@ def int256_or_null(word: Column) -> Column:
     high, low = _limb(word, 2), _limb(word, 3)
     big, small = F.when(negative, _dec(TOP) - high).otherwise(high), F.when(negative, _dec(TOP) - low).otherwise(low)
     size = F.try_add(F.try_multiply(big.cast("decimal(20,0)"), _dec(LIMB)).cast("decimal(38,0)"), small.cast("decimal(38,0)")).cast("decimal(38,0)")
-    return F.when(fits, F.when(negative, (-size - F.lit(1)).cast("decimal(38,0)")).otherwise(size))
+    # a difference, since the unary minus of a decimal keeps 34 digits only
+    return F.when(fits, F.when(negative, F.try_subtract(F.lit("-1").cast("decimal(38,0)"), size).cast("decimal(38,0)")).otherwise(size))
 
 
 def int256(word: Column) -> Column:

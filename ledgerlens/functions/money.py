@@ -12,7 +12,7 @@ def scale_exact(raw: Column, decimals: Column) -> Column:
     """A raw integer (decimal(38,0)) over 10^decimals (up to 18) as decimal(31,18).
 
     The point is put into the digit string, so no digit is lost; what does not fit raises."""
-    digits = F.lpad(F.abs(raw).cast("string"), 58, "0")
+    digits = F.lpad(F.regexp_replace(raw.cast("string"), "^-", ""), 58, "0")  # abs keeps 34 digits only
     whole = F.substring(digits, F.lit(1), F.lit(58) - decimals)
     part = F.substring(digits, F.lit(59) - decimals, decimals)
     sign = F.when(raw < 0, F.lit("-")).otherwise(F.lit(""))

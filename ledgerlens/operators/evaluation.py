@@ -162,3 +162,14 @@ def cost_usd(tokens: dict[str, Column], rates: dict[str, str]) -> Column:
     """Token kinds times rates a million, exact."""
     parts = [tokens[k].cast("decimal(15,0)") * F.lit(rates[k]).cast("decimal(10,4)") for k in tokens]
     return sum(parts[1:], parts[0]) * F.lit("0.000001").cast("decimal(7,6)")
+
+
+def means_margin(rows: DataFrame, value: str) -> DataFrame:
+    """Mean of a figure by run, and the margin a later mean may move: the spread of these means."""
+    per = rows.groupBy("run").agg(F.avg(value).alias("mean"))
+    return per.agg(F.avg("mean").alias("mean"), (F.max("mean") - F.min("mean")).alias("margin"))
+
+
+def worst_case_usd(prompt: Column, most_output: Column, rates: dict[str, str]) -> Column:
+    """The most a call can cost: nothing cached, all output used."""
+    return cost_usd({"input": prompt, "output": most_output}, rates)

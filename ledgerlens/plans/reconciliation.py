@@ -272,8 +272,13 @@ def rec_whatif(spark, d):
 
 def pearson(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
     """Correlation of groups of at least three pairs; null where a side does not vary."""
-    held = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), F.corr(a, b).alias("r"), F.stddev_pop(a).alias("_a"), F.stddev_pop(b).alias("_b"))
-    return held.select(*keys, "n", F.when((F.col("n") >= 3) & (F.col("_a") > 0) & (F.col("_b") > 0), F.col("r")).alias("r"))
+    held = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), correlation(a, b).alias("r"))
+    return held.select(*keys, "n", F.when(F.col("n") >= 3, F.col("r")).alias("r"))
+
+
+def correlation(a: str, b: str):
+    """As ``corr``, which raises under ANSI rules where a side does not vary; null there."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
 @query("rec_pearson", f"WITH {OTHER} SELECT pool, count(*) AS n, round(corr(ours::DOUBLE, theirs::DOUBLE), 9) AS r FROM recon WHERE presence = 'both' GROUP BY pool")
@@ -283,7 +288,7 @@ def rec_pearson(spark, d):
 
 
 H12 = f"""WITH {DISPLACED}, th AS (SELECT unnest([25, 50, 100, 200, 500, 1000]) AS threshold), v AS (SELECT threshold, pool, day, sum(tick) AS volume, sum(CASE WHEN displacement > threshold THEN 0 ELSE tick END) AS left_out, sum(CASE WHEN displacement > threshold THEN reference ELSE tick END) AS at_ref FROM disp, th GROUP BY ALL)
-SELECT threshold, round(corr(left_out::DOUBLE / volume, at_ref::DOUBLE / volume), 6) AS r, round(avg(left_out::DOUBLE / volume), 9) AS h1, round(avg(at_ref::DOUBLE / volume), 9) AS h2 FROM v WHERE volume > 0 GROUP BY threshold"""
+SELECT threshold, CASE WHEN stddev_pop(left_out::DOUBLE / volume) > 0 AND stddev_pop(at_ref::DOUBLE / volume) > 0 THEN round(corr(left_out::DOUBLE / volume, at_ref::DOUBLE / volume), 6) END AS r, round(avg(left_out::DOUBLE / volume), 9) AS h1, round(avg(at_ref::DOUBLE / volume), 9) AS h2 FROM v WHERE volume > 0 GROUP BY threshold"""
 
 
 @query("rec_h1_h2", H12)
@@ -294,7 +299,7 @@ def rec_h1_h2(spark, d):
     off = F.col("displacement") > F.col("threshold")
     v = x.groupBy("threshold", "pool", "day").agg(F.sum("tick").alias("volume"), F.sum(F.when(off, 0).otherwise(F.col("tick"))).alias("o"), F.sum(F.when(off, F.col("reference")).otherwise(F.col("tick"))).alias("a")).filter("volume > 0")
     v = v.select("threshold", (F.col("o") / F.col("volume")).alias("h1"), (F.col("a") / F.col("volume")).alias("h2"))
-    return v.groupBy("threshold").agg(F.round(F.corr("h1", "h2"), 6).alias("r"), F.round(F.avg("h1"), 9).alias("h1"), F.round(F.avg("h2"), 9).alias("h2"))
+    return v.groupBy("threshold").agg(F.round(correlation("h1", "h2"), 6).alias("r"), F.round(F.avg("h1"), 9).alias("h1"), F.round(F.avg("h2"), 9).alias("h2"))
 
 
 HOURS = f"""{TRADES}, o AS (SELECT hour(ts) AS h, count(*) AS n, sum(abs(other_raw)) AS c FROM trades WHERE pool = 'click' AND day = DATE '2024-01-10' GROUP BY 1), t AS (SELECT hour(ts) AS h, sum(abs(other_raw)) + 50 AS c FROM trades WHERE pool = 'click' AND day = DATE '2024-01-10' AND hour(ts) <> 5 GROUP BY 1),
