@@ -491,7 +491,7 @@ def bin_hex(spark, d):
 def dec_trade(spark, d):
     """Raw logs built from trades and decoded; one in 97 is malformed and keeps its reason."""
     return raw_logs(spark, d).select("log_index", "pool", *[c.alias(f"d_{n}") for n, c in decode.trade_columns(F.col("log")).items()]).select(
-        "log_index", "pool", F.coalesce("d_sender", F.col("d_sender")).alias("sender"), F.col("d_amount0").cast("string").alias("amount0"), F.col("d_amount1").cast("string").alias("amount1"), F.col("d_tick").alias("tick"), F.col("d_error_reason").alias("error_reason"),
+        "log_index", "pool", F.col("d_sender").alias("sender"), F.col("d_amount0").cast("string").alias("amount0"), F.col("d_amount1").cast("string").alias("amount1"), F.col("d_tick").alias("tick"), F.col("d_error_reason").alias("error_reason"),
     )
 
 
