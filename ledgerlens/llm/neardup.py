@@ -4,8 +4,10 @@ A document's set holds its distinct runs of five words. Documents with equal set
 and one row stands for it from then on, so copies never meet each other. For each class MinHash
 samples are taken; they are cut into bands for candidates, and folded into an odd sketch, a
 bitmap of parities: the population count of two sketches' XOR estimates how many samples differ,
-precisely where similarity is high. Only pairs whose sketches allow the similarity are confirmed
-exactly, on the full sets of the whole texts.
+precisely where similarity is high. A second odd sketch folds the whole set: there each element
+on one side only flips one bit, so the XOR's population count never exceeds the number of such
+elements, and a pair beyond the bound is ruled out for certain. Only pairs whose sketches allow
+the similarity are confirmed exactly, on the full sets of the whole texts.
 
 Pairs of a bucket are not enumerated. What is wanted are connected groups, so a bucket's members
 are first compared with its smallest member only (each member with one such partner, then, where
@@ -38,6 +40,8 @@ BANDS, BAND_ROWS = 48, 5
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_WORDS = 16
 SKETCH_BITS = 64 * SKETCH_WORDS
+#: Words of the odd sketch of the whole set.
+PARITY_WORDS = 32
 #: Pairs less alike than this by their sketches are not confirmed.
 LEAST_ESTIMATE = PERCENT / 100 - 5 * math.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / SAMPLES) - 0.03
 #: Members compared with one partner, and members of a block of a bucket, in one call.
@@ -45,7 +49,7 @@ PART_ROWS, BLOCK_ROWS = 64, 256
 CACHED_WORDS = 400_000
 NO_ID = -(1 << 63)
 
-SIGNATURES = "did long, n_shingles long, d1 long, d2 long, sketch array<long>, bands array<long>"
+SIGNATURES = "did long, n_shingles long, d1 long, d2 long, sketch array<long>, parity array<long>, bands array<long>"
 
 
 def most_different(estimate: float = LEAST_ESTIMATE) -> int:
@@ -94,6 +98,15 @@ def shingles(text: bytes):
     return np.unique(_mixed(h))
 
 
+def folded(hashes, words: int):
+    """The parity bitmap of hashes, as so many 64-bit words (a power of two)."""
+    import numpy as np
+
+    size = 64 * words
+    bits = (hashes >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=size) & 1).astype("u1")).view("<i8")
+
+
 class Sampler:
     """MinHash samples of sets, their bands and odd sketches."""
 
@@ -121,8 +134,7 @@ class Sampler:
     def sketch(self, samples):
         import numpy as np
 
-        bits = (_mixed(samples * self.place) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
-        return np.packbits((np.bincount(bits, minlength=SKETCH_BITS) & 1).astype("u1")).view("<i8")
+        return folded(_mixed(samples * self.place), SKETCH_WORDS)
 
 
 def _signatures(batches: Iterator) -> Iterator:
@@ -132,7 +144,7 @@ def _signatures(batches: Iterator) -> Iterator:
 
     sampler = Sampler()
     for batch in batches:
-        sizes, digests, sketches, bands = [], [], [], []
+        sizes, digests, sketches, parities, bands = [], [], [], [], []
         for text in shared.text_bytes(batch.column(1)):
             found = shingles(text)
             sizes.append(len(found))
@@ -140,14 +152,16 @@ def _signatures(batches: Iterator) -> Iterator:
             if len(found):
                 samples = sampler.samples(found)
                 sketches.append(sampler.sketch(samples))
+                parities.append(folded(found, PARITY_WORDS))
                 bands.append(sampler.bands(samples).view("<i8"))
             else:
                 sketches.append([])
+                parities.append([])
                 bands.append([])
         halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(sketches, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
-            names=["did", "n_shingles", "d1", "d2", "sketch", "bands"],
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
+            names=["did", "n_shingles", "d1", "d2", "sketch", "parity", "bands"],
         )
 
 
@@ -215,11 +229,12 @@ def merge(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (hub, member) whose sizes and sketches allow a link."""
-    side = lambda name, n, s: nodes.select(F.col("id").alias(name), F.col("n_shingles").alias(n), F.col("sketch").alias(s))
-    both = pairs.join(side("member", "n1", "s1"), "member").join(side("hub", "n2", "s2"), "hub")
+    side = lambda name, i: nodes.select(F.col("id").alias(name), F.col("n_shingles").alias(f"n{i}"), F.col("sketch").alias(f"s{i}"), F.col("parity").alias(f"p{i}"))
+    both = pairs.join(side("member", 1), "member").join(side("hub", 2), "hub")
     sizes = 100 * F.least("n1", "n2") >= PERCENT * F.greatest("n1", "n2")
-    differing = reduce(lambda x, y: x + y, [F.bit_count(F.get("s1", F.lit(i)).bitwiseXOR(F.get("s2", F.lit(i)))) for i in range(SKETCH_WORDS)])
-    return both.filter(sizes & (differing <= most_different())).select("hub", "member").distinct()
+    differing = lambda c, words: reduce(lambda x, y: x + y, [F.bit_count(F.get(f"{c}1", F.lit(i)).bitwiseXOR(F.get(f"{c}2", F.lit(i)))) for i in range(words)])
+    bound = (100 + PERCENT) * differing("p", PARITY_WORDS) <= (100 - PERCENT) * (F.col("n1") + F.col("n2"))
+    return both.filter(sizes & (differing("s", SKETCH_WORDS) <= most_different()) & bound).select("hub", "member").distinct()
 
 
 def _block_pairs(key, left, right):
@@ -228,16 +243,18 @@ def _block_pairs(key, left, right):
     import pyarrow as pa
 
     def columns(t):
-        sketch = np.array(t.column("sketch").to_pylist(), dtype="<i8").reshape(-1, SKETCH_WORDS).view("<u8")
-        return t.column("id").to_numpy(), t.column("root").to_numpy(), t.column("n_shingles").to_numpy(), sketch
+        words = lambda c, n: t.column(c).combine_chunks().flatten().to_numpy().reshape(-1, n).view("<u8")
+        return t.column("id").to_numpy(), t.column("root").to_numpy(), t.column("n_shingles").to_numpy(), words("sketch", SKETCH_WORDS), words("parity", PARITY_WORDS)
 
     out: list[tuple[int, int]] = []
     if left.num_rows and right.num_rows:
-        li, lr, ln, ls = columns(left)
-        ri, rr, rn, rs = columns(right)
-        for i, root, n, sketch in zip(li.tolist(), lr.tolist(), ln.tolist(), ls, strict=True):
-            differing = np.bitwise_count(rs ^ sketch).sum(axis=1)
-            fits = (rr != root) & (differing <= most_different()) & (100 * np.minimum(rn, n) >= PERCENT * np.maximum(rn, n))
+        li, lr, ln, ls, lp = columns(left)
+        ri, rr, rn, rs, rp = columns(right)
+        for i, root, n, sketch, parity in zip(li.tolist(), lr.tolist(), ln.tolist(), ls, lp, strict=True):
+            differing = np.bitwise_count(rs ^ sketch).sum(axis=1, dtype=np.int64)
+            fits = np.flatnonzero((rr != root) & (differing <= most_different()) & (100 * np.minimum(rn, n) >= PERCENT * np.maximum(rn, n)))
+            apart = np.bitwise_count(rp[fits] ^ parity).sum(axis=1, dtype=np.int64)
+            fits = fits[(100 + PERCENT) * apart <= (100 - PERCENT) * (rn[fits] + n)]
             out += [(min(i, j), max(i, j)) for j in ri[fits].tolist()]
     out = sorted(set(out))
     return pa.table({"hub": pa.array([a for a, _ in out], pa.int64()), "member": pa.array([b for _, b in out], pa.int64())})
@@ -254,10 +271,10 @@ def _rest(rows: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFrame:
     common = common.withColumn("blocks", F.ceil((F.col("members") - F.col("major")) / BLOCK_ROWS).cast("int"))
     # members of the commonest component meet every block of the others; the others meet their
     # own block and those after it
-    full = placed.join(common.select("key", "common", "blocks"), "key").join(nodes.select("id", "n_shingles", "sketch"), "id")
+    full = placed.join(common.select("key", "common", "blocks"), "key").join(nodes.select("id", "n_shingles", "sketch", "parity"), "id")
     full = full.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("minor", F.col("root") != F.col("common"))
     spread = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    keep = ["key", "part", "chunk", "id", "root", "n_shingles", "sketch"]
+    keep = ["key", "part", "chunk", "id", "root", "n_shingles", "sketch", "parity"]
     minor, major = full.filter("minor"), full.filter("not minor")
     # a chunk of the right side for each block of the left one: rows of bounded number in a call
     chunks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
@@ -279,9 +296,9 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     signed = shared.stored(rows.mapInArrow(_signatures, SIGNATURES), "near-signatures")
     filled = signed.filter("n_shingles > 0")
     classes = shared.stored(filled.groupBy("d1", "d2").agg(F.min("did").alias("id")), "near-classes")
-    nodes = filled.join(classes, ["d1", "d2"]).filter("did = id").select("id", "d1", "d2", "n_shingles", "sketch", "bands").dropDuplicates(["id", "d1", "d2"])
+    nodes = filled.join(classes, ["d1", "d2"]).filter("did = id").select("id", "d1", "d2", "n_shingles", "sketch", "parity", "bands").dropDuplicates(["id", "d1", "d2"])
     nodes = shared.stored(nodes, "near-nodes")
-    slim = nodes.select("id", "n_shingles", "sketch")
+    slim = nodes.select("id", "n_shingles", "sketch", "parity")
     banded = nodes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
     buckets = shared.stored(buckets.filter("hub != last").drop("last"), "near-buckets")

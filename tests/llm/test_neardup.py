@@ -91,7 +91,7 @@ def test_buckets_that_stay_apart(spark):
     rows = spark.createDataFrame([(1, i) for i in range(700)] + [(2, 5), (2, 6)], "key long, id long")
     roots = spark.createDataFrame([(i, 0 if i % 7 == 0 else i // 100 + 1) for i in range(700)], "id long, root long")
     same = [0] * neardup.SKETCH_WORDS
-    nodes = spark.createDataFrame([(i, 10, same) for i in range(700)], "id long, n_shingles long, sketch array<long>")
+    nodes = spark.createDataFrame([(i, 10, same, same * 2) for i in range(700)], "id long, n_shingles long, sketch array<long>, parity array<long>")
     got = {(r["hub"], r["member"]) for r in neardup._rest(rows, roots, nodes).collect()}
     root = {r["id"]: r["root"] for r in roots.collect()}
     assert got == {(a, b) for a in range(700) for b in range(a + 1, 700) if root[a] != root[b]}
@@ -109,6 +109,19 @@ def test_sketches_estimate_similarity():
         assert abs(1 - samples / 2 / neardup.SAMPLES - exact) < 0.12
 
 
+def test_parity_of_whole_sets_never_rules_out_a_link():
+    rng = np.random.default_rng(4)
+    for size in (1, 20, 300, 5000, 40_000):
+        pool = neardup._mixed(rng.integers(0, 1 << 63, 2 * size, dtype="u8"))
+        a = np.unique(pool[:size])
+        for moved in range(0, size // 3 + 1, max(1, size // 12)):
+            b = np.unique(pool[moved : size + moved])
+            differing = int(np.bitwise_count(neardup.folded(a, neardup.PARITY_WORDS).view("u8") ^ neardup.folded(b, neardup.PARITY_WORDS).view("u8")).sum())
+            assert differing <= len(np.setxor1d(a, b))
+            if neardup.linked(a, b):
+                assert (100 + neardup.PERCENT) * differing <= (100 - neardup.PERCENT) * (len(a) + len(b))
+
+
 def test_merging_long_chains(spark):
     n = 200
     roots = spark.createDataFrame([(i, i) for i in range(n)], "id long, root long")
