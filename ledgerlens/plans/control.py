@@ -85,6 +85,26 @@ def sink_report_csv(spark, d):
     return spark.createDataFrame([(len(reports.as_csv(sums).splitlines()),)], "lines long")
 
 
+@query("sink_dashboard", f"WITH {DAILY} SELECT count(DISTINCT day) + count(DISTINCT pool) AS rows, 2 AS charts FROM daily")
+def sink_dashboard(spark, d):
+    x = daily(spark, d)
+    series = {"Volume by day": x.groupBy("day").agg(F.sum("usd").alias("usd")).orderBy("day"), "Trades by pool": x.groupBy("pool").agg(F.sum("swaps").alias("n")).orderBy("pool")}
+    text = reports.page("Trades", series)
+    return spark.createDataFrame([(text.count("<tr>"), text.count("<svg"))], "rows long, charts int")
+
+
+@query("q_sanity_07", "SELECT 'query ' || (user_id % 7) AS query, count(*) AS runs, max(event_id % 50)::BIGINT AS slowest FROM events WHERE event_id < 200 GROUP BY 1")
+def q_sanity_07(spark, d):
+    """Slow queries from an event log, here one made of events."""
+    from ..sources import eventlog
+
+    rows = read(spark, d, "events").filter("event_id < 200")
+    start = F.struct(F.lit(eventlog.START).alias("Event"), F.col("event_id").alias("executionId"), F.concat(F.lit("query  "), (F.col("user_id") % 7).cast("string")).alias("description"), F.lit(1000).cast("long").alias("time"))
+    end = F.struct(F.lit(eventlog.END).alias("Event"), F.col("event_id").alias("executionId"), F.lit(None).cast("string").alias("description"), (F.col("event_id") % 50 + 1000).alias("time"))
+    lines = rows.select(F.explode(F.array(F.to_json(start), F.to_json(end))).alias("value"))
+    return eventlog.slowest(lines, 100).select("query", "runs", F.col("slowest_ms").alias("slowest"))
+
+
 @query("distribution", f"WITH {RUNS} SELECT round(avg(value), 6) AS mean, round(median(value), 6) AS middle, list_sort(list(value))[CAST(ceil(0.95 * count(*)) AS BIGINT)] AS p95 FROM runs")
 def distribution(spark, d):
     """Mean, median and nearest-rank p95 of all values: percentile_disc is that rank, computed

@@ -586,7 +586,7 @@ def fn_math(spark, d):
 def fn_dates(spark, d):
     t = F.col("ts")
     return read(spark, d, "events").select(
-        "event_id", F.to_date(t).alias("day"), F.date_trunc("hour", t).alias("hour_start"), F.hour(t).alias("hour"), F.date_format(t, "yyyyMM").alias("month"), F.to_date(F.date_trunc("week", t)).alias("monday"),
+        "event_id", F.to_date(t).alias("day"), F.date_trunc("hour", t).cast("timestamp_ntz").alias("hour_start"), F.hour(t).alias("hour"), F.date_format(t, "yyyyMM").alias("month"), F.to_date(F.date_trunc("week", t)).alias("monday"),
         (F.weekday(t) + 1).alias("weekday"), F.date_format(t, "EEEE").alias("name"), F.datediff(F.to_date(t), F.lit("2024-01-01")).alias("since"), F.date_add(F.to_date(t), 7).alias("later"), (t + F.expr("interval 90 minutes")).alias("shifted"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import html
 import io
 
 from pyspark.sql import DataFrame
@@ -32,3 +33,20 @@ def as_csv(df: DataFrame) -> str:
     writer.writerow(df.columns)
     writer.writerows(rows_of(df))
     return out.getvalue()
+
+
+def chart(values: list[float], width: int = 640, height: int = 120) -> str:
+    """A line of values as inline SVG, scaled to its box."""
+    top, step = max([*map(float, values), 1e-12]), width / max(1, len(values) - 1)
+    points = " ".join(f"{i * step:.1f},{height - height * float(v) / top:.1f}" for i, v in enumerate(values))
+    return f'<svg viewBox="0 0 {width} {height}" width="{width}" height="{height}"><polyline fill="none" stroke="currentColor" points="{points}"/></svg>'
+
+
+def page(title: str, series: dict[str, DataFrame]) -> str:
+    """A page that needs no other file: for each (label, value) frame a chart and its rows."""
+    parts = [f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>"]
+    for name, df in series.items():
+        rows = rows_of(df)
+        cells = "".join(f"<tr><td>{html.escape(str(a))}</td><td>{html.escape(str(b))}</td></tr>" for a, b in rows)
+        parts.append(f"<h2>{html.escape(name)}</h2>{chart([r[1] or 0 for r in rows])}<table>{cells}</table>")
+    return "".join([*parts, "</body></html>"])
