@@ -4,7 +4,8 @@ Features are the distinct words of a text and the words' beginnings of 4, 5 and
 64-bit hash; of those seen in the training sample the ones that speak most for toxic text are
 selected. The model is P(grade <= k) = sigmoid(threshold_k - w.x) with one weight vector for all
 thresholds, which are ordered by construction; it gives a distribution over grades and its mean,
-the expected severity. A text is toxic if grade 0 is less likely than not.
+the expected severity. A text is toxic if the chance of grade 0 lies below a cut, which is set on the
+sample so that misses and, five times as much, false rejections are fewest.
 
 The sample is bounded: at most TOXIC_ROWS and CLEAN_ROWS labelled rows, by hash of the id. Labels
 say toxic or not; ``grades_of`` orders the toxic ones into three grades by how many selected
@@ -34,6 +35,8 @@ LEAST_ROWS, LEAST_SHARE = 5, 0.97
 PREFIXES = (4, 5, 6)
 GRADES = 4
 CACHED_WORDS = 300_000
+#: A text with a chance of grade 0 above this is not rejected, whatever the sample says.
+MOST_CUT = 0.9
 SCORED = "doc_id long, severity double, p_clean double, grade long, toxic boolean, n_features long"
 
 
@@ -65,10 +68,11 @@ class Features(dict):
 
 @dataclass
 class SeverityModel:
-    """Weights by feature and ordered thresholds (one less than there are grades)."""
+    """Weights by feature, ordered thresholds (one less than there are grades) and the cut."""
 
     weights: dict[int, float] = field(default_factory=dict)
     thresholds: tuple[float, ...] = ()
+    cut: float = 0.5
 
     def grades(self, found: set[int]) -> list[float]:
         """Probability of each grade; without a model all is grade 0."""
@@ -122,6 +126,27 @@ def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = 1e-
     return SeverityModel(dict(zip(names, free[: len(names)].tolist(), strict=True)), tuple(levels(free[len(names) :]).tolist()))
 
 
+def best_cut(rows: list[tuple[float, bool]], weight: float = 5.0) -> float:
+    """The middle of the range of cuts with the least cost over (p_clean, toxic) rows: the share of
+    toxic rows above the cut plus ``weight`` times the share of clean rows below it."""
+    toxic, clean = sum(t for _, t in rows), sum(not t for _, t in rows)
+    if not toxic or not clean:
+        return 0.5
+    costs, missed, rejected = [], toxic, 0
+    places = sorted({p for p, _ in rows})
+    by_place: dict[float, list[int]] = {p: [0, 0] for p in places}
+    for p, t in rows:
+        by_place[p][t] += 1
+    costs.append((missed / toxic, 0.0, places[0]))
+    for p, after in zip(places, [*places[1:], 1.0], strict=True):
+        missed -= by_place[p][1]
+        rejected += by_place[p][0]
+        costs.append((missed / toxic + weight * rejected / clean, p, after))
+    least = min(c for c, _, _ in costs)
+    low, high = next((a, b) for c, a, b in costs if c <= least)
+    return min(MOST_CUT, (low + high) / 2)
+
+
 def _extract(selected: frozenset[int] | None):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -168,7 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
         return SeverityModel()
     rows = [(r["toxic"], r["features"]) for r in chosen.mapInArrow(_extract(selected), "toxic int, features array<long>").collect()]
     rows.sort()
-    return fit(list(zip(grades_of(rows), [f for _, f in rows], strict=True)))
+    model = fit(list(zip(grades_of(rows), [f for _, f in rows], strict=True)))
+    model.cut = best_cut([(model.grades(set(f))[0], bool(toxic)) for toxic, f in rows])
+    return model
 
 
 def _score(model: SeverityModel):
@@ -183,7 +210,7 @@ def _score(model: SeverityModel):
                 found = features.of(text)
                 chances = model.grades(found)
                 severity = sum(k * p for k, p in enumerate(chances))
-                rows.append((severity, chances[0], chances.index(max(chances)), chances[0] < 0.5, len(found)))
+                rows.append((severity, chances[0], chances.index(max(chances)), chances[0] < model.cut, len(found)))
             columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["row", *(x.split()[0] for x in SCORED.split(", ")[1:])])
 
