@@ -35,8 +35,6 @@ LEAST_ROWS, LEAST_SHARE = 5, 0.97
 PREFIXES = (4, 5, 6)
 GRADES = 4
 CACHED_WORDS = 300_000
-#: A text with a chance of grade 0 above this is not rejected, whatever the sample says.
-MOST_CUT = 0.9
 SCORED = "doc_id long, severity double, p_clean double, grade long, toxic boolean, n_features long"
 
 
@@ -127,7 +125,7 @@ def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = 1e-
 
 
 def best_cut(rows: list[tuple[float, bool]], weight: float = 5.0) -> float:
-    """The middle of the range of cuts with the least cost over (p_clean, toxic) rows: the share of
+    """A cut in the range of those with the least cost over (p_clean, toxic) rows: the share of
     toxic rows above the cut plus ``weight`` times the share of clean rows below it."""
     toxic, clean = sum(t for _, t in rows), sum(not t for _, t in rows)
     if not toxic or not clean:
@@ -144,7 +142,7 @@ def best_cut(rows: list[tuple[float, bool]], weight: float = 5.0) -> float:
         costs.append((missed / toxic + weight * rejected / clean, p, after))
     least = min(c for c, _, _ in costs)
     low, high = next((a, b) for c, a, b in costs if c <= least)
-    return min(MOST_CUT, (low + high) / 2)
+    return low + 0.1 * (high - low)  # near the toxic side
 
 
 def _extract(selected: frozenset[int] | None):
