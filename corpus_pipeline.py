@@ -32,9 +32,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each near-duplicate group stays: the one with the smallest id."""
     rows = shared.stored(neardup.components(docs).filter("kept").select(F.col("doc_id").alias("kept_id")), "kept-ids")
     kept = shared.stored(rows.distinct(), "kept-ids")
-    n = kept.count()
-    joined = docs.select(*COLUMNS).join(shared.small(kept, n), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return joined if rows.count() == n else joined.dropDuplicates(["doc_id"])  # rows that repeat an id
+    joined = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return joined if rows.count() == kept.count() else joined.dropDuplicates(["doc_id"])  # rows that repeat an id
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +41,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     carried = F.struct(*COLUMNS).alias("doc")
     mixed = mixing.mix(docs).groupBy("doc_id").agg(F.max("repeats").alias("repeats")).filter("repeats > 0")
     mixed = shared.stored(mixed.withColumnRenamed("doc_id", "mixed_id"), "mixed-ids")
-    joined = docs.select("doc_id", carried).join(shared.small(mixed, mixed.count()), F.col("doc_id").eqNullSafe(F.col("mixed_id")))
+    joined = docs.select("doc_id", carried).join(mixed, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
     copies = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
     return copies.select("doc.*")
 
