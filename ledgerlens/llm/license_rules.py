@@ -3,8 +3,9 @@
 Rules are tried in this order; a smaller number is a higher priority:
 10 tags (SPDX-License-Identifier, Creative Commons and GNU addresses), 20 sentences of license
 texts, 30 grants ("licensed under the ..."), 40 names, 90 base phrases. All regexes read
-lower-cased text. ``words``: of these at least one of each group must be among the text's words,
-or the rule is not tried.
+lower-cased text. ``words``: of these at least one of each group must be among the text's words
+(runs of a-z and 0-9, also without a version at their end: gplv3 holds gpl), or the rule is not
+tried. Every match holds them, so rules without ``words`` would find the same.
 """
 
 from __future__ import annotations
@@ -57,16 +58,16 @@ FAMILIES = (
     ("bsl-1.0", r"bsl-1\.0", r"boost software license", "boost"),
     ("unlicense", r"unlicense", r"unlicense", "unlicense"),
     ("wtfpl", r"wtfpl", r"wtfpl|do what the f\S* you want to public license", "wtfpl"),
-    ("cc0-1.0", r"cc0-1\.0", r"cc0(?: ?1\.0)?(?: universal)?", "cc0"),
-    ("cc-by-3.0", r"cc-by-3\.0", r"(?:cc[ -]by|creative commons attribution)[ -]?3\.0", "3"),
-    ("cc-by-4.0", r"cc-by-4\.0", r"(?:cc[ -]by|creative commons attribution)[ -]?4\.0", "4"),
-    ("cc-by-sa-3.0", r"cc-by-sa-3\.0", r"(?:cc[ -]by-sa|creative commons attribution[- ]share-?alike)[ -]?3\.0", "3"),
-    ("cc-by-sa-4.0", r"cc-by-sa-4\.0", r"(?:cc[ -]by-sa|creative commons attribution[- ]share-?alike)[ -]?4\.0", "4"),
-    ("cc-by-nc-3.0", r"cc-by-nc-3\.0", r"(?:cc[ -]by-nc|creative commons attribution[- ]non-?commercial)[ -]?3\.0", "3"),
-    ("cc-by-nc-4.0", r"cc-by-nc-4\.0", r"(?:cc[ -]by-nc|creative commons attribution[- ]non-?commercial)[ -]?4\.0", "4"),
-    ("cc-by-nd-4.0", r"cc-by-nd-4\.0", r"(?:cc[ -]by-nd|creative commons attribution[- ]no-?derivatives)[ -]?4\.0", "4"),
-    ("cc-by-nc-sa-4.0", r"cc-by-nc-sa-4\.0", r"cc[ -]by-nc-sa[ -]?4\.0", "sa"),
-    ("cc-by-nc-nd-4.0", r"cc-by-nc-nd-4\.0", r"cc[ -]by-nc-nd[ -]?4\.0", "nd"),
+    ("cc0-1.0", r"cc0-1\.0", r"cc0(?:[ -]1\.0)?(?: universal)?", "cc0"),
+    ("cc-by-3.0", r"cc-by-3\.0", r"(?:cc[ -]by|creative commons attribution)[ -]?3\.0", "cc"),
+    ("cc-by-4.0", r"cc-by-4\.0", r"(?:cc[ -]by|creative commons attribution)[ -]?4\.0", "cc"),
+    ("cc-by-sa-3.0", r"cc-by-sa-3\.0", r"(?:cc[ -]by-sa|creative commons attribution[- ]share-?alike)[ -]?3\.0", "cc"),
+    ("cc-by-sa-4.0", r"cc-by-sa-4\.0", r"(?:cc[ -]by-sa|creative commons attribution[- ]share-?alike)[ -]?4\.0", "cc"),
+    ("cc-by-nc-3.0", r"cc-by-nc-3\.0", r"(?:cc[ -]by-nc|creative commons attribution[- ]non-?commercial)[ -]?3\.0", "cc"),
+    ("cc-by-nc-4.0", r"cc-by-nc-4\.0", r"(?:cc[ -]by-nc|creative commons attribution[- ]non-?commercial)[ -]?4\.0", "cc"),
+    ("cc-by-nd-4.0", r"cc-by-nd-4\.0", r"(?:cc[ -]by-nd|creative commons attribution[- ]no-?derivatives)[ -]?4\.0", "cc"),
+    ("cc-by-nc-sa-4.0", r"cc-by-nc-sa-4\.0", r"cc[ -]by-nc-sa[ -]?4\.0", "cc"),
+    ("cc-by-nc-nd-4.0", r"cc-by-nc-nd-4\.0", r"cc[ -]by-nc-nd[ -]?4\.0", "cc"),
     ("odbl-1.0", r"odbl-1\.0", r"open (?:data commons )?(?:open )?database license|odbl", "odbl"),
     ("odc-by-1.0", r"odc-by-1\.0", r"open data commons attribution license|odc-by", "odc"),
     ("pddl-1.0", r"pddl-1\.0", r"public domain dedication and license|pddl", "pddl"),
@@ -110,7 +111,7 @@ SENTENCES = (
     ("bsd", "redistribution binary forms", r"redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("bsd-3-clause", "neither endorse", r"neither the name of .{1,120}? nor the names of its contributors may be used to endorse or promote"),
     ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software must display"),
-    ("apache-2.0", "apache compliance", r"you may not use this file except in compliance with the license"),
+    ("apache-2.0", "file except compliance", r"you may not use this file except in compliance with the license"),
     ("apache-2.0", "apache org", r"(?:www\.)?apache\.org/licenses/license-2\.0"),
     ("gpl", "redistribute gnu", r"you can redistribute it and/or modify it under the terms of the gnu general public license"),
     ("lgpl", "redistribute lesser", r"you can redistribute it and/or modify it under the terms of the gnu lesser general public license"),
@@ -120,12 +121,12 @@ SENTENCES = (
     ("agpl", "gnu org", r"(?:www\.)?gnu\.org/licenses/agpl"),
     ("mpl-2.0", "mozilla source", r"this source code form is subject to the terms of the mozilla public license, v\. 2\.0"),
     ("mpl-2.0", "mozilla org", r"(?:www\.)?mozilla\.org/mpl/2\.0"),
-    ("epl", "eclipse accompanying", r"made available under the terms of the eclipse public license"),
+    ("epl", "available eclipse", r"made available under the terms of the eclipse public license"),
     ("bsl-1.0", "boost org", r"(?:www\.)?boost\.org/license_1_0"),
     ("unlicense", "unencumbered public", r"this is free and unencumbered software released into the public domain"),
     ("unlicense", "unlicense org", r"unlicense\.org"),
     ("zlib", "altered source versions", r"altered source versions must be plainly marked as such"),
-    ("wtfpl", "want public", r"you just do what the f\S* you want to"),
+    ("wtfpl", "just want", r"you just do what the f\S* you want to"),
     ("public-domain", "public domain", r"(?:placed|released|dedicated) (?:in|into|to) the public domain"),
     ("cc-by", "creativecommons by", r"creativecommons\.org/licenses/by/\d\.\d"),
     ("cc-by-sa", "creativecommons sa", r"creativecommons\.org/licenses/by-sa/\d\.\d"),
@@ -138,8 +139,11 @@ SENTENCES = (
     ("proprietary", "confidential proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
 )
 
-#: Either spelling, as a word; a grant or a name needs one of them (an SPDX tag needs "spdx").
-LICENSE_WORDS = frozenset({"license", "licence", "licenses", "licences", "licensed", "licenced", "licensing"})
+#: Either spelling, as a word: what "license: ..." and a name need. A grant needs "under", an SPDX
+#: tag "spdx".
+LICENSE_WORDS = frozenset({"license", "licence"})
+#: Where a word of the prefilter begins and ends.
+BEGIN, END = "(?<![a-z0-9])", "(?![a-z0-9])"
 
 
 def _groups(*words) -> tuple[frozenset[str], ...]:
@@ -148,7 +152,7 @@ def _groups(*words) -> tuple[frozenset[str], ...]:
 
 def _family_words(label: str, word: str) -> frozenset[str]:
     """Words of which a mention by name holds at least one."""
-    long = {"gpl": {"general"}, "lgpl": {"lesser", "library"}, "agpl": {"affero"}, "gfdl": {"documentation"}, "mpl": {"mozilla"}, "epl": {"eclipse"}, "edl": {"eclipse"}, "cddl": {"development"}, "cpl": {"common"}, "mit": {"expat"}, "0bsd": {"zero", "bsd"}, "wtfpl": {"want"}, "odbl": {"database"}, "odc": {"commons"}, "pddl": {"dedication"}, "python": {"psf"}, "ofl": {"font"}, "eupl": {"european"}, "microsoft": {"ms"}, "reciprocal": {"ms"}, "osl": {"software"}, "afl": {"academic"}, "ecl": {"educational"}, "upl": {"permissive"}, "sspl": {"server"}, "busl": {"business"}, "hpnd": {"historical"}, "beerware": {"beer"}, "bsd": {"freebsd"}}
+    long = {"gpl": {"general"}, "lgpl": {"lesser", "library"}, "agpl": {"affero"}, "gfdl": {"documentation"}, "mpl": {"mozilla"}, "epl": {"eclipse"}, "edl": {"eclipse"}, "cddl": {"development"}, "cpl": {"common"}, "mit": {"expat"}, "0bsd": {"zero", "bsd"}, "wtfpl": {"want"}, "odbl": {"database"}, "odc": {"commons"}, "pddl": {"dedication"}, "python": {"psf"}, "ofl": {"font"}, "eupl": {"european"}, "microsoft": {"ms"}, "reciprocal": {"ms"}, "cc": {"creative"}, "boost": {"bsl"}, "oak": {"blueoak"}, "osl": {"software"}, "afl": {"academic"}, "ecl": {"educational"}, "upl": {"permissive"}, "sspl": {"server"}, "busl": {"business"}, "hpnd": {"historical"}, "beerware": {"beer"}, "bsd": {"freebsd"}}
     return frozenset({word} | long.get(word, set()))
 
 
@@ -156,10 +160,10 @@ def rules() -> list[Rule]:
     found = []
     for label, spdx, name, word in FAMILIES:
         either = _family_words(label, word)
-        found.append(Rule(label, 10, 1.0, _groups("spdx"), rf"spdx-license-identifier:\s*\(?(?:{spdx})(?![\w.+-]*\w)"))
-        found.append(Rule(label, 30, 0.9, _groups(LICENSE_WORDS, either), rf"(?:licen[cs]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?:\s+licen[cs]e)?\b"))
-        found.append(Rule(label, 30, 0.85, _groups(LICENSE_WORDS, either), rf"licen[cs]e\s*[:=]\s*[\"']?(?:{spdx}|{name})(?![\w-])"))
+        found.append(Rule(label, 10, 1.0, _groups("spdx"), rf"{BEGIN}spdx-license-identifier:\s*\(?(?:{spdx})(?![\w.+-]*\w)"))
+        found.append(Rule(label, 30, 0.9, _groups("under", either), rf"(?:licen[cs]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?:\s+licen[cs]e)?\b"))
+        found.append(Rule(label, 30, 0.85, _groups(LICENSE_WORDS, either), rf"{BEGIN}licen[cs]e\s*[:=]\s*[\"']?(?:{spdx}|{name})(?![\w-])"))
         found.append(Rule(label, 40, 0.7, _groups(LICENSE_WORDS, either), rf"(?<![\w-])(?:{name})\s+licen[cs]e\b"))
     for label, words, regex in SENTENCES:
-        found.append(Rule(label, 20, 0.6 if label == "proprietary" else 1.0, _groups(*words.split()), regex.replace(" ", r"\s+")))
+        found.append(Rule(label, 20, 0.6 if label == "proprietary" else 1.0, _groups(*words.split()), BEGIN + f"(?:{regex})".replace(" ", r"\s+") + END))
     return found

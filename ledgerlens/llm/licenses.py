@@ -26,6 +26,8 @@ from .license_rules import BASE, Rule, rules
 
 #: A-Z to lower case, every other byte that no word has to a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+#: The same with every byte beyond ASCII to a space too, as a quotation mark may touch a word.
+GATE_BYTES = bytes(b if b < 128 else 32 for b in WORD_BYTES)
 BASE_PRIORITY, BASE_SCORE = 90, 0.5
 SCANNED = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_detections long, detections array<struct<label:string,start:long,stop:long,priority:int>>"
 
@@ -42,6 +44,13 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def gate_words(text: bytes, present: set[bytes]) -> set[bytes]:
+    """Words by which rules are chosen; those that end in a version also without it."""
+    plain = present if text.isascii() else set(text.translate(GATE_BYTES).split())
+    bare = {w.rstrip(b"0123456789") for w in plain if w[-1] < 58}
+    return plain | bare | {w[:-1] for w in bare if w.endswith(b"v")}
+
+
 def resolve(found: list[Detection]) -> list[Detection]:
     """Those not contained in one that comes before by priority, length and place."""
     taken: list[Detection] = []
@@ -93,6 +102,7 @@ class Scanner:
 
     def detect(self, text: bytes, present: set[bytes]) -> list[Detection]:
         tried, found = set(), []
+        present = gate_words(text, present)
         lowered = None
         for word in self.keywords & present:
             for entry in self.by_word[word]:

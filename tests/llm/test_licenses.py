@@ -65,3 +65,33 @@ def test_empty_and_extra_columns(spark, docs):
     assert licenses.scan_licenses(docs([])).count() == 0
     more = docs([(1, "MIT license"), (1, "MIT license"), (None, "x")]).withColumn("labels", F.lit("clash")).withColumn("n_words", F.lit(9))
     assert sorted(r["n_words"] for r in licenses.scan_licenses(more).collect()) == [1, 2, 2]
+
+
+def every_regex(text):
+    """What all rules find without the prefilter."""
+    lowered = text.encode().lower().decode()
+    return licenses.resolve([licenses.Detection(r.label, m.start(), m.end(), r.priority, r.score) for r in license_rules.rules() for m in re.finditer(r.regex, lowered, re.DOTALL)])
+
+
+def test_grants_without_a_license_word():
+    assert labels("Released under the GNU GPL v3.") == "gpl-3.0"
+    assert labels("Available under Apache 2.0.") == "apache-2.0"
+    assert labels("released under the MIT terms") == "mit"
+    assert labels("“Licensed under MIT”") == "mit"
+
+
+def test_the_prefilter_changes_nothing():
+    rng = random.Random(3)
+    plain = lambda regex: re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)\??|\(\?![^)]*\)|\\(?=\W)|\|.*|\?", r"\1", regex).replace("[ -]", " ").replace("[- ]", " ").replace("[cs]", "s")
+    names = [plain(x) for _, spdx, name, _ in license_rules.FAMILIES for x in (spdx, *name.split("|"))] + ["GPLv3", "apache2", "MPLv2.0", "lgpl 2.1", "cc by4.0", "blueoak-1.0.0", "bsl-1.0"]
+    before = ["SPDX-License-Identifier: ", "released under the ", "relicensed under ", "license: ", "licence = '", "x", "“", "the ", "_"]
+    after = [" license", "\xa0licence", "", ".", "”", "é", "x", "_1", " terms"]
+    texts = [b + n + a for n in names for b in before for a in after]
+    texts += [b + regex.replace("(?:", "").replace(r"\.", ".").replace(r"\d", "3") + a for _, _, regex in license_rules.SENTENCES for b in ("", "x", "é") for a in ("", "s", "é")]
+    texts += [" ".join(rng.choices(texts, k=4)) for _ in range(300)]
+    scanner, hits = licenses.Scanner(), 0
+    for text in texts:
+        found = scanner.detect(text.encode(), set(licenses.words_of(text.encode())))
+        assert found == every_regex(text), text
+        hits += bool(found)
+    assert hits > 1000
