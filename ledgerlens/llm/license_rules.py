@@ -30,20 +30,20 @@ FAMILIES = (
     ("mit", r"mit", r"(?:mit|expat)(?: \(?expat\)?)?", "mit"),
     ("mit-0", r"mit-0", r"mit(?: no attribution|-0)", "mit"),
     ("x11", r"x11", r"x11", "x11"),
-    ("apache-1.1", r"apache-1\.1", r"apache(?: software)? ?(?:license)?,? ?(?:version|v)?\.? ?1\.1", "apache"),
-    ("apache-2.0", r"apache-2\.0", r"apache(?: software)?(?:[ -]license)?,?[ -]?(?:version|v)?\.? ?2(?:\.0)?", "apache"),
+    ("apache-1.1", r"apache-1\.1", r"apache(?: software)? license,? ?(?:version|v)?\.? ?1\.1|apache(?: software)?,? ?(?:version|v)?\.? ?1\.1", "apache"),
+    ("apache-2.0", r"apache-2\.0", r"apache(?: software)?[ -]license,?[ -]?(?:version|v)?\.? ?2(?:\.0)?|apache(?: software)?,?[ -]?(?:version|v)?\.? ?2(?:\.0)?", "apache"),
     ("bsd-1-clause", r"bsd-1-clause", r"(?:1|one)[ -]clause bsd", "bsd"),
     ("bsd-2-clause", r"bsd-2-clause", r"(?:(?:2|two)[ -]clause|simplified|freebsd) bsd|bsd[ -](?:2|two)[ -]clause", "bsd"),
     ("bsd-3-clause", r"bsd-3-clause", r"(?:(?:3|three)[ -]clause|new|modified|revised) bsd|bsd[ -](?:3|three)[ -]clause", "bsd"),
     ("bsd-4-clause", r"bsd-4-clause", r"(?:(?:4|four)[ -]clause|original|old) bsd|bsd[ -](?:4|four)[ -]clause", "bsd"),
     ("0bsd", r"0bsd", r"(?:zero|0)[ -]clause bsd|0bsd", "0bsd"),
-    ("gpl-1.0", r"gpl-1\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:gpl|general public license),?[ -](?:version |v)?1(?:\.0)?", "gpl"),
-    ("gpl-2.0", r"gpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:gpl|general public license),?[ -](?:version |v)?2(?:\.0)?", "gpl"),
-    ("gpl-3.0", r"gpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:gpl|general public license),?[ -](?:version |v)?3(?:\.0)?", "gpl"),
-    ("lgpl-2.0", r"lgpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:lgpl|library general public license),?[ -](?:version |v)?2(?:\.0)?(?!\.?\d)", "lgpl"),
-    ("lgpl-2.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", r"(?:gnu )?(?:lgpl|lesser general public license),?[ -](?:version |v)?2\.1", "lgpl"),
-    ("lgpl-3.0", r"lgpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:lgpl|lesser general public license),?[ -](?:version |v)?3(?:\.0)?", "lgpl"),
-    ("agpl-3.0", r"agpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:agpl|affero general public license),?[ -](?:version |v)?3(?:\.0)?", "agpl"),
+    ("gpl-1.0", r"gpl-1\.0(?:-only|-or-later|\+)?", r"(?<!lesser\s)(?<!library\s)(?<!affero\s)(?:gnu )?(?:gpl|general public license),?[ -]?(?:version |v)?1(?:\.0)?", "gpl"),
+    ("gpl-2.0", r"gpl-2\.0(?:-only|-or-later|\+)?", r"(?<!lesser\s)(?<!library\s)(?<!affero\s)(?:gnu )?(?:gpl|general public license),?[ -]?(?:version |v)?2(?:\.0)?", "gpl"),
+    ("gpl-3.0", r"gpl-3\.0(?:-only|-or-later|\+)?", r"(?<!lesser\s)(?<!library\s)(?<!affero\s)(?:gnu )?(?:gpl|general public license),?[ -]?(?:version |v)?3(?:\.0)?", "gpl"),
+    ("lgpl-2.0", r"lgpl-2\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:lgpl|library general public license),?[ -]?(?:version |v)?2(?:\.0)?(?!\.?\d)", "lgpl"),
+    ("lgpl-2.1", r"lgpl-2\.1(?:-only|-or-later|\+)?", r"(?:gnu )?(?:lgpl|lesser general public license),?[ -]?(?:version |v)?2\.1", "lgpl"),
+    ("lgpl-3.0", r"lgpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:lgpl|lesser general public license),?[ -]?(?:version |v)?3(?:\.0)?", "lgpl"),
+    ("agpl-3.0", r"agpl-3\.0(?:-only|-or-later|\+)?", r"(?:gnu )?(?:agpl|affero general public license),?[ -]?(?:version |v)?3(?:\.0)?", "agpl"),
     ("gfdl-1.3", r"gfdl-1\.3(?:-only|-or-later)?", r"(?:gnu )?free documentation license", "gfdl"),
     ("mpl-1.1", r"mpl-1\.1", r"(?:mozilla public license|mpl),? ?(?:version |v)?1\.1", "mpl"),
     ("mpl-2.0", r"mpl-2\.0", r"(?:mozilla public license|mpl),? ?(?:version |v)?2(?:\.0)?", "mpl"),
@@ -142,6 +142,8 @@ SENTENCES = (
 #: Either spelling, as a word: what "license: ..." and a name need. A grant needs "under", an SPDX
 #: tag "spdx".
 LICENSE_WORDS = frozenset({"license", "licence"})
+#: Behind a name.
+LICENSE = r"\s+licen[cs]e"
 #: Where a word of the prefilter begins and ends.
 BEGIN, END = "(?<![a-z0-9])", "(?![a-z0-9])"
 
@@ -156,14 +158,36 @@ def _family_words(label: str, word: str) -> frozenset[str]:
     return frozenset({word} | long.get(word, set()))
 
 
+def _alternatives(regex: str) -> list[str]:
+    """The parts of a regex between its outermost bars."""
+    parts, depth = [""], 0
+    for c in regex:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return parts
+
+
+def _spaced(name: str) -> str:
+    """A name with any white space between its words, and either spelling."""
+    for written, meant in (("(?:version |v)?", r"(?:version |v\.? ?)?"), ("[ -]?", r"(?:\s+|-)?"), ("[- ]", r"(?:\s+|-)"), ("[ -]", r"(?:\s+|-)"), (" ?", r"\s*"), (" ", r"\s+"), ("license", "licen[cs]e")):
+        name = name.replace(written, meant)
+    return name
+
+
 def rules() -> list[Rule]:
     found = []
     for label, spdx, name, word in FAMILIES:
         either = _family_words(label, word)
+        # what is a mention by itself: the name with "license" in it, or with a kind of its own
+        alone = [_spaced(x) for x in _alternatives(name) if any(w in x for w in ("license", "licen[cs]e", "agreement", "disclaimer"))]
+        name = _spaced(name)
         found.append(Rule(label, 10, 1.0, _groups("spdx"), rf"{BEGIN}spdx-license-identifier:\s*\(?(?:{spdx})(?![\w.+-]*\w)"))
-        found.append(Rule(label, 30, 0.9, _groups("under", either), rf"(?:licen[cs]ed|released|distributed|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:{name})(?:\s+licen[cs]e)?\b"))
+        found.append(Rule(label, 30, 0.9, _groups("under", either), rf"(?:licen[cs]ed|released|distributed|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?(?:{name})(?:\s+licen[cs]e)?\b"))
         found.append(Rule(label, 30, 0.85, _groups(LICENSE_WORDS, either), rf"{BEGIN}licen[cs]e\s*[:=]\s*[\"']?(?:{spdx}|{name})(?![\w-])"))
-        found.append(Rule(label, 40, 0.7, _groups(LICENSE_WORDS, either), rf"(?<![\w-])(?:{name})\s+licen[cs]e\b"))
+        found.append(Rule(label, 40, 0.7, _groups(either) if alone else _groups(LICENSE_WORDS, either), rf"(?<![\w-])(?:{'|'.join([rf'(?:{name})' + LICENSE, *alone])})\b"))
     for label, words, regex in SENTENCES:
         found.append(Rule(label, 20, 0.6 if label == "proprietary" else 1.0, _groups(*words.split()), BEGIN + f"(?:{regex})".replace(" ", r"\s+") + END))
     return found

@@ -95,3 +95,22 @@ def test_the_prefilter_changes_nothing():
         assert found == every_regex(text), text
         hits += bool(found)
     assert hits > 1000
+
+
+MENTIONS = {
+    "mit": "MIT License", "mit-0": "MIT No Attribution License", "x11": "X11 license", "apache-1.1": "Apache Software License, Version 1.1", "apache-2.0": "Apache License, Version 2.0",
+    "bsd-1-clause": "1-clause BSD license", "bsd-2-clause": "Simplified BSD License", "bsd-3-clause": "BSD 3-clause license", "bsd-4-clause": "original BSD license", "0bsd": "Zero-Clause BSD license",
+    "gpl-1.0": "GNU General Public License version 1", "gpl-2.0": "GPLv2", "gpl-3.0": "GNU General Public License, version 3", "lgpl-2.0": "GNU Library General Public License, version 2", "lgpl-2.1": "GNU Lesser General Public License v2.1", "lgpl-3.0": "LGPLv3", "agpl-3.0": "GNU Affero General Public License v3.0", "gfdl-1.3": "GNU Free Documentation License",
+    "mpl-1.1": "Mozilla Public License 1.1", "mpl-2.0": "Mozilla Public License, v. 2.0", "epl-1.0": "Eclipse Public License - v1.0", "epl-2.0": "Eclipse Public License 2.0", "edl-1.0": "Eclipse Distribution License", "cddl-1.0": "Common Development and Distribution License", "cpl-1.0": "Common Public License", "isc": "ISC license", "zlib": "zlib license", "libpng-2.0": "libpng license", "bsl-1.0": "Boost Software License", "unlicense": "Unlicense", "wtfpl": "WTFPL license", "cc0-1.0": "CC0 license",
+    "cc-by-3.0": "CC BY 3.0 license", "cc-by-4.0": "Creative Commons Attribution 4.0 license", "cc-by-sa-3.0": "CC BY-SA 3.0 license", "cc-by-sa-4.0": "CC BY-SA 4.0 license", "cc-by-nc-3.0": "CC BY-NC 3.0 license", "cc-by-nc-4.0": "CC BY-NC 4.0 license", "cc-by-nd-4.0": "CC BY-ND 4.0 license", "cc-by-nc-sa-4.0": "CC BY-NC-SA 4.0 license", "cc-by-nc-nd-4.0": "CC BY-NC-ND 4.0 license",
+    "odbl-1.0": "Open Database License", "odc-by-1.0": "Open Data Commons Attribution License", "pddl-1.0": "Public Domain Dedication and License", "artistic-1.0": "Artistic License 1.0", "artistic-2.0": "Artistic License 2.0", "psf-2.0": "Python Software Foundation License", "ofl-1.1": "SIL Open Font License", "eupl-1.2": "European Union Public Licence", "cecill-2.1": "CeCILL license", "ms-pl": "Microsoft Public License", "ms-rl": "Microsoft Reciprocal License", "osl-3.0": "Open Software License 3.0", "afl-3.0": "Academic Free License", "ecl-2.0": "Educational Community License",
+    "ncsa": "NCSA license", "postgresql": "PostgreSQL License", "php-3.01": "PHP License", "ruby": "Ruby license", "vim": "Vim license", "openssl": "OpenSSL License", "curl": "curl license", "w3c": "W3C Software License", "upl-1.0": "Universal Permissive License", "blueoak-1.0.0": "Blue Oak Model License", "sspl-1.0": "Server Side Public License", "busl-1.1": "Business Source License", "elastic-2.0": "Elastic License 2.0", "json": "JSON License", "beerware": "Beerware License", "hpnd": "Historical Permission Notice and Disclaimer", "ntp": "NTP license", "intel": "Intel Open Source License", "nasa-1.3": "NASA Open Source Agreement",
+}
+
+
+def test_every_family_is_found_by_a_plain_mention():
+    assert MENTIONS.keys() == {label for label, *_ in license_rules.FAMILIES}
+    for label, mention in MENTIONS.items():
+        for text in (f"This uses the {mention}.", mention.replace(" ", "\n"), f"see the {mention} applies"):
+            found = set(labels(text).split(",")) - {name for _, name in license_rules.BASE if name != label}
+            assert found == {label}, text
