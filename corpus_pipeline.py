@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, line dedup, near-dedup, mixing to target weights, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows of its predecessor and returns the
-columns of ``documents`` again, but for the last, which returns the packed pieces. The driver (or
+columns of ``documents`` again, but for the last, which returns the packed sequences by piece: the
+ids of a sequence stand, padded, in the row of its first piece. The driver (or
 ``run``) writes each result as Parquet and reads it for the next stage.
 """
 
@@ -48,7 +49,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, cut into sequences of tokens."""
-    return packing.pack(docs)
+    return packing.with_pieces(packing.sequences(docs))
 
 
 STAGES = [

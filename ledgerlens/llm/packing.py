@@ -3,16 +3,22 @@
 All documents' tokens, each document closed by an end id, form one stream; the stream is cut
 into windows of fixed length. The first pass tokenises, stores the ids with each document's place
 in its partition and so knows every partition's total; a prefix sum over these totals gives each
-partition its global offset; the second pass cuts each document at the window borders. Only the
-last window can be short, so padding is below one window over all.
+partition its global offset; the second pass joins neighbouring documents and cuts them at the
+window borders. Windows that lie within one task's rows are whole at once; the parts of the others,
+two for a run of rows or so, meet in a small shuffle. Only the last window can be short; it is
+filled with PAD_ID up to ``padded_length``, so padding is below one window over all.
+
+``sequences`` gives the windows: ids as little-endian unsigned 32-bit numbers, how many of them
+are tokens, and which piece of which document stands where. ``pack`` takes the pieces out of them
+again, each with the CRC of its ids as they stand in the sequence.
 
 Defined results: a null text is empty and gives the end id alone; rows that repeat are packed
-once each; an empty table gives no piece. The order of the stream is that of the input partitions.
+once each; an empty table gives no sequence and no piece. The order of the stream is that of the
+input partitions.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -23,6 +29,8 @@ from . import shared
 
 WINDOW = 4096
 END_ID = 2
+#: Fills the last sequence; ``length`` says where the tokens end.
+PAD_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct words in the newer half of what a worker remembers; both halves take about 150 MB.
 CACHED_WORDS = 400_000
@@ -30,6 +38,9 @@ CACHED_WORDS = 400_000
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 IDS = "doc_id long, pid long, local_start long, doc_tokens long, ids binary"
+BOUNDS = "array<struct<doc_id:long,start:long,length:long,doc_tokens:long,offset:long>>"
+SEQUENCES = f"sequence_id long, length long, ids binary, bounds {BOUNDS}"
+PARTS = f"sequence_id long, offset long, ids binary, bounds {BOUNDS}"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -141,22 +152,74 @@ def _ids(path: str, end_id: int):
     return run
 
 
-def _cut(window: int):
+def _bounds_kind():
+    import pyarrow as pa
+
+    return pa.list_(pa.struct([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "offset")]))
+
+
+def _cut(window: int, whole: bool):
+    """Documents at their places to whole windows, or to the parts of windows that are not whole
+    here: where the rows of this task begin, end, or leave out places."""
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        names, kinds = ["sequence_id", "offset", "ids", "bounds"], [pa.int64(), pa.int64(), pa.binary(), _bounds_kind()]
+        out: list[tuple] = []
+        held: list[bytes] = []  # ids of the window that is open, its pieces, its first and next place
+        bounds: list[tuple] = []
+        first = at = None
+
+        def close() -> None:
+            nonlocal held, bounds
+            if held and (at - first == window) == whole:
+                out.append((first // window, first % window, b"".join(held), bounds))
+            held, bounds = [], []
+
+        def rows() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [[]] * len(names)
+            columns[3] = [[dict(zip(("doc_id", "start", "length", "doc_tokens", "offset"), x, strict=True)) for x in found] for found in columns[3]]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
         for batch in batches:
-            out: list[list] = [[] for _ in names]
             for doc_id, place, total, ids in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                at = 0
-                while at < total:
-                    where = place + at
-                    n = min(total - at, window - where % window)
-                    for column, value in zip(out, (doc_id, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)]), total, where // window, where % window), strict=True):
-                        column.append(value)
-                    at += n
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
+                if place != at:
+                    close()
+                    first = at = place
+                done = 0
+                while done < total:
+                    n = min(total - done, window - at % window)
+                    held.append(ids[4 * done : 4 * (done + n)])
+                    bounds.append((doc_id, done, n, total, at % window))
+                    done, at = done + n, at + n
+                    if at % window == 0:
+                        close()
+                        first = at
+            yield rows()
+        close()
+        yield rows()
+
+    return run
+
+
+def _joined(window: int):
+    """Parts of windows, by sequence and offset, to sequences; the last one is padded."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        names, kinds = ["sequence_id", "length", "ids", "bounds"], [pa.int64(), pa.int64(), pa.binary(), _bounds_kind()]
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for sequence, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = b"".join(p["ids"] for p in parts)
+                length = len(ids) // 4
+                ids += PAD_ID.to_bytes(4, "little") * (padded_length(length, window) - length)
+                for column, value in zip(out, (sequence, length, ids, [x for p in parts for x in p["bounds"]]), strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
     return run
 
@@ -175,12 +238,34 @@ def offsets(tokens: DataFrame) -> DataFrame:
     return totals.select("pid", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """One row for each piece of a document that lies in one window; see PIECES."""
+def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """One row for each window, with its padded ids and its boundary records; see SEQUENCES."""
     tokens = tokenize(docs, doc_id, text, path, end_id)
     bases = shared.stored(offsets(tokens), "pack-offsets")
     placed = tokens.join(shared.small(bases, bases.count()), "pid").select("doc_id", (F.col("base") + F.col("local_start")).alias("place"), "doc_tokens", "ids")
-    return placed.mapInArrow(_cut(window), PIECES)
+    whole = placed.mapInArrow(_cut(window, True), PARTS).select("sequence_id", F.lit(window).cast("long").alias("length"), "ids", "bounds")
+    parts = placed.mapInArrow(_cut(window, False), PARTS).groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "bounds"))).alias("parts"))  # of one window
+    return whole.unionByName(parts.mapInArrow(_joined(window), SEQUENCES))
+
+
+def pieces(packed: DataFrame) -> DataFrame:
+    """The boundary records of sequences, a row for each, with the CRC of their ids; see PIECES."""
+    crc = lambda b: F.crc32(F.substring(F.col("ids"), (4 * b["offset"] + 1).cast("int"), (4 * b["length"]).cast("int")))
+    found = F.transform("bounds", lambda b: F.struct(b.alias("b"), crc(b).alias("ids_crc32")))  # within the row: its ids are not copied for each piece
+    return packed.select("sequence_id", F.explode(found).alias("p")).select("p.b.doc_id", "p.b.start", "p.b.length", "p.ids_crc32", "p.b.doc_tokens", "sequence_id", "p.b.offset")
+
+
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """One row for each piece of a document that lies in one sequence; see PIECES."""
+    return pieces(sequences(docs, doc_id, text, window, path, end_id))
+
+
+def with_pieces(packed: DataFrame) -> DataFrame:
+    """Sequences by piece: doc_id, start, length, doc_tokens, sequence_id, offset, and at offset 0,
+    once for each sequence, ``sequence_length`` and ``sequence_ids``, its padded ids."""
+    head = lambda b, value: F.when(b["offset"] == 0, F.col(value))
+    found = F.transform("bounds", lambda b: F.struct(b.alias("b"), head(b, "length").alias("sequence_length"), head(b, "ids").alias("sequence_ids")))
+    return packed.select("sequence_id", F.explode(found).alias("p")).select("p.b.doc_id", "p.b.start", "p.b.length", "p.b.doc_tokens", "sequence_id", "p.b.offset", "p.sequence_length", "p.sequence_ids")
 
 
 def padded_length(length: int, window: int = WINDOW) -> int:

@@ -71,3 +71,33 @@ def test_empty_table_and_clashing_columns(docs):
 
 def test_padded_length():
     assert [packing.padded_length(n) for n in (1, 2, 3, 4, 1000, 1024, 4096)] == [1, 2, 4096, 4, 4096, 1024, 4096]
+
+
+def test_sequences_hold_the_stream(docs, model):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randint(0, 40)))) for i in range(60)] + [(None, "x"), (70, "long text " * 50)]
+    got = sorted(packing.sequences(docs(rows).repartition(5), window=64).collect())
+    assert [r["sequence_id"] for r in got] == list(range(len(got)))
+    ids = [np.frombuffer(r["ids"], dtype="<u4").tolist() for r in got]
+    assert all(r["length"] == len(x) == 64 for r, x in zip(got[:-1], ids, strict=False))
+    assert len(ids[-1]) == packing.padded_length(got[-1]["length"], 64) and set(ids[-1][got[-1]["length"] :]) <= {packing.PAD_ID}
+    stream = [i for r, x in zip(got, ids, strict=True) for i in x[: r["length"]]]
+    wanted, at = [ids_of(model, t) for _, t in rows], 0
+    assert len(stream) == sum(map(len, wanted))
+    while at < len(stream):  # documents in turn, each closed by the end id
+        n = stream.index(packing.END_ID, at) + 1 - at
+        wanted.remove(stream[at : at + n])
+        at += n
+    for r in got:
+        assert [b["offset"] for b in r["bounds"]] == [sum(b["length"] for b in r["bounds"][:k]) for k in range(len(r["bounds"]))]
+        assert sum(b["length"] for b in r["bounds"]) == r["length"]
+
+
+def test_the_pipeline_delivers_the_ids(spark, docs, model):
+    import corpus_pipeline
+
+    out = corpus_pipeline.pack(spark, docs([(i, "some words " * 700) for i in range(9)]), "").collect()
+    heads = {r["sequence_id"]: r for r in out if r["sequence_ids"] is not None}
+    assert heads.keys() == {r["sequence_id"] for r in out}
+    stream = [i for _, r in sorted(heads.items()) for i in np.frombuffer(r["sequence_ids"], dtype="<u4").tolist()[: r["sequence_length"]]]
+    assert stream == ids_of(model, "some words " * 700) * 9
