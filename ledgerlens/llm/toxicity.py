@@ -30,8 +30,10 @@ from .licenses import words_of
 
 TOXIC_ROWS, CLEAN_ROWS = 2_000, 6_000
 MAX_FEATURES = 4_000
-#: A feature needs this many toxic rows, and this share of its rows (by class rate) toxic.
+#: A feature needs this many toxic rows, and this share of its rows (by class rate) toxic. The
+#: count holds for a full sample and follows the number of its toxic rows, down to FEWEST_ROWS.
 LEAST_ROWS, LEAST_SHARE = 5, 0.97
+FEWEST_ROWS = 3
 PREFIXES = (4, 5, 6)
 GRADES = 4
 CACHED_WORDS = 300_000
@@ -173,6 +175,11 @@ def grades_of(rows: list[tuple[int, list[int]]], grades: int = GRADES) -> list[i
     return [1 + sum(len(f) > c for c in cuts) if toxic else 0 for toxic, f in rows]
 
 
+def least_rows(toxic: int, toxic_rows: int = TOXIC_ROWS) -> int:
+    """Toxic rows that a feature needs in a sample of so many of them."""
+    return max(FEWEST_ROWS, min(LEAST_ROWS, round(LEAST_ROWS * toxic / toxic_rows)))
+
+
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> SeverityModel:
     """Select features and fit, both on the bounded sample."""
     shared.prepare(docs.sparkSession)
@@ -184,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     counts = seen.groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
     bad_rate = F.col("bad") / sizes[1]
     share = bad_rate / (bad_rate + (F.col("n") - F.col("bad")) / sizes[0])
-    strong = counts.filter(F.col("bad") >= LEAST_ROWS).withColumn("share", share).filter(F.col("share") >= LEAST_SHARE)
+    strong = counts.filter(F.col("bad") >= least_rows(sizes[1], toxic_rows)).withColumn("share", share).filter(F.col("share") >= LEAST_SHARE)
     best = strong.orderBy(F.desc(F.col("share") * F.log1p("bad")), "feature").limit(MAX_FEATURES).collect()
     selected = frozenset(r["feature"] for r in best)
     if not selected:

@@ -64,3 +64,13 @@ def test_sample_is_bounded_and_repeats(spark, docs, corpus):
     frame = docs([(i, t) for i, t, _ in corpus])
     one, two = (sorted(toxicity.sample(frame.repartition(n), labels, 50, 70).collect()) for n in (2, 7))
     assert one == two and len(one) == 120
+
+
+def test_few_labels_still_give_features(spark, docs):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(2000)}" for _ in range(20)) + (f" {'abcdefghijklmnopqrst'[i % 20] * 7}" if i < 60 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, int(i < 60)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    frame = docs(rows)
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.score(frame, toxicity.train(frame, labels)).select("row.doc_id", "toxic").collect()}
+    assert sum(got[i] for i in range(60)) > 54 and not any(got[i] for i in range(60, 400))
+    assert [toxicity.least_rows(n) for n in (1, 51, 449, 2_000, 9_000)] == [3, 3, 3, 5, 5]
