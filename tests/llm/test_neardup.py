@@ -86,15 +86,19 @@ def test_extra_columns_that_clash(docs):
     assert {r["component_id"] for r in neardup.components(more).collect()} == {1}
 
 
-def test_buckets_that_stay_apart(spark):
-    """All pairs of different components within a bucket, none of one component."""
-    rows = spark.createDataFrame([(1, i) for i in range(700)] + [(2, 5), (2, 6)], "key long, id long")
-    roots = spark.createDataFrame([(i, 0 if i % 7 == 0 else i // 100 + 1) for i in range(700)], "id long, root long")
+def test_buckets_that_stay_apart(spark, monkeypatch):
+    """All pairs of different components within a bucket, none of one component, whether a bucket
+    is one block or several."""
     same = [0] * neardup.SKETCH_WORDS
-    nodes = spark.createDataFrame([(i, 10, same, same * 2) for i in range(700)], "id long, n_shingles long, sketch array<long>, parity array<long>")
-    got = {(r["hub"], r["member"]) for r in neardup._rest(rows, roots, nodes).collect()}
+    rows = [(i, 10, same, same * 2, [1, 2] if i in (5, 6) else [1]) for i in range(700)] + [(700, 10, same, same * 2, [3])]
+    nodes = spark.createDataFrame(rows, "id long, n_shingles long, sketch array<long>, parity array<long>, keys array<long>")
+    owned = nodes.select("id", "keys")
+    roots = spark.createDataFrame([(i, 0 if i % 7 == 0 else i // 100 + 1) for i in range(701)], "id long, root long")
     root = {r["id"]: r["root"] for r in roots.collect()}
-    assert got == {(a, b) for a in range(700) for b in range(a + 1, 700) if root[a] != root[b]}
+    want = {(a, b) for a in range(700) for b in range(a + 1, 700) if root[a] != root[b]}
+    assert {(r["hub"], r["member"]) for r in neardup._rest(owned, nodes, roots).collect()} == want
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 100)
+    assert {(r["hub"], r["member"]) for r in neardup._rest(owned, nodes, roots).collect()} == want
 
 
 def test_sketches_estimate_similarity():
