@@ -7,7 +7,8 @@ buckets, and the rest of the rows is never looked at again. Budgets are nested:
 takes a superset.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; a
-source without words has target 0; rows that repeat a doc_id are taken or left together (a null
+source without words has target 0; a document without words is taken as often as its neighbours
+by hash, at most three times; rows that repeat a doc_id are taken or left together (a null
 doc_id hashes like the empty string); an empty table gives an empty table.
 """
 
@@ -96,7 +97,7 @@ def thresholds(sized: DataFrame, targets: DataFrame, n_sources: int) -> DataFram
             F.coalesce("edge", F.when(F.col("b_bucket").isNull(), F.lit(0)), "b_edge").cast("long").alias("edge"),
             F.when(found, F.col("b_words")).otherwise(F.col("edge_words")).alias("edge_words"),
         )
-        state = shared.stored(state, "mix-level")
+        state = shared.stored(state, "mix-level", narrow=True)
         if state.filter("edge is null").isEmpty():
             break
     return state.select("key", "source_size", "target", "rounds", "edge", (2 * (F.col("need") - F.col("acc")) >= F.col("edge_words")).alias("edge_in"))
@@ -107,16 +108,28 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
     The texts are read once, into a narrow table in the shared folder; every pass works on that.
     """
-    sized = docs.select(F.col(doc_id).alias("doc_id"), source_key(F.col(source)).alias("key"), word_count(F.col(text)).alias("size"), id_hash(F.col(doc_id)).alias("h"))
-    return mix_sized(shared.stored(sized, "mix-sizes"))
+    sized = shared.stored(sizes(docs, doc_id, text, source).select("doc_id", "key", "size", "h"), "mix-sizes", narrow=True)
+    return taken(sized, limits(sized))
 
 
-def mix_sized(sized: DataFrame) -> DataFrame:
-    """As ``mix``, for rows of doc_id, key, size and h (see ``id_hash``); other columns stay."""
-    totals = shared.stored(sized.groupBy("key").agg(F.sum("size").alias("source_size")), "mix-totals")
-    n_sources = totals.count()
-    targets = water_fill(cycle_weights(totals))
-    limits = thresholds(sized, targets, n_sources)
+def sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The documents as a struct ``row``, with doc_id, key (of the source), size and h (hash of the
+    id), which are all that a mix asks for."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, F.col(doc_id).alias("doc_id"), source_key(F.col(source)).alias("key"), word_count(F.col(text)).alias("size"), id_hash(F.col(doc_id)).alias("h"))
+
+
+def limits(sized: DataFrame) -> DataFrame:
+    """What the mix takes of each source: see ``thresholds``. ``sized``: key, size, h."""
+    totals = shared.stored(sized.groupBy("key").agg(F.sum("size").alias("source_size")), "mix-totals", narrow=True)
+    return thresholds(sized, water_fill(cycle_weights(totals)), totals.count())
+
+
+def taken(sized: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``sized`` (key, size, h and any others) with source_size, target, repeats and taken. A row's
+    own columns and the bounds of its source decide, so no row is joined to another."""
     extra = (F.col("h") < F.col("edge")) | ((F.col("h") == F.col("edge")) & F.col("edge_in"))
-    out = sized.join(shared.small(limits, n_sources), "key").withColumn("repeats", F.col("rounds") + extra.cast("long"))
+    out = sized.join(shared.small(bounds, bounds.count()), "key")
+    # a document without words lies before any edge: it is held to the bound like all others
+    out = out.withColumn("repeats", F.least(F.col("rounds") + extra.cast("long"), F.lit(MAX_REPEATS)))
     return out.withColumn("taken", F.col("size") * F.col("repeats")).drop("rounds", "edge", "edge_in")
