@@ -32,8 +32,10 @@ END_ID = 2
 #: Fills the last sequence; ``length`` says where the tokens end.
 PAD_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words in the newer half of what a worker remembers; both halves take about 150 MB.
+#: Distinct words in the newer half of what a task remembers; both halves take about 150 MB at most.
 CACHED_WORDS = 400_000
+#: What often ends a word of ASCII letters; each is a piece of its own.
+MARKS = frozenset(b".,;:!?")
 # Fixed value: how the tokenizer file splits texts.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -97,7 +99,15 @@ class WordEncoder:
                 self.words_before, self.words, self.pieces = known, {}, {}
         return out
 
+    def forget(self) -> None:
+        """Let go of the words, so that a worker between tasks holds the model alone."""
+        self.words, self.words_before, self.pieces = {}, {}, {}
+
     def word(self, word: bytes) -> bytes:
+        body, mark = (word[:-1], word[-1:]) if word[-1] in MARKS else (word, b"")
+        if body.isalpha():  # ASCII letters alone: one piece
+            body, mark = body.lower().decode(), mark.decode()
+            return b"".join([self.pieces.get(p) or self.piece(p) for p in (body, mark) if p])
         text = word.decode()
         if b"<|" in word or not self.plain.fullmatch(text):
             return b"".join(i.to_bytes(4, "little") for i in self.model.encode(text, add_special_tokens=False).ids)
@@ -118,7 +128,7 @@ def byte_letters() -> dict[int, int]:
     return {b: 0x100 + i for i, b in enumerate(others)}
 
 
-#: Encoders of this worker process: a worker that is used for several tasks keeps its words.
+#: Models of this worker process, without words between tasks.
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -137,17 +147,21 @@ def _ids(path: str, end_id: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode, end, pid, at = encoder(path), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [x + end for x in encode(shared.text_bytes(batch.column(1)))]
-            sizes = [len(x) // 4 for x in ids]
-            starts = []
-            for n in sizes:
-                starts.append(at)
-                at += n
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([pid] * len(ids), pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "pid", "local_start", "doc_tokens", "ids"],
-            )
+        try:
+            for batch in batches:
+                ids = [x + end for x in encode(shared.text_bytes(batch.column(1)))]
+                sizes = [len(x) // 4 for x in ids]
+                starts = []
+                for n in sizes:
+                    starts.append(at)
+                    at += n
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([pid] * len(ids), pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
+                    names=["doc_id", "pid", "local_start", "doc_tokens", "ids"],
+                )
+        finally:
+            encode.forget()
+            shared.let_go()
 
     return run
 
@@ -158,6 +172,15 @@ def _bounds_kind():
     return pa.list_(pa.struct([(n, pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "offset")]))
 
 
+def last_border(place, total, at: int | None, window: int) -> int | None:
+    """The last window border that a batch of documents passes, if its rows go on from ``at``
+    without a gap."""
+    if at is None or not len(place) or place[0] != at or (place[1:] != (place + total)[:-1]).any():
+        return None
+    border = int(place[-1] + total[-1]) // window * window
+    return border if border > at else None
+
+
 def _cut(window: int, whole: bool):
     """Documents at their places to whole windows, or to the parts of windows that are not whole
     here: where the rows of this task begin, end, or leave out places."""
@@ -166,7 +189,7 @@ def _cut(window: int, whole: bool):
         import pyarrow as pa
 
         names, kinds = ["sequence_id", "offset", "ids", "bounds"], [pa.int64(), pa.int64(), pa.binary(), _bounds_kind()]
-        out: list[tuple] = []
+        out: list[tuple] = []  # rows to come
         held: list[bytes] = []  # ids of the window that is open, its pieces, its first and next place
         bounds: list[tuple] = []
         first = at = None
@@ -184,11 +207,19 @@ def _cut(window: int, whole: bool):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch in batches:
+            skip = None
+            if not whole and first is not None and first % window == 0:
+                # windows from here to the last border are whole: only what lies beyond is looked at
+                place, total = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+                skip = last_border(place, total, at, window)
+                if skip is not None:
+                    held, bounds, first, at = [], [], skip, skip
+                    batch = batch.filter(pa.array(place + total > skip))
             for doc_id, place, total, ids in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if place != at:
+                done = max(0, skip - place) if skip is not None else 0
+                if place + done != at:
                     close()
-                    first = at = place
-                done = 0
+                    first = at = place + done
                 while done < total:
                     n = min(total - done, window - at % window)
                     held.append(ids[4 * done : 4 * (done + n)])
@@ -228,7 +259,7 @@ def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     """The first pass, stored: ids of each document and its place within its partition."""
     shared.prepare(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return shared.stored(rows.mapInArrow(_ids(path or tokenizer_path(), end_id), IDS), "pack-ids")
+    return shared.stored(rows.mapInArrow(_ids(path or tokenizer_path(), end_id), IDS), "pack-ids", parts=shared.parts_of(docs))
 
 
 def offsets(tokens: DataFrame) -> DataFrame:
@@ -241,7 +272,7 @@ def offsets(tokens: DataFrame) -> DataFrame:
 def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """One row for each window, with its padded ids and its boundary records; see SEQUENCES."""
     tokens = tokenize(docs, doc_id, text, path, end_id)
-    bases = shared.stored(offsets(tokens), "pack-offsets")
+    bases = shared.stored(offsets(tokens), "pack-offsets", narrow=True)
     placed = tokens.join(shared.small(bases, bases.count()), "pid").select("doc_id", (F.col("base") + F.col("local_start")).alias("place"), "doc_tokens", "ids")
     whole = placed.mapInArrow(_cut(window, True), PARTS).select("sequence_id", F.lit(window).cast("long").alias("length"), "ids", "bounds")
     parts = placed.mapInArrow(_cut(window, False), PARTS).groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "bounds"))).alias("parts"))  # of one window

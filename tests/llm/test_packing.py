@@ -101,3 +101,38 @@ def test_the_pipeline_delivers_the_ids(spark, docs, model):
     assert heads.keys() == {r["sequence_id"] for r in out}
     stream = [i for _, r in sorted(heads.items()) for i in np.frombuffer(r["sequence_ids"], dtype="<u4").tolist()[: r["sequence_length"]]]
     assert stream == ids_of(model, "some words " * 700) * 9
+
+
+@pytest.mark.parametrize("window", [8, 16])
+def test_windows_and_parts_of_many_batches(window):
+    """Whole windows and parts of windows hold every id once, wherever batches end or rows leave gaps."""
+    import pyarrow as pa
+
+    rng = random.Random(window)
+    at, rows, ids = 3, [], {}
+    for i in range(300):
+        if rng.random() < 0.02:
+            at += rng.randint(1, 40)  # rows of another task
+        n = rng.choice((1, 2, 5, 9, 40))
+        ids |= {at + j: 1000 * i + j for j in range(n)}
+        rows.append((i, at, n, np.arange(1000 * i, 1000 * i + n, dtype="<u4").tobytes()))
+        at += n
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    batches = []
+    while rows:
+        take = rng.randint(1, 30)
+        part, rows = rows[:take], rows[take:]
+        batches.append(pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], names=["doc_id", "place", "doc_tokens", "ids"]))
+    found = {}
+    for whole in (True, False):
+        for out in packing._cut(window, whole)(iter(batches)):
+            for r in out.to_pylist():
+                got = np.frombuffer(r["ids"], dtype="<u4").tolist()
+                assert (len(got) == window) == whole
+                start = r["sequence_id"] * window + r["offset"]
+                assert not found.keys() & set(range(start, start + len(got)))
+                found |= {start + j: x for j, x in enumerate(got)}
+                assert sum(b["length"] for b in r["bounds"]) == len(got)
+                for b in r["bounds"]:
+                    assert found[r["sequence_id"] * window + b["offset"]] == 1000 * b["doc_id"] + b["start"]
+    assert found == ids
