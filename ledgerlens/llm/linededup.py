@@ -5,13 +5,14 @@ least ``min_chars`` code points) one row, with +1 for an insertion and -1 for a
 and the largest holder of a key are sums over that log, so taking a document out restores what
 its presence had dropped elsewhere. Keys that reach ``min_docs`` documents stand, by shard of
 their hash, in a cuckoo filter and, packed and sorted, in the shard's exact table. A line first
-asks the filter (most lines stop there), then the exact table.
+asks the filter (most lines stop there), then the exact table. A change counts again only the keys
+it holds, and writes only their shards.
 
 A shard's postings are dealt in salted parts of bounded size, so a line that a third of all
 documents share does not land in one task.
 
 Defined results: a null or empty text is one empty line; a text ending in a newline ends with an
-empty line; rows that repeat a doc_id count as a document each, and the lines of all rows with
+empty line; rows that repeat a doc_id count as one document, and the lines of all rows with
 the largest doc_id stay; a null doc_id is below all others; an empty table gives an empty table.
 Keys are compared by a 128-bit hash.
 """
@@ -31,6 +32,8 @@ SPACE = b" \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Postings that a shard has on average before more shards are made, and the fewest shards.
 SHARD_ROWS, LEAST_SHARDS = 100_000, 256
+#: Changes after which logs and shards are written as one.
+MOST_LOGS = 8
 #: What a null doc_id counts as: below all others.
 NO_ID = -(1 << 63)
 
@@ -227,7 +230,9 @@ def _drop_lines(batches: Iterator) -> Iterator:
 
 @dataclass(frozen=True)
 class LineIndex:
-    """Stored postings with a sign, and the shards of the keys that reach ``min_docs``."""
+    """Stored postings with a sign, and the shards of the keys that reach ``min_docs``. Each change
+    adds a log of postings and new versions of the shards it touches; after MOST_LOGS changes both
+    are written anew as one."""
 
     postings: DataFrame
     shards: DataFrame
@@ -235,15 +240,16 @@ class LineIndex:
     signed: bool
     min_chars: int = MIN_CHARS
     min_docs: int = MIN_DOCS
+    logs: int = 1
 
     @classmethod
     def build(cls, docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, doc_id: str = "doc_id", text: str = "text") -> LineIndex:
         """The index of a first set of documents."""
-        postings = shared.stored(cls._log(docs, min_chars, 1, doc_id, text), "line-postings")
+        postings = shared.stored(cls._log(docs, min_chars, 1, doc_id, text), "line-postings", parts=shared.parts_of(docs))
         n_shards = LEAST_SHARDS
         while n_shards * SHARD_ROWS < postings.count():
             n_shards *= 2
-        empty = docs.sparkSession.createDataFrame([], SHARDS)
+        empty = docs.sparkSession.createDataFrame([], f"{SHARDS}, version int")
         index = cls(postings, empty, n_shards, False, min_chars, min_docs)
         return index._with_shards(index.references().filter(F.col("n_docs") >= min_docs))
 
@@ -262,40 +268,60 @@ class LineIndex:
 
     def _changed(self, log: DataFrame, signed: bool) -> LineIndex:
         log = shared.stored(log, "line-postings")
-        index = replace(self, postings=self.postings.unionByName(log), signed=signed)
-        touched = log.select("k1", "k2").distinct()
-        # a key that no document holds any more has no reference row: it counts as 0
-        now = touched.join(index.references(), ["k1", "k2"], "left").fillna({"n_docs": 0, "keeper": NO_ID})
-        return index._with_shards(now)
-
-    def live(self) -> DataFrame:
-        """Postings of the documents that are in: did, th, k1, k2, lines and copies."""
+        index = replace(self, postings=self.postings.unionByName(log), signed=signed, logs=self.logs + 1)
+        touched = shared.stored(log.select("k1", "k2").distinct(), "line-touched", narrow=True)
+        # only keys of this change are counted again; one that no document holds any more has no
+        # reference row: it counts as 0
+        now = touched.join(index.references(touched), ["k1", "k2"], "left").fillna({"n_docs": 0, "keeper": NO_ID})
+        index = index._with_shards(now)
+        return index.compacted() if index.logs > MOST_LOGS else index
+
+    def compacted(self) -> LineIndex:
+        """The same index as one log of what is in, and one version of each shard."""
+        rows = self.live().select("did", "th", "k1", "k2", "lines", F.col("copies").cast("int").alias("sign"))
+        shards = self.current().withColumn("version", F.lit(0))
+        return replace(self, postings=shared.stored(rows, "line-postings"), shards=shared.stored(shards, "line-shards"), signed=False, logs=1)
+
+    def live(self, keys: DataFrame | None = None) -> DataFrame:
+        """Postings (of these keys only) of the documents that are in: did, th, k1, k2, lines and
+        copies."""
+        rows = self.postings if keys is None else self.postings.join(keys, ["k1", "k2"], "left_semi")
         if not self.signed:
-            return self.postings.select("did", "th", "k1", "k2", "lines", F.col("sign").alias("copies"))
-        rows = self.postings.groupBy("did", "th", "k1", "k2").agg(F.first("lines").alias("lines"), F.sum("sign").alias("copies"))
+            return rows.select("did", "th", "k1", "k2", "lines", F.col("sign").alias("copies"))
+        rows = rows.groupBy("did", "th", "k1", "k2").agg(F.first("lines").alias("lines"), F.sum("sign").alias("copies"))
         return rows.filter("copies > 0")
 
-    def references(self) -> DataFrame:
-        """The exact table: for each key its documents and the largest id that holds it."""
-        return self.live().groupBy("k1", "k2").agg(F.sum("copies").alias("n_docs"), F.max("did").alias("keeper"))
+    def references(self, keys: DataFrame | None = None) -> DataFrame:
+        """The exact table (of these keys only): for each key its documents, rows that repeat an id
+        counting once, and the largest id that holds it."""
+        held = self.live(keys).select("k1", "k2", "did").distinct()
+        return held.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("did").alias("keeper"))
+
+    def current(self) -> DataFrame:
+        """The newest version of each shard."""
+        newest = F.max_by(F.struct("filter", "k1s", "k2s", "keepers"), "version").alias("s")
+        return self.shards.groupBy("shard").agg(newest).select("shard", "s.*")
 
     def _shard(self):
         return F.pmod(F.col("k1"), F.lit(self.n_shards)).cast("int").alias("shard")
 
     def _with_shards(self, changed: DataFrame) -> LineIndex:
-        changes = changed.select(self._shard(), "k1", "k2", "keeper", (F.col("n_docs") >= self.min_docs).alias("present"))
-        new = self.shards.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(_merge_shard, SHARDS)
-        return replace(self, shards=shared.stored(new, "line-shards"))
+        """New versions of the shards that hold a changed key."""
+        changes = shared.stored(changed.select(self._shard(), "k1", "k2", "keeper", (F.col("n_docs") >= self.min_docs).alias("present")), "line-changes", narrow=True)
+        old = self.current().join(changes.select("shard").distinct(), "shard", "left_semi")
+        new = old.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(_merge_shard, SHARDS)
+        new = shared.stored(new.withColumn("version", F.lit(self.logs)), "line-shards", narrow=True)
+        return replace(self, shards=self.shards.unionByName(new))
 
     def drops(self) -> DataFrame:
         """Line numbers that go, by document row (did, th)."""
         rows = self.live().select(self._shard(), "did", "th", "k1", "k2", "lines")
-        sizes = shared.stored(rows.groupBy("shard").count(), "line-sizes")
+        sizes = shared.stored(rows.groupBy("shard").count(), "line-sizes", narrow=True)
         total = sizes.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
         part = max(500, 2 * total // self.n_shards)
         parts = shared.small(sizes.select("shard", F.ceil(F.col("count") / part).cast("int").alias("parts")), self.n_shards)
         dealt = rows.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("did", "th"), F.col("parts")).cast("int")).drop("parts")
-        tables = self.shards.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        tables = self.current().join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         found = dealt.groupBy("shard", "part").cogroup(tables.groupBy("shard", "part")).applyInArrow(_probe, DROPS)
         return found.groupBy("did", "th").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("drops"))
 

@@ -50,9 +50,12 @@ def test_against_brute_force(docs):
 def test_empty_table_repeats_and_clashing_columns(docs):
     assert linededup.dedup_lines(docs([])).count() == 0
     line = "a line of more than twenty characters"
-    more = docs([(7, line), (7, line), (3, line + "\nown")]).withColumn("n_lines", F.lit(1)).withColumn("th", F.lit(2)).withColumn("row", F.lit(3))
+    # three rows, two documents: the line stays
+    assert result(linededup.dedup_lines(docs([(7, line), (7, line), (3, line + "\nown")]))) == [(3, 2, 0, line + "\nown"), (7, 1, 0, line), (7, 1, 0, line)]
+    assert result(linededup.dedup_lines(docs([(1, line), (1, "y"), (2, line)]))) == [(1, 1, 0, line), (1, 1, 0, "y"), (2, 1, 0, line)]
+    more = docs([(7, line), (7, line), (5, line), (3, line + "\nown")]).withColumn("n_lines", F.lit(1)).withColumn("th", F.lit(2)).withColumn("row", F.lit(3))
     got = linededup.dedup_lines(more)
-    assert result(got) == [(3, 2, 1, "own"), (7, 1, 0, line), (7, 1, 0, line)]
+    assert result(got) == [(3, 2, 1, "own"), (5, 1, 1, ""), (7, 1, 0, line), (7, 1, 0, line)]
     assert got.select("row.row").distinct().collect()[0][0] == 3
 
 
@@ -73,6 +76,18 @@ def test_insertions_and_deletions_are_reversible(docs):
     assert result(half.apply(docs(first[15:] + second))) == brute(first[15:] + second)
 
 
+def test_many_changes_are_written_as_one(docs, monkeypatch):
+    monkeypatch.setattr(linededup, "MOST_LOGS", 3)
+    parts = [[(100 * n + i, t) for i, t in make(n, 12)] for n in range(5)]
+    index = LineIndex.build(docs(parts[0]))
+    for part in parts[1:]:
+        index = index.insert(docs(part))
+    assert index.logs <= 3
+    index = index.delete(docs(parts[1])).delete(docs(parts[3]))
+    left = parts[0] + parts[2] + parts[4]
+    assert result(index.apply(docs(left))) == brute(left)
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, (2, 5000), dtype="u8")
