@@ -8,9 +8,10 @@ stays (most code points, then smallest id), with its identifier and locator. Eac
 the groups it changed.
 
 Digests alone decide nothing: on hits, that is for digests with several rows, the full bytes are
-read again and compared (least and greatest text of a digest, first in salted parts, so that a
-group of any size is spread and pre-aggregated). Groups that differ in their bytes are split by
-the text itself.
+read again and compared (least and greatest text of a digest). Groups that differ in their bytes
+are split by the text itself. A large group is dealt in parts: its digest is one of at most
+HOT_GROUPS whose sizes pass a bound that grows with the table, so their list can be sent to all
+tasks; their rows join by digest and part, and both ends are first found within a part.
 
 Main path in DataFrame functions only. Defined results: a null text is empty; texts of white
 space alone are equal to the empty one; rows that repeat an id are rows of their own, of which
@@ -20,10 +21,10 @@ one stays; a null id comes last among equals; an empty table gives an empty resu
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import shared
 
@@ -34,8 +35,9 @@ STATE = {
     PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
-#: Parts over which the texts of one digest are compared first.
-SALTS = 64
+SOURCES = "source string, doc_id string, text string"
+#: Rows of a part of a large group, and the most groups that count as large.
+PART_ROWS, HOT_GROUPS = 1_000, 50_000
 
 
 def normalized(text: Column) -> Column:
@@ -54,7 +56,10 @@ class StreamingDedup:
 
     def advance(self, source: str, doc_id: str = "doc_id", text: str = "text") -> None:
         """Take in the Parquet files below ``source`` that have not been seen yet."""
-        self.source, self.doc_id, self.text = source, doc_id, text
+        source = source.rstrip("/")
+        self.doc_id, self.text = doc_id, text
+        known = self.spark.createDataFrame([(source, doc_id, text)], SOURCES)
+        known.coalesce(1).write.mode("append").parquet(f"{self.home}/sources")
         schema = self.spark.read.parquet(source).select(doc_id, text).schema
         reader = self.spark.readStream.schema(schema)
         if self.files_per_batch:
@@ -96,30 +101,56 @@ class StreamingDedup:
     def groups(self) -> DataFrame:
         """The newest state of each digest: digest, group_size, best."""
         rows = self.spark.read.parquet(f"{self.home}/groups")
-        newest = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("batch")))
-        return rows.withColumn("n", newest).filter("n = 1").drop("n", "batch")
+        newest = F.max(F.struct("batch", "group_size", "best")).alias("g")
+        return rows.groupBy("digest").agg(newest).select("digest", "g.group_size", "g.best")
 
     def catalog(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.home}/catalog")
 
-    def _hits(self) -> DataFrame:
-        """Rows with their texts whose digest has several rows."""
-        several = self.groups().filter("group_size > 1").select("digest")
-        return self._digested(self.spark.read.parquet(self.source)).join(several, "digest")
-
-    def unequal(self) -> DataFrame:
+    def documents(self) -> DataFrame:
+        """All rows of all folders taken in, with their normalised texts."""
+        known = self.spark.read.parquet(f"{self.home}/sources").distinct().orderBy("source").collect()  # a row for each folder
+        parts = []
+        for r in known:
+            self.doc_id, self.text = r["doc_id"], r["text"]
+            parts.append(self._digested(self.spark.read.parquet(r["source"])))
+        return reduce(DataFrame.unionByName, parts)
+
+    @staticmethod
+    def _dealt(rows: DataFrame, hot: DataFrame) -> DataFrame:
+        """``rows`` (digest, file, row) with the part of the group that each belongs to."""
+        part = F.coalesce(F.pmod(F.xxhash64("file", "row"), F.col("parts")), F.lit(0)).cast("int")
+        return rows.join(F.broadcast(hot), "digest", "left").withColumn("part", part).drop("parts")
+
+    @staticmethod
+    def _parted(groups: DataFrame, hot: DataFrame) -> DataFrame:
+        """``groups`` once for each part."""
+        parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)).cast("int") - 1)
+        return groups.join(F.broadcast(hot), "digest", "left").withColumn("part", F.explode(parts)).drop("parts")
+
+    @staticmethod
+    def hot(groups: DataFrame) -> DataFrame:
+        """digest and parts of the large groups: at most HOT_GROUPS, as each has more rows than
+        the whole table has for each of so many."""
+        rows = groups.agg(F.sum("group_size")).first()[0] or 0
+        large = groups.filter(F.col("group_size") > max(PART_ROWS, rows // HOT_GROUPS))
+        return large.select("digest", F.ceil(F.col("group_size") / PART_ROWS).cast("long").alias("parts"))
+
+    def unequal(self, groups: DataFrame, hot: DataFrame) -> DataFrame:
         """Digests whose texts are not all the same bytes."""
-        salt = F.pmod(F.xxhash64("file", "row"), F.lit(SALTS))
-        ends = [F.min("norm").alias("low"), F.max("norm").alias("high")]
-        parts = self._hits().groupBy("digest", salt.alias("salt")).agg(*ends)
+        several = self._parted(groups.filter("group_size > 1").select("digest"), hot)
+        hits = self._dealt(self.documents(), hot).join(several, ["digest", "part"])
+        parts = hits.groupBy("digest", "part").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
         return parts.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low != high").select("digest")
 
     def result(self) -> DataFrame:
         """One row per document: doc_id, keep_id, group_size, kept, text_sha256, file, row."""
-        unequal = shared.stored(self.unequal(), "dedup-unequal")
-        joined = self.catalog().join(self.groups(), "digest")
+        groups = shared.stored(self.groups(), "dedup-groups")
+        hot = shared.stored(self.hot(groups), "dedup-hot", narrow=True)
+        unequal = shared.stored(self.unequal(groups, hot), "dedup-unequal", narrow=True)
+        joined = self._dealt(self.catalog(), hot).join(self._parted(groups, hot), ["digest", "part"]).drop("part")
         if not unequal.isEmpty():
-            hits = self._hits().join(unequal, "digest")
+            hits = self.documents().join(unequal, "digest")
             exact = hits.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("order"), "file", "row")).alias("best"))
             split = hits.join(exact, ["digest", "norm"]).select(*joined.columns)
             joined = joined.join(unequal, "digest", "left_anti").unionByName(split)

@@ -56,7 +56,8 @@ def test_equal_digests_of_different_texts_are_told_apart(spark, docs, tmp_path):
     path = written(docs, rows, tmp_path / "d.parquet")
     weak = exactdedup.StreamingDedup(spark, shared.shared_dir(spark, "test-dedup"), digest=lambda c: F.substring(exactdedup.sha256(c), 1, 1))
     weak.advance(path)
-    assert weak.unequal().count() > 3
+    groups = weak.groups()
+    assert weak.unequal(groups, weak.hot(groups)).count() > 3
     assert result(weak.result()) == brute(rows)
 
 
@@ -74,3 +75,41 @@ def test_state_lies_on_disk_without_expiry(spark, docs, tmp_path):
     assert spark.conf.get(exactdedup.PROVIDER) == before
     groups = state.groups().collect()
     assert all(g["best"]["file"].endswith(".parquet") and g["best"]["row"] >= 0 for g in groups)
+
+
+def test_large_groups_are_dealt_in_parts(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(exactdedup, "PART_ROWS", 10)
+    rows = [(i, "the same text") for i in range(200)] + [(1000 + i, f"own {i % 90}") for i in range(100)]
+    path = written(docs, rows, tmp_path / "d.parquet")
+    state = exactdedup.StreamingDedup(spark, shared.shared_dir(spark, "test-dedup"))
+    state.advance(path + "/")
+    groups = state.groups()
+    hot = state.hot(groups).collect()
+    assert [r["parts"] for r in hot] == [20]
+    parts = state._dealt(state.catalog(), state.hot(groups)).groupBy("digest", "part").count()
+    assert parts.filter("count > 1").count() > 20 and parts.agg(F.max("count")).first()[0] < 40
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = state.unequal(groups, state.hot(groups))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # texts meet by digest and part, never by digest alone
+    assert re.search(r"SortMergeJoin \[digest#\d+, part#\d+", plan) and not re.search(r"SortMergeJoin \[digest#\d+\]", plan)
+    assert result(state.result()) == brute(rows)
+
+
+def test_bytes_of_all_folders_are_compared(spark, docs, tmp_path):
+    rows, more = make(30, 5), [(i + 1000, t) for i, t in make(30, 6)]
+    state = exactdedup.StreamingDedup(spark, shared.shared_dir(spark, "test-dedup"), digest=lambda c: F.substring(exactdedup.sha256(c), 1, 1))
+    state.advance(written(docs, rows, tmp_path / "one.parquet"))
+    state.advance(written(docs, more, tmp_path / "two.parquet"))
+    assert result(state.result()) == brute(rows + more)
+
+
+def test_columns_with_clashing_names(spark, docs, tmp_path):
+    rows = make(20, 7)
+    more = docs(rows)
+    for name in ("digest", "norm", "part", "parts", "file", "best"):
+        more = more.withColumn(name, F.lit(1))
+    more.write.parquet(str(tmp_path / "d.parquet"))
+    assert result(exactdedup.dedup_exact(spark, str(tmp_path / "d.parquet"))) == brute(rows)
