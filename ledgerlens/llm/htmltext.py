@@ -9,7 +9,8 @@ gives every node's exact marginal; text of nodes with a marginal of at least a h
 
 Text is taken block by block: character references decoded, white space made one space, trimmed,
 blocks in page order joined by one space. Scripts, styles, form controls and comments in markup
-hold no text. Defined results: null or empty html gives the empty string; pages without any tag
+hold no text; what other elements hold (formulas, pictures, objects, noscript) is text like any.
+Parsing takes time in proportion to the page, whatever its marks. Defined results: null or empty html gives the empty string; pages without any tag
 are judged as one block; rows that repeat are extracted each; an empty table gives no row.
 """
 
@@ -27,12 +28,15 @@ from pyspark.sql import functions as F
 from . import shared
 from .labelled_pages import labelled_pages
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*|[^>]*)>""", re.DOTALL)
-ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-#: Elements whose inside is no text of the page.
-RAW = frozenset({"script", "style", "template", "noscript", "iframe", "textarea", "title", "xmp", "noembed", "noframes", "svg", "math", "select", "button", "object", "canvas", "audio", "video"})
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+PLAIN = re.compile(r"""[^"'>]*""")
+ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Open elements, at most: one that is opened beyond closes the innermost first.
+DEEPEST = 512
+#: Elements whose inside is no text of the page: scripts, styles, form controls, other documents.
+RAW = frozenset({"script", "style", "template", "iframe", "textarea", "title", "noembed", "noframes", "select", "button"})
 VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"})
-INLINE = frozenset({"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"})
+INLINE = frozenset({"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "math", "svg", "object", "noscript", "canvas", "audio", "video"})
 #: Start tag: open elements that it ends, and those beyond which it does not look.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -55,10 +59,55 @@ class Node:
         self.link_chars = 0
 
 
+class Tags:
+    """The marks of a page in turn: where each begins and ends, its name ("" for comments and the
+    like), whether it closes, and its attributes as they are written.
+
+    Takes time in proportion to the page: what is looked for in vain is not looked for again. A
+    tag ends at the first > outside quotes; from a tag on whose quotes never close, at the first >.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.ends, self.quoted = page, True, True
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends a tag whose name stops at ``at``, or -1."""
+        page = self.page
+        if self.quoted:
+            pos = at
+            while (pos := PLAIN.match(page, pos).end()) < len(page):
+                if page[pos] == ">":
+                    return pos
+                pos = page.find(page[pos], pos + 1) + 1
+                if not pos:
+                    break
+            self.quoted = False
+        return page.find(">", at)
+
+    def __call__(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        page = self.page
+        while self.ends and (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                stop = page.find("-->", at + 4)
+                return at, len(page) if stop < 0 else stop + 3, "", False, ""
+            closes = page.startswith("/", at + 1)
+            name = NAME.match(page, at + 1 + closes)
+            if name is None and page[at + 1 : at + 2] not in ("!", "?"):
+                at += 1
+                continue
+            stop = page.find(">", at) if name is None else self.end(name.end())
+            if stop < 0:
+                self.ends = False  # no tag ends from here on
+                break
+            return (at, stop + 1, "", False, "") if name is None else (at, stop + 1, name[0].lower(), closes, page[name.end() : stop])
+        return None
+
+
 def parse(page: str) -> tuple[list[Node], list[list[str]]]:
     """Nodes, each after its parent, and the text pieces of each block in page order."""
     nodes, blocks = [Node("#root", -1, "", None)], []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the node that text goes to
+    opened: Counter[str] = Counter()
     block: list[str] | None = None
     links = 0
 
@@ -79,26 +128,27 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
     def close(depth: int) -> None:
         nonlocal block, links
         for tag, _ in stack[depth:]:
+            opened[tag] -= 1
             if tag == "a":
                 links -= 1
             elif tag not in INLINE:
                 block = None
         del stack[depth:]
 
-    at, n = 0, len(page)
+    at, n, tags = 0, len(page), Tags(page)
     while at < n:
-        found = TOKEN.search(page, at)
+        found = tags(at)
         if found is None:
             text(page[at:])
             break
-        if found.start() > at:
-            text(page[at : found.start()])
-        at = found.end()
-        if found[2] is None:
+        begin, stop, tag, closes, attributes = found
+        if begin > at:
+            text(page[at:begin])
+        at = stop
+        if not tag:
             continue
-        tag = found[2].lower()
-        if found[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+        if closes:
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[depth][0] == tag:
                     close(depth)
                     break
@@ -108,20 +158,24 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
                 if tag == "p":
                     block = None
             continue
+        alone = attributes.endswith("/")
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-            if not found[0].endswith("/>"):
+            if not alone:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else n
-            if tag not in ("svg", "math"):
-                block = None if tag not in ("button", "noscript") else block
+            block = None if tag != "button" else block
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
                 block = None
             continue
+        if len(stack) > DEEPEST:
+            close(len(stack) - 1)
         if tag in INLINE:
-            links += tag == "a"
-            stack.append((tag, stack[-1][1]))
+            if not alone:
+                links += tag == "a"
+                opened[tag] += 1
+                stack.append((tag, stack[-1][1]))
             continue
         if tag in ENDS:
             goes, stops = ENDS[tag]
@@ -140,12 +194,13 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
                     break
                 if stack[depth][0] in BUTTON_SCOPE:
                     break
-        values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(found[3])} if found[3] else {}
+        values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
         names = f"{values.get('class', '')} {values.get('id', '')} {values.get('role', '')}".strip() if values else ""
         hint = "" if not names else "other" if OTHER_HINT.search(names) else "content" if CONTENT_HINT.search(names) else ""
         nodes.append(Node(tag, stack[-1][1], hint, values.get("y")))
         block = None
-        if not found[0].endswith("/>"):
+        if not alone:
+            opened[tag] += 1
             stack.append((tag, len(nodes) - 1))
     return nodes, blocks
 

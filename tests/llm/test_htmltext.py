@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +72,26 @@ def test_table(spark):
     assert [(r["page_id"], r["url"], r["n_chars"]) for r in got[:3]] == [(1, "u", 0), (2, None, 0), (None, "v", len(LONG))]
     assert len(got) == 5
     assert htmltext.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_text_of_any_element_within_the_article():
+    page = "<html><body><nav><a href=x>Home</a></nav><article><h1>On sums</h1><p>We write <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here, <noscript>without scripts</noscript> and <object>in an object</object> of a longer text.</p><p>Then <svg><text>drawn words</text></svg> follow, <audio>heard</audio> or <video>seen</video>, <span/>all of it kept in the article of this page.</p></article><script>var no = 1;</script></body></html>"
+    got = htmltext.extract(page)
+    for words in ("We write x = 2 here, without scripts and in an object of a longer text.", "Then drawn words follow, heard or seen, all of it kept"):
+        assert words in got
+    assert "Home" not in got and "var no" not in got
+
+
+@pytest.mark.parametrize("mark", ["<a ", "<a", "<", '<a ">" ', "<a href='", '<p a="', "<div>", "</b>", "<i><div><b>", "<li><div>", "<svg/>", "<!", "<!-", "<a b=", "</script "])
+def test_long_pages_of_one_mark_take_time_in_proportion(mark):
+    page = mark * (1_000_000 // len(mark))
+    began = time.process_time()
+    htmltext.parse(page)
+    htmltext.parse("<p " + "a" * 1_000_000 + ">")
+    assert time.process_time() - began < 6
+
+
+def test_quotes_hide_the_end_of_a_tag():
+    nodes, blocks = htmltext.parse("<p title='a > b'>one</p><p data-x=\"'\">two</p><p title='open>three</p>")
+    assert ["".join(b) for b in blocks] == ["one", "two", "three"]
+    assert [n.tag for n in nodes] == ["#root", "p", "p", "p"]
