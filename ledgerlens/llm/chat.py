@@ -12,7 +12,11 @@ before ``:``), so the marks never occur inside and the text can be read back.
 
 Defined results: null text and null role are empty; rows of one turn follow each other by role
 and text; a null turn comes first; rows with a null conversation form one conversation; a table
-without rows gives no conversation. A parent that does not exist makes a message a root.
+without rows gives no conversation. A parent that does not exist makes a message a root. Of rows
+that repeat a node of a tree one stays, the first by parent (none before any), highest score, role
+and text; a null node is no message. Messages whose parents form a cycle have no root: the smallest
+node of the cycle becomes one. A conversation is one text, so a row, in the end: the largest one
+must fit a worker. Columns other than those named are not looked at.
 """
 
 from __future__ import annotations
@@ -30,8 +34,6 @@ LOSS_ROLE = "assistant"
 END = "\n</turn>\n"
 HEADER = re.compile(r"### ((?:[^\\:]|\\.)*): ", re.DOTALL)
 FORMATTED = "formatted string, spans array<struct<start:long,stop:long>>, n_turns long"
-#: Far beyond any depth: 2 to this power messages in a path.
-MOST_JOINS = 40
 
 
 def escape(text: str) -> str:
@@ -74,22 +76,47 @@ def message_chain(rows: DataFrame) -> DataFrame:
     return rows.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1)).withColumn("score", F.lit(0.0))
 
 
-def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """tree, leaf, rank, node, depth of the messages on the best paths.
+def single(messages: DataFrame) -> DataFrame:
+    """One row for each node of a tree; see the module's text."""
+    order = Window.partitionBy("tree", "node").orderBy(F.asc_nulls_first("parent"), F.desc_nulls_last("score"), "role", "text")
+    rows = messages.filter("node is not null").select("tree", "node", "parent", "score", "role", "text")
+    return rows.withColumn("n", F.row_number().over(order)).filter("n = 1").drop("n")
 
-    ``messages``: tree, node, parent, score (null: 0). Ties go to the smaller leaf. ``branches``
-    None keeps every path.
-    """
-    nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+def _reached(nodes: DataFrame, joins: int) -> list[DataFrame]:
+    """Pointers of all nodes after 0, 1, 2 ... joins: tree, node, up, depth, score and the least
+    node on the way. The last has none left, unless parents form cycles: ``joins`` are enough for
+    any path."""
     there = nodes.select("tree", F.col("node").alias("parent"), F.col("node").alias("up"))
-    known = nodes.join(there, ["tree", "parent"], "left").select("tree", "node", "up", F.lit(1).cast("long").alias("depth"), "score")
+    known = nodes.join(there, ["tree", "parent"], "left").select("tree", "node", "up", F.lit(1).cast("long").alias("depth"), "score", F.col("node").alias("least"))
     levels = [shared.stored(known, "chat-level")]
-    while len(levels) < MOST_JOINS and not levels[-1].filter("up is not null").isEmpty():
+    while len(levels) <= joins and not levels[-1].filter("up is not null").isEmpty():
         last = levels[-1]
-        far = last.select("tree", F.col("node").alias("up"), F.col("up").alias("far_up"), F.col("depth").alias("far_depth"), F.col("score").alias("far_score"))
+        far = last.select("tree", F.col("node").alias("up"), F.col("up").alias("far_up"), F.col("depth").alias("far_depth"), F.col("score").alias("far_score"), F.col("least").alias("far_least"))
         going = last.filter("up is not null").join(far, ["tree", "up"])
-        going = going.select("tree", "node", F.col("far_up").alias("up"), (F.col("depth") + F.col("far_depth")).alias("depth"), (F.col("score") + F.col("far_score")).alias("score"))
+        going = going.select("tree", "node", F.col("far_up").alias("up"), (F.col("depth") + F.col("far_depth")).alias("depth"), (F.col("score") + F.col("far_score")).alias("score"), F.least("least", "far_least").alias("least"))
         levels.append(shared.stored(last.filter("up is null").unionByName(going), "chat-level"))
+    return levels
+
+
+def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
+    """tree, leaf, rank, node, depth of the messages on the best paths.
+
+    ``messages``: tree, node (one row each, see ``single``), parent, score (null: 0). Ties go to
+    the smaller leaf. ``branches`` None keeps every path.
+    """
+    nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    joins = largest.bit_length() + 1
+    levels = _reached(nodes, joins)
+    lost = levels[-1].filter("up is not null")
+    if not lost.isEmpty():
+        # where their pointers stand after so many steps is on a cycle, of which the least node is known
+        ends = lost.select("tree", F.col("up").alias("node")).distinct().join(lost, ["tree", "node"]).select("tree", F.col("least").alias("node")).distinct()
+        ends = shared.stored(ends.withColumn("cut", F.lit(True)), "chat-cycles", narrow=True)
+        nodes = nodes.join(ends, ["tree", "node"], "left").select("tree", "node", F.when(F.col("cut").isNull(), F.col("parent")).alias("parent"), "score")
+        nodes = shared.stored(nodes, "chat-cut")
+        levels = _reached(nodes, joins)
     paths = levels.pop()  # every pointer has reached the root
     inner = nodes.filter("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
     leaves = paths.join(inner, ["tree", "node"], "left_anti")
@@ -114,20 +141,23 @@ def _format(loss_role: str):
 
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
-            made = [format_turns([(t["role"], t["text"]) for t in turns], loss_role) for turns in batch.column(1).to_pylist()]
+            rows = batch.column(1).to_pylist()
+            made = [format_turns([(t["role"] or "", t["text"] or "") for t in turns], loss_role) for turns in rows]
             spans = [[{"start": a, "stop": b} for a, b in s] for _, s in made]
-            counts = [len(x) for x in batch.column(1).to_pylist()]
+            counts = [len(turns) for turns in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in made], pa.string()), pa.array(spans, kind), pa.array(counts, pa.int64())], names=["key", "formatted", "spans", "n_turns"])
 
     return run
 
 
-def format_trees(messages: DataFrame, branches: int = 1, loss_role: str = LOSS_ROLE) -> DataFrame:
+def format_trees(messages: DataFrame, branches: int = 1, loss_role: str = LOSS_ROLE, numbered: bool = False) -> DataFrame:
     """One row for each chosen path: tree, leaf, rank, formatted, spans (of the loss), n_turns.
 
-    ``messages``: tree, node, parent, score, role, text.
+    ``messages``: tree, node, parent, score, role, text; ``numbered`` says that no node repeats.
     """
     shared.prepare(messages.sparkSession)
+    if not numbered:
+        messages = shared.stored(single(messages), "chat-single")
     paths = chosen_paths(messages, branches).join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
     turns = F.array_sort(F.collect_list(F.struct("depth", "role", "text")))
     keyed = paths.groupBy("tree", "leaf", "rank").agg(turns.alias("turns"))

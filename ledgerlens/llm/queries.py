@@ -19,7 +19,7 @@ def op1_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shared.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(marked)
     messages = shared.stored(chat.message_chain(rows), "chat-messages")
     names = messages.select("tree", "conv_id").distinct()
-    return chat.read_back(chat.format_trees(messages).join(names, "tree"))
+    return chat.read_back(chat.format_trees(messages, numbered=True).join(names, "tree"))
 
 
 def op2_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import chat
 
@@ -82,3 +83,20 @@ def test_paths_of_branching_trees_against_recursion(spark):
 def test_long_chain(spark):
     messages = spark.createDataFrame([("t", n, n - 1 if n else None, 0.0) for n in range(300)], "tree string, node long, parent long, score double")
     assert chat.chosen_paths(messages).count() == 300
+
+
+def test_cycles_repeated_nodes_and_clashing_columns(spark):
+    kind = "tree string, node long, parent long, score double, role string, text string"
+    rows = [("a", 1, 2, 0.0, "user", "one"), ("a", 2, 1, 0.0, "assistant", "two"), ("a", 3, 2, 0.0, "user", "three"), ("a", 3, 2, 0.0, "user", "zzz"), ("a", None, 1, 0.0, "user", "lost")]
+    rows += [("b", n, n - 1, 1.0, "user", f"b{n}") for n in range(1, 70)] + [("b", 0, 69, 1.0, "user", "b0")]
+    rows += [("c", 7, 7, 0.0, None, None), ("c", 8, 99, 0.0, "user", "root of its own")]
+    messages = spark.createDataFrame(rows, kind)
+    for name in ("up", "leaf", "rank", "depth", "least", "n"):
+        messages = messages.withColumn(name, F.lit(5))
+    got = {(r["tree"], r["leaf"]): chat.read_turns(r["formatted"]) for r in chat.format_trees(messages, branches=None).collect()}
+    assert got == {
+        ("a", 3): [("user", "one"), ("assistant", "two"), ("user", "three")],
+        ("b", 69): [("user", f"b{n}") for n in range(70)],
+        ("c", 7): [("", "")],
+        ("c", 8): [("user", "root of its own")],
+    }
