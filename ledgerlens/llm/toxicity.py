@@ -4,12 +4,14 @@ Features are the distinct words of a text and the words' beginnings of 4, 5 and
 64-bit hash; of those seen in the training sample the ones that speak most for toxic text are
 selected. The model is P(grade <= k) = sigmoid(threshold_k - w.x) with one weight vector for all
 thresholds, which are ordered by construction; it gives a distribution over grades and its mean,
-the expected severity. A text is toxic if the chance of grade 0 lies below a cut, which is set on the
-sample so that misses and, five times as much, false rejections are fewest.
+the expected severity. A text is toxic if the chance of grade 0 lies below a cut; its grade is then
+the likeliest of the others, else 0. The cut is set so that misses and, five times as much, false
+rejections are fewest among scores of rows that had no part in the model that scored them: the
+sample is split in FOLDS, and each is scored by a model selected and fitted on the others.
 
-The sample is bounded: at most TOXIC_ROWS and CLEAN_ROWS labelled rows, by hash of the id. Labels
-say toxic or not; ``grades_of`` orders the toxic ones into three grades by how many selected
-features they hold (terciles). Tables with grades of their own go to ``fit`` directly.
+The sample is bounded: at most TOXIC_ROWS and CLEAN_ROWS labelled rows, by hash of the id. Grades
+come from the labels alone: 0 for a clean row, 1 for a toxic one, 2 for a toxic one that is marked
+as of poor quality too. Tables with grades of their own go to ``fit`` directly.
 
 Scoring reads every whole text. Defined results: a null text is empty and has no feature; a null
 label is no label; rows that repeat are scored each; without labels of both kinds nothing is
@@ -29,14 +31,16 @@ from . import shared
 from .licenses import words_of
 
 TOXIC_ROWS, CLEAN_ROWS = 2_000, 6_000
-MAX_FEATURES = 4_000
+FOLDS = 3
 #: A feature needs this many toxic rows, and this share of its rows (by class rate) toxic. The
 #: count holds for a full sample and follows the number of its toxic rows, down to FEWEST_ROWS.
 LEAST_ROWS, LEAST_SHARE = 5, 0.97
 FEWEST_ROWS = 3
+#: Weight of the squared weights in the fit: features of few rows stay small.
+L2 = 2e-3
 PREFIXES = (4, 5, 6)
-GRADES = 4
-CACHED_WORDS = 300_000
+GRADES = 3
+CACHED_WORDS = 200_000
 SCORED = "doc_id long, severity double, p_clean double, grade long, toxic boolean, n_features long"
 
 
@@ -80,12 +84,12 @@ class SeverityModel:
 
         if not self.thresholds:
             return [1.0]
-        score = sum(map(self.weights.__getitem__, found))
+        score = sum(self.weights.get(f, 0.0) for f in sorted(found))
         upto = [1 / (1 + exp(min(700.0, max(-700.0, score - t)))) for t in self.thresholds] + [1.0]
         return [upto[0], *(b - a for a, b in zip(upto, upto[1:], strict=False))]
 
 
-def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = 1e-4, steps: int = 400, rate: float = 0.05) -> SeverityModel:
+def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = L2, steps: int = 400, rate: float = 0.05) -> SeverityModel:
     """Cumulative-link regression of (grade, features) rows by full gradient steps (Adam)."""
     import numpy as np
 
@@ -126,9 +130,10 @@ def fit(rows: list[tuple[int, list[int]]], grades: int = GRADES, l2: float = 1e-
     return SeverityModel(dict(zip(names, free[: len(names)].tolist(), strict=True)), tuple(levels(free[len(names) :]).tolist()))
 
 
-def best_cut(rows: list[tuple[float, bool]], weight: float = 5.0) -> float:
+def best_cut(rows: list[tuple[float, bool]], weight: float = 5.0, place: float = 0.5) -> float:
     """A cut in the range of those with the least cost over (p_clean, toxic) rows: the share of
-    toxic rows above the cut plus ``weight`` times the share of clean rows below it."""
+    toxic rows above the cut plus ``weight`` times the share of clean rows below it. Of ranges that
+    cost the same the highest counts, and ``place`` says where in it the cut lies."""
     toxic, clean = sum(t for _, t in rows), sum(not t for _, t in rows)
     if not toxic or not clean:
         return 0.5
@@ -143,8 +148,11 @@ def best_cut(rows: list[tuple[float, bool]], weight: float = 5.0) -> float:
         rejected += by_place[p][0]
         costs.append((missed / toxic + weight * rejected / clean, p, after))
     least = min(c for c, _, _ in costs)
-    low, high = next((a, b) for c, a, b in costs if c <= least)
-    return low + 0.1 * (high - low)  # near the toxic side
+    low, high = next((a, b) for c, a, b in reversed(costs) if c <= least)
+    return low + place * (high - low)
+
+
+SAMPLED = "toxic int, grade int, fold int"
 
 
 def _extract(selected: frozenset[int] | None):
@@ -153,26 +161,23 @@ def _extract(selected: frozenset[int] | None):
 
         features = Features(None if selected is None else set(selected))
         for batch in batches:
-            found = [list(features.of(t)) for t in shared.text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["toxic", "features"])
+            found = [sorted(features.of(t)) for t in shared.text_bytes(batch.column(3))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(found, pa.list_(pa.int64()))], names=["toxic", "grade", "fold", "features"])
 
     return run
 
 
 def sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
-    """toxic, text of a bounded sample of the labelled documents, the same for every run."""
-    known = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("int").alias("toxic")).filter("label_id is not null and toxic is not null")
-    parts = [known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("label_id"), "label_id").limit(most) for kind, most in ((1, toxic_rows), (0, clean_rows))]
+    """toxic, grade, fold and text of a bounded sample of the labelled documents, the same for
+    every run. Folds go by the id, so rows that repeat one are in one fold."""
+    toxic, quality = F.col("toxic").cast("int"), F.col("quality").cast("int")
+    grade = F.when(toxic == 0, 0).when(quality == 0, 2).otherwise(1)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    known = labels.select(F.col("doc_id").alias("label_id"), toxic.alias("toxic"), grade.alias("grade"), fold.alias("fold")).filter("label_id is not null and toxic is not null")
+    parts = [known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("label_id"), "label_id", "grade").limit(most) for kind, most in ((1, toxic_rows), (0, clean_rows))]
     chosen = parts[0].unionByName(parts[1])  # at most toxic_rows + clean_rows narrow rows
     rows = docs.select(F.col("doc_id").alias("label_id"), F.col("text").alias("text"))
-    return rows.join(F.broadcast(chosen), "label_id").select("toxic", "text")
-
-
-def grades_of(rows: list[tuple[int, list[int]]], grades: int = GRADES) -> list[int]:
-    """Grade 0 for clean rows, for toxic ones 1 up by quantile of their number of features."""
-    counts = sorted(len(f) for toxic, f in rows if toxic)
-    cuts = [counts[len(counts) * k // (grades - 1)] for k in range(1, grades - 1)] if counts else []
-    return [1 + sum(len(f) > c for c in cuts) if toxic else 0 for toxic, f in rows]
+    return rows.join(F.broadcast(chosen), "label_id").select("toxic", "grade", "fold", "text")
 
 
 def least_rows(toxic: int, toxic_rows: int = TOXIC_ROWS) -> int:
@@ -180,26 +185,47 @@ def least_rows(toxic: int, toxic_rows: int = TOXIC_ROWS) -> int:
     return max(FEWEST_ROWS, min(LEAST_ROWS, round(LEAST_ROWS * toxic / toxic_rows)))
 
 
+def _selected(counts: DataFrame, sizes: dict[tuple[int, int], int], without: int, toxic_rows: int) -> frozenset[int]:
+    """Features that speak for toxic text in all folds but one (-1: in all). Their number is bounded
+    by the words of the sample. ``counts``: feature, fold, toxic, n."""
+    bad, good = (sum(n for (fold, toxic), n in sizes.items() if fold != without and toxic == kind) for kind in (1, 0))
+    if not bad or not good:
+        return frozenset()
+    seen = counts.filter(F.col("fold") != without).groupBy("feature").agg(F.sum(F.col("toxic") * F.col("n")).alias("bad"), F.sum("n").alias("n"))
+    rate = F.col("bad") / bad
+    # what a feature needs in the whole sample, it needs in proportion in a part of the folds
+    least = least_rows(sum(n for (_, toxic), n in sizes.items() if toxic), toxic_rows)
+    least = least if without < 0 else max(1, round(least * (FOLDS - 1) / FOLDS))
+    strong = seen.filter((F.col("bad") >= least) & (rate / (rate + (F.col("n") - F.col("bad")) / good) >= LEAST_SHARE))
+    return frozenset(r["feature"] for r in strong.select("feature").collect())
+
+
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> SeverityModel:
-    """Select features and fit, both on the bounded sample."""
+    """Select features, fit, and set the cut, all on the bounded sample."""
     shared.prepare(docs.sparkSession)
-    chosen = shared.stored(sample(docs, labels, toxic_rows, clean_rows), "toxic-sample")
-    sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
+    chosen = shared.stored(sample(docs, labels, toxic_rows, clean_rows), "toxic-sample", narrow=True)
+    sizes = {(r["fold"], r["toxic"]): r["count"] for r in chosen.groupBy("fold", "toxic").count().collect()}
+    if len({toxic for _, toxic in sizes}) < 2:
         return SeverityModel()
-    seen = chosen.mapInArrow(_extract(None), "toxic int, features array<long>").select("toxic", F.explode("features").alias("feature"))
-    counts = seen.groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
-    bad_rate = F.col("bad") / sizes[1]
-    share = bad_rate / (bad_rate + (F.col("n") - F.col("bad")) / sizes[0])
-    strong = counts.filter(F.col("bad") >= least_rows(sizes[1], toxic_rows)).withColumn("share", share).filter(F.col("share") >= LEAST_SHARE)
-    best = strong.orderBy(F.desc(F.col("share") * F.log1p("bad")), "feature").limit(MAX_FEATURES).collect()
-    selected = frozenset(r["feature"] for r in best)
-    if not selected:
+    seen = chosen.mapInArrow(_extract(None), f"{SAMPLED}, features array<long>").select("toxic", "fold", F.explode("features").alias("feature"))
+    counts = shared.stored(seen.groupBy("feature", "fold", "toxic").agg(F.count(F.lit(1)).alias("n")), "toxic-counts", narrow=True)
+    chosen_by = {without: _selected(counts, sizes, without, toxic_rows) for without in (-1, *range(FOLDS))}
+    if not chosen_by[-1]:
         return SeverityModel()
-    rows = [(r["toxic"], r["features"]) for r in chosen.mapInArrow(_extract(selected), "toxic int, features array<long>").collect()]
-    rows.sort()
-    model = fit(list(zip(grades_of(rows), [f for _, f in rows], strict=True)))
-    model.cut = best_cut([(model.grades(set(f))[0], bool(toxic)) for toxic, f in rows])
+    found = chosen.mapInArrow(_extract(frozenset().union(*chosen_by.values())), f"{SAMPLED}, features array<long>").collect()
+    rows = sorted((r["fold"], r["toxic"], r["grade"], r["features"]) for r in found)
+
+    def fitted(without: int) -> SeverityModel:
+        kept = chosen_by[without]
+        return fit([(grade, [f for f in features if f in kept]) for fold, _, grade, features in rows if fold != without])
+
+    model, others = fitted(-1), {}
+    scores = []
+    for fold, toxic, _, features in rows:
+        if fold not in others:
+            others[fold] = fitted(fold) if chosen_by[fold] else SeverityModel()
+        scores.append((others[fold].grades(set(features))[0], bool(toxic)))
+    model.cut = best_cut(scores)
     return model
 
 
@@ -209,15 +235,22 @@ def _score(model: SeverityModel):
 
         features = Features(set(model.weights))
         kinds = [pa.float64(), pa.float64(), pa.int64(), pa.bool_(), pa.int64()]
-        for batch in batches:
-            rows = []
-            for text in shared.text_bytes(batch.column(1)):
-                found = features.of(text)
-                chances = model.grades(found)
-                severity = sum(k * p for k, p in enumerate(chances))
-                rows.append((severity, chances[0], chances.index(max(chances)), chances[0] < model.cut, len(found)))
-            columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["row", *(x.split()[0] for x in SCORED.split(", ")[1:])])
+        try:
+            for batch in batches:
+                rows = []
+                for text in shared.text_bytes(batch.column(1)):
+                    found = features.of(text)
+                    chances = model.grades(found)
+                    severity = sum(k * p for k, p in enumerate(chances))
+                    toxic = chances[0] < model.cut
+                    grade = chances.index(max(chances[1:]), 1) if toxic else 0
+                    rows.append((severity, chances[0], grade, toxic, len(found)))
+                columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["row", *(x.split()[0] for x in SCORED.split(", ")[1:])])
+
+        finally:
+            features.clear()
+            shared.let_go()
 
     return run
 
