@@ -4,8 +4,8 @@ A text is lower-cased (A-Z) and split into words. Every rule names words without
 match; only rules whose words occur are tried, each with its regex over the whole text. What they
 find are intervals. Detections are taken in order of priority, then length, then place; one that
 lies inside an interval already taken is suppressed. Base phrases, counted by words at all their
-places, are rules of the least priority: their labels stay even where their interval is
-suppressed, since the place is still a mention.
+places, are rules of the least priority: a place inside another detection is suppressed as a
+detection, but its label stays, since the place is still a mention.
 
 Defined results: a null text is empty; without detection the labels are the empty string, the
 score 0 and the words null; rows that repeat are scanned each; an empty table gives no row.
@@ -29,6 +29,8 @@ WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <=
 #: The same with every byte beyond ASCII to a space too, as a quotation mark may touch a word.
 GATE_BYTES = bytes(b if b < 128 else 32 for b in WORD_BYTES)
 BASE_PRIORITY, BASE_SCORE = 90, 0.5
+#: Characters of a word in lower-cased text, and those between words.
+WORD, NO_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 SCANNED = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_detections long, detections array<struct<label:string,start:long,stop:long,priority:int>>"
 
 
@@ -82,6 +84,7 @@ class Scanner:
                 self.by_word.setdefault(word, []).append(entry)
         self.keywords = frozenset(self.by_word)
         self.phrases = [([w.encode() for w in phrase.split()], label) for phrase, label in BASE]
+        self.places = [(label, re.compile(rf"(?<!{WORD}){f'{NO_WORD}+'.join(phrase.split())}(?!{WORD})")) for phrase, label in BASE]
         self.ends = {words[-1] for words, _ in self.phrases}
 
     def base(self, words: list[bytes], present: set[bytes]) -> list[tuple[int, str]]:
@@ -100,7 +103,8 @@ class Scanner:
                 pass
         return sorted(found)
 
-    def detect(self, text: bytes, present: set[bytes]) -> list[Detection]:
+    def detect(self, text: bytes, present: set[bytes], base: bool = False) -> list[Detection]:
+        """What the rules find, and the base phrases too if there are any."""
         tried, found = set(), []
         present = gate_words(text, present)
         lowered = None
@@ -113,13 +117,16 @@ class Scanner:
                 if lowered is None:
                     lowered = text.lower().decode()
                 found += [Detection(rule.label, m.start(), m.end(), rule.priority, rule.score) for m in regex.finditer(lowered)]
+        if base:
+            lowered = text.lower().decode() if lowered is None else lowered
+            found += [Detection(label, m.start(), m.end(), BASE_PRIORITY, BASE_SCORE) for label, regex in self.places for m in regex.finditer(lowered)]
         return resolve(found)
 
     def __call__(self, text: bytes) -> tuple:
         words = words_of(text)
         present = set(words)
         base = self.base(words, present)
-        found = self.detect(text, present)
+        found = self.detect(text, present, bool(base))
         labels = {d.label for d in found} | {label for _, label in base}
         score = max([0.0, *(d.score for d in found), *(BASE_SCORE for _ in base[:1])])
         join = lambda x: ",".join(sorted(set(x)))

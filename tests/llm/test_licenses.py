@@ -59,6 +59,23 @@ def test_containment_against_brute_force():
         assert licenses.resolve(found) == brute_resolve(found)
 
 
+def test_base_places_take_part_in_the_resolution():
+    scan = licenses.Scanner()
+    found = scan.detect(b"Some MIT License, and the Apache License, Version 2.0; MIT; License", {b"mit", b"license", b"apache", b"2", b"0"}, base=True)
+    assert [(d.label, d.priority) for d in found] == [("mit", 40), ("apache-2.0", 40), ("mit", licenses.BASE_PRIORITY)]
+    n_words, n_base, first, last, base_labels, labels, _, n_found, _ = scan(b"the general public-license")
+    assert (n_base, first, last, base_labels, labels, n_found) == (1, 1, 1, "gpl", "gpl", 1)
+
+
+def test_sentences_of_license_texts():
+    lines = [line.partition(": ") for line in license_rules.TEXTS.strip().split("\n")]
+    assert len(lines) > 140 and len({sentence for _, _, sentence in lines}) == len(lines)
+    for label, _, sentence in lines:
+        written = " * " + sentence.replace(" ", "\n * ", 1).replace(" and ", ", AND ").capitalize() + "."
+        assert label in labels(written).split(","), sentence
+        assert not licenses.Scanner([r for r in license_rules.text_rules() if r.label == label]).detect(sentence[:-1].encode(), set(licenses.words_of(sentence[:-1].encode()))), sentence
+
+
 def test_empty_and_extra_columns(spark, docs):
     from pyspark.sql import functions as F
 
@@ -88,6 +105,7 @@ def test_the_prefilter_changes_nothing():
     after = [" license", "\xa0licence", "", ".", "”", "é", "x", "_1", " terms"]
     texts = [b + n + a for n in names for b in before for a in after]
     texts += [b + regex.replace("(?:", "").replace(r"\.", ".").replace(r"\d", "3") + a for _, _, regex in license_rules.SENTENCES for b in ("", "x", "é") for a in ("", "s", "é")]
+    texts += [b + line.partition(": ")[2] + a for line in license_rules.TEXTS.strip().split("\n") for b in ("", "x", "“") for a in ("", "s", "_", "é")]
     texts += [" ".join(rng.choices(texts, k=4)) for _ in range(300)]
     scanner, hits = licenses.Scanner(), 0
     for text in texts:
