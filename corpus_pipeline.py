@@ -20,6 +20,9 @@ from pyspark.sql.window import Window
 from ledgerlens.llm import linededup, mixing, neardup, packing, shared, toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Words that a task of the last stage remembers: fewer than alone, as the executors of a long run
+#: hold more by then.
+CACHED_WORDS = 60_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +75,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat are packed once each; an empty text is its end id alone; a null id stays
     null."""
-    return packing.with_pieces(packing.sequences(docs)).coalesce(shared.parts_of(docs))
+    return packing.with_pieces(packing.sequences(docs, cached=CACHED_WORDS)).coalesce(shared.parts_of(docs))
 
 
 STAGES = [

@@ -132,13 +132,14 @@ def byte_letters() -> dict[int, int]:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, cached: int = CACHED_WORDS) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    _ENCODERS[path].cached = cached
     return _ENCODERS[path]
 
 
-def _ids(path: str, end_id: int):
+def _ids(path: str, end_id: int, cached: int):
     def run(batches: Iterator) -> Iterator:
         import os
 
@@ -146,7 +147,7 @@ def _ids(path: str, end_id: int):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, end, pid, at = encoder(path), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
+        encode, end, pid, at = encoder(path, cached), end_id.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
         try:
             for batch in batches:
                 ids = [x + end for x in encode(shared.text_bytes(batch.column(1)))]
@@ -255,11 +256,12 @@ def _joined(window: int):
     return run
 
 
-def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """The first pass, stored: ids of each document and its place within its partition."""
+def tokenize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID, cached: int = CACHED_WORDS) -> DataFrame:
+    """The first pass, stored: ids of each document and its place within its partition. ``cached``:
+    see CACHED_WORDS; fewer take less of a worker and more time."""
     shared.prepare(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return shared.stored(rows.mapInArrow(_ids(path or tokenizer_path(), end_id), IDS), "pack-ids", parts=shared.parts_of(docs))
+    return shared.stored(rows.mapInArrow(_ids(path or tokenizer_path(), end_id, cached), IDS), "pack-ids", parts=shared.parts_of(docs))
 
 
 def offsets(tokens: DataFrame) -> DataFrame:
@@ -269,9 +271,9 @@ def offsets(tokens: DataFrame) -> DataFrame:
     return totals.select("pid", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
-def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID) -> DataFrame:
+def sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, path: str | None = None, end_id: int = END_ID, cached: int = CACHED_WORDS) -> DataFrame:
     """One row for each window, with its padded ids and its boundary records; see SEQUENCES."""
-    tokens = tokenize(docs, doc_id, text, path, end_id)
+    tokens = tokenize(docs, doc_id, text, path, end_id, cached)
     bases = shared.stored(offsets(tokens), "pack-offsets", narrow=True)
     placed = tokens.join(shared.small(bases, bases.count()), "pid").select("doc_id", (F.col("base") + F.col("local_start")).alias("place"), "doc_tokens", "ids")
     whole = placed.mapInArrow(_cut(window, True), PARTS).select("sequence_id", F.lit(window).cast("long").alias("length"), "ids", "bounds")

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: Rows in one Arrow batch; with the byte limit it bounds what a Python worker holds at once.
 ARROW_ROWS = 1000
 ARROW_BYTES = 4 * 1024 * 1024
+#: Rows that a Parquet reader decodes at once, and bytes of a row group of tables written here: with
+#: texts of a hundred thousand characters the usual 4,096 rows and 128 MB take much of an executor.
+READ_ROWS, GROUP_BYTES = 512, 32 * 1024 * 1024
 #: A side with at most this many narrow rows (three columns or so) may be broadcast: some 10 MB.
 BROADCAST_ROWS = 100_000
 #: Tasks for each core that a table is written by at least, if it has so many parts, and the bytes
@@ -26,9 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session, so that very long texts fit a worker. Smaller
-    bounds that the session has already stay."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+    """Bound the Arrow batches and the reader's batches of the session, so that very long texts fit
+    a worker and an executor. Smaller bounds that the session has already stay."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES, "spark.sql.parquet.columnarReaderBatchSize": READ_ROWS}
+    for key, most in bounds.items():
         now = spark.conf.get(key, None) or ""
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
@@ -62,7 +66,7 @@ def stored(df: DataFrame, label: str, narrow: bool = False, parts: int | None =
     spark = df.sparkSession
     path = shared_dir(spark, label)
     parts = max(1, spark.sparkContext.defaultParallelism) if narrow else parts
-    (df if parts is None else df.coalesce(parts)).write.parquet(path)
+    (df if parts is None else df.coalesce(parts)).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     read = spark.read.schema(df.schema).parquet(path)
     read.stored_at = path
     return read
