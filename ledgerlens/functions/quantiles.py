@@ -3,10 +3,14 @@ so the element rules are spelled out on sorted arrays (small groups) or ranks (l
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import scratch
+
 
 def upper_element(values: Column, p: float) -> Column:
     """sorted[floor(p * n)], at most the last; null of no values. ``values``: an array."""
@@ -27,17 +31,29 @@ def nearest_rank(values: Column, q: float) -> Column:
     return F.get(ordered, F.greatest(F.lit(0), F.ceil(F.lit(q) * F.size(ordered)) - 1).cast("int"))
 
 
-def exact_by_rank(df: DataFrame, keys: list[str], value: str, ps: dict[str, float], digits: int = 6) -> DataFrame:
-    """``upper_element`` of groups of any size: equal values are counted first, and a running sum
-    over the distinct values finds the elements, so no group is gathered in one array.
-
-    ``digits``: doubles are rounded to these first, which bounds the distinct values."""
-    rounded = F.round(F.col(value), digits) if dict(df.dtypes)[value] == "double" else F.col(value)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, rounded.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    ranked = counted.withColumn("upto", F.sum("c").over(whole.orderBy("v"))).withColumn("n", F.sum("c").over(whole))
-    pick = lambda p: F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * F.lit(p)), F.col("n") - 1), F.col("v")))
-    return ranked.groupBy(*keys).agg(*[pick(p).alias(name) for name, p in ps.items()])
+def exact_by_rank(df: DataFrame, keys: list[str], value: str, ps: dict[str, float]) -> DataFrame:
+    """``upper_element`` of groups of any size, exactly and without one task for a group.
+
+    Equal values are counted, the distinct ones dealt into ranges, and the ranges' sums tell in
+    which of them an element lies; only those ranges are looked through, each by itself. Null
+    values do not count; a group without others has no row.
+    """
+    spark = df.sparkSession
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = scratch(spark, "quantiles")
+    counted.repartitionByRange(ranges, *keys, "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))  # over sums: a row for each range
+    sums = ranged.groupBy(*keys, "part").agg(F.sum("c").alias("s"))
+    sums = sums.withColumn("n", F.sum("s").over(group)).withColumn("before", F.sum("s").over(group.orderBy("part")) - F.col("s"))
+    place = lambda p: F.least(F.floor(F.col("n") * F.lit(p)), F.col("n") - 1)
+    wanted = reduce(lambda x, y: x | y, [(F.col("before") <= place(p)) & (place(p) < F.col("before") + F.col("s")) for p in ps.values()])
+    here = sums.filter(wanted).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("part").alias("_part"), "n", "before")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("part") == F.col("_part"))
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy(*keys, "part").orderBy("v"))
+    ranked = ranged.join(here, same).withColumn("upto", upto)
+    return ranked.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") > place(p), F.col("v"))).alias(name) for name, p in ps.items()])
 
 
 def tercile(position: Column, n: Column) -> Column:

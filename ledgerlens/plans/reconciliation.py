@@ -162,7 +162,7 @@ def q_leg_valuation(spark, d):
     v = trades(spark, d).filter("other_raw != 0").select("pool", (a > 40000).alias("limited"), F.round(b.cast("double") / a - 1, 9).alias("off"), a.alias("a"), b.alias("b"))
     free = ~F.col("limited")
     sums = v.groupBy("pool").agg(F.count_if(free).alias("swaps"), F.count_if("limited").alias("at_limit"), F.round(F.sum(F.when(free, F.col("b"))).cast("double") / F.sum(F.when(free, F.col("a"))) - 1, 9).alias("total_off"))
-    return sums.join(exact_by_rank(v.filter(free), ["pool"], "off", {"p01": 0.01, "p50": 0.5, "p99": 0.99}, 9), "pool")
+    return sums.join(exact_by_rank(v.filter(free), ["pool"], "off", {"p01": 0.01, "p50": 0.5, "p99": 0.99}), "pool")
 
 
 @query("q_zero_leg", f"WITH {TRADES} SELECT pool, count(*) AS swaps, count(*) FILTER (other_raw = 0 OR log_index % 50 = 0) AS zero_leg, coalesce(sum(abs(other_raw)) FILTER (log_index % 50 = 0), 0)::BIGINT AS zero_cents FROM trades GROUP BY pool")

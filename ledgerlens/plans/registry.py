@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch  # noqa: F401  (for the plans)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -57,15 +59,3 @@ gaps AS (
   SELECT lo.blk, lo.pos, lo.tx, 'lo' AS mover, 2e4 * ln(lo.sp / hi.sp) AS gap FROM lo ASOF JOIN hi ON lo.k = hi.k AND lo.pos > hi.pos
   UNION ALL
   SELECT hi.blk, hi.pos, hi.tx, 'hi' AS mover, 2e4 * ln(lo.sp / hi.sp) AS gap FROM hi ASOF JOIN lo ON hi.k = lo.k AND hi.pos > lo.pos)"""
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder below spark.checkpoint.dir; of this machine only where that is unset."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="ledgerlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -91,6 +91,10 @@ def test_quantile_rules(spark):
     by_rank = {r["k"]: r["p"] for r in exact_by_rank(many, ["k"], "v", {"p": 0.9}).collect()}
     by_array = {r["k"]: r["p"] for r in many.groupBy("k").agg(upper_element(F.collect_list("v"), 0.9).alias("p")).collect()}
     assert by_rank == by_array
+    small = spark.createDataFrame([(1.2e-7,), (3.4e-7,), (-5.6e-9,), (None,)], "v double")
+    assert tuple(exact_by_rank(small, [], "v", {"low": 0.0, "mid": 0.5, "top": 1.0}).first()) == (-5.6e-9, 1.2e-7, 3.4e-7)
+    none = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", None)], "k string, v double")
+    assert [tuple(r) for r in exact_by_rank(none, ["k"], "v", {"p": 0.5}).collect()] == [(None, 2.0)]
     thirds = [r["t"] for r in spark.range(1, 12).select(tercile(F.col("id"), F.lit(11)).alias("t")).collect()]
     assert thirds == [0] * 3 + [1] * 3 + [2] * 5
 
