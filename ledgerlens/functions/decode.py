@@ -1,7 +1,8 @@
 """Lossless decoding of raw log fields with native expressions.
 
 A 256-bit word is 64 hex digits, read as four 64-bit limbs. Values beyond 38 digits do not fit a
-decimal: strict decoders raise, ``*_or_null`` ones give null so that rows can be quarantined.
+decimal: ``int256_text`` and ``uint256_text`` give all digits of any word as text; of the decimals,
+strict decoders raise and ``*_or_null`` ones give null.
 """
 
 from __future__ import annotations
@@ -39,14 +40,50 @@ def int256(word: Column) -> Column:
     return F.when(word.isNull() | found.isNotNull(), found).otherwise(F.raise_error(F.concat(F.lit("not a number of 38 digits: "), word)).cast("decimal(38,0)"))
 
 
+def uint256_text(word: Column) -> Column:
+    """An unsigned word of 64 hex digits as decimal text, all of its digits; null if malformed."""
+    groups, base, shift = 5, F.lit(10**18).cast("decimal(19,0)"), F.lit(1 << 32).cast("decimal(10,0)")
+    limb = lambda i: F.conv(F.substring(word, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+
+    def times_and_plus(digits: Column, x: Column) -> Column:
+        """Groups of 18 digits, the lowest first, times 2^32 plus x."""
+
+        def step(s: Column, d: Column) -> Column:
+            value = (d.cast("decimal(18,0)") * shift + s["carry"].cast("decimal(28,0)")).cast("decimal(38,0)")
+            rest = (value % base).cast("decimal(38,0)")
+            return F.struct(F.concat(s["done"], F.array(rest)).alias("done"), ((value - rest) / base).cast("decimal(38,0)").alias("carry"))
+
+        start = F.struct(F.array().cast("array<decimal(38,0)>").alias("done"), x.alias("carry"))
+        return F.aggregate(digits, start, step)["done"]
+
+    found = F.aggregate(F.array(*[limb(i) for i in range(8)]), F.array(*[zero] * groups), times_and_plus)
+    text = F.concat(*[F.lpad(F.get(found, F.lit(i)).cast("string"), 18, "0") for i in reversed(range(groups))])
+    return F.when(word.rlike("^[0-9a-fA-F]{64}$"), F.regexp_replace(text, "^0+(?=.)", ""))
+
+
+def int256_text(word: Column) -> Column:
+    """Two's complement of 64 hex digits as decimal text, all of its digits; null if malformed."""
+    negative = F.substring(word, 1, 1).rlike("[89a-fA-F]")
+    # the digits' complement is one less than the size
+    flipped = F.translate(F.lower(word), "0123456789abcdef", "fedcba9876543210")
+    size = uint256_text(flipped)
+    digits = F.length(F.regexp_extract(size, "9*$", 0))
+    head = F.substring(size, F.lit(1), F.length(size) - digits)
+    raised = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), (F.coalesce(F.right(head, F.lit(1)).try_cast("int"), F.lit(0)) + 1).cast("string"), F.repeat(F.lit("0"), digits))
+    return F.when(negative, F.concat(F.lit("-"), raised)).otherwise(uint256_text(word))
+
+
 def uint_double(word: Column) -> Column:
     """An unsigned word of 64 hex digits as a double."""
     return sum((_limb(word, i).cast("double") * F.lit(2.0 ** (64 * (3 - i))) for i in range(1, 4)), _limb(word, 0).cast("double") * F.lit(2.0**192))
 
 
 def quantity(text: Column) -> Column:
-    """``0x`` hex quantity as bigint."""
-    return F.conv(F.substring(text, 3, 16), 16, 10).cast("bigint")
+    """``0x`` hex quantity as bigint; one that does not fit raises."""
+    digits = F.regexp_replace(F.substring(text, 3, 1 << 30), "^0+(?=.)", "")
+    wide = F.raise_error(F.concat(F.lit("quantity beyond 64 bits: "), text)).cast("bigint")
+    return F.when(F.length(digits) > 16, wide).otherwise(F.conv(digits, 16, 10).cast("bigint"))
 
 
 def int24(word: Column) -> Column:
@@ -86,7 +123,8 @@ TRADE_TOPIC = "0xc42079f94a6350d7e6235f29174924f928cc2ac818eb64fed8004e115fbcca6
 
 
 def trade_columns(log: Column) -> dict[str, Column]:
-    """Decoded fields of a raw log struct, and ``error_reason``: null for a good log.
+    """Decoded fields of a raw log struct, and ``error_reason``: null for a good log. Amounts beyond
+    38 digits are null as decimals; their text, like that of the price, has every digit.
 
     Fields: removed, address, topics, data, blockNumber, transactionIndex, logIndex,
     blockTimestamp, blockHash, transactionHash.
@@ -100,7 +138,6 @@ def trade_columns(log: Column) -> dict[str, Column]:
         (~F.coalesce(log["data"].rlike("^0x[0-9a-fA-F]{320}$"), F.lit(False)), "data is not five words"),
         (topic_address(F.get(topics, F.lit(1))).isNull() | topic_address(F.get(topics, F.lit(2))).isNull(), "topic is not an address"),
         (address(log["address"]).isNull(), "malformed address"),
-        (int256_or_null(word(0)).isNull() | int256_or_null(word(1)).isNull(), "amount beyond 38 digits"),
         (~word(2).rlike("^0{24}"), "price beyond 160 bits"),
         (~word(3).rlike("^0{32}"), "liquidity beyond 128 bits"),
         (int24(word(4)).isNull(), "tick beyond 24 bits"),
@@ -117,6 +154,9 @@ def trade_columns(log: Column) -> dict[str, Column]:
         "recipient": topic_address(F.get(topics, F.lit(2))),
         "amount0": int256_or_null(word(0)),
         "amount1": int256_or_null(word(1)),
+        "amount0_text": int256_text(word(0)),
+        "amount1_text": int256_text(word(1)),
+        "sqrt_price_text": uint256_text(word(2)),
         "sqrt_price": uint_double(word(2)),
         "liquidity": uint_double(word(3)),
         "tick": int24(word(4)),

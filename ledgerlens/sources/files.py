@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.decode import quantity
+
 #: Column types of a TSV header and the types here.
 TYPES = {"String": "string", "UInt8": "boolean", "UInt32": "bigint", "UInt64": "bigint", "Int32": "int", "Date": "date", "DateTime": "timestamp", "DateTime('UTC')": "timestamp", "Float64": "double"}
 
@@ -15,7 +17,8 @@ def _type(text: str) -> str:
     if text.startswith("Decimal"):
         digits, _, scale = text.partition("(")[2][:-1].partition(",")
         wide = {"Decimal64": "18", "Decimal128": "38", "Decimal256": "38"}.get(text.partition("(")[0])
-        return f"decimal({min(38, int(wide or digits))},{(scale or digits).strip()})"
+        width = int({"Decimal256": "76"}.get(text.partition("(")[0], wide or digits))
+        return f"decimal({width},{(scale or digits).strip()})" if width <= 38 else "string"  # every digit, as text
     return TYPES[text]
 
 
@@ -23,10 +26,11 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     r"""A TSV with a line of names and a line of types; ``\N`` is null. Ragged rows and escapes
     other than null are refused."""
     lines = spark.read.text(path).withColumn("n", F.monotonically_increasing_id())
-    names, kinds = (r["value"].split("\t") for r in lines.orderBy("n").limit(2).collect())
+    head = lines.orderBy("n").limit(2).collect()
+    names, kinds = (r["value"].split("\t") for r in head)
     if len(names) != len(kinds):
         raise ValueError("names and types differ in number")
-    body = lines.filter(~F.col("value").isin("\t".join(names), "\t".join(kinds)))
+    body = lines.filter(F.col("n") > head[1]["n"])  # by place: a row may look like a header
     cells = F.split("value", "\t", -1)
     ragged = F.size(cells) != len(names)
     escaped = F.regexp_replace("value", r"(^|\t)\\N(?=\t|$)", "$1").contains("\\")
@@ -91,20 +95,17 @@ RECEIPT = "struct<transactionHash:string,`from`:string,gasUsed:string,transactio
 def receipts(lines: DataFrame, column: str = "value") -> DataFrame:
     """Cached receipts: tx, signer, gas, place and logs."""
     r = F.from_json(column, RECEIPT)
-    hexed = lambda c: F.conv(F.substring(c, 3, 16), 16, 10).cast("bigint")
-    return lines.select(F.lower(r["transactionHash"]).alias("tx_hash"), F.lower(r["from"]).alias("signer"), hexed(r["gasUsed"]).alias("gas"), hexed(r["transactionIndex"]).alias("slot"), r["logs"].alias("logs"))
+    return lines.select(F.lower(r["transactionHash"]).alias("tx_hash"), F.lower(r["from"]).alias("signer"), quantity(r["gasUsed"]).alias("gas"), quantity(r["transactionIndex"]).alias("slot"), r["logs"].alias("logs"))
 
 
 def receipts_summary(rows: DataFrame, pools: list[str], swap_topic: str) -> DataFrame:
     """Signers, the largest one's share, logs by kind, share of early slots and gas quantiles."""
-    from ..functions.quantiles import nearest_rank
-
     per = rows.groupBy("signer").agg(F.count(F.lit(1)).alias("n"))
     top = per.agg(F.count(F.lit(1)).alias("signers"), F.max("n").alias("most"))
     logs = rows.select(F.explode("logs").alias("l")).select(F.lower(F.get("l.topics", F.lit(0))).alias("topic"), F.lower("l.address").alias("emitter"))
     ours: Column = F.col("emitter").isin(pools)
     kinds = logs.agg(F.count_if((F.col("topic") == swap_topic) & ours).alias("swaps_of_ours"), F.count_if((F.col("topic") == swap_topic) & ~ours).alias("swaps_elsewhere"), F.count_if(F.col("topic") != swap_topic).alias("other_logs"))
-    whole = rows.agg(F.count(F.lit(1)).alias("txs"), F.median("gas").alias("gas_p50"), nearest_rank(F.collect_list("gas"), 0.95).alias("gas_p95"), F.avg((F.col("slot") <= 2).cast("double")).alias("early"))
+    whole = rows.agg(F.count(F.lit(1)).alias("txs"), F.median("gas").alias("gas_p50"), F.expr("percentile_disc(0.95) within group (order by gas)").cast("long").alias("gas_p95"), F.avg((F.col("slot") <= 2).cast("double")).alias("early"))
     return whole.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(kinds)).withColumn("top_share", F.col("most") / F.col("txs")).drop("most")  # one row each
 
 

@@ -17,19 +17,50 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from email.utils import parsedate_to_datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 RETRY_HTTP = {429, 500, 502, 503, 504}
-#: Fixed value: the JSON-RPC error code for "limit exceeded".
-RETRY_RPC = {-32005}
+#: The JSON-RPC error codes for "limit exceeded", also as some nodes give it, after HTTP.
+RETRY_RPC = {-32005, 429}
+#: JSON-RPC error codes for a method or parameters that a node does not know.
+UNKNOWN_RPC = {-32601, -32602}
 SCHEMA = "removed boolean, address string, topics array<string>, data string, blockNumber string, transactionIndex string, logIndex string, blockTimestamp string, blockHash string, transactionHash string"
 
 
 class RpcError(Exception):
-    def __init__(self, message: str, retry: bool = False, after: float = 0.0):
+    def __init__(self, message: str, retry: bool = False, after: float = 0.0, code: int | None = None):
         super().__init__(message)
-        self.retry, self.after = retry, after
+        self.retry, self.after, self.code = retry, after, code
+
+
+def seconds_of(header: str | None, now: float | None = None) -> float:
+    """What a Retry-After header asks for: seconds or a date; 0 if it says neither."""
+    text = (header or "").strip()
+    try:
+        return max(0.0, float(text))
+    except ValueError:
+        pass
+    try:
+        at = parsedate_to_datetime(text).timestamp()
+    except (TypeError, ValueError):
+        return 0.0
+    return max(0.0, at - (time.time() if now is None else now))
+
+
+def result_of(reply: bytes, url: str):
+    """The result in a JSON-RPC reply; an error in it, or what is no reply, raises."""
+    try:
+        held = json.loads(reply)
+    except ValueError:
+        raise RpcError(redacted(f"no JSON from {url}"), True) from None
+    if not isinstance(held, dict) or "error" not in held and "result" not in held:
+        raise RpcError(redacted(f"no JSON-RPC reply from {url}"), True)
+    if held.get("error") is not None:
+        error = held["error"] if isinstance(held["error"], dict) else {"message": held["error"]}
+        raise RpcError(redacted(str(error.get("message"))), error.get("code") in RETRY_RPC, code=error.get("code"))
+    return held.get("result")
 
 
 def redacted(text: str) -> str:
@@ -52,14 +83,12 @@ class HttpTransport:
         request = urllib.request.Request(self.url, body, {"Content-Type": "application/json"})
         try:
             with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                reply = json.load(answer)
+                reply = answer.read()
         except urllib.error.HTTPError as error:
-            raise RpcError(redacted(f"HTTP {error.code} of {self.url}"), error.code in RETRY_HTTP, float(error.headers.get("Retry-After") or 0)) from None
+            raise RpcError(redacted(f"HTTP {error.code} of {self.url}"), error.code in RETRY_HTTP, seconds_of(error.headers.get("Retry-After"))) from None
         except (urllib.error.URLError, TimeoutError) as error:
             raise RpcError(redacted(f"{error} of {self.url}"), True) from None
-        if "error" in reply:
-            raise RpcError(redacted(str(reply["error"].get("message"))), reply["error"].get("code") in RETRY_RPC)
-        return reply["result"]
+        return result_of(reply, self.url)
 
 
 @dataclass
@@ -102,8 +131,9 @@ def safe_head(client: Client, behind: int = 64) -> int:
         block = client.call("eth_getBlockByNumber", ["finalized", False])
         if block:
             return int(block["number"], 16)
-    except RpcError:
-        pass
+    except RpcError as error:
+        if error.retry or error.code not in UNKNOWN_RPC:
+            raise  # the node did not say that it does not know the tag
     return int(client.call("eth_blockNumber", []), 16) - behind
 
 
@@ -187,14 +217,19 @@ def backfill(ranges: list[tuple[int, int]], fetch: Callable[[int, int], list], s
 
 
 class SampleTransport:
-    """Answers without a network: one log for each block that is a multiple of three."""
+    """Answers without a network: one log for each block that is a multiple of three. Every first
+    call is refused, by HTTP or, with the status 200, in the reply itself."""
 
     def __init__(self, url: str = ""):
-        self.url = url
+        self.url, self.calls = url, 0
 
     def __call__(self, method: str, params: list):
         if method != "eth_getLogs":
             raise RpcError("the sample only has logs")
+        self.calls += 1
+        if self.calls == 1:
+            limit = {"error": {"code": 429, "message": "limit exceeded"}} if int(params[0]["fromBlock"], 16) % 20 else {"error": {"code": -32005, "message": "limit exceeded"}}
+            return result_of(json.dumps(limit).encode(), self.url)
         start, stop = (int(params[0][k], 16) for k in ("fromBlock", "toBlock"))
         one = {"removed": False, "address": "0x" + "ab" * 20, "topics": [], "data": "0x", "transactionIndex": "0x0", "logIndex": "0x0", "blockTimestamp": "0x0", "blockHash": "0x0", "transactionHash": "0x0"}
         return [one | {"blockNumber": hex(b)} for b in range(start, stop + 1) if b % 3 == 0]

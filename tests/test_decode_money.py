@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -62,12 +63,32 @@ def test_reasons_of_bad_logs(spark):
     bad = [
         (log(removed=True), "removed log"), (log(topics=topics[:2]), "not three topics"), (log(topics=["0x" + "11" * 32, *topics[1:]]), "another event"),
         (log(data="0x00"), "data is not five words"), (log(topics=[topics[0], "0x" + "01" * 32, topics[2]]), "topic is not an address"), (log(address="0xZZ"), "malformed address"),
-        (log(data="0x" + word(2**200) + word(7) + word(1) + word(1) + word(0)), "amount beyond 38 digits"), (log(data="0x" + word(1) + word(7) + word(1 << 170) + word(1) + word(0)), "price beyond 160 bits"),
+        (log(data="0x" + word(1) + word(7) + word(1 << 170) + word(1) + word(0)), "price beyond 160 bits"),
         (log(data="0x" + word(1) + word(7) + word(1) + word(1 << 130) + word(0)), "liquidity beyond 128 bits"), (log(data="0x" + word(1) + word(7) + word(1) + word(1) + word(1 << 24)), "tick beyond 24 bits"),
     ]
     assert [r["error_reason"] for r in decoded(spark, *(x for x, _ in bad))] == [reason for _, reason in bad]
 
 
+def test_amounts_beyond_38_digits_keep_every_digit(spark):
+    rng = random.Random(3)
+    values = [0, 1, -1, 10**38, -(10**38), 2**255 - 1, -(2**255), 9, -10, -(10**20), *(rng.randrange(-(2**255), 2**255) for _ in range(60)), *(rng.randrange(-(10**k), 10**k) for k in range(1, 77))]
+    rows = spark.createDataFrame([(str(v), word(v)) for v in values] + [(None, "zz"), (None, None)], "v string, w string")
+    got = rows.select("v", decode.int256_text(F.col("w")).alias("x"), decode.uint256_text(F.col("w")).alias("u")).collect()
+    assert all(r["x"] == r["v"] for r in got)
+    assert [r["u"] for r in got[: len(values)]] == [str(v % 2**256) for v in values]
+    (r,) = decoded(spark, log(data="0x" + word(2**200) + word(-(2**130)) + word(2**159) + word(1) + word(0)))
+    assert r["error_reason"] is None and r["amount0"] is None
+    assert (r["amount0_text"], r["amount1_text"], r["sqrt_price_text"]) == (str(2**200), str(-(2**130)), str(2**159))
+
+
+def test_quantities_are_never_cut(spark):
+    rows = spark.createDataFrame([("0x0",), ("0x" + "0" * 20 + "ff",), ("0x7fffffffffffffff",), (None,)], "q string")
+    assert [r["x"] for r in rows.select(decode.quantity(F.col("q")).alias("x")).collect()] == [0, 255, 2**63 - 1, None]
+    for bad in ("0x1ffffffffffffffff", "0xffffffffffffffff"):
+        with pytest.raises(Exception, match="64 bits|cannot be cast"):
+            spark.createDataFrame([(bad,)], "q string").select(decode.quantity(F.col("q"))).collect()
+
+
 def test_scaling_loses_no_digit(spark):
     cases = [("635972952123456789012", 18, "635.972952123456789012"), ("-1", 18, "-0.000000000000000001"), ("1234567", 6, "1.234567"), ("0", 6, "0"), ("42", 0, "42")]
     rows = spark.createDataFrame([(a, b) for a, b, _ in cases], "raw string, d int")

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.sources import files, landing, rpc
+from ledgerlens.sources import files, landing, pools, rpc
 from ledgerlens.streaming.partials import DailyPartials
 
 
@@ -23,6 +23,39 @@ class FakeTransport:
         return [{"removed": False, "address": "0xab", "topics": ["0x1"], "data": "0x", "blockNumber": hex(b), "transactionIndex": "0x0", "logIndex": "0x0", "blockTimestamp": "0x0", "blockHash": "0x", "transactionHash": "0x"} for b in range(start, stop + 1) if b % 2 == 0]
 
 
+def test_what_a_node_answers():
+    assert rpc.result_of(b'{"result": null}', "u") is None
+    for reply, again in ((b'{"error": {"code": 429, "message": "slow"}}', True), (b'{"error": {"code": -32005, "message": "limit"}}', True), (b'{"error": {"code": -32602, "message": "bad"}}', False), (b"<html>", True), (b"[]", True), (b'{"error": "text"}', False)):
+        with pytest.raises(rpc.RpcError) as found:
+            rpc.result_of(reply, "https://node/v2/abcdefghijklmnopqrst")
+        assert found.value.retry == again and "abcdefghijklmnopqrst" not in str(found.value)
+    assert rpc.seconds_of("3") == 3.0 and rpc.seconds_of(None) == rpc.seconds_of("soon") == 0.0
+    assert rpc.seconds_of("Mon, 01 Jan 2024 00:00:30 GMT", now=1704067200.0) == 30.0
+    busy = rpc.Client(lambda m, p: (_ for _ in ()).throw(rpc.RpcError("busy", retry=True)), retries=0)
+    with pytest.raises(rpc.RpcError):
+        rpc.safe_head(busy)
+
+    def no_tag(method, params):
+        if method == "eth_getBlockByNumber":
+            raise rpc.RpcError("no such tag", code=-32602)
+        return "0xc8"
+
+    assert rpc.safe_head(rpc.Client(no_tag)) == 136
+
+
+def test_pool_list():
+    text = """# pools\npools:\n  - address: "0xABCDEFabcdefABCDEFabcdefABCDEFabcdefABCD"\n    token0: USDC # stable\n    token1: 'WETH'\n    decimals0: 6\n    decimals1: 18\n    fee: 500\n"""
+    assert pools.pools_of(text) == [{"address": "0x" + "abcdef" * 6 + "abcd", "token0": "USDC", "token1": "WETH", "decimals0": 6, "decimals1": 18, "fee": 500}]
+    for bad in (text.replace("fee: 500", ""), text.replace("    fee", "\tfee"), text.replace("fee: 500", "fee: {a: 1}"), text.replace("fee: 500", "fee: 500\n    fee: 3"), text.replace("0xAB", "0xZZ"), text + text[text.index("  - ") :]):
+        with pytest.raises(ValueError):
+            pools.pools_of(bad)
+
+
+def test_a_row_that_looks_like_a_header_is_kept(spark, tmp_path):
+    (tmp_path / "x.tsv").write_text("a\tb\nString\tString\na\tb\n1\t\\N\n")
+    assert [tuple(r) for r in files.read_tsv(spark, str(tmp_path / "x.tsv")).collect()] == [("a", "b"), ("1", None)]
+
+
 def test_rpc_source(spark, monkeypatch):
     monkeypatch.setenv("PYTHONPATH", ".")
     spark.dataSource.register(rpc.LogSource)
