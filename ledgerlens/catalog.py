@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import analyses, control, evaluation, handcases, ingest, marts, quality, reconciliation, relational  # noqa: F401  (registers its queries)
+from .plans import analyses, control, evaluation, further, handcases, ingest, marts, quality, reconciliation, relational  # noqa: F401  (registers its queries)
 from .plans.registry import ORACLE, QUERIES, Query
 
 

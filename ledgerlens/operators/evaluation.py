@@ -24,6 +24,94 @@ def label_matches(got: Column, want: Column) -> Column:
     return F.coalesce(F.lower(F.trim(got)) == F.lower(F.trim(want)), F.lit(False))
 
 
+# Names of months.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+
+def said_dates(text: Column) -> Column:
+    """Dates in a text, as 2024-01-05, 5 January 2024 or January 5, 2024; what is no date is left out."""
+    low = F.lower(text)
+    month = "|".join(MONTHS)
+    number = F.create_map(*[F.lit(x) for i, name in enumerate(MONTHS, 1) for x in (name, f"{i:02}")])
+    made = lambda pattern, y, m, d: F.transform(
+        F.regexp_extract_all(low, F.lit(pattern), F.lit(0)),
+        lambda x: F.concat_ws("-", F.regexp_extract(x, pattern, y), number[F.regexp_extract(x, pattern, m)], F.lpad(F.regexp_extract(x, pattern, d), 2, "0")),
+    )
+    plain = F.regexp_extract_all(low, F.lit(r"\b\d{4}-\d{2}-\d{2}\b"), F.lit(0))
+    found = F.concat(plain, made(rf"\b(\d{{1,2}}) ({month}) (\d{{4}})\b", 3, 2, 1), made(rf"\b({month}) (\d{{1,2}}),? (\d{{4}})\b", 3, 1, 2))
+    return F.array_distinct(F.array_compact(F.transform(found, lambda x: F.try_to_date(x))))
+
+
+def date_matches(said: Column, want: Column) -> Column:
+    """One date is said, and it is the wanted one."""
+    dates = said_dates(said)
+    return F.coalesce((F.size(dates) == 1) & (F.get(dates, F.lit(0)) == want), F.lit(False))
+
+
+def list_matches(got: Column, want: Column, ordered: bool) -> Column:
+    """The same labels, in the same order if that is asked for; case and outer space do not count."""
+    plain = lambda x: F.transform(x, lambda v: F.lower(F.trim(v)))
+    a, b = plain(got), plain(want)
+    return F.coalesce(a == b if ordered else F.array_sort(a) == F.array_sort(b), F.lit(False))
+
+
+#: What counts as saying that there is no answer.
+REFUSAL = r"\b(?:cannot|can't|can not|unable to|not able to|no data|not in the data|don't know|do not know)\b"
+
+
+def refusal_matches(said: Column, wanted: Column) -> Column:
+    """Whether a refusal was given where, and only where, one is wanted."""
+    return F.lower(F.coalesce(said, F.lit(""))).rlike(REFUSAL) == wanted
+
+
+def unit_swapped(text: Column, units: dict[str, str]) -> Column:
+    """The first unit that occurs, exchanged."""
+    out = text
+    for unit, other in units.items():
+        out = F.when(out.contains(unit), F.regexp_replace(out, rf"\b{unit}\b", other)).otherwise(out)
+    return out
+
+
+def date_shifted(text: Column, days: int) -> Column:
+    """The first plain date, moved by so many days."""
+    found = F.regexp_extract(text, r"\d{4}-\d{2}-\d{2}", 0)
+    moved = F.date_format(F.date_add(F.try_to_date(found), days), "yyyy-MM-dd")
+    return F.when(found == "", text).otherwise(F.replace(text, found, moved))
+
+
+def names_swapped(text: Column, names: dict[str, str]) -> Column:
+    """Names exchanged for others."""
+    out = text
+    for name, other in names.items():
+        out = F.regexp_replace(out, rf"\b{name}\b", other)
+    return out
+
+
+def with_claim(text: Column, claim: str) -> Column:
+    """The text with a claim that nothing supports."""
+    return F.concat(F.rtrim(text), F.lit(" "), F.lit(claim))
+
+
+def confusion(rows: DataFrame, section: str, a: str, b: str) -> DataFrame:
+    """Per section the four counts of two yes-or-no labels, and kappa (null without variation)."""
+    x, y = F.col(a), F.col(b)
+    held = rows.groupBy(section).agg(F.count_if(x & y).alias("both"), F.count_if(x & ~y).alias("first_only"), F.count_if(y & ~x).alias("second_only"), F.count_if(~x & ~y).alias("neither"))
+    n = F.col("both") + F.col("first_only") + F.col("second_only") + F.col("neither")
+    same = (F.col("both") + F.col("neither")) / n
+    pa, pb = (F.col("both") + F.col("first_only")) / n, (F.col("both") + F.col("second_only")) / n
+    chance = pa * pb + (1 - pa) * (1 - pb)
+    return held.withColumn("kappa", F.try_divide(same - chance, 1 - chance))
+
+
+def tiered_usd(prompt: Column, tokens: dict[str, Column], tiers: list[tuple[int | None, dict[str, str]]]) -> Column:
+    """Cost at the rates of the first tier whose longest prompt is not passed; the last has none."""
+    *bounded, (_, last) = tiers
+    out = cost_usd(tokens, last)
+    for most, rates in reversed(bounded):
+        out = F.when(prompt <= most, cost_usd(tokens, rates)).otherwise(out)
+    return out
+
+
 def wilson(right: Column, n: Column) -> tuple[Column, Column]:
     """The 95 % interval of a share, within [0, 1]."""
     p, z2 = right / n, Z95 * Z95

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import datetime
+import io
+import re
 
 from pyspark.sql import functions as F
 
@@ -10,13 +13,8 @@ from ..operators import evaluation as ev
 from ..operators import quality
 from ..sources import reports, rpc
 from .evaluation import RUNS, runs
-from .ingest import src_seed_csv
 from .marts import DAILY, daily
-from .registry import ORACLE, query, read
-from .relational import dec_trade
-
-query("dec_swap", ORACLE["dec_trade"])(dec_trade)
-query("src_yaml", ORACLE["src_seed_csv"])(src_seed_csv)
+from .registry import query, read
 
 
 @query("src_rpc_logs", "SELECT b AS block FROM (SELECT unnest(generate_series(10, 250)) AS b) WHERE b % 3 = 0")
@@ -46,18 +44,22 @@ def src_error_budget(spark, d):
     return spark.createDataFrame([(over.over_budget(), early.over_budget())], "over boolean, early boolean")
 
 
-@query("src_backfill", "SELECT event_id // 100 * 100 AS start, count(*) AS delivered FROM events WHERE event_id < 500 GROUP BY 1")
+@query("src_backfill", "SELECT event_id // 1000 * 1000 AS start, count(*) AS delivered FROM events GROUP BY 1")
 def src_backfill(spark, d):
-    """Ranges delivered at least once to a sink that replaces."""
-    rows = read(spark, d, "events").filter("event_id < 500").select("event_id").collect()  # five ranges of a hundred
+    """Ranges delivered at least once to a sink that replaces: some are fetched twice, as after a
+    crash before they were marked."""
+    low, high = read(spark, d, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    rows = read(spark, d, "events").select("event_id")
+    found = rows.groupBy((F.floor(F.col("event_id") / 1000) * 1000).cast("long").alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["start"]: r["n"] for r in found.collect()}  # a row for each range, as the control keeps it
     held: dict[int, int] = {}
-    fetch = lambda a, b: [{"block": r["event_id"], "log": 0} for r in rows if a <= r["event_id"] <= b]
+    fetch = lambda a, b: [{"block": a, "log": i} for i in range(counts.get(a, 0))]
     sink = lambda a, b, batch: held.__setitem__(a, len(batch))
     done: set = set()
-    ranges = [(a, a + 99) for a in range(0, 500, 100)]
+    ranges = [(a, a + 999) for a in range(low // 1000 * 1000, high + 1, 1000)] if low is not None else []
     rpc.backfill(ranges[:3], fetch, sink, done, lambda _: None)
     rpc.backfill(ranges, fetch, sink, done, done.add)
-    return spark.createDataFrame(sorted(held.items()), "start long, delivered long")
+    return spark.createDataFrame([x for x in sorted(held.items()) if x[1]], "start long, delivered long")
 
 
 @query("store_daily_window", "SELECT DATE '2024-01-03' AS first, DATE '2024-01-08' AS last")
@@ -73,32 +75,44 @@ def daily_window(first: datetime.date, oldest_fetched: datetime.datetime, comple
     return first, last
 
 
-@query("sink_report_md", f"WITH {DAILY} SELECT count(DISTINCT pool) + 4 AS lines FROM daily")
+SUMS = f"WITH {DAILY} SELECT pool, sum(cents)::BIGINT AS cents FROM daily GROUP BY pool"
+
+
+def _sums(spark, d):
+    return daily(spark, d).groupBy("pool").agg(F.sum("cents").alias("cents")).orderBy("pool")
+
+
+@query("sink_report_md", SUMS)
 def sink_report_md(spark, d):
-    sums = daily(spark, d).groupBy("pool").agg(F.sum("cents").alias("cents")).orderBy("pool")
-    return spark.createDataFrame([(len(reports.markdown(sums, "Pools").splitlines()),)], "lines long")
+    """The report read back: every row of it, by its columns."""
+    lines = reports.markdown(_sums(spark, d), "Pools").splitlines()
+    head, *rows = [[v.strip() for v in line.strip("|").split("|")] for line in lines if line.startswith("|")]
+    found = [dict(zip(head, r, strict=True)) for r in rows[1:]]
+    return spark.createDataFrame([(r["pool"], int(r["cents"])) for r in found], "pool string, cents long")
 
 
-@query("sink_report_csv", f"WITH {DAILY} SELECT count(DISTINCT pool) + 1 AS lines FROM daily")
+@query("sink_report_csv", SUMS)
 def sink_report_csv(spark, d):
-    sums = daily(spark, d).groupBy("pool").agg(F.sum("cents").alias("cents")).orderBy("pool")
-    return spark.createDataFrame([(len(reports.as_csv(sums).splitlines()),)], "lines long")
+    found = list(csv.DictReader(io.StringIO(reports.as_csv(_sums(spark, d)))))
+    return spark.createDataFrame([(r["pool"], int(r["cents"])) for r in found], "pool string, cents long")
 
 
-@query("sink_dashboard", f"WITH {DAILY} SELECT count(DISTINCT day) + count(DISTINCT pool) AS rows, 2 AS charts FROM daily")
+@query("sink_dashboard", f"WITH {DAILY} SELECT CAST(day AS VARCHAR) AS label, CAST(sum(cents)::BIGINT AS VARCHAR) AS value, 2 AS charts FROM daily GROUP BY day UNION ALL SELECT pool, CAST(sum(swaps)::BIGINT AS VARCHAR), 2 FROM daily GROUP BY pool")
 def sink_dashboard(spark, d):
+    """The page read back: the rows of both tables and the number of charts."""
     x = daily(spark, d)
-    series = {"Volume by day": x.groupBy("day").agg(F.sum("usd").alias("usd")).orderBy("day"), "Trades by pool": x.groupBy("pool").agg(F.sum("swaps").alias("n")).orderBy("pool")}
+    series = {"Volume by day": x.groupBy("day").agg(F.sum("cents").alias("cents")).orderBy("day"), "Trades by pool": x.groupBy("pool").agg(F.sum("swaps").alias("n")).orderBy("pool")}
     text = reports.page("Trades", series)
-    return spark.createDataFrame([(text.count("<tr>"), text.count("<svg"))], "rows long, charts int")
+    rows = re.findall(r"<tr><td>([^<]*)</td><td>([^<]*)</td></tr>", text)
+    return spark.createDataFrame([(a, b, text.count("<svg")) for a, b in rows], "label string, value string, charts int")
 
 
-@query("q_sanity_07", "SELECT 'query ' || (user_id % 7) AS query, count(*) AS runs, max(event_id % 50)::BIGINT AS slowest FROM events WHERE event_id < 200 GROUP BY 1")
+@query("q_sanity_07", "SELECT 'query ' || (user_id % 7) AS query, count(*) AS runs, max(event_id % 50)::BIGINT AS slowest FROM events GROUP BY 1")
 def q_sanity_07(spark, d):
     """Slow queries from an event log, here one made of events."""
     from ..sources import eventlog
 
-    rows = read(spark, d, "events").filter("event_id < 200")
+    rows = read(spark, d, "events")
     start = F.struct(F.lit(eventlog.START).alias("Event"), F.col("event_id").alias("executionId"), F.concat(F.lit("query  "), (F.col("user_id") % 7).cast("string")).alias("description"), F.lit(1000).cast("long").alias("time"))
     end = F.struct(F.lit(eventlog.END).alias("Event"), F.col("event_id").alias("executionId"), F.lit(None).cast("string").alias("description"), (F.col("event_id") % 50 + 1000).alias("time"))
     lines = rows.select(F.explode(F.array(F.to_json(start), F.to_json(end))).alias("value"))

@@ -89,9 +89,9 @@ def src_tsv(spark, d):
     return files.read_tsv(spark, tsv_of(spark, d))
 
 
-@query("sink_tsv_fixture", "SELECT count(*) + 2 AS lines FROM nation")
+@query("sink_tsv_fixture", r"SELECT 'n_nationkey' || chr(9) || 'n_name' || chr(9) || 'n_regionkey' AS line UNION ALL SELECT 'Int32' || chr(9) || 'String' || chr(9) || 'Nullable(Int32)' UNION ALL SELECT n_nationkey || chr(9) || n_name || chr(9) || CASE WHEN n_nationkey = 3 THEN '\N' ELSE n_regionkey::VARCHAR END FROM nation")
 def sink_tsv_fixture(spark, d):
-    return spark.read.text(tsv_of(spark, d)).agg(F.count("*").alias("lines"))
+    return spark.read.text(tsv_of(spark, d)).select(F.col("value").alias("line"))
 
 
 @query("fixture_fingerprint", "SELECT count(*) AS rows, CAST(min(o_orderdate) AS DATE) AS first, CAST(max(o_orderdate) AS DATE) AS last, CAST(sum(CAST(o_orderkey AS DECIMAL(38,6))) AS VARCHAR) AS sum_o_orderkey FROM orders")
@@ -110,19 +110,19 @@ def src_seed_csv(spark, d):
 def responses(spark, d, step: str) -> DataFrame:
     """OHLCV responses made of trades, one for each pool; the first candle is repeated."""
     start = F.unix_timestamp(F.date_trunc(step, "ts"))
-    rows = trades(spark, d).filter("day < date'2024-01-08'").groupBy("pool", start.alias("at")).agg(F.sum(F.abs("other_raw")).cast("double").alias("v"), F.count("*").cast("double").alias("c"))
+    rows = trades(spark, d).groupBy("pool", start.alias("at")).agg(F.sum(F.abs("other_raw")).cast("double").alias("v"), F.count("*").cast("double").alias("c"))
     candle = F.array(F.col("at").cast("double"), F.lit(0.0), F.lit(0.0), F.lit(0.0), F.col("c"), F.col("v"))
     held = rows.groupBy("pool").agg(F.sort_array(F.collect_list(candle), asc=False).alias("l"))
     listed = F.concat("l", F.slice("l", 1, 1))
     return held.select("pool", F.to_json(F.struct(F.struct(F.struct(listed.alias("ohlcv_list")).alias("attributes")).alias("data"))).alias("body"))
 
 
-@query("src_ohlcv_daily", f"WITH {TRADES} SELECT pool, CAST(day AS TIMESTAMP) AS start, sum(abs(other_raw))::DOUBLE AS volume_usd, count(*)::DOUBLE AS close_usd FROM trades WHERE day < DATE '2024-01-08' GROUP BY 1, 2")
+@query("src_ohlcv_daily", f"WITH {TRADES} SELECT pool, CAST(day AS TIMESTAMP) AS start, sum(abs(other_raw))::DOUBLE AS volume_usd, count(*)::DOUBLE AS close_usd FROM trades GROUP BY 1, 2")
 def src_ohlcv_daily(spark, d):
     return _naive(files.candles(responses(spark, d, "day")))
 
 
-@query("src_ohlcv_hourly", f"WITH {TRADES} SELECT pool, date_trunc('hour', ts) AS start, sum(abs(other_raw))::DOUBLE AS volume_usd, count(*)::DOUBLE AS close_usd FROM trades WHERE day < DATE '2024-01-08' GROUP BY 1, 2")
+@query("src_ohlcv_hourly", f"WITH {TRADES} SELECT pool, date_trunc('hour', ts) AS start, sum(abs(other_raw))::DOUBLE AS volume_usd, count(*)::DOUBLE AS close_usd FROM trades GROUP BY 1, 2")
 def src_ohlcv_hourly(spark, d):
     return _naive(files.candles(responses(spark, d, "hour"), step=3600))
 
@@ -141,19 +141,19 @@ def src_trades_json(spark, d):
 
 
 def receipt_lines(spark, d) -> DataFrame:
-    t = trades(spark, d).filter("day < date'2024-01-06'")
+    t = trades(spark, d)
     one = F.struct(F.concat(F.lit("0x"), F.lpad(F.hex("pool"), 40, "0")).alias("address"), F.array(F.when(F.col("log_index") % 2 == 0, "0xaa").otherwise("0xbb")).alias("topics"))
     per = t.groupBy("tx").agg(F.min("sender").alias("s"), F.sum("log_index").alias("g"), F.collect_list(one).alias("logs"))
     hexed = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
     return per.select(F.to_json(F.struct(F.concat(F.lit("0x"), F.lpad(F.hex("tx"), 64, "0")).alias("transactionHash"), hexed(F.col("s")).alias("from"), hexed(F.col("g")).alias("gasUsed"), hexed(F.col("tx") % 9).alias("transactionIndex"), F.col("logs").alias("logs"))).alias("value"))
 
 
-@query("src_receipts_json", f"WITH {TRADES} SELECT '0x' || lpad(lower(to_hex(tx)), 64, '0') AS tx_hash, sum(log_index)::BIGINT AS gas, tx % 9 AS slot, count(*)::INT AS logs FROM trades WHERE day < DATE '2024-01-06' GROUP BY tx")
+@query("src_receipts_json", f"WITH {TRADES} SELECT '0x' || lpad(lower(to_hex(tx)), 64, '0') AS tx_hash, sum(log_index)::BIGINT AS gas, tx % 9 AS slot, count(*)::INT AS logs FROM trades GROUP BY tx")
 def src_receipts_json(spark, d):
     return files.receipts(receipt_lines(spark, d)).select("tx_hash", "gas", "slot", F.size("logs").alias("logs"))
 
 
-@query("receipts_summary", f"""WITH {TRADES}, r AS (SELECT tx, min(sender) AS s, sum(log_index)::BIGINT AS gas FROM trades WHERE day < DATE '2024-01-06' GROUP BY tx), top AS (SELECT count(*) AS signers, max(n) AS most FROM (SELECT s, count(*) AS n FROM r GROUP BY s)), l AS (SELECT * FROM trades WHERE day < DATE '2024-01-06')
+@query("receipts_summary", f"""WITH {TRADES}, r AS (SELECT tx, min(sender) AS s, sum(log_index)::BIGINT AS gas FROM trades GROUP BY tx), top AS (SELECT count(*) AS signers, max(n) AS most FROM (SELECT s, count(*) AS n FROM r GROUP BY s)), l AS (SELECT * FROM trades)
 SELECT count(*) AS txs, median(gas)::DOUBLE AS gas_p50, list_sort(list(gas))[CAST(ceil(0.95 * count(*)) AS BIGINT)] AS gas_p95, round(avg(CASE WHEN tx % 9 <= 2 THEN 1.0 ELSE 0.0 END), 9) AS early, (SELECT signers FROM top) AS signers,
  (SELECT count(*) FROM l WHERE log_index % 2 = 0 AND pool = 'click') AS swaps_of_ours, (SELECT count(*) FROM l WHERE log_index % 2 = 0 AND pool <> 'click') AS swaps_elsewhere, (SELECT count(*) FROM l WHERE log_index % 2 = 1) AS other_logs, round((SELECT most FROM top)::DOUBLE / count(*), 9) AS top_share FROM r""")
 def receipts_summary(spark, d):
@@ -210,11 +210,11 @@ def sink_insert_batch(spark, d):
     return back.agg(F.count("*").alias("rows"), (F.countDistinct("file_path") <= F.ceil(F.count("*") / 100_000)).alias("few_files"))
 
 
-@query("canonical_check", "SELECT CAST(max(event_id) AS BIGINT) AS block_number FROM events WHERE event_id < 500")
+@query("canonical_check", "SELECT CAST(last AS BIGINT) AS block_number FROM (SELECT max(event_id) AS last FROM events GROUP BY event_id // 500) WHERE last % 2500 = 499")
 def canonical_check(spark, d):
-    """One planted block whose hash is not the canonical one."""
-    rows = read(spark, d, "events").filter("event_id < 2000").select((F.floor(F.col("event_id") / 500) * 500).alias("from_block"), F.col("event_id").alias("block_number"), F.md5(F.col("event_id").cast("string").cast("binary")).alias("block_hash"))
-    canonical = rows.select("block_number", F.when(F.col("block_number") == 499, "forked").otherwise(F.col("block_hash")).alias("block_hash"))
+    """Planted blocks whose hash is not the canonical one: the last of every fifth range."""
+    rows = read(spark, d, "events").select((F.floor(F.col("event_id") / 500) * 500).alias("from_block"), F.col("event_id").alias("block_number"), F.md5(F.col("event_id").cast("string").cast("binary")).alias("block_hash"))
+    canonical = rows.select("block_number", F.when(F.col("block_number") % 2500 == 499, "forked").otherwise(F.col("block_hash")).alias("block_hash"))
     return landing.canonical_problems(rows, canonical).select("block_number")
 
 
@@ -297,10 +297,12 @@ def stream_sessions(spark, d):
     return found.select("sender", F.col("w.start").cast("timestamp_ntz").alias("start"), "trades")
 
 
-@query("fee_tier_pairs", "SELECT n_regionkey AS pair, arg_min(n_name, n_nationkey) AS low, arg_max(n_name, n_nationkey) AS high FROM nation WHERE n_nationkey < 10 GROUP BY 1 HAVING count(*) = 2")
+@query("fee_tier_pairs", "SELECT n_nationkey AS pair, n_name || ' 0.01%' AS low, n_name || ' 0.05%' AS high FROM nation")
 def fee_tier_pairs(spark, d):
     """The two pools of a pair, cheaper first; a pair with any other number is refused."""
-    rows = read(spark, d, "nation").filter("n_nationkey < 10").groupBy(F.col("n_regionkey").alias("pair")).agg(F.count("*").alias("n"), F.min_by("n_name", "n_nationkey").alias("low"), F.max_by("n_name", "n_nationkey").alias("high"))
+    tiers = F.explode(F.array(*[F.struct(F.lit(fee).alias("fee"), F.concat("n_name", F.lit(text)).alias("label")) for fee, text in ((500, " 0.05%"), (100, " 0.01%"))]))
+    pools = read(spark, d, "nation").select(F.col("n_nationkey").alias("pair"), tiers.alias("t")).select("pair", "t.*")
+    rows = pools.groupBy("pair").agg(F.count("*").alias("n"), F.min_by("label", "fee").alias("low"), F.max_by("label", "fee").alias("high"))
     checked = F.when(F.col("n") != 2, F.raise_error(F.lit("a pair needs two pools")).cast("int")).otherwise(F.col("pair"))
     return rows.select(checked.alias("pair"), "low", "high")
 

@@ -408,15 +408,16 @@ def arr_explode_param(spark, d):
 
 
 CALENDAR = f"""WITH {TRADES}, span AS (SELECT min(day) AS a, max(day) AS b FROM trades), cal AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
-users AS (SELECT DISTINCT sender FROM trades WHERE sender < 20) SELECT u.sender, c.day FROM users u, cal c WHERE NOT EXISTS (SELECT 1 FROM trades t WHERE t.sender = u.sender AND t.day = c.day)"""
+users AS (SELECT DISTINCT sender FROM trades) SELECT u.sender, c.day FROM users u, cal c WHERE NOT EXISTS (SELECT 1 FROM trades t WHERE t.sender = u.sender AND t.day = c.day)"""
 
 
 def _missing_days(spark, d):
-    """Days of the calendar on which a sender has no trade."""
+    """Days of the calendar on which a sender has no trade: the calendar without the sender's days,
+    one row for each sender until the missing days are listed."""
     t = trades(spark, d)
-    days = t.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
-    users = t.filter("sender < 20").select("sender").distinct()
-    return users.crossJoin(F.broadcast(days)).join(t.select("sender", "day"), ["sender", "day"], "left_anti")  # a row for each day
+    span = t.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    days = t.groupBy("sender").agg(F.collect_set("day").alias("days")).crossJoin(F.broadcast(span))  # one row
+    return days.select("sender", F.explode(F.array_except(F.sequence("a", "b"), "days")).alias("day"))
 
 
 query("arr_calendar", CALENDAR)(_missing_days)
@@ -575,10 +576,10 @@ def json_safe_cell(spark, d):
 # scalar functions
 
 
-@query("fn_math", "SELECT event_id, abs(value - 20) AS a, CAST(sign(value - 20) AS DOUBLE) AS s, CAST(floor(value) AS BIGINT) AS f, round(value, 1) AS r, least(value, 20.0::DOUBLE) AS l, greatest(value, 20.0::DOUBLE) AS g, round(pow(value, 2), 4) AS p, round(ln(value + 1), 9) AS n FROM events WHERE floor(value * 100) % 10 <> 5")
+@query("fn_math", "SELECT event_id, abs(value - 20) AS a, CAST(sign(value - 20) AS DOUBLE) AS s, CAST(floor(value) AS BIGINT) AS f, CAST(round(CAST(value AS DECIMAL(18, 6)), 1) AS DOUBLE) AS r, least(value, 20.0::DOUBLE) AS l, greatest(value, 20.0::DOUBLE) AS g, round(pow(value, 2), 4) AS p, round(ln(value + 1), 9) AS n FROM events")
 def fn_math(spark, d):
     v = F.col("value")
-    return read(spark, d, "events").filter(F.floor(v * 100) % 10 != 5).select("event_id", F.abs(v - 20).alias("a"), F.signum(v - 20).alias("s"), F.floor(v).alias("f"), F.round(v, 1).alias("r"), F.least(v, F.lit(20.0)).alias("l"), F.greatest(v, F.lit(20.0)).alias("g"), F.round(F.pow(v, 2), 4).alias("p"), F.round(F.ln(v + 1), 9).alias("n"))
+    return read(spark, d, "events").select("event_id", F.abs(v - 20).alias("a"), F.signum(v - 20).alias("s"), F.floor(v).alias("f"), F.round(v, 1).alias("r"), F.least(v, F.lit(20.0)).alias("l"), F.greatest(v, F.lit(20.0)).alias("g"), F.round(F.pow(v, 2), 4).alias("p"), F.round(F.ln(v + 1), 9).alias("n"))
 
 
 @query("fn_dates", """SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('hour', ts) AS hour_start, CAST(hour(ts) AS INT) AS hour, strftime(ts, '%Y%m') AS month, CAST(date_trunc('week', ts) AS DATE) AS monday,
@@ -614,8 +615,17 @@ def fn_seeded_hash(spark, d):
     return trades(spark, d).select("log_index", F.xxhash64(F.lit(7), "blk", "log_index").alias("pick"))
 
 
-@query("fn_readable_size", "SELECT event_id, CASE WHEN event_id < 1 THEN '0.00 B' WHEN event_id * 3 < 1024 THEN printf('%.2f B', (event_id * 3)::DOUBLE) ELSE printf('%.2f KiB', (event_id * 3) / 1024.0::DOUBLE) END AS size FROM events WHERE event_id * 3 < 900000 AND (event_id * 3) % 256 <> 0 AND (event_id * 3 * 100) % 512 <> 0")
-def fn_readable_size(spark, d):
-    rows = read(spark, d, "events").filter("event_id * 3 < 900000 and (event_id * 3) % 256 != 0 and (event_id * 3 * 100) % 512 != 0")
-    return rows.select("event_id", money.readable_size(F.col("event_id") * 3).alias("size"))
+def _hundredths(unit: int, name: str) -> str:
+    """A size in a unit with two digits, half a hundredth going up."""
+    h = f"((n * 200 + {unit}) // {2 * unit})"
+    return f"printf('%d.%02d {name}', CAST({h} // 100 AS BIGINT), CAST({h} % 100 AS BIGINT))"
+
+
+SIZES = "event_id::HUGEINT * (CASE event_id % 4 WHEN 0 THEN 3 WHEN 1 THEN 300 WHEN 2 THEN 30000 ELSE 3000000 END)"
 
+
+@query("fn_readable_size", f"SELECT event_id, CASE WHEN n < 1024 THEN {_hundredths(1, 'B')} WHEN n < 1048576 THEN {_hundredths(1 << 10, 'KiB')} WHEN n < 1073741824 THEN {_hundredths(1 << 20, 'MiB')} ELSE {_hundredths(1 << 30, 'GiB')} END AS size FROM (SELECT event_id, {SIZES} AS n FROM events)")
+def fn_readable_size(spark, d):
+    i = F.col("event_id")
+    n = i * F.when(i % 4 == 0, 3).when(i % 4 == 1, 300).when(i % 4 == 2, 30_000).otherwise(3_000_000)
+    return read(spark, d, "events").select("event_id", money.readable_size(n).alias("size"))

@@ -1,3 +1,4 @@
+import random
 import datetime
 from decimal import Decimal
 
@@ -37,7 +38,9 @@ def test_run_sql(spark):
 def test_cells_and_grounding():
     assert guard.cell(2**53) == str(2**53) and guard.cell(5) == 5 and guard.cell(Decimal("1.50")) == "1.50"
     assert guard.cell(datetime.date(2024, 1, 2)) == "2024-01-02" and guard.cell(b"\xff") == "0xff" and guard.cell(b"ab") == "ab"
-    assert guard.grounded("USDC", [[["usdc"]]]) and guard.grounded(0.3, [[[0.1 + 0.2]]]) and not guard.grounded(1, [[[2]], [[3]]])
+    assert guard.grounded("USDC", [[["USDC"]]]) and not guard.grounded("USDC", [[["usdc"]]]) and not guard.grounded(1, [[[2]], [[3]]])
+    assert guard.grounded("0.30", [[[Decimal("0.3")]]]) and not guard.grounded(0.3, [[[0.1 + 0.2]]]) and guard.grounded(0.1, [[["0.1000000000000000055"]]]) and not guard.grounded("0.1", [[["0.1000000000000000055"]]])
+    assert guard.grounded(["a", 2], [[["a"], [2]]]) and not guard.grounded(["a", 3], [[["a"], [2]]]) and not guard.grounded([], [[["a"]]]) and not guard.grounded(1, [[[True]]])
     assert guard.cause_of_ungrounded(2, [[[2]], [[3]]]) == "an earlier result"
     assert guard.cause_of_ungrounded("1.0000001", [[["1.0000002"]]]) == "only as a rounded number"
 
@@ -94,6 +97,18 @@ def test_statistics(spark):
     assert {r["stratum"]: r["quota"] for r in evaluation.quotas(sizes, 10).collect()} == {"a": 5, "b": 3, "c": 2}
 
 
+def test_long_sections_are_cut_at_blank_lines():
+    rng = random.Random(2)
+    for _ in range(50):
+        parts = ["p" * rng.randint(1, 400) for _ in range(rng.randint(1, 12))]
+        pieces = [t for _, t in bm25.chunks_of("# H\n" + "\n\n".join(parts))]
+        assert "\n\n".join(pieces) == "\n\n".join(parts)
+        whole = len("\n\n".join(parts))
+        assert len(pieces) == 1 if whole <= bm25.LONGEST or len(parts) == 1 else 1 < len(pieces) <= -(-whole // bm25.LONGEST)
+    assert bm25.chunks_of("~~~\n# no\n```\n# no\n~~~\n# yes\ntext") == [("", "~~~\n# no\n```\n# no\n~~~"), ("yes", "text")]
+    assert bm25.chunks_of("") == [] and bm25.chunks_of("# alone") == [("alone", "")]
+
+
 def test_chunks_and_search(spark):
     text = "intro words\n\n# Fees\nA fee is taken.\n```\n# not a heading\n```\n## Gaps\nGaps between prices."
     pieces = bm25.chunks_of(text)
