@@ -200,18 +200,19 @@ def quotas(sizes: DataFrame, n: int) -> DataFrame:
 
 
 def stratified(rows: DataFrame, stratum: str, key: str, n: int, pick: Column) -> DataFrame:
-    """A sample with each stratum's quota, chosen by a hash. No task sorts a whole stratum: of
-    each, the ones below a hash bound are enough, found by rank within."""
+    """A sample with each stratum's quota, chosen by a hash. No quota exceeds n, so each task keeps
+    the first n of a stratum before any are brought together."""
     sizes = rows.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("size"))
     seats = quotas(sizes, n).withColumnRenamed("stratum", stratum)
     place = F.row_number().over(Window.partitionBy(stratum).orderBy(pick, key))
-    return rows.withColumn("_place", place).join(F.broadcast(seats), stratum).filter(F.col("_place") <= F.col("quota")).drop("_place", "quota")
+    first = rows.withColumn("_place", place).filter(F.col("_place") <= n)
+    return first.join(seats, stratum).filter(F.col("_place") <= F.col("quota")).drop("_place", "quota")
 
 
 def round_robin(rows: DataFrame, family: str, key: str, n: int) -> DataFrame:
-    """One of each family in turn, until n."""
+    """One of each family in turn, until n; no family gives more than n."""
     place = F.row_number().over(Window.partitionBy(family).orderBy(key))
-    return rows.withColumn("_turn", place).orderBy("_turn", family).limit(n).drop("_turn")
+    return rows.withColumn("_turn", place).filter(F.col("_turn") <= n).orderBy("_turn", family).limit(n).drop("_turn")
 
 
 def spread_margin(rows: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def q_dim_pools(spark, d):
 @query("q_stg_swaps", f"WITH {TRADES} SELECT log_index, pool, {FEE} AS fee, day, '0x' || lpad(lower(to_hex(sender)), 40, '0') AS sender, other_raw, other_raw / 100.0::DOUBLE AS amount, CASE WHEN pool <> 'error' THEN abs(other_raw) / 100.0::DOUBLE END AS volume_usd FROM trades")
 def q_stg_swaps(spark, d):
     """The readable view: scaled exactly, addresses as text, dollars where a stable leg is."""
-    t = trades(spark, d).join(F.broadcast(dim_pools(spark, d)), "pool")  # a row for each pool
+    t = trades(spark, d).join(dim_pools(spark, d), "pool")
     amount = money.scale_exact(F.col("other_raw").cast("decimal(38,0)"), F.lit(2)).cast("double")
     return t.select("log_index", "pool", "fee", "day", F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("sender")), 40, "0")).alias("sender"), "other_raw", amount.alias("amount"), F.when(F.col("pool") != "error", F.abs(amount)).alias("volume_usd"))
 

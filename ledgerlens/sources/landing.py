@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import decode
+from ..session import scratch
 
 LOG = "struct<removed:boolean,address:string,topics:array<string>,data:string,blockNumber:string,transactionIndex:string,logIndex:string,blockTimestamp:string,blockHash:string,transactionHash:string>"
 DECODED = ("pool", "block_number", "block_hash", "block_timestamp", "tx_hash", "tx_index", "log_index", "sender", "recipient", "amount0", "amount1", "sqrt_price", "liquidity", "tick")
@@ -68,20 +69,24 @@ def load(spark: SparkSession, landing: str, target: str, full: bool = False) ->
     Ranges are partitions of the target, overwritten dynamically; a full load replaces all."""
     rows = read_landing(spark, landing).withColumn("month", F.substring("block_timestamp", 1, 7))
     files = rows.groupBy("from_block").agg(F.count(F.lit(1)).alias("lines"))
-    empty = spark.createDataFrame([], "from_block long")
-    try:
-        table = empty if full else spark.read.parquet(target).select("from_block")
-    except Exception:  # no table yet
-        table = empty
-    plan = load_plan(files, table)
-    done = plan.collect()  # a row for each file
-    todo = [r["from_block"] for r in done if r["action"] != "skip"]
+    fresh = full or not exists(spark, target)
+    table = spark.createDataFrame([], "from_block long") if fresh else spark.read.parquet(target).select("from_block")
+    # the plan is written, as what it was made from changes
+    at = scratch(spark, "load-plan")
+    load_plan(files, table).write.parquet(at)
+    plan = spark.read.parquet(at)
+    todo = plan.filter("action != 'skip'").select("from_block")
     if full:
         rows.write.mode("overwrite").partitionBy("from_block").parquet(target)
-    elif todo:
-        some = spark.createDataFrame([(x,) for x in todo], "from_block long")
-        rows.join(F.broadcast(some), "from_block").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("from_block").parquet(target)
-    return spark.createDataFrame(done, plan.schema)
+    elif not todo.isEmpty():
+        rows.join(todo, "from_block", "left_semi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("from_block").parquet(target)
+    return plan
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a folder; any other trouble with it raises."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
 
 
 def verify(table: DataFrame, files: DataFrame, aggregate: DataFrame) -> DataFrame:
