@@ -52,6 +52,20 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class WordIds(dict):
+    """Ids of words as bytes; a word that is asked for first is worked out, or taken over from the
+    older half of what its encoder remembers."""
+
+    def __init__(self, encoder: WordEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.encoder.words_before.get(word)
+        self[word] = found = self.encoder.word(word) if found is None else found
+        return found
+
+
 class WordEncoder:
     """Ids of texts, word by word where the tokenizer allows it.
 
@@ -77,7 +91,7 @@ class WordEncoder:
         self.by_word = split and bytewise and kinds == ["NFC", "Replace", "Lowercase"] and not spec.get("post_processor")
         self.piece_of, self.plain = regex.compile(WORD_PATTERN), regex.compile(r"[!-~\xa1-\xff]+")
         self.letters = byte_letters()
-        self.words: dict[bytes, bytes] = {}
+        self.words = WordIds(self)
         self.words_before: dict[bytes, bytes] = {}  # the older half of what is remembered
         self.pieces: dict[str, bytes] = {}
 
@@ -89,19 +103,14 @@ class WordEncoder:
             return [np.array(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         out = []
         for text in texts:
-            words = text.split()
-            known = self.words
-            for word in set(words).difference(known):
-                found = self.words_before.get(word)
-                known[word] = self.word(word) if found is None else found
-            out.append(b"".join(map(known.__getitem__, words)))
-            if len(known) > self.cached:
-                self.words_before, self.words, self.pieces = known, {}, {}
+            out.append(b"".join(map(self.words.__getitem__, text.split())))
+            if len(self.words) > self.cached:
+                self.words_before, self.words, self.pieces = self.words, WordIds(self), {}
         return out
 
     def forget(self) -> None:
         """Let go of the words, so that a worker between tasks holds the model alone."""
-        self.words, self.words_before, self.pieces = {}, {}, {}
+        self.words, self.words_before, self.pieces = WordIds(self), {}, {}
 
     def word(self, word: bytes) -> bytes:
         body, mark = (word[:-1], word[-1:]) if word[-1] in MARKS else (word, b"")
