@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline as pipeline
@@ -70,3 +71,38 @@ def test_run_is_the_stages_in_turn(spark, corpus):
     path, _ = corpus
     assert pipeline.run(spark, path).columns[0] == "doc_id"
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "line dedup", "near dedup", "mix", "pack"]
+
+
+def test_empty_table(spark, docs, tmp_path):
+    docs([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    empty = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0, name
+        assert name == "pack" or out.columns == list(pipeline.COLUMNS)
+
+
+def test_repeated_and_null_ids_lose_no_clean_text(spark, docs, tmp_path):
+    """Of rows with one id or none a row stays for each text; the rest of the stages keep all."""
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    text = lambda n: " ".join(f"w{n}x{k}" for k in range(30))
+    rows = [(None, text(1), "a"), (None, text(2), "a"), (None, text(1), "b"), (7, text(3), "a"), (7, text(4), "b"), (7, text(3), "a"), (8, text(4), "a"), (9, None, None), (9, "", "a"), (None, None, "a")]
+    frame = docs(rows)
+    for stage in (pipeline.drop_toxic, pipeline.drop_shared_lines):
+        assert stage(spark, frame, str(tmp_path)).count() == len(rows)
+    for parts in (1, 5):
+        got = pipeline.drop_near_copies(spark, frame.repartition(parts), str(tmp_path)).collect()
+        assert sorted((r["doc_id"] or 0, r["text"] or "", r["source"] or "") for r in got) == sorted([(0, text(1), "a"), (0, text(2), "a"), (7, text(3), "a"), (7, text(4), "b"), (9, "", "a"), (0, "", "a")])
+    mixed = pipeline.mix_to_targets(spark, docs([(1, "", "s"), (2, text(5), "s"), (3, text(6), "t"), (4, text(7), "u"), (5, None, "s")]), str(tmp_path)).groupBy("doc_id").count().collect()
+    assert max(r["count"] for r in mixed) <= 3
+
+
+def test_columns_with_clashing_names(spark, docs, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    more = docs([(1, "one text here", "a"), (2, "another text here", "b")])
+    for name in ("row", "did", "th", "key", "place", "copy", "kept", "size", "toxic", "pid", "ids"):
+        more = more.withColumn(name, F.lit(1))
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, more, str(tmp_path))
+        assert {r["doc_id"] for r in out.collect()} == {1, 2}, name
