@@ -3,6 +3,7 @@ the ledger, and controls on the rows of a table."""
 
 from __future__ import annotations
 
+import datetime
 import json
 
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..functions import decode
 from ..operators import evaluation as ev
 from ..operators import quality
 from ..sources import pools, rpc
+from .control import daily_window
 from .marts import DAILY, daily, q_smart_daily
 from .reconciliation import HOURS, hourly
 from .registry import ORACLE, TRADES, query, read, scratch, trades
@@ -93,6 +95,42 @@ def src_safe_head_rows(spark, d):
     return spark.createDataFrame(out, "event_id long, head long, refused boolean")
 
 
+def _keys(spark, d) -> list[int]:
+    return [r["n_nationkey"] for r in read(spark, d, "nation").select("n_nationkey").collect()]  # 25 rows
+
+
+@query("src_error_budget_rows", "SELECT n_nationkey, n_nationkey * 20 >= 200 AND n_nationkey * (n_nationkey % 7) > 0.2 * n_nationkey * 20 AS over FROM nation")
+def src_error_budget_rows(spark, d):
+    out = []
+    for k in _keys(spark, d):
+        client = rpc.Client(None)
+        client.requests, client.repeated = k * 20, k * (k % 7)
+        out.append((k, client.over_budget()))
+    return spark.createDataFrame(out, "n_nationkey int, over boolean")
+
+
+@query("src_window_resume_rows", "SELECT n_nationkey, CASE WHEN n_nationkey % 12 < 10 THEN 11 + n_nationkey % 12 END AS first FROM nation")
+def src_window_resume_rows(spark, d):
+    """What is left of blocks 10 to 20 behind a covered beginning of some length, given in two parts."""
+    left = [(k, rpc.window_left(10, 20, [(11, 10 + k % 12), (10, 10)])) for k in _keys(spark, d)]
+    return spark.createDataFrame([(k, x[0] if x else None) for k, x in left], "n_nationkey int, first int")
+
+
+@query("store_daily_window_rows", "SELECT n_nationkey, CAST(least(DATE '2024-01-09' + n_nationkey, DATE '2024-01-20') - CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 0 END AS DATE) AS last FROM nation")
+def store_daily_window_rows(spark, d):
+    """The last whole day of fetches that end on different days, complete or not."""
+    end = lambda k: datetime.datetime(2024, 1, 9, 14) + datetime.timedelta(days=k)
+    out = [(k, daily_window(datetime.date(2024, 1, 3), end(k), k % 2 == 1, datetime.datetime(2024, 1, 20))[1]) for k in _keys(spark, d)]
+    return spark.createDataFrame(out, "n_nationkey int, last date")
+
+
+@query("sql_guard_rows", "SELECT n_nationkey, n_nationkey % 5 < 2 AS allowed FROM nation")
+def sql_guard_rows(spark, d):
+    """Texts that only read, and texts that write, name a path or hold a second statement."""
+    kinds = ["SELECT {k} AS x", "WITH t AS (SELECT {k} AS x) SELECT x FROM t WHERE x > {k} - 1", "DELETE FROM events WHERE event_id = {k}", "SELECT * FROM csv.`/tmp/{k}`", "SELECT {k}; DROP TABLE t{k}"]
+    return spark.createDataFrame([(k, guard.check(kinds[k % 5].format(k=k)).ok) for k in _keys(spark, d)], "n_nationkey int, allowed boolean")
+
+
 # dashboard series
 
 
