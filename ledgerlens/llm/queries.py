@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity
+from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity, warc
 
 
 #: A conversation that holds the template's own marks.
@@ -61,6 +61,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(shared.table(spark, sf_dir, "documents"))
 
 
+def op11_archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archived(shared.table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "place", "capture")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_format_chats": op1_format_chats,
     "op2_scan_licenses": op2_scan_licenses,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_extract_pages": op8_extract_pages,
     "op9_mix_sources": op9_mix_sources,
     "op10_pack": op10_pack,
+    "op11_archive_pages": op11_archive_pages,
 }
 
 ORACLE: dict[str, str] = {
@@ -111,6 +117,26 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op11_archive_pages": r"""
+WITH bodies AS (
+  SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         regexp_replace(regexp_replace(coalesce(url, ''), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+  FROM pages),
+split AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS target, regexp_extract(rest, '^[^/?]*') AS host, substr(rest, length(regexp_extract(rest, '^[^/?]*')) + 1) AS tail FROM bodies),
+keyed AS (
+  SELECT *, array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              ':(80|443)$', ''), '^www[0-9]*[.]', ''), '.')), ',') || ')'
+            || CASE WHEN split_part(tail, '?', 1) = '' THEN '/' ELSE split_part(tail, '?', 1) END
+            || CASE WHEN strpos(tail, '?') > 0 AND substr(tail, strpos(tail, '?') + 1) <> ''
+                    THEN '?' || array_to_string(list_sort(string_split(substr(tail, strpos(tail, '?') + 1), '&')), '&') ELSE '' END AS url_key
+  FROM split)
+SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> target THEN target END AS refers_to, url_key,
+       row_number() OVER (ORDER BY url_key, page_id) - 1 AS place, row_number() OVER (PARTITION BY url_key ORDER BY page_id) AS capture
+FROM keyed
 """,
     "op9_mix_sources": r"""
 WITH sized AS (
