@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity, warc
+from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity, variants, warc
 
 
 #: A conversation that holds the template's own marks.
@@ -66,6 +66,10 @@ def op11_archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "place", "capture")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(shared.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_format_chats": op1_format_chats,
     "op2_scan_licenses": op2_scan_licenses,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_pack": op10_pack,
     "op11_archive_pages": op11_archive_pages,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -137,6 +142,37 @@ SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> target THEN target END AS refers_to, url_key,
        row_number() OVER (ORDER BY url_key, page_id) - 1 AS place, row_number() OVER (PARTITION BY url_key ORDER BY page_id) AS capture
 FROM keyed
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS id, run, count(*) AS c
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{6,}')),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY ALL),
+-- CRC-32 bit by bit: a byte (128 and more in two of UTF-8), then eight steps
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(flatten(list_transform(string_split(id, ''),
+           lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT] ELSE [192 + (unicode(s) >> 6)::BIGINT, 128 + (unicode(s) & 63)::BIGINT] END)),
+           lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))),
+         lambda h, b: CASE WHEN b >= 0 THEN xor(h, b) WHEN h & 1 = 1 THEN xor(h >> 1, 3988292384) ELSE h >> 1 END), 4294967295) AS h
+  FROM runs),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (SELECT word, n, p.i AS i, substr(word, 1, p.i - 1) || substr(word, p.i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS p(i)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT cut.word, w.word, w.n FROM cut JOIN words w ON cut.rest = w.word
+  UNION SELECT w.word, cut.word, cut.n FROM cut JOIN words w ON cut.rest = w.word),
+near AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+steps AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON s.next = f.word)
+SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON f.word = s.word AND s.next IS NULL
 """,
     "op9_mix_sources": r"""
 WITH sized AS (
