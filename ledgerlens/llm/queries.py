@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity, variants, warc
+from . import chat, exactdedup, htmltext, licenses, linededup, mixing, neardup, packing, shared, syncmers, toxicity, trie, variants, warc
 
 
 #: A conversation that holds the template's own marks.
@@ -70,6 +70,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(shared.table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuilt(shared.table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_format_chats": op1_format_chats,
     "op2_scan_licenses": op2_scan_licenses,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pack": op10_pack,
     "op11_archive_pages": op11_archive_pages,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = {
@@ -173,6 +178,35 @@ steps AS (
   SELECT word, word AS at, form AS next FROM forms
   UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON s.next = f.word)
 SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON f.word = s.word AND s.next IS NULL
+""",
+    "op13_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS place
+  FROM (SELECT conv_id, turn, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k FROM conversations)),
+-- CRC-32 of the digits, bit by bit
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS family,
+         xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ''), ''),
+               lambda s: CASE WHEN s = '' THEN [0]::BIGINT[] ELSE [unicode(s), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[] END))),
+             lambda h, b: CASE WHEN b >= 0 THEN xor(h, b) WHEN h & 1 = 1 THEN xor(h >> 1, 3988292384) ELSE h >> 1 END), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations)),
+laid AS (
+  SELECT c.conv_id, 0 AS part, place, k, words FROM convs c JOIN turns t ON c.family = t.conv_id AND place < h
+  UNION ALL SELECT c.conv_id, 1, place, k, words FROM convs c JOIN turns t ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND place >= h),
+paths AS (
+  SELECT c.conv_id, coalesce(string_agg(k, '' ORDER BY part, place), '') AS path, list(words ORDER BY part, place) FILTER (k IS NOT NULL) AS words
+  FROM convs c LEFT JOIN laid l ON c.conv_id IS NOT DISTINCT FROM l.conv_id GROUP BY c.conv_id),
+begun AS (SELECT conv_id, path, d.i AS depth, substr(path, 1, 64 * d.i) AS node, CASE WHEN d.i = 0 THEN 0 ELSE words[d.i] END AS words FROM paths, unnest(range(0, length(path) // 64 + 1)) AS d(i)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(coalesce(conv_id::VARCHAR, ''), ',' ORDER BY conv_id NULLS LAST) FILTER (path = node), '')) AS ends_sha256
+  FROM begun GROUP BY node, depth),
+kids AS (SELECT substr(node, 1, 64 * (depth - 1)) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+sums AS (
+  SELECT substr(n.node, 1, 64 * d.i) AS node, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (kids.node IS NULL) AS n_leaves
+  FROM nodes n LEFT JOIN kids ON n.node = kids.node, unnest(range(0, n.depth + 1)) AS d(i) GROUP BY 1)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes u ON n.depth > 0 AND u.node = substr(n.node, 1, 64 * (n.depth - 1)) LEFT JOIN kids ON n.node = kids.node JOIN sums ON n.node = sums.node
 """,
     "op9_mix_sources": r"""
 WITH sized AS (
