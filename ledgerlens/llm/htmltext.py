@@ -10,7 +10,9 @@ gives every node's exact marginal; text of nodes with a marginal of at least a h
 Text is taken block by block: character references decoded, white space made one space, trimmed,
 blocks in page order joined by one space. Scripts, styles, form controls and comments in markup
 hold no text; what other elements hold (formulas, pictures, objects, noscript) is text like any.
-Parsing takes time in proportion to the page, whatever its marks. Defined results: null or empty html gives the empty string; pages without any tag
+Parsing takes time in proportion to the page, whatever its marks, and elements may lie as deep as they
+like: a wrapper that holds nothing but one element says nothing of it and takes no part in the
+messages, so a long chain of wrappers leaves its content as likely as it was. Defined results: null or empty html gives the empty string; pages without any tag
 are judged as one block; rows that repeat are extracted each; an empty table gives no row.
 """
 
@@ -18,7 +20,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import cache
 
@@ -31,8 +34,6 @@ from .labelled_pages import labelled_pages
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 PLAIN = re.compile(r"""[^"'>]*""")
 ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-#: Open elements, at most: one that is opened beyond closes the innermost first.
-DEEPEST = 512
 #: Elements whose inside is no text of the page: scripts, styles, form controls, other documents.
 RAW = frozenset({"script", "style", "template", "iframe", "textarea", "title", "noembed", "noframes", "select", "button"})
 VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"})
@@ -107,7 +108,8 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
     """Nodes, each after its parent, and the text pieces of each block in page order."""
     nodes, blocks = [Node("#root", -1, "", None)], []
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the node that text goes to
-    opened: Counter[str] = Counter()
+    opened: defaultdict[str, list[int]] = defaultdict(list)  # depths of the open elements of a tag
+    outer: list[int] = []  # depths of those that are no inline elements
     block: list[str] | None = None
     links = 0
 
@@ -128,13 +130,18 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
     def close(depth: int) -> None:
         nonlocal block, links
         for tag, _ in stack[depth:]:
-            opened[tag] -= 1
+            opened[tag].pop()
             if tag == "a":
                 links -= 1
             elif tag not in INLINE:
                 block = None
+                outer.pop()
         del stack[depth:]
 
+    def last(tags: frozenset | set) -> int:
+        """Depth of the innermost open element of the tags, or 0."""
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     at, n, tags = 0, len(page), Tags(page)
     while at < n:
         found = tags(at)
@@ -148,15 +155,11 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
         if not tag:
             continue
         if closes:
-            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if tag in INLINE and stack[depth][0] not in INLINE:
-                    break
-            else:
-                if tag == "p":
-                    block = None
+            depth = opened[tag][-1] if opened.get(tag) else 0
+            if depth and not (tag in INLINE and outer and outer[-1] > depth):
+                close(depth)
+            elif tag == "p" and not depth:
+                block = None
             continue
         alone = attributes.endswith("/")
         if tag in RAW:
@@ -169,38 +172,29 @@ def parse(page: str) -> tuple[list[Node], list[list[str]]]:
             if tag in ("br", "hr"):
                 block = None
             continue
-        if len(stack) > DEEPEST:
-            close(len(stack) - 1)
         if tag in INLINE:
             if not alone:
                 links += tag == "a"
-                opened[tag] += 1
+                opened[tag].append(len(stack))
                 stack.append((tag, stack[-1][1]))
             continue
         if tag in ENDS:
             goes, stops = ENDS[tag]
-            cut = None
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in stops:
-                    break
-                if stack[depth][0] in goes:
-                    cut = depth
-            if cut is not None:
-                close(cut)
+            stop = last(stops)
+            cuts = [d[bisect_right(d, stop)] for t in goes if (d := opened.get(t)) and d[-1] > stop]
+            if cuts:
+                close(min(cuts))
         elif tag in ENDS_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
-                    close(depth)
-                    break
-                if stack[depth][0] in BUTTON_SCOPE:
-                    break
+            if opened.get("p") and opened["p"][-1] > last(BUTTON_SCOPE):
+                close(opened["p"][-1])
         values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
         names = f"{values.get('class', '')} {values.get('id', '')} {values.get('role', '')}".strip() if values else ""
         hint = "" if not names else "other" if OTHER_HINT.search(names) else "content" if CONTENT_HINT.search(names) else ""
         nodes.append(Node(tag, stack[-1][1], hint, values.get("y")))
         block = None
         if not alone:
-            opened[tag] += 1
+            opened[tag].append(len(stack))
+            outer.append(len(stack))
             stack.append((tag, len(nodes) - 1))
     return nodes, blocks
 
@@ -247,6 +241,29 @@ def labels_of(nodes: list[Node]) -> list[int]:
     return [CONTENT if y == CONTENT else WRAPPER if inside else OTHER for y, inside in zip(own, holds, strict=True)]
 
 
+def without_chains(nodes: list[Node]) -> tuple[list[Node], list[int]]:
+    """The tree without wrappers that hold nothing but one element (plain boxes, or elements of
+    their child's kind), and for each node its place in that tree (-1: left out)."""
+    children = [0] * len(nodes)
+    only = [0] * len(nodes)
+    for i in range(1, len(nodes)):
+        children[nodes[i].parent] += 1
+        only[nodes[i].parent] = i
+    kinds = [kind_of(node) for node in nodes]
+    kept, place, above = [nodes[0]], [0] * len(nodes), [0] * len(nodes)
+    for i in range(1, len(nodes)):
+        node = nodes[i]
+        above[i] = place[node.parent] if place[node.parent] >= 0 else above[node.parent]
+        if children[i] == 1 and not node.blocks and kinds[i] in ("box/", kinds[only[i]]):
+            place[i] = -1
+            continue
+        place[i] = len(kept)
+        copy = Node(node.tag, above[i], node.hint, node.label)
+        copy.blocks, copy.link_chars = node.blocks, node.link_chars
+        kept.append(copy)
+    return kept, place
+
+
 class PageModel:
     """Potentials: of a node's label given its parent's, by kind, and of its looks."""
 
@@ -256,6 +273,8 @@ class PageModel:
             nodes, pieces = parse(page)
             blocks = ["".join(b) for b in pieces]
             labels = labels_of(nodes)
+            nodes, place = without_chains(nodes)
+            labels = [y for y, at in zip(labels, place, strict=True) if at >= 0]
             for node, label in zip(nodes[1:], labels[1:], strict=True):
                 edges[kind_of(node), labels[node.parent], label] += 1
                 for name, value in zip(("size", "links"), looks_of(node, blocks), strict=True):
@@ -355,6 +374,7 @@ def extract(page: str, model: PageModel | None = None) -> str:
     """The main text of one page."""
     model = model or trained()
     nodes, pieces = parse(page)
+    nodes, _ = without_chains(nodes)
     blocks = ["".join(b) for b in pieces]
     chances = model.marginals(nodes, blocks)
     if len(nodes) == 1:

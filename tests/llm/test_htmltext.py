@@ -91,6 +91,20 @@ def test_long_pages_of_one_mark_take_time_in_proportion(mark):
     assert time.process_time() - began < 6
 
 
+@pytest.mark.parametrize("depth", [1, 100, 300, 2000])
+def test_wrappers_around_text_do_not_lose_it(depth):
+    """Plain boxes, boxes with a hint and other elements, around a paragraph and the whole article."""
+    deep = "<div>" * depth + f"<p>{LONG}</p>" + "</div>" * depth
+    assert extract(f"<body><nav><a href=x>Home</a></nav><article>{deep}<p>{LONG}</p></article></body>") == f"{LONG} {LONG}"
+    around = "<div class=content>" * depth + f"<article><p>{LONG}</p></article>" + "</div>" * depth
+    assert extract(f"<body><nav><a href=x>Home</a></nav>{around}<footer>us</footer></body>") == LONG
+
+
+def test_an_element_far_below_still_ends_its_like():
+    page = "<table><tr><td>" + "<div>" * 1000 + f"{LONG}<td>two"
+    assert [len(n.blocks) for n in htmltext.parse(page)[0] if n.tag == "td"] == [0, 1]
+
+
 def test_quotes_hide_the_end_of_a_tag():
     nodes, blocks = htmltext.parse("<p title='a > b'>one</p><p data-x=\"'\">two</p><p title='open>three</p>")
     assert ["".join(b) for b in blocks] == ["one", "two", "three"]
