@@ -1,14 +1,18 @@
 """Document fingerprints from closed syncmers.
 
 A text is a sequence of characters. Of its runs of K characters, those are anchors whose least
-inner run of S characters, by hash, stands first or last: closed syncmers. Only inner runs whose
-hash lies in the lowest sixth of all hashes take part, so most places need no comparison; a run
-of K without any (three in a thousand) is no anchor. Whether a run is an anchor depends on its own
-characters alone, so shared passages have the same anchors wherever they stand, one in about
-fifteen places. A text of fewer than SHORT characters has few runs of K that an edit leaves whole,
-so all its runs of S are anchors as well.
-
-The fingerprint lists the anchors in text order, each with its character position. Likeness of two
+inner run of S characters, by hash, stands first or last: closed syncmers. Whether a run is an
+anchor depends on its own characters alone, so shared passages have the same anchors wherever they
+stand, one in about sixteen places. Where a window of inner runs holds one of low hash, its least
+is low too: so low ones are compared, and all places of the rare stretches without any.
+
+That is the coarse scale, which every text has. Texts of fewer than FINE characters have a fine one
+as well: all their runs of S characters. Two texts are compared on the finest scale that both have;
+FINE lies far above the length at which the coarse scale begins to tell texts apart, so neighbours
+in length are compared alike on either side of it.
+
+The fingerprint lists the anchors in text order, each with its character position (``hash@position``
+on the coarse scale, ``hash:position`` on the fine one). Likeness of two
 fingerprints is the share of common anchors among all (Jaccard); ``aligned`` matches by position:
 the share of common anchors that keep their position.
 
@@ -17,8 +21,8 @@ the next text's beginning behind it, and what lies across the cut, which alone i
 
 Main path in DataFrame functions only. Defined results: a null text is empty; an empty text has an
 empty fingerprint, like another such text by 1 and any other by 0; a text without an anchor (of
-fewer than S characters, or by chance) has one anchor made of all of it; equal texts have equal
-fingerprints; rows that repeat an id, or have none, follow each other by the hash of their texts.
+fewer than S characters, or a long one by chance) has one anchor made of all of it; equal texts
+have equal fingerprints; rows that repeat an id, or have none, follow each other by the hash of their texts.
 """
 
 from __future__ import annotations
@@ -32,10 +36,10 @@ from . import shared
 #: Characters of an inner run, inner runs of a run, and the run's characters.
 S, INNER = 4, 32
 K = INNER + S - 1
-#: Inner runs with hashes below this take part: a sixth.
-LOWEST = -(1 << 63) + (1 << 64) // 6
-#: Texts of fewer characters have their inner runs as anchors too.
-SHORT = 8 * K
+#: Hashes below this count as low: a sixth. Saves comparisons and changes no result.
+LOW = -(1 << 63) + (1 << 64) // 6
+#: Texts of fewer characters have the fine scale too.
+FINE = 8 * K
 #: Minima are kept of so many neighbouring hashes; INNER is a multiple.
 STEP = 4
 #: Anchors are 48-bit numbers: 12 hex digits in a fingerprint.
@@ -82,39 +86,63 @@ def kmers(text: Column) -> Column:
     def of_hashes(h: Column) -> Column:
         n = F.size(h) - (S - 1)
         minima = bound(_beside(h, 1, least), lambda two: _beside(two, 2, least))
-        low = F.array_compact(F.transform(h, lambda x, i: F.when(x < LOWEST, i)))
-        return bound(minima, lambda m: bound(low, lambda at: of_candidates(h, n, m, at)))
+        low = F.array_compact(F.transform(h, lambda x, i: F.when(x < LOW, i)))
+
+        def with_gaps(at: Column) -> Column:
+            # places from one low one to the next, if a window of INNER fits between
+            start = F.concat(F.array(F.lit(-1)), at)
+            gaps = F.zip_with(start, F.concat(at, F.array(n)), lambda x, y: F.when(y - x > INNER, F.sequence(x + 1, y - 1)))
+            return F.concat(at, F.flatten(F.array_compact(gaps)))
+
+        return bound(minima, lambda m: bound(bound(low, with_gaps), lambda at: of_candidates(h, n, m, at)))
 
     none = F.array().cast("array<struct<pos:int,anchor:bigint>>")
     return F.when(F.length(text) < K, none).otherwise(inner_hashes(text, of_hashes))
 
 
 def anchors(text: Column, found: Column | None = None) -> Column:
-    """Array of (pos, anchor) of a text; ``found`` are its syncmers, if known."""
+    """(coarse, fine): arrays of (pos, anchor) of a text, fine null for long ones; ``found`` are its
+    syncmers, if known."""
     found = kmers(text) if found is None else found
     inner = inner_hashes(text, lambda h: F.transform(F.slice(h, F.lit(1), F.greatest(F.size(h) - (S - 1), F.lit(0))), lambda x, i: _struct(i, x)))
     whole = F.array(_struct(F.lit(0), F.xxhash64(text)))
-    listed = F.when(F.length(text) < SHORT, F.array_sort(F.concat(found, inner))).otherwise(found)
-    return F.when(F.length(text) == 0, F.slice(whole, 1, 0)).when(F.length(text) < S, whole).otherwise(bound(listed, lambda x: F.when(F.size(x) == 0, whole).otherwise(x)))
+    coarse = F.when((F.length(text) >= FINE) & (F.size(found) == 0), whole).otherwise(found)
+    fine = F.when(F.length(text) == 0, F.slice(whole, 1, 0)).when(F.length(text) < S, whole).when(F.length(text) < FINE, inner)
+    return F.struct(coarse.alias("coarse"), fine.alias("fine"))
 
 
 def as_text(found: Column) -> Column:
-    """The fingerprint: anchors in order as hash@position, both hexadecimal."""
-    return F.lower(F.array_join(F.transform(found, lambda a: F.concat(F.hex(a["anchor"]), F.lit("@"), F.hex(a["pos"]))), " "))
+    """The fingerprint: anchors in order as hash and position, both hexadecimal."""
+    listed = lambda scale, mark: F.transform(scale, lambda a: F.concat(F.hex(a["anchor"]), F.lit(mark), F.hex(a["pos"])))
+    return F.lower(F.array_join(F.concat(listed(found["coarse"], "@"), F.coalesce(listed(found["fine"], ":"), F.array().cast("array<string>"))), " "))
+
+
+def _on_one_scale(a: Column, b: Column, body) -> Column:
+    """``body`` of the anchors of two texts on the finest scale that both have."""
+    fine = a["fine"].isNotNull() & b["fine"].isNotNull()
+    both = F.when(fine, F.struct(a["fine"].alias("x"), b["fine"].alias("y"))).otherwise(F.struct(a["coarse"].alias("x"), b["coarse"].alias("y")))
+    return bound(both, lambda p: body(p["x"], p["y"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Common anchors among all anchors, of arrays of (pos, anchor)."""
-    x, y = a["anchor"], b["anchor"]
-    both, any_ = F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))
-    return F.when(any_ == 0, F.lit(1.0)).otherwise(both / any_)
+    """Common anchors among all anchors of two texts (see ``anchors``)."""
+
+    def share(x: Column, y: Column) -> Column:
+        both, any_ = F.size(F.array_intersect(x["anchor"], y["anchor"])), F.size(F.array_union(x["anchor"], y["anchor"]))
+        return F.when(any_ == 0, F.lit(1.0)).otherwise(both / any_)
+
+    return _on_one_scale(a, b, share)
 
 
 def aligned(a: Column, b: Column) -> Column:
     """Anchors that stand at the same position in both, among all anchors."""
-    any_ = F.size(F.array_union(a["anchor"], b["anchor"]))
     placed = lambda found: F.transform(found, lambda i: F.xxhash64(i["pos"], i["anchor"]))  # noqa: E731  sets of numbers meet by hash, sets of structs pair by pair
-    return F.when(any_ == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.size(F.array_intersect(placed(a), placed(b))) / any_))
+
+    def share(x: Column, y: Column) -> Column:
+        any_ = F.size(F.array_union(x["anchor"], y["anchor"]))
+        return F.when(any_ == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.size(F.array_intersect(placed(x), placed(y))) / any_))
+
+    return _on_one_scale(a, b, share)
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more=None) -> DataFrame:

@@ -43,7 +43,9 @@ def test_equal_texts_and_likeness(docs):
     again = by_id(syncmers.fingerprints(docs(list(want.items()))))
     for i, text in rows:
         assert again[i]["fingerprint"] == got[i]["edited_fingerprint"]
-        mine, other = ({a.split("@")[0] for a in got[i][c].split()} for c in ("fingerprint", "edited_fingerprint"))
+        both = [got[i][c].split() for c in ("fingerprint", "edited_fingerprint")]
+        mark = ":" if all(len(t or "") < syncmers.FINE for t in (text, want[i])) else "@"
+        mine, other = ({a.split(mark)[0] for a in listed if mark in a} for listed in both)
         assert got[i]["near_edited"] == pytest.approx(len(mine & other) / len(mine | other) if mine | other else 1.0)
     assert got[9005]["fingerprint"] == got[make()[3][0]]["fingerprint"]
     assert got[9000]["fingerprint"] == got[9001]["fingerprint"] == ""
@@ -53,7 +55,7 @@ def test_equal_texts_and_likeness(docs):
 
 def test_closed_syncmers_against_plain_python(spark):
     rng = random.Random(4)
-    texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in (3, 26, 27, 28, 60, 300, 1500) for alphabet in ("ab ", "abcdefghijklmnop é漢字")]
+    texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in (3, 26, 34, 35, 36, 60, 300, 1500, 4000) for alphabet in ("ab ", "abcdefghijklmnop é漢字")]
     frame = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
     k, s = syncmers.K, syncmers.S
     grams = sorted({t[i : i + s] for t in texts for i in range(len(t) - s + 1)})
@@ -65,7 +67,7 @@ def test_closed_syncmers_against_plain_python(spark):
         edge = []
         for i in range(len(text) - k + 1):
             least = min(inner[i : i + syncmers.INNER])
-            if least < syncmers.LOWEST and least in (inner[i], inner[i + syncmers.INNER - 1]):
+            if least in (inner[i], inner[i + syncmers.INNER - 1]):
                 edge.append(i)
         assert [a["pos"] for a in r["found"]] == edge
         by_run = {}
@@ -78,7 +80,7 @@ def test_anchors_do_not_depend_on_what_is_around(spark):
     rng = random.Random(5)
     passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(60))
     texts = [passage, "a b c " + passage, passage + " x y z", "q " * 500 + passage + " r" * 500]
-    found = [{a["anchor"] for a in r["f"]} for r in spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", syncmers.anchors(F.col("text")).alias("f")).orderBy("i").collect()]
+    found = [{a["anchor"] for a in r["f"]} for r in spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", syncmers.kmers(F.col("text")).alias("f")).orderBy("i").collect()]
     assert len(found[0]) > 20 and all(found[0] <= other for other in found[1:])
 
 
@@ -116,3 +118,19 @@ def test_texts_keep_anchors_when_half_is_edited(spark):
     frame = spark.createDataFrame(pairs, "n long, a string, b string")
     got = frame.select("n", syncmers.likeness(syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b"))).alias("near")).collect()
     assert all(r["near"] > 0 for r in got)
+
+
+def test_likeness_does_not_jump_with_length(spark):
+    """A text and itself less its last character, at lengths on all sides of K, FINE and twice it."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnop é漢"
+    lengths = sorted({*range(20, 60), *range(60, 2001, 7), *range(syncmers.FINE - 4, syncmers.FINE + 5), *range(276, 285)})
+    rows = [(n, "".join(rng.choice(letters) for _ in range(n))) for n in lengths]
+    frame = spark.createDataFrame(rows, "n long, text string")
+    less = F.expr("substring(text, 1, n - 1)")
+    half = F.expr("substring(text, 1, n - floor(n / 4))")
+    got = frame.select("n", *[syncmers.likeness(syncmers.anchors(F.col("text")), syncmers.anchors(x)).alias(c) for x, c in ((less, "less"), (half, "half"))]).collect()
+    assert min(r["less"] for r in got) >= 0.8
+    assert all(r["half"] > 0.4 for r in got)
+    near = [r["half"] for r in got if abs(r["n"] - syncmers.FINE) < 5]
+    assert max(near) - min(near) < 0.4
