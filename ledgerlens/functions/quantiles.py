@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import scratch
+from ..session import stored
 
 
 def upper_element(values: Column, p: float) -> Column:
@@ -40,10 +40,9 @@ def exact_by_rank(df: DataFrame, keys: list[str], value: str, ps: dict[str, floa
     """
     spark = df.sparkSession
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path = scratch(spark, "quantiles")
-    counted.repartitionByRange(ranges, *keys, "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
+    # two ranges for each core, whatever the session's number for joins
+    ranges = max(2, 2 * spark.sparkContext.defaultParallelism)
+    ranged = stored(counted.repartitionByRange(ranges, *keys, "v").withColumn("part", F.spark_partition_id()), "quantiles")
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))  # over sums: a row for each range
     sums = ranged.groupBy(*keys, "part").agg(F.sum("c").alias("s"))
     sums = sums.withColumn("n", F.sum("s").over(group)).withColumn("before", F.sum("s").over(group.orderBy("part")) - F.col("s"))
@@ -56,6 +55,19 @@ def exact_by_rank(df: DataFrame, keys: list[str], value: str, ps: dict[str, floa
     return ranked.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") > place(p), F.col("v"))).alias(name) for name, p in ps.items()])
 
 
+def quantiles_of(df: DataFrame, keys: list[str], wanted: dict[str, dict[str, float]]) -> DataFrame:
+    """``exact_by_rank`` of several numeric columns of one frame, from one table of counts:
+    ``wanted`` has the quantiles by name of each column. Results have the columns' types (integers
+    up to 2^53 are exact). A group without any value has no row."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    each = [F.struct(F.lit(c).alias("_of"), F.col(c).cast("double").alias("_v")) for c in wanted]
+    rows = df.select(*keys, F.explode(F.array(*each)).alias("x")).select(*keys, "x._of", "x._v")
+    ps = {f"{c}/{name}": p for c, names in wanted.items() for name, p in names.items()}
+    found = exact_by_rank(rows, [*keys, "_of"], "_v", ps)
+    pick = [F.max(F.when(F.col("_of") == c, F.col(f"`{c}/{name}`"))).cast(kinds[c]).alias(name) for c, names in wanted.items() for name in names]
+    return found.groupBy(*keys).agg(*pick)
+
+
 def tercile(position: Column, n: Column) -> Column:
     """0, 1, 2 for 1-based positions cut at n // 3 and twice that: the remainder goes last."""
     third = F.floor(n / 3)

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import stored
+
 
 @dataclass
 class Buckets:
@@ -54,6 +56,21 @@ class Buckets:
         found = [F.coalesce(F.last(f"_{n}", ignorenulls=True).over(within), F.col(f"_c_{n}")).alias(n) for n in values]
         return self._with(joined.select(*self.df.columns, *found))
 
+    def first_after(self, values: dict[str, Column]) -> Buckets:
+        """For each name the first non-null value on a strictly later row: ``last_before`` of the
+        order turned round, so frames grow from the end and no row is looked at twice."""
+        df = self.df.select("*", *[v.alias(f"_{n}") for n, v in values.items()])
+        step = Buckets(df, self.keys, self.order, self.bucket)
+        later = Window.partitionBy(*self.keys).orderBy(F.desc(self.bucket)).rowsBetween(Window.unboundedPreceding, -1)
+        carried = step._carried(
+            {f"_c_{n}": F.min_by(F.col(f"_{n}"), F.when(F.col(f"_{n}").isNotNull(), F.col(self.order))) for n in values},
+            {f"_c_{n}": F.last(f"_c_{n}", ignorenulls=True).over(later) for n in values},
+        )
+        within = Window.partitionBy(*self.keys, self.bucket).orderBy(F.desc(self.order)).rowsBetween(Window.unboundedPreceding, -1)
+        joined = df.join(carried, [*self.keys, self.bucket])
+        found = [F.coalesce(F.last(f"_{n}", ignorenulls=True).over(within), F.col(f"_c_{n}")).alias(n) for n in values]
+        return self._with(joined.select(*self.df.columns, *found))
+
     def running_sum(self, name: str, value: Column) -> Buckets:
         """Sum of a value up to and with each row."""
         df = self.df.withColumn("_v", value)
@@ -93,8 +110,8 @@ def episodes(found: DataFrame, fee_bps: float, bucket: str, keys: list[str] | No
     runs = step.running_sum("run_id", changed).df
     first = F.min_by(F.struct("blk", "tx", "mover", "pos"), "pos")
     per_run = runs.groupBy(*keys, "run_id").agg(first.alias("first"), F.first("is_open").alias("is_open"), F.count(F.lit(1)).alias("trades"), F.max(F.abs("gap_bps")).alias("peak_bps"), F.min(bucket).alias("_b"))
-    after = Window.partitionBy(*keys).orderBy("run_id")
-    per_run = per_run.withColumn("next", F.lead("first").over(after)).filter("is_open")
+    # a run belongs to the bucket it begins in; what follows it is in that bucket or heads a later one
+    per_run = Buckets(per_run, keys, "run_id", "_b").first_after({"next": F.col("first")}).df.filter("is_open")
     return per_run.select(
         *keys, "run_id", "trades", "peak_bps",
         F.col("first.blk").alias("open_blk"), F.col("first.mover").alias("opened_by"), F.col("first.tx").alias("open_tx"),
@@ -102,6 +119,48 @@ def episodes(found: DataFrame, fee_bps: float, bucket: str, keys: list[str] | No
     )
 
 
+def asof_by_ranges(prices: DataFrame, parts: int, keys: list[str] | None = None) -> DataFrame:
+    """The gaps of ``gaps`` by another way, to hold it against: both pools as one stream, dealt by
+    range of (keys, pos), each range merged in one pass that holds the last price of either pool.
+
+    What a range begins without comes from the ranges before: each leaves one row for each key it
+    has seen. ``prices``: keys, pos (unique), mover, sp; no bucket is needed."""
+    import pandas as pd
+
+    keys = keys or ["pair"]
+    rows = prices.select(*keys, "pos", "mover", "sp")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def merge(frames):
+        from pyspark import TaskContext
+
+        part, last = TaskContext.get().partitionId(), {}
+        for frame in frames:
+            frame = frame.reset_index(drop=True)
+            names = list(zip(*(frame[k] for k in keys), strict=True))
+            codes, seen = pd.factorize(pd.Series(names, dtype=object))
+            for side in ("lo", "hi"):
+                known = frame["sp"].where(frame["mover"] == side).astype("float64")
+                upto = known.groupby(codes).ffill()
+                carried = pd.Series([last.get((n, side)) for n in names], dtype="float64")
+                frame[f"{side}_sp"] = upto.groupby(codes).shift().fillna(carried)
+                last.update({(seen[c], side): v for c, v in known.groupby(codes).last().items() if pd.notna(v)})
+            yield frame.assign(part=part, tells=False)
+        if last:
+            ends = list(dict.fromkeys(n for n, _ in last))
+            told = pd.DataFrame([list(n) for n in ends], columns=keys)
+            yield told.assign(pos=-1, mover=None, sp=None, lo_sp=[last.get((n, "lo")) for n in ends], hi_sp=[last.get((n, "hi")) for n in ends], part=part, tells=True)
+
+    order = [*keys, "pos"]
+    merged = stored(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(merge, f"{fields}, lo_sp double, hi_sp double, part long, tells boolean"), "asof-ranges")
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    told = merged.filter("tells").select(*keys, "part", *[F.last(f"{s}_sp", ignorenulls=True).over(earlier).alias(f"{s}_before") for s in ("lo", "hi")])
+    found = merged.filter("not tells").join(told, [*keys, "part"], "left")
+    low = F.when(F.col("mover") == "lo", F.col("sp")).otherwise(F.coalesce("lo_sp", "lo_before"))
+    high = F.when(F.col("mover") == "hi", F.col("sp")).otherwise(F.coalesce("hi_sp", "hi_before"))
+    return found.withColumn("gap_bps", F.lit(2e4) * F.ln(low / high)).filter("gap_bps is not null").select(*keys, "pos", "mover", "sp", "gap_bps")
+
+
 def lag_or_self(value: Column, window) -> Column:
     """The previous row's value, or its own on the first row."""
     return F.coalesce(F.lag(value).over(window), value)

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import Buckets
+
 TOLERANCE = 0.1
+#: Log indexes of one bucket of a block's order.
+BUCKET = 1 << 14
 KEY = ["pool", "blk", "log_index"]
 
 
@@ -14,17 +18,37 @@ def residual(a: Column, b: Column) -> Column:
     return F.try_divide(F.abs((a + b).cast("double")), F.abs(a).cast("double"))
 
 
-def pairs(trades: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+def pairs(trades: DataFrame, tolerance: float = TOLERANCE, *more: str) -> DataFrame:
     """All pairs (earlier, later): pool, blk, first_log, second_log, sender, one_tx, pair_usd,
-    residual. ``trades``: pool, blk, log_index, sender, tx, other_raw, usd.
+    residual. ``trades``: pool, blk, log_index, sender, tx, other_raw, usd; of the columns ``more``
+    the difference, later less earlier, as by_<name>.
 
     The join is on equality of pool, block and sender; order, sign and tolerance are residual
     conditions within those small groups."""
-    a = trades.select("pool", "blk", "sender", *[F.col(c).alias(f"a_{c}") for c in ("log_index", "tx", "other_raw", "usd")])
-    b = trades.select("pool", "blk", "sender", *[F.col(c).alias(f"b_{c}") for c in ("log_index", "tx", "other_raw", "usd")])
+    carried = ("log_index", "tx", "other_raw", "usd", *more)
+    a = trades.select("pool", "blk", "sender", *[F.col(c).alias(f"a_{c}") for c in carried])
+    b = trades.select("pool", "blk", "sender", *[F.col(c).alias(f"b_{c}") for c in carried])
     both = a.join(b, ["pool", "blk", "sender"]).filter("b_log_index > a_log_index and signum(a_other_raw) != signum(b_other_raw)")
     kept = both.withColumn("residual", residual(F.col("a_other_raw"), F.col("b_other_raw"))).filter(F.col("residual") <= tolerance)
-    return kept.select("pool", "blk", F.col("a_log_index").alias("first_log"), F.col("b_log_index").alias("second_log"), "sender", (F.col("a_tx") == F.col("b_tx")).alias("one_tx"), (F.col("a_usd") + F.col("b_usd")).alias("pair_usd"), "residual")
+    by = [(F.col(f"b_{c}") - F.col(f"a_{c}")).alias(f"by_{c}") for c in more]
+    return kept.select("pool", "blk", F.col("a_log_index").alias("first_log"), F.col("b_log_index").alias("second_log"), "sender", (F.col("a_tx") == F.col("b_tx")).alias("one_tx"), (F.col("a_usd") + F.col("b_usd")).alias("pair_usd"), "residual", *by)
+
+
+def placed(trades: DataFrame) -> DataFrame:
+    """Trades with their place in the block and among their sender's trades of the block.
+
+    Places are prefix sums over buckets of the block's order, so a block or sender of any number of
+    trades is no single task's."""
+    bucketed = trades.withColumn("_bucket", F.floor(F.col("log_index") / BUCKET))
+    whole = Buckets(bucketed, ["pool", "blk"], "log_index", "_bucket").running_sum("place", F.lit(1)).df
+    return Buckets(whole, ["pool", "blk", "sender"], "log_index", "_bucket").running_sum("own_place", F.lit(1)).df.drop("_bucket")
+
+
+def with_others(trades: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """The pairs with ``others``, the number of other senders' trades between the legs: all places
+    between them less the sender's own. No trade of the block is looked at for a pair."""
+    found = pairs(placed(trades), tolerance, "place", "own_place")
+    return found.withColumn("others", F.col("by_place") - F.col("by_own_place")).drop("by_place", "by_own_place")
 
 
 def leg_rows(found: DataFrame, *more: str) -> DataFrame:
@@ -67,16 +91,8 @@ def by_tolerance(trades: DataFrame, tolerances: list[float]) -> DataFrame:
 
 
 def between(trades: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
-    """What sits between the legs: kind, pairs, usd, share of all pairs' usd.
-
-    Instead of an array of all trades of a block, pairs meet the trades of other senders that lie
-    between, by a left join whose matches are only tested for being there."""
-    found = pairs(trades, tolerance)
-    others = trades.select("pool", "blk", F.col("log_index").alias("o_log"), F.col("sender").alias("o_sender"))
-    crossed = found.join(others, ["pool", "blk"]).filter("o_log > first_log and o_log < second_log and o_sender != sender")
-    crossed = crossed.select("pool", "blk", "first_log", "second_log").distinct().withColumn("crossed", F.lit(True))
-    kinds = found.join(crossed, ["pool", "blk", "first_log", "second_log"], "left")
-    kind = F.when(F.col("one_tx"), "3 inside one transaction").when(F.col("crossed"), "1 someone else between").otherwise("2 nobody between")
-    sums = kinds.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("pairs"), F.sum("pair_usd").alias("usd"))
+    """What sits between the legs: kind, pairs, usd, share of all pairs' usd."""
+    kind = F.when(F.col("one_tx"), "3 inside one transaction").when(F.col("others") > 0, "1 someone else between").otherwise("2 nobody between")
+    sums = with_others(trades, tolerance).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("pairs"), F.sum("pair_usd").alias("usd"))
     total = sums.agg(F.sum("usd").alias("all_usd"))
-    return sums.crossJoin(F.broadcast(total)).select("kind", "pairs", "usd", (F.col("usd") / F.col("all_usd")).alias("share"))
+    return sums.crossJoin(F.broadcast(total)).select("kind", "pairs", "usd", (F.col("usd") / F.col("all_usd")).alias("share"))  # total: one row

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.quantiles import exact_by_rank, upper_element
+from ..functions.quantiles import exact_by_rank, quantiles_of, upper_element
 from ..operators import ordered, roundtrips
+from ..session import stored
 from .registry import PRICES, TRADES, prices, query, trades
 
 FEE_BPS = 4000.0
@@ -41,12 +42,11 @@ SELECT mover AS moved, count(*) AS trades, {upper('a', 0.5)} AS abs_gap_p50, {up
 def q_gap(spark, d):
     """Gap quantiles by mover and in all; the total row has an empty mover. The rows are doubled
     for the total, and quantiles come from counted values, so that no group lies in one task."""
-    g = gap_rows(spark, d)
+    g = stored(gap_rows(spark, d), "gaps")
     both = g.withColumn("moved", F.explode(F.array(F.col("mover"), F.lit("")))).withColumn("a", F.abs("gap_bps"))
     counts = both.groupBy("moved").agg(F.count(F.lit(1)).alias("trades"), F.max("a").alias("abs_gap_max"), F.count_if(F.col("a") > FEE_BPS).alias("beyond_fee"))
-    of_size = exact_by_rank(both, ["moved"], "a", {"abs_gap_p50": 0.5, "abs_gap_p90": 0.9, "abs_gap_p99": 0.99})
-    signed = exact_by_rank(both, ["moved"], "gap_bps", {"gap_p50": 0.5})
-    out = counts.join(of_size, "moved").join(signed, "moved")
+    found = quantiles_of(both, ["moved"], {"a": {"abs_gap_p50": 0.5, "abs_gap_p90": 0.9, "abs_gap_p99": 0.99}, "gap_bps": {"gap_p50": 0.5}})
+    out = counts.join(found, "moved")
     return out.select("moved", "trades", "abs_gap_max", "beyond_fee", "abs_gap_p50", "abs_gap_p90", "abs_gap_p99", "gap_p50", (F.col("beyond_fee") / F.col("trades")).alias("share_beyond"))
 
 
@@ -94,7 +94,8 @@ def q_episodes(spark, d):
 
 
 def episode_report(rows: DataFrame) -> DataFrame:
-    e = rows.withColumn("lasted", F.col("close_blk") - F.col("open_blk"))
+    """One row of counts and quantiles; the episodes are found once and stored."""
+    e = stored(rows, "episodes").withColumn("lasted", F.col("close_blk") - F.col("open_blk"))
     n = lambda c: F.count_if(F.expr(c))
     held = e.agg(
         F.count(F.lit(1)).alias("episodes"), n("close_blk is null").alias("still_open"), n("lasted = 0").alias("same_block"), n("lasted = 1").alias("one_block"), n("lasted >= 2").alias("two_or_more"),
@@ -102,9 +103,8 @@ def episode_report(rows: DataFrame) -> DataFrame:
         n("closed_by != opened_by").alias("closed_by_other"), n("closed_by = opened_by").alias("closed_by_same"), n("opened_by = 'lo' and closed_by = 'hi'").alias("lo_then_hi"), n("opened_by = 'hi' and closed_by = 'lo'").alias("hi_then_lo"),
         n("close_tx = open_tx").alias("within_one_tx"),
     )
-    lasted = exact_by_rank(e, [], "lasted", {"lasted_p50": 0.5, "lasted_p90": 0.9, "lasted_p99": 0.99})
-    peaks = exact_by_rank(e, [], "peak_bps", {"peak_p50": 0.5, "peak_p99": 0.99})
-    return held.crossJoin(F.broadcast(lasted)).crossJoin(F.broadcast(peaks))  # one row each
+    found = quantiles_of(e, [], {"lasted": {"lasted_p50": 0.5, "lasted_p90": 0.9, "lasted_p99": 0.99}, "peak_bps": {"peak_p50": 0.5, "peak_p99": 0.99}})
+    return held.crossJoin(F.broadcast(found))  # one row each
 
 
 @query("q_block_ends", f"""WITH {PRICES}, ends AS (SELECT blk, arg_max(abs(round(gap, 6)), pos) AS a FROM gaps GROUP BY blk)
@@ -261,25 +261,23 @@ query("q_rt_between", BETWEEN)(_between)
 @query("join_block_context", f"""WITH {PAIRS}, p AS (SELECT * FROM pairs WHERE residual <= 0.1) SELECT p.pool, p.l1 AS first_log, p.l2 AS second_log,
  (SELECT count(*) FROM trades t WHERE t.pool = p.pool AND t.blk = p.blk AND t.log_index > p.l1 AND t.log_index < p.l2 AND t.sender <> p.sender) AS others FROM p""")
 def join_block_context(spark, d):
-    """Trades of others between the legs, counted in an array of the pair's block. Only blocks
-    with a pair get an array."""
-    t = trades(spark, d)
-    found = roundtrips.pairs(t)
-    blocks = t.join(found.select("pool", "blk").distinct(), ["pool", "blk"], "left_semi").groupBy("pool", "blk").agg(F.collect_list(F.struct("log_index", "sender")).alias("held"))
-    inside = lambda x: (x["log_index"] > F.col("first_log")) & (x["log_index"] < F.col("second_log")) & (x["sender"] != F.col("sender"))
-    return found.join(blocks, ["pool", "blk"]).select("pool", "first_log", "second_log", F.size(F.filter("held", inside)).cast("long").alias("others"))
+    """Trades of others between the legs, as a difference of places in the block."""
+    return roundtrips.with_others(trades(spark, d)).select("pool", "first_log", "second_log", "others")
 
 
-@query("join_algo_check", "SELECT 3 AS ways, true AS same_answer")
+@query("join_algo_check", f"WITH {PRICES} SELECT mover, count(*) AS rows_both, 0::BIGINT AS rows_one, 0::BIGINT AS apart, round(min(gap), 6) AS least, round(max(gap), 6) AS most FROM gaps GROUP BY mover")
 def join_algo_check(spark, d):
-    """One join under three physical strategies; the sums agree."""
-    t = trades(spark, d)
-    totals = t.groupBy("pool").agg(F.sum("usd").alias("all_usd"))
-
-    def answer(hint):
-        joined = t.join(totals.hint(hint), "pool")
-        return joined.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("usd") / F.col("all_usd")).alias("share")).withColumn("way", F.lit(hint))
-
-    ways = answer("broadcast").unionByName(answer("merge")).unionByName(answer("shuffle_hash"))
-    near = F.max("share") - F.min("share") <= F.lit(1e-12) + F.lit(1e-9) * F.max("share")
-    return ways.agg(F.count(F.lit(1)).cast("int").alias("ways"), (near & (F.min("n") == F.max("n"))).alias("same_answer"))
+    """The as-of joins by buckets of days against those by ranges, row by row at 1e-9."""
+    rows = prices(spark, d)
+    ranges = 2 * spark.sparkContext.defaultParallelism
+    one = ordered.gaps(rows, "day").select("pair", "pos", "mover", F.col("gap_bps").alias("one"))
+    two = ordered.asof_by_ranges(rows, ranges).select("pair", "pos", "mover", F.col("gap_bps").alias("two"))
+    return compared(one, two)
+
+
+def compared(one: DataFrame, two: DataFrame) -> DataFrame:
+    """By mover: rows that both ways have, rows that one has, rows apart, and the range of gaps."""
+    both = one.join(two, ["pair", "pos", "mover"], "full")
+    has = F.col("one").isNotNull() & F.col("two").isNotNull()
+    apart = F.abs(F.col("one") - F.col("two")) > 1e-9 * F.greatest(F.lit(1.0), F.abs("one"))
+    return both.groupBy("mover").agg(F.count_if(has).alias("rows_both"), F.count_if(~has).alias("rows_one"), F.count_if(apart).alias("apart"), F.round(F.min("two"), 6).alias("least"), F.round(F.max("one"), 6).alias("most"))

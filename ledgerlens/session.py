@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "ledgerlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,3 +37,11 @@ def scratch(spark: SparkSession, label: str) -> str:
         base = "file://" + tempfile.mkdtemp(prefix="ledgerlens-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Written to a new shared folder and read back, so that what reads it twice does not compute it
+    twice, and a lost executor costs no more than its own tasks."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -104,3 +104,64 @@ def test_global_rank(spark):
     got = {r["id"]: r["place"] for r in ranking.global_rank(rows, [F.desc("v"), F.asc("id")], "place", 7).collect()}
     want = sorted(range(500), key=lambda i: (-((i * 37) % 101), i))
     assert got == {i: n for n, i in enumerate(want, 1)}
+
+
+def random_stream(spark, n, pairs=("p",), seed=3):
+    import random
+
+    rng = random.Random(seed)
+    rows = [(rng.choice(pairs), rng.choice(["lo", "hi"]), i, i // 3, i // 2, rng.choice([1.0, 1.001, 1.002, 0.9985, 1.004]), i // 17) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "pair string, mover string, pos long, blk long, tx long, sp double, bucket long")
+
+
+def plain_episodes(rows, fee):
+    """Runs of trades beyond the fee in one pass over each pair."""
+    out = []
+    for pair in sorted({r[0] for r in rows}):
+        last, run, before, found = {}, 0, False, []
+        for _, mover, pos, blk, tx, sp, _ in (r for r in rows if r[0] == pair):
+            other = last.get("hi" if mover == "lo" else "lo")
+            last[mover] = sp
+            if other is None:
+                continue
+            low, high = (sp, other) if mover == "lo" else (other, sp)
+            is_open = abs(2e4 * math.log(low / high)) > fee
+            if is_open != before or not found:
+                run += is_open != before
+                found.append([run, is_open, 0, blk, mover, tx])
+            before = is_open
+            found[-1][2] += 1
+        for this, after in zip(found, [*found[1:], None], strict=True):
+            if this[1]:
+                out.append((pair, this[0], this[2], *this[3:], *(after[3:] if after else (None, None, None))))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("pairs", [("one",), ("a", "b", "c")])
+def test_episodes_of_one_hot_pair(spark, pairs):
+    rows, frame = random_stream(spark, 900, pairs)
+    got = ordered.episodes(ordered.gaps(frame, "bucket"), 25.0, "bucket")
+    columns = ("pair", "run_id", "trades", "open_blk", "opened_by", "open_tx", "close_blk", "closed_by", "close_tx")
+    assert sorted((tuple(r[c] for c in columns) for r in got.collect()), key=str) == plain_episodes(rows, 25.0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    windows = [w for w in plan.splitlines() if "Window [" in w and "run_id" in w]
+    assert windows and all("_b" in w.rsplit("], [", 2)[-2] for w in windows if "run_id" in w.rsplit("], [", 1)[-1])
+
+
+def test_first_after(spark):
+    rows = spark.createDataFrame([("k", i, i // 4, None if i % 5 else i) for i in range(23)], "k string, pos long, b long, v long")
+    got = ordered.Buckets(rows, ["k"], "pos", "b").first_after({"after": F.col("v")}).df.collect()
+    assert {r["pos"]: r["after"] for r in got} == {i: next((j for j in range(i + 1, 23) if j % 5 == 0), None) for i in range(23)}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_asof_joins_agree_row_by_row(spark, parts):
+    _, frame = random_stream(spark, 700, ("a", "b", None))
+    named = frame.fillna("none", ["pair"])
+    one = ordered.gaps(named, "bucket").select("pair", "pos", "mover", F.col("gap_bps").alias("one"))
+    two = ordered.asof_by_ranges(named, parts).select("pair", "pos", "mover", F.col("gap_bps").alias("two"))
+    found = analyses.compared(one, two).collect()
+    assert sum(r["rows_both"] for r in found) == one.count() and all(r["rows_one"] == 0 and r["apart"] == 0 for r in found)
+    wrong = two.withColumn("two", F.when(F.col("pos") == 100, F.col("two") + 1e-6).otherwise(F.col("two"))).filter("pos != 101")
+    found = analyses.compared(one, wrong).collect()
+    assert sum(r["apart"] for r in found) == 1 and sum(r["rows_one"] for r in found) == 1

@@ -50,3 +50,20 @@ def test_concentration(spark):
     r = analyses.concentration(legs).first()
     assert (r["senders"], r["total_legs"], r["total_usd"], r["top1_usd"], r["top3_usd"], r["top1_legs"]) == (3, 4, 100.0, 0.6, 1.0, 0.25)
     assert not any(isinstance(v, str) for v in r)
+
+
+@pytest.mark.parametrize("width", [3, 1 << 14])
+def test_others_between_are_counted_by_places(spark, monkeypatch, width):
+    """One block of many trades, cut into buckets of its order; one sender has a third of it."""
+    import random
+
+    monkeypatch.setattr(roundtrips, "BUCKET", width)
+    rng = random.Random(2)
+    data = [(1 + i % 2, i, i // 2, rng.choice(["hot", "a", "b"]), rng.choice([-100, -95, 98, 100]), 1.0) for i in range(60)]
+    got = {(r["blk"], r["first_log"], r["second_log"]): r["others"] for r in roundtrips.with_others(rows(spark, data)).collect()}
+    want = {}
+    for blk, i, _, who, raw, _ in data:
+        for blk2, j, _, who2, raw2, _ in data:
+            if blk == blk2 and who == who2 and i < j and (raw > 0) != (raw2 > 0) and abs(raw + raw2) / abs(raw) <= 0.1:
+                want[blk, i, j] = sum(b == blk and i < k < j and w != who for b, k, _, w, _, _ in data)
+    assert got == want and any(want.values())
