@@ -40,6 +40,11 @@ def int256(word: Column) -> Column:
     return F.when(word.isNull() | found.isNotNull(), found).otherwise(F.raise_error(F.concat(F.lit("not a number of 38 digits: "), word)).cast("decimal(38,0)"))
 
 
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once for the row, however often it is named."""
+    return F.transform(F.array(value), body)[0]
+
+
 def uint256_text(word: Column) -> Column:
     """An unsigned word of 64 hex digits as decimal text, all of its digits; null if malformed."""
     groups, base, shift = 5, F.lit(10**18).cast("decimal(19,0)"), F.lit(1 << 32).cast("decimal(10,0)")
@@ -58,7 +63,7 @@ def uint256_text(word: Column) -> Column:
         return F.aggregate(digits, start, step)["done"]
 
     found = F.aggregate(F.array(*[limb(i) for i in range(8)]), F.array(*[zero] * groups), times_and_plus)
-    text = F.concat(*[F.lpad(F.get(found, F.lit(i)).cast("string"), 18, "0") for i in reversed(range(groups))])
+    text = _once(found, lambda g: F.concat(*[F.lpad(F.get(g, F.lit(i)).cast("string"), 18, "0") for i in reversed(range(groups))]))
     return F.when(word.rlike("^[0-9a-fA-F]{64}$"), F.regexp_replace(text, "^0+(?=.)", ""))
 
 
@@ -67,11 +72,14 @@ def int256_text(word: Column) -> Column:
     negative = F.substring(word, 1, 1).rlike("[89a-fA-F]")
     # the digits' complement is one less than the size
     flipped = F.translate(F.lower(word), "0123456789abcdef", "fedcba9876543210")
-    size = uint256_text(flipped)
-    digits = F.length(F.regexp_extract(size, "9*$", 0))
-    head = F.substring(size, F.lit(1), F.length(size) - digits)
-    raised = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), (F.coalesce(F.right(head, F.lit(1)).try_cast("int"), F.lit(0)) + 1).cast("string"), F.repeat(F.lit("0"), digits))
-    return F.when(negative, F.concat(F.lit("-"), raised)).otherwise(uint256_text(word))
+
+    def raised(size: Column) -> Column:
+        digits = F.length(F.regexp_extract(size, "9*$", 0))
+        head = F.substring(size, F.lit(1), F.length(size) - digits)
+        last = F.coalesce(F.right(head, F.lit(1)).try_cast("int"), F.lit(0)) + 1
+        return F.concat(F.lit("-"), F.substring(head, F.lit(1), F.length(head) - 1), last.cast("string"), F.repeat(F.lit("0"), digits))
+
+    return F.when(negative, _once(uint256_text(flipped), raised)).otherwise(uint256_text(word))
 
 
 def uint_double(word: Column) -> Column:

@@ -4,11 +4,14 @@ A number is a word: 64 hex digits of its two's complement, as logs hold it. Spar
 38 digits, so sums keep four 64-bit limbs apart, each in a decimal(38) that no number of rows fills,
 and carry once at the end. Order needs no arithmetic: a word's bytes with the sign bit turned over
 compare as the numbers do. What leaves the 256 bits raises; a malformed or null word gives null.
+
+Functions that add a column work in a few projections of their own: nested in one expression, the
+steps would be analysed and worked out many times over.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decode import int256_text
@@ -22,11 +25,6 @@ def _dec(value: str | Column, digits: int = 38) -> Column:
     return (F.lit(value) if isinstance(value, str) else value).cast(f"decimal({digits},0)")
 
 
-def _bound(value: Column, body) -> Column:
-    """``body`` of a value that is computed once for the row."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _well(word: Column) -> Column:
     return word.rlike("^[0-9a-fA-F]{64}$")
 
@@ -46,26 +44,24 @@ def merged(sums: Column) -> Column:
     return F.struct(*[F.sum(_dec(sums[n], 28)).alias(n) for n in names])
 
 
-def total(sums: Column) -> Column:
-    """The word that ``limb_sums`` add up to; null of no words. Raises beyond 256 bits."""
-    base = _dec(_B, 20)
+def with_total(df: DataFrame, sums: str, name: str) -> DataFrame:
+    """The word that the ``limb_sums`` in a column add up to, as a new column; null of no words.
+    Raises beyond 256 bits."""
+    base, columns = _dec(_B, 20), df.columns
 
-    def split(value: Column) -> tuple[Column, Column]:
-        rest = value % base
-        rest = F.when(rest < 0, rest + base).otherwise(rest).cast("decimal(20,0)")
-        return rest, ((value - rest).cast("decimal(38,0)") / base).cast("decimal(38,0)")
-
-    def carried(state: Column, value: Column) -> Column:
-        rest, carry = split((value + state["carry"]).cast("decimal(38,0)"))
-        return F.struct(F.concat(F.lpad(F.lower(F.conv(rest.cast("string"), 10, 16)), 16, "0"), state["done"]).alias("done"), carry.alias("carry"))
+    def carried(state: Column, limb: Column) -> Column:
+        value = (limb + state["carry"]).cast("decimal(38,0)")
+        # pmod: the rest of a negative value is counted up from below
+        rest = F.pmod(value, base).cast("decimal(20,0)")
+        carry = ((value - rest).cast("decimal(38,0)") / base).cast("decimal(38,0)")
+        return F.struct(F.coalesce(F.concat(F.lpad(F.lower(F.conv(rest.cast("string"), 10, 16)), 16, "0"), state["done"]), F.lit("")).alias("done"), carry.alias("carry"))
 
+    limbs = F.array(*[F.coalesce(_dec(F.col(f"{sums}.limb{i}")), _dec("0")) for i in range(LIMBS)])
+    df = df.withColumn("_s", F.aggregate(limbs, F.struct(F.lit("").alias("done"), _dec("0").alias("carry")), carried))
     # a negative word counts 2^256 too much
-    limbs = F.array(*[_dec(sums[f"limb{i}"]) for i in range(LIMBS)])
-    start = F.struct(F.lit("").alias("done"), _dec("0").alias("carry"))
-    all_ = F.aggregate(limbs, start, carried)
-    fits = lambda s: ((s["carry"] - sums["negatives"]) == F.when(F.substring(s["done"], 1, 1).rlike("[89a-f]"), -1).otherwise(0))
-    checked = _bound(all_, lambda s: F.when(fits(s), s["done"]).otherwise(F.raise_error(F.lit("a sum beyond 256 bits")).cast("string")))
-    return F.when(sums["limb0"].isNotNull(), checked)
+    fits = (F.col("_s.carry") - F.col(f"{sums}.negatives")) == F.when(F.substring("_s.done", 1, 1).rlike("[89a-f]"), -1).otherwise(0)
+    word = F.when(fits, F.col("_s.done")).otherwise(F.raise_error(F.lit("a sum beyond 256 bits")).cast("string"))
+    return df.select(*columns, F.when(F.col(f"{sums}.limb0").isNotNull(), word).alias(name))
 
 
 def negated(word: Column) -> Column:
@@ -78,49 +74,39 @@ def negated(word: Column) -> Column:
     return F.when(zeros == 64, word).otherwise(F.concat(flipped, plus, F.repeat(F.lit("0"), zeros)))
 
 
-def times(word: Column, factor: Column) -> Column:
-    """A word times a bigint of 0 to 10^9. Raises beyond 256 bits."""
-    word = F.when(_well(word), F.lower(word))
-
-    def product(w: Column) -> Column:
-        negative = F.substring(w, 1, 1).rlike("[89a-f]")
-        size = F.when(negative, negated(w)).otherwise(w)
-        parts = F.transform(F.sequence(F.lit(7), F.lit(0)), lambda i: F.conv(F.substring(size, i * 8 + 1, 8), 16, 10).cast("bigint"))
+def with_product(df: DataFrame, word: str, factor: Column, name: str) -> DataFrame:
+    """A word times a bigint of 0 to 10^9, as a new column. Raises beyond 256 bits."""
+    columns = df.columns
+    df = df.withColumn("_w", F.when(_well(F.col(word)), F.lower(word))).withColumn("_f", factor)
+    negative = F.substring("_w", 1, 1).rlike("[89a-f]")
+    df = df.withColumn("_size", F.when(negative, negated(F.col("_w"))).otherwise(F.col("_w")))
+    parts = F.array(*[F.conv(F.substring("_size", 57 - 8 * i, 8), 16, 10).cast("bigint") for i in range(8)])
 
-        def step(state: Column, limb: Column) -> Column:
-            value = limb * factor + state["carry"]
-            return F.struct(F.concat(F.lpad(F.lower(F.hex(value.bitwiseAND(0xFFFFFFFF))), 8, "0"), state["done"]).alias("done"), F.shiftright(value, 32).alias("carry"))
+    def step(state: Column, limb: Column) -> Column:
+        value = limb * F.col("_f") + state["carry"]
+        return F.struct(F.coalesce(F.concat(F.lpad(F.lower(F.hex(value.bitwiseAND(0xFFFFFFFF))), 8, "0"), state["done"]), F.lit("")).alias("done"), F.coalesce(F.shiftright(value, 32), F.lit(0)).cast("bigint").alias("carry"))
 
-        found = F.aggregate(parts, F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("carry")), step)
-        over = lambda s: (s["carry"] != 0) | F.substring(s["done"], 1, 1).rlike("[89a-f]")
-        return _bound(found, lambda s: F.when(over(s), F.raise_error(F.lit("a product beyond 256 bits")).cast("string")).when(negative, negated(s["done"])).otherwise(s["done"]))
+    df = df.withColumn("_s", F.aggregate(parts, F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("carry")), step))
+    over = (F.col("_s.carry") != 0) | F.substring("_s.done", 1, 1).rlike("[89a-f]")
+    found = F.when(over, F.raise_error(F.lit("a product beyond 256 bits")).cast("string")).when(negative, negated(F.col("_s.done"))).otherwise(F.col("_s.done"))
+    return df.select(*[c for c in columns if c != name], F.when(F.col("_w").isNotNull(), found).alias(name))
 
-    return F.when(word.isNotNull(), _bound(word, product))
 
-
-def scaled(word: Column, decimals: Column, to: int = 18) -> Column:
+def with_scaled(df: DataFrame, word: str, decimals: Column, name: str, to: int = 18) -> DataFrame:
     """A raw amount of so many decimals (0 to ``to``, at most 18) as a whole number of 10^-to."""
-    missing = F.lit(to) - decimals
-    power = lambda n: F.pow(F.lit(10.0), n).cast("bigint")
-    return times(times(word, power(F.least(missing, F.lit(9)))), power(F.greatest(missing - 9, F.lit(0))))
-
-
-def text(word: Column) -> Column:
-    """All digits of a word that is itself worked out once."""
-    return _bound(word, int256_text)
+    power = lambda n: F.element_at(F.array(*[F.lit(10**i).cast("bigint") for i in range(10)]), (n + 1).cast("int"))
+    df = df.withColumn("_missing", F.lit(to) - decimals)
+    df = with_product(df, word, power(F.least(F.col("_missing"), F.lit(9))), name)
+    return with_product(df, name, power(F.greatest(F.col("_missing") - 9, F.lit(0))), name).drop("_missing")
 
 
-def fixed_text(word: Column, places: int = 18) -> Column:
+def with_fixed_text(df: DataFrame, word: str, name: str, places: int = 18) -> DataFrame:
     """The number over 10^places, all digits: sign, whole part, point, ``places`` digits."""
-
-    def pointed(t: Column) -> Column:
-        digits = F.regexp_replace(t, "^-", "")
-        padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(places + 1)), F.lit("0"))
-        whole = lambda p: F.substring(p, F.lit(1), F.length(p) - places)
-        shown = _bound(padded, lambda p: F.concat(whole(p), F.lit("."), F.right(p, F.lit(places))))
-        return F.concat(F.when(t.startswith("-"), "-").otherwise(""), shown)
-
-    return _bound(text(word), pointed)
+    columns = df.columns
+    df = df.withColumn("_t", int256_text(F.col(word))).withColumn("_d", F.regexp_replace("_t", "^-", ""))
+    df = df.withColumn("_d", F.lpad("_d", F.greatest(F.length("_d"), F.lit(places + 1)), F.lit("0")))
+    sign, whole = F.when(F.col("_t").startswith("-"), "-").otherwise(""), F.substring("_d", F.lit(1), F.length("_d") - places)
+    return df.select(*[c for c in columns if c != name], F.concat(sign, whole, F.lit("."), F.right("_d", F.lit(places))).alias(name))
 
 
 def key(word: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import decode, money, wide
 from ..operators.ordered import lag_or_self, rolling_median
 from ..operators.ranking import global_rank
+from ..session import stored
 from .analyses import upper
 from .registry import TRADES, query, read, trades
 
@@ -194,12 +195,13 @@ def agg_count_sum_minmax(spark, d):
     return read(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("qty"), F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"), F.round(F.avg("l_quantity"), 6).alias("mean"))
 
 
-#: A number of up to 256 bits as text: hi * 2^128 + lo, from integers of up to 17 digits, by groups
-#: of 19 digits.
-WIDE_SQL = """(SELECT CASE WHEN t < 0 AND r > 0 THEN CASE WHEN t = -1 THEN '-' || CAST(10000000000000000000::HUGEINT - r AS VARCHAR) ELSE CAST(t + 1 AS VARCHAR) || lpad(CAST(10000000000000000000::HUGEINT - r AS VARCHAR), 19, '0') END
-  WHEN t = 0 THEN CAST(r AS VARCHAR) ELSE CAST(t AS VARCHAR) || lpad(CAST(r AS VARCHAR), 19, '0') END FROM (SELECT a * 34028236692093846346::HUGEINT + (low - r) // 10000000000000000000::HUGEINT AS t, r
-  FROM (SELECT a, low, ((low % 10000000000000000000::HUGEINT) + 10000000000000000000::HUGEINT) % 10000000000000000000::HUGEINT AS r
-  FROM (SELECT CAST({hi} AS HUGEINT) AS a, CAST({hi} AS HUGEINT) * 3374607431768211456::HUGEINT + CAST({lo} AS HUGEINT) AS low))))"""
+#: ``worded``: the rows of a table (hi, lo: integers of up to 17 digits) with hi * 2^128 + lo as text
+#: (whole), by groups of 19 digits.
+WIDE_SQL = """w1 AS (SELECT *, hi::HUGEINT * 3374607431768211456 + lo::HUGEINT AS low FROM {table}),
+w2 AS (SELECT *, ((low % 10000000000000000000) + 10000000000000000000) % 10000000000000000000 AS r FROM w1),
+w3 AS (SELECT *, hi::HUGEINT * 34028236692093846346 + (low - r) // 10000000000000000000 AS t FROM w2),
+w4 AS (SELECT *, CASE WHEN t < 0 AND r > 0 THEN -t - 1 ELSE abs(t) END AS top, CASE WHEN t < 0 AND r > 0 THEN 10000000000000000000 - r ELSE r END AS rest FROM w3),
+worded AS (SELECT *, CASE WHEN t < 0 THEN '-' ELSE '' END || CASE WHEN top = 0 THEN CAST(rest AS VARCHAR) ELSE CAST(top AS VARCHAR) || lpad(CAST(rest AS VARCHAR), 19, '0') END AS whole FROM w4)"""
 
 
 def wide_words(spark, d):
@@ -208,12 +210,13 @@ def wide_words(spark, d):
     return trades(spark, d).withColumn("word", F.concat(high, F.lpad(F.lower(F.hex("log_index")), 32, "0")))
 
 
-@query("agg_sum_exact", f"WITH {TRADES}, s AS (SELECT pool, day, sum(other_raw)::HUGEINT AS hi, sum(log_index)::HUGEINT AS lo FROM trades GROUP BY ROLLUP (pool, day)) SELECT coalesce(pool, '') AS pool, day, {WIDE_SQL.format(hi='s.hi', lo='s.lo')} AS total FROM s")
+@query("agg_sum_exact", f"WITH {TRADES}, s AS (SELECT pool, day, sum(other_raw)::HUGEINT AS hi, sum(log_index)::HUGEINT AS lo FROM trades GROUP BY ROLLUP (pool, day)), {WIDE_SQL.format(table='s')} SELECT coalesce(pool, '') AS pool, day, whole AS total FROM worded")
 def agg_sum_exact(spark, d):
     """Sums beyond 38 digits by pool and day, by pool, and in all: partial sums merge."""
     daily = wide_words(spark, d).groupBy("pool", "day").agg(wide.limb_sums(F.col("word")).alias("sums"))
     rolled = daily.rollup("pool", "day").agg(wide.merged(F.col("sums")).alias("sums"))
-    return rolled.select(F.coalesce("pool", F.lit("")).alias("pool"), "day", wide.text(wide.total(F.col("sums"))).alias("total"))
+    totals = wide.with_total(rolled.select(F.coalesce("pool", F.lit("")).alias("pool"), "day", "sums"), "sums", "word")
+    return totals.select("pool", "day", decode.int256_text(F.col("word")).alias("total"))
 
 
 @query("agg_sum_exact_decimal", f"WITH {TRADES} SELECT pool, CAST(sum(CAST(other_raw AS HUGEINT) * 1000000000000000000) AS VARCHAR) AS total FROM trades GROUP BY 1")
@@ -542,20 +545,20 @@ def scale_exact(spark, d):
 
 #: Amounts of 6, 9 or 18 decimals, as whole numbers of 10^-18: hi * 2^128 + lo.
 SCALED_SQL = f"""{TRADES}, amounts AS (SELECT log_index, pool, other_raw * p AS hi, log_index * p AS lo FROM
- (SELECT *, [1000000000000, 1000000000, 1][log_index % 3 + 1]::HUGEINT AS p FROM trades)), worded AS (SELECT *, {WIDE_SQL.format(hi='m.hi', lo='m.lo')} AS whole FROM amounts m),
+ (SELECT *, [1000000000000, 1000000000, 1][log_index % 3 + 1]::HUGEINT AS p FROM trades)), {WIDE_SQL.format(table='amounts')},
 shown AS (SELECT *, CASE WHEN whole LIKE '-%' THEN '-' ELSE '' END AS sign, lpad(ltrim(whole, '-'), greatest(length(ltrim(whole, '-')), 19)::INT, '0') AS digits FROM worded),
 fixed AS (SELECT log_index, pool, hi, lo, sign || substr(digits, 1, length(digits) - 18) || '.' || right(digits, 18) AS amount FROM shown)"""
 
 
 def scaled_amounts(spark, d):
     decimals = F.element_at(F.array(F.lit(6), F.lit(9), F.lit(18)), (F.col("log_index") % 3 + 1).cast("int"))
-    return wide_words(spark, d).select("log_index", "pool", wide.scaled(F.col("word"), decimals).alias("word"))
+    return wide.with_scaled(wide_words(spark, d).select("log_index", "pool", "word"), "word", decimals, "word")
 
 
 @query("scale_exact_wide", f"WITH {SCALED_SQL} SELECT log_index, amount FROM fixed")
 def scale_exact_wide(spark, d):
     """18 digits behind the point of amounts of up to 77 digits."""
-    return scaled_amounts(spark, d).select("log_index", wide.fixed_text(F.col("word")).alias("amount"))
+    return wide.with_fixed_text(scaled_amounts(spark, d).select("log_index", "word"), "word", "amount").drop("word")
 
 
 @query("wide_order", f"WITH {SCALED_SQL} SELECT log_index, row_number() OVER (ORDER BY hi DESC, lo DESC, log_index) AS place FROM fixed")
@@ -568,11 +571,13 @@ def wide_order(spark, d):
 @query("wide_range", f"WITH {SCALED_SQL}, l AS (SELECT hi AS h, lo AS l FROM fixed WHERE log_index = 3), u AS (SELECT hi AS h, lo AS l FROM fixed WHERE log_index = 1002) SELECT pool, count(*) AS n, arg_min(amount, (hi, lo)) AS least, arg_max(amount, (hi, lo)) AS most FROM fixed, l, u WHERE (hi, lo) >= least((l.h, l.l), (u.h, u.l)) AND (hi, lo) <= greatest((l.h, l.l), (u.h, u.l)) GROUP BY 1")
 def wide_range(spark, d):
     """A range filter, min and max on the key; the bounds are two of the amounts."""
-    rows = scaled_amounts(spark, d).select("log_index", "pool", wide.key(F.col("word")).alias("key"))
+    rows = stored(scaled_amounts(spark, d).select("log_index", "pool", wide.key(F.col("word")).alias("key")), "wide-amounts")
     bounds = rows.filter("log_index in (3, 1002)").agg(F.min("key").alias("from"), F.max("key").alias("to"))
     inside = rows.crossJoin(F.broadcast(bounds)).filter("key between from and to")  # one row
-    shown = lambda c: wide.fixed_text(wide.word_of_key(c))
-    return inside.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least"), F.max("key").alias("most")).select("pool", "n", shown(F.col("least")).alias("least"), shown(F.col("most")).alias("most"))
+    ends = inside.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("least"), F.max("key").alias("most"))  # a row for each pool
+    for c in ("least", "most"):
+        ends = wide.with_fixed_text(ends.withColumn(c, wide.word_of_key(F.col(c))), c, c)
+    return ends
 
 
 LEGS = "FROM (SELECT *, CASE WHEN log_index % 3 = 0 THEN 'USDC' ELSE 'WETH' END AS t0, CASE WHEN log_index % 3 = 1 THEN 'DAI' ELSE 'X' END AS t1 FROM trades)"

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import wide
+from ledgerlens.functions import decode, wide
 
 
 def word(n: int) -> str:
@@ -21,24 +21,28 @@ def frame(spark, values):
     return spark.createDataFrame([(i, i % 3, None if v is None else word(v)) for i, v in enumerate(values)], "i long, g long, word string")
 
 
+def text(df, sums="s"):
+    return wide.with_total(df, sums, "w").withColumn("t", decode.int256_text(F.col("w")))
+
+
 def test_sums_merge_and_carry(spark):
     values = [*numbers(), None]
     df = frame(spark, values)
     part = df.groupBy("g").agg(wide.limb_sums(F.col("word")).alias("s"))
-    got = {r["g"]: int(r["t"]) for r in part.select("g", wide.text(wide.total(F.col("s"))).alias("t")).collect()}
+    got = {r["g"]: int(r["t"]) for r in text(part).collect()}
     assert got == {g: sum(v for i, v in enumerate(values) if i % 3 == g and v is not None) for g in range(3)}
-    whole = part.agg(wide.merged(F.col("s")).alias("s")).select(wide.text(wide.total(F.col("s")))).first()[0]
-    assert int(whole) == sum(v for v in values if v is not None)
+    assert int(text(part.agg(wide.merged(F.col("s")).alias("s"))).first()["t"]) == sum(v for v in values if v is not None)
 
 
 def test_sums_of_nothing_and_beyond(spark):
     none = frame(spark, [None]).unionByName(frame(spark, [1]).withColumn("word", F.lit("0x1")))
-    assert none.agg(wide.limb_sums(F.col("word")).alias("s")).select(wide.total(F.col("s"))).first()[0] is None
+    summed = lambda df: wide.with_total(df.agg(wide.limb_sums(F.col("word")).alias("s")), "s", "w")
+    assert summed(none).first()["w"] is None
     most = (1 << 255) - 1
-    assert frame(spark, [most, most, -most]).agg(wide.limb_sums(F.col("word")).alias("s")).select(wide.total(F.col("s"))).first()[0] == word(most)
+    assert summed(frame(spark, [most, most, -most])).first()["w"] == word(most)
     for over in ([most, 1], [-most, -2]):
         with pytest.raises(Exception, match="beyond 256 bits"):
-            frame(spark, over).agg(wide.limb_sums(F.col("word")).alias("s")).select(wide.total(F.col("s"))).collect()
+            summed(frame(spark, over)).collect()
 
 
 def test_order_range_and_max(spark):
@@ -49,7 +53,7 @@ def test_order_range_and_max(spark):
     low, high = values[10], values[40]
     bound = lambda v: wide.key(F.lit(word(v)))
     assert df.filter(F.col("key").between(bound(low), bound(high))).count() == 31
-    most = df.agg(F.max("key").alias("m"), F.min("key").alias("l")).select(wide.text(wide.word_of_key(F.col("m"))), wide.text(wide.word_of_key(F.col("l")))).first()
+    most = df.agg(F.max("key").alias("m"), F.min("key").alias("l")).select(decode.int256_text(wide.word_of_key(F.col("m"))), decode.int256_text(wide.word_of_key(F.col("l")))).first()
     assert (int(most[0]), int(most[1])) == (values[-1], values[0])
     assert frame(spark, [None]).select(wide.key(F.col("word"))).first()[0] is None
 
@@ -57,7 +61,8 @@ def test_order_range_and_max(spark):
 @pytest.mark.parametrize("decimals", [0, 6, 9, 17, 18])
 def test_fixed_point_keeps_all_digits(spark, decimals):
     values = [v for v in numbers(4, 190)]
-    got = frame(spark, values).select("i", wide.fixed_text(wide.scaled(F.col("word"), F.lit(decimals))).alias("t")).collect()
+    scaled = wide.with_scaled(frame(spark, values), "word", F.lit(decimals), "word")
+    got = wide.with_fixed_text(scaled, "word", "t").select("i", "t").collect()
     from decimal import localcontext
 
     with localcontext() as c:
@@ -72,4 +77,4 @@ def test_negation_and_products(spark):
     got = frame(spark, values).select("i", wide.negated(F.col("word")).alias("n")).collect()
     assert all(r["n"] == word(-values[r["i"]]) for r in got)
     with pytest.raises(Exception, match="beyond 256 bits"):
-        frame(spark, [1 << 250]).select(wide.times(F.col("word"), F.lit(1000).cast("bigint"))).collect()
+        wide.with_product(frame(spark, [1 << 250]), "word", F.lit(1000).cast("bigint"), "p").collect()
