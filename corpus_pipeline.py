@@ -93,7 +93,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared.table(spark, sf_dir, "documents")
     for place, (name, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
         if place < len(STAGES):
-            docs = shared.stored(docs, name.replace(" ", "-"))
+            done = docs
+            docs = shared.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            shared.dropped(done)  # what the stage after it has been written from
+        else:
+            docs = stage(spark, docs, sf_dir)
     return docs
