@@ -169,15 +169,17 @@ def _extract(selected: frozenset[int] | None):
 
 def sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
     """toxic, grade, fold and text of a bounded sample of the labelled documents, the same for
-    every run. Folds go by the id, so rows that repeat one are in one fold."""
+    every run. Rows that repeat an id, in either table, all count, but the bounds hold for rows too.
+    Folds go by the id, so rows that repeat one are in one fold."""
     toxic, quality = F.col("toxic").cast("int"), F.col("quality").cast("int")
     grade = F.when(toxic == 0, 0).when(quality == 0, 2).otherwise(1)
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
     known = labels.select(F.col("doc_id").alias("label_id"), toxic.alias("toxic"), grade.alias("grade"), fold.alias("fold")).filter("label_id is not null and toxic is not null")
     parts = [known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("label_id"), "label_id", "grade").limit(most) for kind, most in ((1, toxic_rows), (0, clean_rows))]
     chosen = parts[0].unionByName(parts[1])  # at most toxic_rows + clean_rows narrow rows
-    rows = docs.select(F.col("doc_id").alias("label_id"), F.col("text").alias("text"))
-    return rows.join(F.broadcast(chosen), "label_id").select("toxic", "grade", "fold", "text")
+    rows = docs.select(F.col("doc_id").alias("label_id"), F.col("text").alias("text")).join(F.broadcast(chosen), "label_id")
+    first = [rows.filter(F.col("toxic") == kind).orderBy(F.xxhash64("label_id"), "label_id", F.xxhash64("text"), "grade").limit(most) for kind, most in ((1, toxic_rows), (0, clean_rows))]
+    return first[0].unionByName(first[1]).select("toxic", "grade", "fold", "text")
 
 
 def least_rows(toxic: int, toxic_rows: int = TOXIC_ROWS) -> int:

@@ -133,3 +133,13 @@ def test_the_query_against_plain_python(spark, docs, corpus, tmp_path):
     for a, b in zip(got, sorted(want), strict=True):
         assert (a[0], *a[3:]) == (b[0], *b[3:])
         assert a[1:3] == pytest.approx(b[1:3], abs=1e-6)
+
+
+def test_the_sample_is_bounded_whatever_repeats(docs, spark):
+    rows = [(i, f"text {i}") for i in range(100)] + [(n, "said again") for n in range(0, 100, 2) for _ in range(20)]
+    known = [(i, i % 2, i % 4 < 2) for i in range(100)] + [(0, 0, True)] * 50
+    labels = spark.createDataFrame([(i, q, int(t)) for i, q, t in known], "doc_id long, quality int, toxic int")
+    found = toxicity.sample(docs(rows), labels, 20, 20).groupBy("toxic").count().collect()
+    assert all(r["count"] <= 20 for r in found) and len(found) == 2
+    again = toxicity.sample(docs(list(reversed(rows))), labels, 20, 20)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, toxicity.sample(docs(rows), labels, 20, 20).collect()))
