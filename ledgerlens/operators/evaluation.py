@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import stored
+
 Z95 = 1.959963984540054
 #: Kind of number: absolute and relative tolerance.
 TOLERANCES = {"count": (0.0, 0.0), "sum": (0.01, 1e-6), "quantity": (1e-6, 1e-6), "ratio": (1e-4, 1e-3)}
@@ -142,18 +144,58 @@ def moves(before: DataFrame, after: DataFrame) -> DataFrame:
     return a.join(b, "case_id").select("case_id", move.alias("move"))
 
 
-def _draws(cases: DataFrame, draws: int, seed: int) -> DataFrame:
-    """Weight of each case in each draw: Poisson(1) from a seeded hash, which for many cases is
-    resampling with replacement; no draw is built in one task."""
-    u = (F.xxhash64(F.lit(seed), "draw", "case_id").bitwiseAND((1 << 53) - 1).cast("double") + 0.5) / float(1 << 53)
-    chances, total, term = [], 0.0, 0.36787944117144233
-    for k in range(12):
-        total += term
-        chances.append(total)
-        term /= k + 1
-    weight = sum((F.when(u > c, 1).otherwise(0) for c in chances[1:]), F.when(u > chances[0], 1).otherwise(0))
-    spread = cases.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    return spread.withColumn("weight", weight)
+#: Ranges of the hash among which a draw is split first, at most, and cases of a range beyond which
+#: more ranges are taken.
+RANGES, RANGE_CASES = 65_536, 4_096
+
+
+def _drawn(cases: DataFrame, draws: int, seed: int) -> DataFrame:
+    """draw, cases (how many were drawn: exactly as many as there are) and total (of their shares),
+    for resampling with replacement. ``cases``: case_id (unique), share.
+
+    A draw is a multinomial count over the cases. It is split down a tree of hashes: over ranges of
+    the cases' hashes by the ranges' sizes, then over the cases of each range. Both are exact, each
+    range of all draws is one task's work, and every split has a seed of its own, so a repeated task
+    gives the same."""
+    import pandas as pd
+
+    n = cases.count()
+    ranges = max(1, min(RANGES, -(-n // RANGE_CASES)))
+    placed = cases.select(F.col("case_id").cast("string").alias("case_id"), F.col("share").cast("double").alias("share"), F.pmod(F.xxhash64(F.col("case_id").cast("string")), F.lit(ranges)).alias("range"))
+    sizes = sorted((r["range"], r["count"]) for r in placed.groupBy("range").count().collect())  # at most RANGES numbers
+
+    def over_ranges(frames):
+        import numpy as np
+
+        shares = np.array([c / n for _, c in sizes])
+        for frame in frames:
+            for draw in frame["id"]:
+                counts = np.random.default_rng([seed, draw]).multinomial(n, shares)
+                yield pd.DataFrame({"range": [r for r, _ in sizes], "draw": draw, "k": counts})
+
+    def over_cases(key, own, splits):
+        import numpy as np
+
+        shares = own.sort_values("case_id")["share"].to_numpy()
+        if not len(shares):
+            return pd.DataFrame({"draw": [], "k": [], "total": []})
+        even = np.full(len(shares), 1 / len(shares))
+        totals = [float(np.random.default_rng([seed, d, int(key[0]) + 1]).multinomial(k, even) @ shares) for d, k in zip(splits["draw"], splits["k"], strict=True)]
+        return pd.DataFrame({"draw": splits["draw"], "k": splits["k"], "total": totals})
+
+    tasks = max(1, min(draws, cases.sparkSession.sparkContext.defaultParallelism))
+    splits = cases.sparkSession.range(0, draws if n else 0, 1, tasks).mapInPandas(over_ranges, "range long, draw long, k long")
+    found = placed.groupBy("range").cogroup(splits.groupBy("range")).applyInPandas(over_cases, "draw long, k long, total double")
+    return found.groupBy("draw").agg(F.sum("k").alias("cases"), F.sum("total").alias("total"))
+
+
+def _resampled(per: DataFrame, name: str, draws: int, seed: int) -> DataFrame:
+    """The mean of ``share``, its percentile interval, its standard error in closed form, and how
+    many cases the least and the largest draw took."""
+    drawn = _drawn(per, draws, seed).withColumn("x", F.col("total") / F.col("cases"))
+    found = _interval(drawn, "x").crossJoin(F.broadcast(drawn.agg(F.min("cases").alias("least_drawn"), F.max("cases").alias("most_drawn"))))  # one row each
+    error = F.sqrt(F.var_pop("share") / F.count("share")).alias("standard_error")
+    return per.agg(F.avg("share").alias(name), error).crossJoin(F.broadcast(found))  # one row
 
 
 def _interval(values: DataFrame, column: str) -> DataFrame:
@@ -165,16 +207,14 @@ def _interval(values: DataFrame, column: str) -> DataFrame:
 def bootstrap(rows: DataFrame, draws: int = 500, seed: int = 1) -> DataFrame:
     """Accuracy with a percentile interval; a case is drawn with all its runs."""
     per = rows.groupBy("case_id").agg(F.avg(F.col("correct").cast("double")).alias("share"))
-    drawn = _draws(per, draws, seed).groupBy("draw").agg((F.sum(F.col("share") * F.col("weight")) / F.sum("weight")).alias("x"))
-    return per.agg(F.avg("share").alias("accuracy")).crossJoin(F.broadcast(_interval(drawn, "x")))  # one row
+    return _resampled(stored(per, "bootstrap"), "accuracy", draws, seed)
 
 
 def paired_difference(before: DataFrame, after: DataFrame, draws: int = 500, seed: int = 1) -> DataFrame:
     """After less before on shared cases, with an interval."""
     mean = lambda df, name: df.groupBy("case_id").agg(F.avg(F.col("correct").cast("double")).alias(name))
     both = mean(before, "a").join(mean(after, "b"), "case_id").select("case_id", (F.col("b") - F.col("a")).alias("share"))
-    drawn = _draws(both, draws, seed).groupBy("draw").agg((F.sum(F.col("share") * F.col("weight")) / F.sum("weight")).alias("x"))
-    return both.agg(F.avg("share").alias("difference")).crossJoin(F.broadcast(_interval(drawn, "x")))  # one row
+    return _resampled(stored(both, "bootstrap"), "difference", draws, seed)
 
 
 def kappa(rows: DataFrame, a: str, b: str) -> DataFrame:

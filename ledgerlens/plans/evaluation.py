@@ -60,18 +60,28 @@ def moves(spark, d):
     return ev.moves(r.filter("run < 2"), r.filter("run > 0"))
 
 
-@query("bootstrap_cluster", f"WITH {RUNS}, c AS (SELECT case_id, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS s FROM runs GROUP BY 1) SELECT round(avg(s), 6) AS accuracy, true AS holds FROM c")
+#: Mean, number of cases, and the ends of the normal interval in standard errors, from closed forms.
+INTERVAL_SQL = "round(avg(s), 6) AS {name}, count(*) AS least_drawn, count(*) AS most_drawn, round(sqrt(var_pop(s) / count(*)), 9) AS standard_error, round((avg(s) - 1.959963984540054 * sqrt(var_pop(s) / count(*)) - avg(s)) / sqrt(var_pop(s) / count(*)))::BIGINT AS low_errors, round((avg(s) + 1.959963984540054 * sqrt(var_pop(s) / count(*)) - avg(s)) / sqrt(var_pop(s) / count(*)))::BIGINT AS high_errors"
+#: Draws of the two bootstraps: the ends of an interval are then good to an eighth of an error.
+DRAWS = 400
+
+
+def _in_errors(found, name):
+    away = lambda c: F.round((F.col(c) - F.col(name)) / F.col("standard_error")).cast("long").alias(f"{c}_errors")
+    return found.select(F.round(name, 6).alias(name), "least_drawn", "most_drawn", F.round("standard_error", 9).alias("standard_error"), away("low"), away("high"))
+
+
+@query("bootstrap_cluster", f"WITH {RUNS}, c AS (SELECT case_id, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS s FROM runs GROUP BY 1) SELECT {INTERVAL_SQL.format(name='accuracy')} FROM c")
 def bootstrap_cluster(spark, d):
-    """The interval is random by design; the mean and that it lies inside are compared."""
-    found = ev.bootstrap(runs(spark, d), 200)
-    return found.select(F.round("accuracy", 6).alias("accuracy"), ((F.col("low") < F.col("accuracy")) & (F.col("accuracy") < F.col("high")) & (F.col("high") - F.col("low") < 0.2)).alias("holds"))
+    """Every draw takes exactly as many cases as there are; the interval is held against the normal
+    one of the closed-form error."""
+    return _in_errors(ev.bootstrap(runs(spark, d), DRAWS), "accuracy")
 
 
-@query("paired_bootstrap_diff", f"WITH {RUNS}, a AS (SELECT case_id, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS s FROM runs WHERE run = 0 GROUP BY 1), b AS (SELECT case_id, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS s FROM runs WHERE run = 1 GROUP BY 1) SELECT round(avg(b.s - a.s), 6) AS difference, true AS holds FROM a JOIN b USING (case_id)")
+@query("paired_bootstrap_diff", f"WITH {RUNS}, a AS (SELECT case_id, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS s FROM runs WHERE run = 0 GROUP BY 1), b AS (SELECT case_id, avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END) AS s FROM runs WHERE run = 1 GROUP BY 1), c AS (SELECT b.s - a.s AS s FROM a JOIN b USING (case_id)) SELECT {INTERVAL_SQL.format(name='difference')} FROM c")
 def paired_bootstrap_diff(spark, d):
     r = runs(spark, d)
-    found = ev.paired_difference(r.filter("run = 0"), r.filter("run = 1"), 200)
-    return found.select(F.round("difference", 6).alias("difference"), ((F.col("low") <= F.col("difference")) & (F.col("difference") <= F.col("high"))).alias("holds"))
+    return _in_errors(ev.paired_difference(r.filter("run = 0"), r.filter("run = 1"), DRAWS), "difference")
 
 
 @query("spread_guards", f"WITH {RUNS}, p AS (SELECT run, count(*) FILTER (correct) AS r FROM runs GROUP BY 1) SELECT min(r) AS least, max(r) AS most, greatest(1, max(r) - min(r)) AS margin FROM p")

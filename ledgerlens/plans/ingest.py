@@ -200,14 +200,17 @@ def load_verify(spark, d):
     return landing.verify(t, held, daily).groupBy("check").agg(F.count("*").alias("problems"))
 
 
-@query("sink_insert_batch", LANDED + "SELECT count(*) AS rows, true AS few_files FROM landed")
+#: Rows of a batch in the query: small enough for several batches of the test tables.
+BATCH = 1_000
+
+
+@query("sink_insert_batch", LANDED + f"SELECT CAST(batch AS BIGINT) AS batch, least({BATCH}, (SELECT count(*) FROM landed) - batch * {BATCH})::BIGINT AS rows, 1::BIGINT AS files FROM range((SELECT (count(*) + {BATCH - 1}) // {BATCH} FROM landed)) b(batch)")
 def sink_insert_batch(spark, d):
-    """Large batches: one file for up to 100,000 rows."""
+    """Large batches: each is one file of as many rows, all but the last, read back."""
     path = scratch(spark, "batches")
-    rows = trades(spark, d).filter("log_index % 97 != 0")
-    rows.coalesce(1).write.option("maxRecordsPerFile", 100_000).parquet(path)
-    back = spark.read.parquet(path).select("_metadata.file_path")
-    return back.agg(F.count("*").alias("rows"), (F.countDistinct("file_path") <= F.ceil(F.count("*") / 100_000)).alias("few_files"))
+    files.write_batches(trades(spark, d).filter("log_index % 97 != 0"), path, BATCH)
+    back = spark.read.parquet(path).select(F.col("batch").cast("long").alias("batch"), "_metadata.file_path")
+    return back.groupBy("batch").agg(F.count("*").alias("rows"), F.countDistinct("file_path").alias("files"))
 
 
 @query("canonical_check", "SELECT CAST(last AS BIGINT) AS block_number FROM (SELECT max(event_id) AS last FROM events GROUP BY event_id // 500) WHERE last % 2500 = 499")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.decode import quantity
+from ..session import stored
 
 #: Column types of a TSV header and the types here.
 TYPES = {"String": "string", "UInt8": "boolean", "UInt32": "bigint", "UInt64": "bigint", "Int32": "int", "Date": "date", "DateTime": "timestamp", "DateTime('UTC')": "timestamp", "Float64": "double"}
@@ -25,12 +27,14 @@ def _type(text: str) -> str:
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     r"""A TSV with a line of names and a line of types; ``\N`` is null. Ragged rows and escapes
     other than null are refused."""
-    lines = spark.read.text(path).withColumn("n", F.monotonically_increasing_id())
-    head = lines.orderBy("n").limit(2).collect()
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    # the first lines of the first file by name; Spark deals files out by size
+    head = lines.orderBy("file", "block", "n").limit(2).collect()
     names, kinds = (r["value"].split("\t") for r in head)
     if len(names) != len(kinds):
         raise ValueError("names and types differ in number")
-    body = lines.filter(F.col("n") > head[1]["n"])  # by place: a row may look like a header
+    is_head = (F.col("file") == head[0]["file"]) & F.col("n").isin([r["n"] for r in head])
+    body = lines.filter(~is_head)  # by place: a row may look like a header
     cells = F.split("value", "\t", -1)
     ragged = F.size(cells) != len(names)
     escaped = F.regexp_replace("value", r"(^|\t)\\N(?=\t|$)", "$1").contains("\\")
@@ -39,15 +43,36 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*[F.when(F.get("c", F.lit(i)) != "\\N", F.get("c", F.lit(i))).cast(_type(k)).alias(name) for i, (name, k) in enumerate(zip(names, kinds, strict=True))])
 
 
-def write_tsv(df: DataFrame, path: str, keys: list[str], kinds: dict[str, str]) -> None:
-    """A fixture: rows in key order after the two header lines; a table without rows has those."""
+def write_tsv(df: DataFrame, path: str, keys: list[str], kinds: dict[str, str], file_rows: int = 100_000) -> None:
+    """A fixture: rows in key order after the two header lines; a table without rows has those.
+
+    Lines are numbered over the whole table and written in parallel, ``file_rows`` of them or so to
+    a file; read in order of their names, the files are the fixture."""
     spark = df.sparkSession
     head = [(0, "\t".join(df.columns)), (1, "\t".join(kinds[c] for c in df.columns))]
     cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\\N"))
     from ..operators.ranking import global_rank
 
     body = global_rank(df, [F.asc(k) for k in keys], "_n").select((F.col("_n") + 1).alias("n"), F.concat_ws("\t", *[cell(c) for c in df.columns]).alias("value"))
-    spark.createDataFrame(head, "n long, value string").unionByName(body).coalesce(1).sortWithinPartitions("n").select("value").write.mode("overwrite").text(path)
+    lines = stored(spark.createDataFrame(head, "n long, value string").unionByName(body), "fixture-lines")
+    parts = max(1, -(-lines.count() // file_rows))
+    lines.repartitionByRange(parts, "n").sortWithinPartitions("n").select("value").write.mode("overwrite").text(path)
+
+
+def write_batches(df: DataFrame, path: str, rows: int = 100_000) -> None:
+    """Insert batches: files of exactly ``rows`` rows, all but the last, below batch=<number>.
+
+    Rows are numbered by prefix sums over the sizes of the parts they lie in, so batches are filled
+    across parts and written side by side."""
+    names = df.columns
+    place = F.monotonically_increasing_id()
+    parts = stored(df.select("*", F.shiftright(place, 33).alias("_part"), place.bitwiseAND((1 << 33) - 1).alias("_at")), "batch-rows")
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each part
+    placed = parts.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    batches = placed.select(*names, F.floor((F.col("_before") + F.col("_at")) / rows).alias("batch"))
+    writers = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    batches.repartition(writers, "batch").write.mode("overwrite").partitionBy("batch").parquet(path)
 
 
 def fingerprint(df: DataFrame, date: str, sums: list[str]) -> DataFrame:

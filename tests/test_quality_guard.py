@@ -120,3 +120,22 @@ def test_chunks_and_search(spark):
     relevant = spark.createDataFrame([(1, 1), (2, 2), (3, 0)], "query_id long, chunk_id long")
     row = bm25.retrieval_metrics(bm25.Index(chunks).search(asked), relevant).first()
     assert (row["queries"], row["found"]) == (3, 2) and row["mrr"] == pytest.approx(2 / 3)
+
+
+@pytest.mark.parametrize("cases", [1, 37, 400])
+def test_draws_take_exactly_as_many_cases_as_there_are(spark, monkeypatch, cases):
+    monkeypatch.setattr(evaluation, "RANGE_CASES", 30)
+    per = spark.createDataFrame([(i, float(i % 5 == 0)) for i in range(cases)], "case_id long, share double")
+    drawn = evaluation._drawn(per, 300, 7).collect()
+    assert len(drawn) == 300 and {r["cases"] for r in drawn} == {cases}
+    p = sum(i % 5 == 0 for i in range(cases)) / cases
+    mean = sum(r["total"] for r in drawn) / 300
+    spread = sum((r["total"] - mean) ** 2 for r in drawn) / 299
+    assert abs(mean - cases * p) <= 4 * (cases * p * (1 - p) / 300) ** 0.5 + 1e-9
+    assert p in (0, 1) or 0.7 < spread / (cases * p * (1 - p)) < 1.35
+    again = evaluation._drawn(per.repartition(5), 300, 7).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, drawn))
+
+
+def test_draws_of_no_cases(spark):
+    assert evaluation._drawn(spark.createDataFrame([], "case_id long, share double"), 10, 1).count() == 0

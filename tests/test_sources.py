@@ -195,3 +195,20 @@ def test_partials_survive_repeats_and_repairs(spark, tmp_path):
     assert [r["problem"] for r in kept.problems(repaired).collect()] == ["differs"]
     kept.rebuild(repaired)
     assert kept.problems(repaired).count() == 0
+
+
+def test_batches_and_fixtures_are_written_side_by_side(spark, tmp_path):
+    rows = spark.range(0, 1003, 1, 7).select("id", (F.col("id") * 3).alias("v")).filter("id % 10 != 4")
+    files.write_batches(rows, f"file://{tmp_path}/batches", 100)
+    back = spark.read.parquet(f"file://{tmp_path}/batches")
+    sizes = {r["batch"]: r["count"] for r in back.groupBy("batch").count().collect()}
+    assert sizes == {**{i: 100 for i in range(9)}, 9: 3} and back.select("id").distinct().count() == 903
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in (tmp_path / "batches").glob("batch=*"))
+    files.write_tsv(rows, f"file://{tmp_path}/tsv", ["id"], {"id": "UInt64", "v": "UInt64"}, file_rows=50)
+    parts = sorted((tmp_path / "tsv").glob("part-*"))
+    lines = [line for p in parts for line in p.read_text().splitlines()]
+    assert len(parts) > 5 and lines == ["id\tv", "UInt64\tUInt64", *(f"{i}\t{3 * i}" for i in range(1003) if i % 10 != 4)]
+    assert sorted(map(tuple, files.read_tsv(spark, f"file://{tmp_path}/tsv").collect())) == [(i, 3 * i) for i in range(1003) if i % 10 != 4]
+    files.write_tsv(rows.limit(0), f"file://{tmp_path}/none", ["id"], {"id": "UInt64", "v": "UInt64"})
+    assert files.read_tsv(spark, f"file://{tmp_path}/none").count() == 0
+    files.write_batches(rows.limit(0), f"file://{tmp_path}/empty")
