@@ -139,3 +139,20 @@ def test_draws_take_exactly_as_many_cases_as_there_are(spark, monkeypatch, cases
 
 def test_draws_of_no_cases(spark):
     assert evaluation._drawn(spark.createDataFrame([], "case_id long, share double"), 10, 1).count() == 0
+
+
+@pytest.mark.parametrize("limits", [{}, {"rare": 2, "step": 2}, {"rare": 1, "step": 5}])
+def test_search_by_bounds_finds_what_all_scores_say(spark, limits):
+    """Words of very different frequency; some queries hold common ones only, one holds none known."""
+    from pyspark.sql.window import Window
+
+    rng = random.Random(4)
+    word = lambda: f"w{int(rng.paretovariate(0.7)) % 300}"
+    chunks = spark.createDataFrame([(f"c{i:04}", " ".join(word() for _ in range(2)), " ".join(word() for _ in range(rng.randint(0, 60)))) for i in range(200)], "chunk_id string, heading string, text string")
+    asked = [(i, " ".join(word() for _ in range(rng.randint(1, 12)))) for i in range(40)] + [(90, "w1"), (91, "w1 w2 w3"), (92, "unknown"), (93, None)]
+    queries = spark.createDataFrame(asked, "query_id long, text string")
+    index = bm25.Index(chunks)
+    got = {(r["query_id"], r["place"]): (r["chunk_id"], round(r["score"], 6)) for r in index.search(queries, 5, **limits).collect()}
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "chunk_id"))
+    want = {(r["query_id"], r["place"]): (r["chunk_id"], round(r["score"], 6)) for r in index.scores(queries).withColumn("place", place).filter("place <= 5").collect()}
+    assert got == want and len(want) > 150
