@@ -299,6 +299,9 @@ def means_margin(rows: DataFrame, value: str) -> DataFrame:
     return per.agg(F.avg("mean").alias("mean"), (F.max("mean") - F.min("mean")).alias("margin"))
 
 
-def worst_case_usd(prompt: Column, most_output: Column, rates: dict[str, str]) -> Column:
-    """The most a call can cost: nothing cached, all output used."""
-    return cost_usd({"input": prompt, "output": most_output}, rates)
+def worst_case_usd(prompt: Column, most_output: Column, tiers: list[tuple[int | None, dict[str, str]]]) -> Column:
+    """The most a call can cost: nothing read from a cache, all output used, at the rates of the
+    prompt's tier. Where a tier has a rate for writing to the cache, input costs the dearer of both."""
+    dearest = [(most, rates | {"input": max(rates["input"], rates.get("cache_write", "0"), key=float)}) for most, rates in tiers]
+    plain = [(most, {k: rates[k] for k in ("input", "output")}) for most, rates in dearest]
+    return tiered_usd(prompt, {"input": prompt, "output": most_output}, plain)

@@ -85,10 +85,11 @@ def part_of(df: DataFrame, share: str, slack: float = 1e-6) -> DataFrame:
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys on one side only, with the side."""
+    """Keys on one side only, with the side, and those that the left side lists twice."""
     one = left.join(right.select(keys), keys, "left_anti").select(*keys).withColumn("problem", F.lit("not in the recomputation"))
     two = right.join(left.select(keys), keys, "left_anti").select(*keys).withColumn("problem", F.lit("missing"))
-    return one.unionByName(two)
+    twice = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys).withColumn("problem", F.lit("listed twice"))
+    return one.unionByName(two).unionByName(twice)
 
 
 def accounts_for(mart: DataFrame, raw: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -132,9 +132,11 @@ def means_guards(spark, d):
     return ev.means_margin(runs(spark, d), "value").select(F.round("mean", 6).alias("mean"), F.round("margin", 6).alias("margin"))
 
 
-@query("worst_case", "SELECT event_id, CAST(CAST(event_id AS HUGEINT) * 25 + 4096 * 125 AS DOUBLE) / 100000000 AS usd FROM events")
+@query("worst_case", "SELECT event_id, CAST(CASE WHEN event_id > 5000 THEN event_id::HUGEINT * 60 + 4096 * 250 ELSE event_id::HUGEINT * 30 + 4096 * 125 END AS DOUBLE) / 100000000 AS usd FROM events")
 def worst_case(spark, d):
-    usd = ev.worst_case_usd(F.col("event_id"), F.lit(4096), {"input": "0.25", "output": "1.25"})
+    """Dearer beyond 5,000 tokens of prompt; input may have to be written to the cache."""
+    tiers = [(5000, {"input": "0.25", "cache_write": "0.30", "output": "1.25"}), (None, {"input": "0.50", "cache_write": "0.60", "output": "2.50"})]
+    usd = ev.worst_case_usd(F.col("event_id"), F.lit(4096), tiers)
     return read(spark, d, "events").select("event_id", usd.cast("double").alias("usd"))
 
 

@@ -23,13 +23,13 @@ from .relational import raw_logs
 # sources
 
 
-@query("src_yaml", "SELECT '0x' || lpad(lower(to_hex(n_nationkey)), 40, '0') AS address, n_name AS token1, CAST((n_nationkey % 4 + 1) * 100 AS INT) AS fee FROM nation")
+@query("src_yaml", "SELECT '0x' || lpad(lower(to_hex(n_nationkey)), 40, '0') AS address, n_name AS token1, [100, 500, 3000, 10000][n_nationkey % 4 + 1]::INT AS fee FROM nation")
 def src_yaml(spark, d):
     """The pool list, written as YAML and read."""
     rows = read(spark, d, "nation").select("n_nationkey", "n_name").collect()  # 25 rows
     lines = ["# pools", "pools:"]
     for r in rows:
-        lines += [f"  - address: \"0x{r['n_nationkey']:040X}\"", "    token0: USDC  # the stable one", f"    token1: '{r['n_name']}'", "    decimals0: 6", "    decimals1: 18", f"    fee: {(r['n_nationkey'] % 4 + 1) * 100}"]
+        lines += [f"  - address: \"0x{r['n_nationkey']:040X}\"", "    token0: USDC  # the stable one", f"    token1: '{r['n_name']}'", "    decimals0: 6", "    decimals1: 18", f"    fee: {pools.FEE_TIERS[r['n_nationkey'] % 4]}"]
     path = scratch(spark, "pools")
     spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
     return pools.read_pools(spark, path).select("address", "token1", "fee")
@@ -260,10 +260,7 @@ def ledger(spark, d):
         book = guard.Ledger(f"{home}/ledger.jsonl", 10)
         out = []
         for r in read(spark, d, "nation").orderBy("n_nationkey").select("n_nationkey").collect():  # 25 calls
-            allowed = book.allows(1)
-            if allowed:
-                book.add("1", json.dumps(r["n_nationkey"]))
-            out.append((r["n_nationkey"], allowed))
+            out.append((r["n_nationkey"], book.reserve(1, json.dumps(r["n_nationkey"])) is not None))
     return spark.createDataFrame(out, "n_nationkey int, allowed boolean")
 
 

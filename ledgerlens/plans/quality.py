@@ -67,12 +67,13 @@ def dq_label_fee(spark, d):
     return quality.label_states_fee(planted, "label", "fee").select("pool")
 
 
-@query("dq_rt_definition", f"WITH {PAIRS} SELECT pool, blk, log_index, 'missing' AS problem FROM legs WHERE log_index % 5 = 0 UNION ALL SELECT pool, blk, log_index, 'not in the recomputation' FROM trades WHERE log_index = 11 AND log_index NOT IN (SELECT log_index FROM legs)")
+@query("dq_rt_definition", f"WITH {PAIRS} SELECT pool, blk, log_index, 'missing' AS problem FROM legs WHERE log_index % 5 = 0 UNION ALL SELECT pool, blk, log_index, 'not in the recomputation' FROM trades WHERE log_index = 11 AND log_index NOT IN (SELECT log_index FROM legs) UNION ALL SELECT pool, blk, log_index, 'listed twice' FROM legs WHERE log_index % 35 = 7")
 def dq_rt_definition(spark, d):
-    """A mart of legs with some missing and one too many, against their definition."""
+    """A mart of legs with some missing, one too many and some twice, against their definition."""
     t = trades(spark, d)
     legs, keys = roundtrips.legs(t), roundtrips.KEY
     mart = legs.filter("log_index % 5 != 0").select(keys).unionByName(t.filter("log_index = 11").select(keys)).distinct()
+    mart = mart.unionByName(legs.filter("log_index % 35 = 7").select(keys))
     return quality.symmetric_difference(mart, legs, keys)
 
 

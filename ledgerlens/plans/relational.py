@@ -647,12 +647,13 @@ def fn_math(spark, d):
 
 
 @query("fn_dates", """SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('hour', ts) AS hour_start, CAST(hour(ts) AS INT) AS hour, strftime(ts, '%Y%m') AS month, CAST(date_trunc('week', ts) AS DATE) AS monday,
- CAST(isodow(ts) AS INT) AS weekday, dayname(ts) AS name, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) AS since, CAST(CAST(ts AS DATE) + 7 AS DATE) AS later, ts + INTERVAL 90 MINUTE AS shifted FROM events""")
+ CAST(isodow(ts) AS INT) AS weekday, dayname(ts) AS name, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) AS since, CAST(CAST(ts AS DATE) + 7 AS DATE) AS later, ts + INTERVAL 90 MINUTE AS shifted, ts < now()::TIMESTAMP AS past, ts > now()::TIMESTAMP - INTERVAL 1 DAY AS today FROM events""")
 def fn_dates(spark, d):
     t = F.col("ts")
     return read(spark, d, "events").select(
         "event_id", F.to_date(t).alias("day"), F.date_trunc("hour", t).cast("timestamp_ntz").alias("hour_start"), F.hour(t).alias("hour"), F.date_format(t, "yyyyMM").alias("month"), F.to_date(F.date_trunc("week", t)).alias("monday"),
         (F.weekday(t) + 1).alias("weekday"), F.date_format(t, "EEEE").alias("name"), F.datediff(F.to_date(t), F.lit("2024-01-01")).alias("since"), F.date_add(F.to_date(t), 7).alias("later"), (t + F.expr("interval 90 minutes")).alias("shifted"),
+        (t < F.now()).alias("past"), (t > F.now() - F.expr("interval 1 day")).alias("today"),
     )
 
 

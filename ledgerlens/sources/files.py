@@ -124,14 +124,16 @@ def receipts(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def receipts_summary(rows: DataFrame, pools: list[str], swap_topic: str) -> DataFrame:
-    """Signers, the largest one's share, logs by kind, share of early slots and gas quantiles."""
+    """Signers, the shares of the largest one and the largest five, logs by kind, share of early
+    slots and gas quantiles."""
     per = rows.groupBy("signer").agg(F.count(F.lit(1)).alias("n"))
     top = per.agg(F.count(F.lit(1)).alias("signers"), F.max("n").alias("most"))
+    top5 = per.orderBy(F.desc("n")).limit(5).agg(F.sum("n").alias("most5"))
     logs = rows.select(F.explode("logs").alias("l")).select(F.lower(F.get("l.topics", F.lit(0))).alias("topic"), F.lower("l.address").alias("emitter"))
     ours: Column = F.col("emitter").isin(pools)
     kinds = logs.agg(F.count_if((F.col("topic") == swap_topic) & ours).alias("swaps_of_ours"), F.count_if((F.col("topic") == swap_topic) & ~ours).alias("swaps_elsewhere"), F.count_if(F.col("topic") != swap_topic).alias("other_logs"))
     whole = rows.agg(F.count(F.lit(1)).alias("txs"), F.median("gas").alias("gas_p50"), F.expr("percentile_disc(0.95) within group (order by gas)").cast("long").alias("gas_p95"), F.avg((F.col("slot") <= 2).cast("double")).alias("early"))
-    return whole.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(kinds)).withColumn("top_share", F.col("most") / F.col("txs")).drop("most")  # one row each
+    return whole.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(kinds)).crossJoin(F.broadcast(top5)).withColumn("top_share", F.col("most") / F.col("txs")).withColumn("top5_share", F.col("most5") / F.col("txs")).drop("most", "most5")  # one row each
 
 
 def k_anonymous(rows: DataFrame, group: str, count: str, k: int = 5, other: str = "other") -> DataFrame:

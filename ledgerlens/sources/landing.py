@@ -90,17 +90,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def verify(table: DataFrame, files: DataFrame, aggregate: DataFrame) -> DataFrame:
-    """Problems of a loaded table as rows (check, detail): row count, duplicate keys, rows by file,
-    and the daily aggregate (pool, day, trades) against the rows."""
+    """Problems of a loaded table as rows (check, detail): row count, coverage of the blocks by the
+    files, duplicate keys, rows by file, and the daily aggregate (pool, day, trades) against the rows.
+    ``files``: from_block, to_block, lines."""
     say = lambda df, check, detail: df.select(F.lit(check).alias("check"), detail.alias("detail"))
     counts = table.agg(F.count(F.lit(1)).alias("a")).crossJoin(F.broadcast(files.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("b"))))  # one row
     total = say(counts.filter("a != b"), "row count", F.concat_ws(" vs ", "a", "b"))
+    covered = say(coverage_problems(files), "coverage", F.concat_ws(" ", "problem", F.col("from_block").cast("string")))
     keys = table.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     twice = say(keys, "duplicate key", F.concat_ws("/", *KEY))
     by_file = say(load_plan(files, table).filter("action != 'skip'"), "rows by file", F.col("from_block").cast("string"))
     daily = table.groupBy("pool", "day").agg(F.count(F.lit(1)).alias("n"))
     drift = daily.join(aggregate.select("pool", "day", F.col("trades").alias("m")), ["pool", "day"], "full_outer").filter("not (n <=> m)")
-    return total.unionByName(twice).unionByName(by_file).unionByName(say(drift, "daily aggregate", F.concat_ws("/", "pool", F.col("day").cast("string"))))
+    return total.unionByName(covered).unionByName(twice).unionByName(by_file).unionByName(say(drift, "daily aggregate", F.concat_ws("/", "pool", F.col("day").cast("string"))))
 
 
 def canonical_problems(rows: DataFrame, canonical: DataFrame, tail: int = 100) -> DataFrame:

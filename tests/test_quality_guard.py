@@ -52,6 +52,30 @@ def test_ledger(tmp_path):
     assert ledger.allows("0.25") and not ledger.allows("0.26")
 
 
+def test_two_writers_do_not_pass_the_limit_together(tmp_path):
+    """Eight processes try to reserve ten dollars each of a limit of a hundred."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    path = str(tmp_path / "l.jsonl")
+    code = f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})\nfrom ledgerlens.guard import Ledger\nbook = Ledger({path!r}, 100)\nprint(sum(book.reserve(10, 'call') is not None for _ in range(5)))"
+    runs = [subprocess.Popen([sys.executable, "-c", code], stdout=subprocess.PIPE, text=True) for _ in range(8)]
+    assert sum(int(r.communicate(timeout=120)[0]) for r in runs) == 10
+    book = guard.Ledger(path, 100)
+    assert book.spent() == 100 and book.reserve("0.01", "more") is None
+    name = guard.Ledger(str(tmp_path / "other"), 5).reserve(4, "call")
+    other = guard.Ledger(str(tmp_path / "other"), 5)
+    other.settle(name, 4, "1.5", "call")
+    assert other.spent() == Decimal("1.5") and other.reserve("3.5", "next") is not None
+
+
+def test_keys_listed_twice_are_told(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (4,)], "k long")
+    right = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    assert sorted((r["k"], r["problem"]) for r in quality.symmetric_difference(left, right, ["k"]).collect()) == [(1, "listed twice"), (3, "missing"), (4, "not in the recomputation")]
+
+
 def broken(spark):
     """Each rule with a table that breaks it once."""
     pools = spark.createDataFrame([("a", 500, "a 0.05%"), ("b", 100, "b 0.02%")], "pool string, fee int, label string")

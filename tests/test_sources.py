@@ -46,7 +46,7 @@ def test_what_a_node_answers():
 def test_pool_list():
     text = """# pools\npools:\n  - address: "0xABCDEFabcdefABCDEFabcdefABCDEFabcdefABCD"\n    token0: USDC # stable\n    token1: 'WETH'\n    decimals0: 6\n    decimals1: 18\n    fee: 500\n"""
     assert pools.pools_of(text) == [{"address": "0x" + "abcdef" * 6 + "abcd", "token0": "USDC", "token1": "WETH", "decimals0": 6, "decimals1": 18, "fee": 500}]
-    for bad in (text.replace("fee: 500", ""), text.replace("    fee", "\tfee"), text.replace("fee: 500", "fee: {a: 1}"), text.replace("fee: 500", "fee: 500\n    fee: 3"), text.replace("0xAB", "0xZZ"), text + text[text.index("  - ") :]):
+    for bad in (text.replace("fee: 500", ""), text.replace("    fee", "\tfee"), text.replace("fee: 500", "fee: {a: 1}"), text.replace("fee: 500", "fee: 500\n    fee: 3"), text.replace("0xAB", "0xZZ"), text.replace("fee: 500", "fee: 400"), text.replace("decimals0: 6", "decimals0: 256"), text.replace("decimals1: 18", "decimals1: -1"), text.replace("fee: 500", "fee: 500\n    note: x"), text + text[text.index("  - ") :]):
         with pytest.raises(ValueError):
             pools.pools_of(bad)
 
