@@ -157,6 +157,36 @@ def _postings(min_chars: int):
     return run
 
 
+def _filled(k1, k2) -> CuckooFilter:
+    """A filter that holds all keys, given as unsigned arrays."""
+    size = max(len(k1), 1)
+    cuckoo = CuckooFilter.sized(size)
+    while not cuckoo.add(k1, k2):
+        size *= 2
+        cuckoo = CuckooFilter.sized(size)
+    return cuckoo
+
+
+def _split_shards(n_shards: int):
+    """Shards dealt anew by a multiple of their number: a shard's keys go to shards of its own."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                k1, k2, keepers = (np.frombuffer(row[c], dtype="<i8") for c in ("k1s", "k2s", "keepers"))
+                home = np.mod(k1, n_shards)
+                for shard in np.unique(home).tolist():
+                    own = home == shard
+                    columns = [np.ascontiguousarray(x[own]) for x in (k1, k2, keepers)]
+                    held = _filled(columns[0].view("<u8"), columns[1].view("<u8")).dump()
+                    yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([held], pa.binary()), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], names=["shard", "filter", "k1s", "k2s", "keepers"])
+
+    return run
+
+
 def _merge_shard(key, old, changes):
     """A shard's filter and exact table after its changed keys (n_docs below the limit: gone)."""
     import numpy as np
@@ -183,11 +213,7 @@ def _merge_shard(key, old, changes):
     if cuckoo is not None:
         cuckoo.remove(*unsigned(gone))
     if cuckoo is None or not cuckoo.add(*unsigned(new)):
-        size = max(len(table), 1)
-        cuckoo = CuckooFilter.sized(size)
-        while not cuckoo.add(*unsigned(list(table))):
-            size *= 2
-            cuckoo = CuckooFilter.sized(size)
+        cuckoo = _filled(*unsigned(list(table)))
     rows = np.array([(a, b, table[a, b]) for a, b in sorted(table)], dtype="<i8").reshape(-1, 3)
     packed = [[np.ascontiguousarray(rows[:, i]).tobytes()] for i in range(3)]
     return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([cuckoo.dump()], pa.binary()), *(pa.array(x, pa.binary()) for x in packed)], names=["shard", "filter", "k1s", "k2s", "keepers"])
@@ -232,7 +258,8 @@ def _drop_lines(batches: Iterator) -> Iterator:
 class LineIndex:
     """Stored postings with a sign, and the shards of the keys that reach ``min_docs``. Each change
     adds a log of postings and new versions of the shards it touches; after MOST_LOGS changes both
-    are written anew as one."""
+    are written anew as one. Shards are split in two, all at once, as often as the postings ask for
+    it, so that a shard stays a bounded table however small the index began."""
 
     postings: DataFrame
     shards: DataFrame
@@ -273,9 +300,19 @@ class LineIndex:
         # only keys of this change are counted again; one that no document holds any more has no
         # reference row: it counts as 0
         now = touched.join(index.references(touched), ["k1", "k2"], "left").fillna({"n_docs": 0, "keeper": NO_ID})
-        index = index._with_shards(now)
+        index = index._with_shards(now).split()
         return index.compacted() if index.logs > MOST_LOGS else index
 
+    def split(self) -> LineIndex:
+        """The same index with enough shards for its postings."""
+        n_shards, n = self.n_shards, self.postings.count()
+        while n_shards * SHARD_ROWS < n:
+            n_shards *= 2
+        if n_shards == self.n_shards:
+            return self
+        shards = self.current().mapInArrow(_split_shards(n_shards), SHARDS).withColumn("version", F.lit(self.logs))
+        return replace(self, shards=shared.stored(shards, "line-shards"), n_shards=n_shards)
+
     def compacted(self) -> LineIndex:
         """The same index as one log of what is in, and one version of each shard."""
         rows = self.live().select("did", "th", "k1", "k2", "lines", F.col("copies").cast("int").alias("sign"))

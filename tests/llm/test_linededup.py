@@ -88,6 +88,22 @@ def test_many_changes_are_written_as_one(docs, monkeypatch):
     assert result(index.apply(docs(left))) == brute(left)
 
 
+def test_an_index_begun_small_splits_its_shards(docs, monkeypatch):
+    monkeypatch.setattr(linededup, "SHARD_ROWS", 10)
+    monkeypatch.setattr(linededup, "LEAST_SHARDS", 2)
+    first, more = make(21, 5), [(100 + i, t) for i, t in make(22, 150)]
+    index = LineIndex.build(docs(first))
+    began = index.n_shards
+    index = index.insert(docs(more))
+    assert index.n_shards > 8 * began and index.n_shards * 10 >= index.postings.count()
+    homes = [(r["shard"], np.frombuffer(r["k1s"], dtype="<i8")) for r in index.current().collect()]
+    assert len(homes) > 2 and all((np.mod(k, index.n_shards) == shard).all() for shard, k in homes)
+    assert result(index.apply(docs(first + more))) == brute(first + more)
+    index = index.delete(docs(more[:100])).insert(docs(more[:30]))
+    left = first + more[:30] + more[100:]
+    assert result(index.apply(docs(left))) == brute(left)
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, (2, 5000), dtype="u8")
