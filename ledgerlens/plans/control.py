@@ -7,6 +7,7 @@ import datetime
 import io
 import re
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..operators import evaluation as ev
@@ -14,7 +15,7 @@ from ..operators import quality
 from ..sources import reports, rpc
 from .evaluation import RUNS, runs
 from .marts import DAILY, daily
-from .registry import query, read
+from .registry import query, read, scratch
 
 
 @query("src_rpc_logs", "SELECT b AS block FROM (SELECT unnest(generate_series(10, 250)) AS b) WHERE b % 3 = 0")
@@ -44,22 +45,40 @@ def src_error_budget(spark, d):
     return spark.createDataFrame([(over.over_budget(), early.over_budget())], "over boolean, early boolean")
 
 
-@query("src_backfill", "SELECT event_id // 1000 * 1000 AS start, count(*) AS delivered FROM events GROUP BY 1")
+@query("src_backfill", "SELECT event_id // 1000 * 1000 AS start, count(*) AS delivered, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def src_backfill(spark, d):
-    """Ranges delivered at least once to a sink that replaces: some are fetched twice, as after a
-    crash before they were marked."""
-    low, high = read(spark, d, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    """All events as logs of a block each, delivered by a stream over block ranges in three batches.
+    The sink fails at the second one with half of it written; the next call delivers it again from
+    the checkpoint, and every log is there once."""
     rows = read(spark, d, "events").select("event_id")
-    found = rows.groupBy((F.floor(F.col("event_id") / 1000) * 1000).cast("long").alias("start")).agg(F.count(F.lit(1)).alias("n"))
-    counts = {r["start"]: r["n"] for r in found.collect()}  # a row for each range, as the control keeps it
-    held: dict[int, int] = {}
-    fetch = lambda a, b: [{"block": a, "log": i} for i in range(counts.get(a, 0))]
-    sink = lambda a, b, batch: held.__setitem__(a, len(batch))
-    done: set = set()
-    ranges = [(a, a + 999) for a in range(low // 1000 * 1000, high + 1, 1000)] if low is not None else []
-    rpc.backfill(ranges[:3], fetch, sink, done, lambda _: None)
-    rpc.backfill(ranges, fetch, sink, done, done.add)
-    return spark.createDataFrame([x for x in sorted(held.items()) if x[1]], "start long, delivered long")
+    top = rows.agg(F.coalesce(F.max("event_id") + 1, F.lit(0))).first()[0]
+    home = scratch(spark, "backfill")
+    hexed = F.concat(F.lit("0x"), F.lower(F.hex("event_id")))
+    held = {"removed": F.lit(False), "topics": F.array().cast("array<string>"), "blockNumber": hexed, "logIndex": F.lit("0x0")}
+    logs = [held.get(n, F.lit("0x")).alias(n) for n in (c.split()[0] for c in rpc.SCHEMA.split(", "))]
+    rows.repartitionByRange("event_id").sortWithinPartitions("event_id").select(F.col("event_id").alias("block"), *logs).write.parquet(f"{home}/logs")
+    failing = [1]
+
+    def sink(batch, n):
+        found = batch.select(F.conv(F.substring("blockNumber", 3, 16), 16, 10).cast("long").alias("block"))
+        if n in failing:
+            failing.remove(n)
+            found.filter("block % 2 = 0").write.mode("overwrite").parquet(f"{home}/rows/batch={n}")
+            raise OSError("the sink broke off")
+        found.write.mode("overwrite").parquet(f"{home}/rows/batch={n}")
+
+    options = {"start": "0", "size": "1000", "transport": "ledgerlens.sources.rpc:TableTransport", "url": f"{home}/logs"}
+    spark.createDataFrame([], "block long").write.parquet(f"{home}/rows/batch=0")
+    for third in (1, 2, 3):
+        # a range of a thousand goes whole to the batch in which its first block lies
+        head = -(-top * third // 3 // 1000) * 1000 - 1 if third < 3 else top - 1
+        options["stop"] = str(min(head, top - 1))
+        try:
+            rpc.follow_blocks(spark, options, home, sink)
+        except StreamingQueryException:
+            rpc.follow_blocks(spark, options, home, sink)
+    delivered = spark.read.schema("block long, batch int").parquet(f"{home}/rows")
+    return delivered.groupBy((F.floor(F.col("block") / 1000) * 1000).cast("long").alias("start")).agg(F.count("*").alias("delivered"), F.sum("block").alias("ids"))
 
 
 @query("store_daily_window", "SELECT DATE '2024-01-03' AS first, DATE '2024-01-08' AS last")

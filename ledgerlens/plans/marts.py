@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import money
+from ..sources import footers
 from .registry import TRADES, query, read, trades
 
 FEE = "CASE pool WHEN 'click' THEN 100 WHEN 'view' THEN 500 WHEN 'error' THEN 3000 ELSE 10000 END"
@@ -140,13 +141,34 @@ def q_sanity_05(spark, d):
     return trades(spark, d).groupBy("pool").agg(F.count_if(F.abs("other_raw") < 100).alias("tiny"), F.count("*").alias("n"))
 
 
-@query("q_sanity_06")
+#: Columns of two tables, each with its value as a number or as a text, for the oracle.
+FOOTED = {
+    "events": {"event_id": "event_id", "ts": "epoch_us(ts)", "user_id": "user_id", "event_type": None, "value": "value", "props": None},
+    "orders": {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": None, "o_totalprice": "o_totalprice", "o_orderdate": "epoch_us(o_orderdate)", "o_orderpriority": None},
+}
+FOOTERS = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, "
+    + (f"CAST(min({number}) AS DOUBLE) AS low, CAST(max({number}) AS DOUBLE) AS high, NULL AS low_text, NULL AS high_text" if number else f"CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, min({c}) AS low_text, max({c}) AS high_text")
+    + f" FROM {t}"
+    for t, held in FOOTED.items()
+    for c, number in held.items()
+)
+
+
+@query("q_sanity_06", FOOTERS)
 def q_sanity_06(spark, d):
-    """Physical state from file metadata: files, rows and bytes of each table."""
-    def table(name):
-        df = read(spark, d, name)
-        files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(F.count("*").alias("rows"), F.max("file_size").alias("bytes"))
-        return files.agg(F.lit(name).alias("table"), F.count("*").alias("files"), F.sum("rows").alias("rows"), money.readable_size(F.sum("bytes")).alias("size"))
+    """Physical state from the footers of two tables, read in tasks: what they say of each column
+    must be true of its rows."""
+    found = [footers.columns(footers.row_groups(spark, f"{d}/{t}.parquet")).select(F.lit(t).alias("table"), "*") for t in FOOTED]
+    return found[0].unionByName(found[1])
+
+
+@query("q_table_files")
+def q_table_files(spark, d):
+    """The same by table: files, row groups, rows, the largest row group, bytes packed and unpacked."""
+    def table(t):
+        size = lambda c: money.readable_size(F.col(c)).alias(c)
+        return footers.tables(footers.row_groups(spark, f"{d}/{t}.parquet")).select(F.lit(t).alias("table"), "files", "row_groups", "rows", "largest", size("packed"), size("unpacked"))
 
     return table("events").unionByName(table("orders"))
 

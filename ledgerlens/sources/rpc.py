@@ -1,4 +1,5 @@
-"""Raw logs over JSON-RPC as a PySpark data source: one input partition for each block range.
+"""Raw logs over JSON-RPC as a PySpark data source: one input partition for each block range; as a
+batch between two blocks, or as a stream whose offsets are blocks.
 
 The transport is a class named by the option ``transport`` ("module:Class"), called with a method
 and its parameters; the one here posts over HTTP. Retries wait exponentially longer with a random
@@ -19,7 +20,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 RETRY_HTTP = {429, 500, 502, 503, 504}
 #: The JSON-RPC error codes for "limit exceeded", also as some nodes give it, after HTTP.
@@ -168,8 +170,9 @@ class BlockRange(InputPartition):
 
 
 class LogSource(DataSource):
-    """Options: url, transport, start, stop, size (blocks in a call, 10), addresses, topics (JSON),
-    retries, per_second (calls of one task)."""
+    """Options: url, transport, start, stop, size (blocks in a call, 10), calls (of one task, 1),
+    addresses, topics (JSON), retries, per_second (calls of one task). A stream without stop follows
+    the safe head, ``behind`` (64) the tip where a node knows no finalized block."""
 
     @classmethod
     def name(cls) -> str:
@@ -181,23 +184,93 @@ class LogSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return LogReader(dict(self.options))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return LogStream(dict(self.options))
+
+
+class Blocks:
+    """What the batch and the stream share: ranges as partitions, and how one is read."""
 
-class LogReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = {k.lower(): v for k, v in options.items()}
+        self.size = int(self.options.get("size", 10))
 
-    def partitions(self) -> list[BlockRange]:
-        start, stop, size = int(self.options["start"]), int(self.options["stop"]), int(self.options.get("size", 10))
-        return [BlockRange(a, min(a + size - 1, stop)) for a in range(start, stop + 1, size)]
+    def client(self) -> Client:
+        module, _, name = self.options.get("transport", f"{__name__}:HttpTransport").partition(":")
+        return Client(getattr(importlib.import_module(module), name)(self.options.get("url", "")), int(self.options.get("retries", 5)), float(self.options.get("per_second", 0)))
+
+    def between(self, start: int, stop: int) -> list[BlockRange]:
+        """Ranges of a task each; all but the last ask for the same number of blocks."""
+        step = self.size * int(self.options.get("calls", 1))
+        return [BlockRange(a, min(a + step - 1, stop)) for a in range(start, stop + 1, step)]
 
     def read(self, partition: BlockRange) -> Iterator[tuple]:
-        module, _, name = self.options.get("transport", f"{__name__}:HttpTransport").partition(":")
-        client = Client(getattr(importlib.import_module(module), name)(self.options.get("url", "")), int(self.options.get("retries", 5)), float(self.options.get("per_second", 0)))
-        found = client.logs(partition.start, partition.stop, json.loads(self.options.get("addresses", "[]")), json.loads(self.options.get("topics", "[]")))
-        for log in sorted(found, key=lambda x: (int(x["blockNumber"], 16), int(x["logIndex"], 16))):
-            if not partition.start <= int(log["blockNumber"], 16) <= partition.stop:
-                raise RpcError("a log outside the range that was asked for")
-            yield tuple(log.get(c.split()[0]) for c in SCHEMA.split(", "))
+        client = self.client()
+        addresses, topics = json.loads(self.options.get("addresses", "[]")), json.loads(self.options.get("topics", "[]"))
+        for start in range(partition.start, partition.stop + 1, self.size):
+            stop = min(start + self.size - 1, partition.stop)
+            for log in sorted(client.logs(start, stop, addresses, topics), key=lambda x: (int(x["blockNumber"], 16), int(x["logIndex"], 16))):
+                if not start <= int(log["blockNumber"], 16) <= stop:
+                    raise RpcError("a log outside the range that was asked for")
+                yield tuple(log.get(c.split()[0]) for c in SCHEMA.split(", "))
+
+
+class LogReader(Blocks, DataSourceReader):
+    def partitions(self) -> list[BlockRange]:
+        return self.between(int(self.options["start"]), int(self.options["stop"]))
+
+
+class LogStream(Blocks, DataSourceStreamReader):
+    """Offsets are the last block delivered. Spark keeps them in the query's checkpoint: a batch's
+    end before it is read, its completion after the sink took it. So a batch that failed is read
+    again between the same two blocks and with the same number."""
+
+    def initialOffset(self) -> dict:
+        return {"block": int(self.options.get("start", 0)) - 1}
+
+    def latestOffset(self) -> dict:
+        if "stop" in self.options:
+            return {"block": int(self.options["stop"])}
+        return {"block": safe_head(self.client(), int(self.options.get("behind", 64)))}
+
+    def partitions(self, start: dict, end: dict) -> list[BlockRange]:
+        if end["block"] < start["block"]:
+            raise RpcError(f"the head {end['block']} lies behind block {start['block']}, which was delivered")
+        return self.between(start["block"] + 1, end["block"])
+
+
+def follow_blocks(spark: SparkSession, options: dict[str, str], home: str, sink: Callable[[DataFrame, int], None]) -> None:
+    """Deliver the blocks that the checkpoint in ``home`` has not got yet, up to the option ``stop``
+    or the safe head, as one batch read by many tasks. ``sink`` takes the batch and its number. If it
+    fails, the next call delivers the same blocks under the same number, whatever the head is by
+    then, and no others; so a sink that replaces what it wrote under a number ends with every log
+    once. Nothing new: no batch. A head behind what was delivered raises."""
+    spark.dataSource.register(LogSource)
+    stream = spark.readStream.format("rpc_logs").options(**options).load()
+    stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{home}/place").trigger(availableNow=True).start().awaitTermination()
+
+
+class TableTransport:
+    """Answers eth_getLogs from a Parquet table of logs with a column ``block`` beside those of
+    SCHEMA; addresses and topics are taken as asked for. Only row groups that can hold the range are
+    read, so the table should be ordered by block."""
+
+    def __init__(self, url: str):
+        import pyarrow.dataset as ds
+
+        self.table = ds.dataset(url, format="parquet")
+
+    def __call__(self, method: str, params: list):
+        import pyarrow.compute as pc
+
+        if method != "eth_getLogs":
+            raise RpcError("the table only has logs", code=-32601)
+        asked = params[0]
+        start, stop = (int(asked[k], 16) for k in ("fromBlock", "toBlock"))
+        rows = self.table.to_table(columns=[c.split()[0] for c in SCHEMA.split(", ")], filter=(pc.field("block") >= start) & (pc.field("block") <= stop)).to_pylist()
+        allowed = [None if t is None else set([t] if isinstance(t, str) else t) for t in asked["topics"]]
+        fits = lambda topics: all(a is None or i < len(topics) and topics[i] in a for i, a in enumerate(allowed))
+        return [r for r in rows if (not asked["address"] or r["address"] in asked["address"]) and fits(r["topics"])]
 
 
 def backfill(ranges: list[tuple[int, int]], fetch: Callable[[int, int], list], sink: Callable[[int, int, list], None], done: set[tuple[int, int]], save: Callable[[tuple[int, int]], None]) -> int:
