@@ -10,6 +10,8 @@ tried. Every match holds them, so rules without ``words`` would find the same.
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
 from typing import NamedTuple
 
 
@@ -301,9 +303,17 @@ public-domain: this file is in the public domain
 public-domain: no copyright is claimed in the united states under title 17
 """
 
+#: Of "licensed under ..." rules, the only ones that can be negated.
+GRANT_SCORE = 0.9
 #: Either spelling, as a word: what "license: ..." and a name need. A grant needs "under", an SPDX
 #: tag "spdx".
 LICENSE_WORDS = frozenset({"license", "licence"})
+LICENSED = frozenset({"licensed", "licenced"})
+#: Before a grant that is none: "not licensed under"; looked for in the NEGATION_REACH characters before.
+NEGATION = re.compile(r"(?:\b(?:not|never)|n['’]t)(?:\s+(?:be|been))?\s+$|\bno\s+longer\s+$")
+NEGATION_REACH = 16
+#: Between the parts of a short form.
+DASH = r"[\s-]{1,3}"
 #: Behind a name.
 LICENSE = r"\s+licen[cs]e"
 #: Where a word of the prefilter begins and ends.
@@ -360,9 +370,63 @@ def rules() -> list[Rule]:
         alone = [_spaced(x) for x in _alternatives(name) if any(w in x for w in ("license", "licen[cs]e", "agreement", "disclaimer"))]
         name = _spaced(name)
         found.append(Rule(label, 10, 1.0, _groups("spdx"), rf"{BEGIN}spdx-license-identifier:\s*\(?(?:{spdx})(?![\w.+-]*\w)"))
-        found.append(Rule(label, 30, 0.9, _groups("under", either), rf"(?:licen[cs]ed|released|distributed|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?(?:{name})(?:\s+licen[cs]e)?\b"))
+        found.append(Rule(label, 30, GRANT_SCORE, _groups("under", either), rf"(?:licen[cs]ed|released|distributed|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:either\s+(?:of\s+)?)?(?:the\s+)?(?:{name})(?:\s+licen[cs]e)?\b"))
         found.append(Rule(label, 30, 0.85, _groups(LICENSE_WORDS, either), rf"{BEGIN}licen[cs]e\s*[:=]\s*[\"']?(?:{spdx}|{name})(?![\w-])"))
         found.append(Rule(label, 40, 0.7, _groups(either) if alone else _groups(LICENSE_WORDS, either), rf"(?<![\w-])(?:{'|'.join([rf'(?:{name})' + LICENSE, *alone])})\b"))
+        found.append(Rule(label, 40, 0.7, _groups(LICENSED, either), rf"(?<![\w-])(?:{spdx}|{name})(?:\s+|-)licen[cs]ed{END}"))
+        if label.startswith("cc-by"):
+            _, *kind, version = label.split("-")
+            short = DASH.join(["cc", *kind]) + rf"[\s-]{{0,3}}(?:v\.? ?)?{re.escape(version)}"
+            found.append(Rule(label, 40, 0.7, _groups("cc", "by"), rf"(?<![\w-]){short}{END}"))
+    found.append(Rule("cc0-1.0", 40, 0.7, _groups("cc0"), rf"(?<![\w-])cc0{DASH}1\.0{END}"))
+    found.append(Rule("bsd", 40, 0.7, _groups(LICENSE_WORDS | LICENSED, "bsd"), rf"(?<![\w-])bsd(?:{DASH}style)?{DASH}licen[cs]ed?{END}"))
     for label, words, regex in SENTENCES:
         found.append(Rule(label, 20, 0.6 if label == "proprietary" else 1.0, _groups(*words.split()), BEGIN + f"(?:{regex})".replace(" ", r"\s+") + END))
     return found
+
+
+# What follows a tag or a grant: further licenses of the same expression.
+
+TAG = re.compile(BEGIN + r"spdx-license-identifier:")
+TAG_PART = re.compile(r"[ \t(]*+([\w.+-]++)[ \t)]*+")
+TAG_JOIN = re.compile(r"(?:and|or|with)(?=[ \t(])")
+JOIN = re.compile(r"[\s)\"']*+(?:(and/or|or|/)|and)(?:(?<=/)|(?<=and/or)|\s)\s*+(?:\(\s*)?(?:the\s+)?")
+#: Names (or identifiers), with "license" behind them or not.
+NAMED = tuple((label, re.compile(rf"(?:{spdx}|{_spaced(name)})(?P<license>\s+licen[cs]es?)?(?![\w-])")) for label, spdx, name, _ in FAMILIES)
+IDENTIFIED = tuple((label, re.compile(spdx)) for label, spdx, _, _ in FAMILIES)
+
+
+@lru_cache(4_096)
+def identified(token: str) -> str | None:
+    """The label of an SPDX identifier."""
+    return next((label for label, regex in IDENTIFIED if regex.fullmatch(token)), None)
+
+
+def tagged(text: str) -> list[tuple[str, int, int]]:
+    """Label and place of every identifier in the expressions behind SPDX tags: what AND, OR and
+    WITH join, in any brackets, up to the end of the line."""
+    found = []
+    for tag in TAG.finditer(text):
+        part = TAG_PART.match(text, tag.end())
+        while part:
+            token = part[1].rstrip(".-")
+            label = identified(token) if len(token) <= 64 else None
+            if label:
+                found.append((label, part.start(1), part.start(1) + len(token)))
+            join = TAG_JOIN.match(text, part.end())
+            part = join and TAG_PART.match(text, join.end())
+    return found
+
+
+def joined(text: str, at: int) -> list[tuple[str, int, int]]:
+    """Label and place of the licenses that "or", "and", "and/or" or a slash join to one that ends
+    at ``at``. Behind "and" a name needs a number or the word license, since a sentence may go on."""
+    found = []
+    while join := JOIN.match(text, at):
+        hits = [(m, label) for label, regex in NAMED if (m := regex.match(text, join.end())) and (join[1] or m["license"] or any(c.isdigit() for c in m[0]))]
+        if not hits:
+            break
+        hit, label = max(hits, key=lambda x: x[0].end())
+        found.append((label, hit.start(), hit.end()))
+        at = hit.end()
+    return found

@@ -3,7 +3,9 @@ r"""License scan by ordered signature rules.
 A text is lower-cased (A-Z) and split into words. Every rule names words without which it cannot
 match; only rules whose words occur are tried, each with its regex over the whole text. What they
 find are intervals. Detections are taken in order of priority, then length, then place; one that
-lies inside an interval already taken is suppressed. Base phrases, counted by words at all their
+lies inside an interval already taken is suppressed. A tag or grant goes on: the further licenses
+of an SPDX expression, or those joined to a granted one by "or" and "and", have its priority and
+score. Base phrases, counted by words at all their
 places, are rules of the least priority: a place inside another detection is suppressed as a
 detection, but its label stays, since the place is still a mention.
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .license_rules import BASE, Rule, rules
+from .license_rules import BASE, GRANT_SCORE, NEGATION, NEGATION_REACH, Rule, joined, rules, tagged
 
 #: A-Z to lower case, every other byte that no word has to a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -117,6 +119,11 @@ class Scanner:
                 if lowered is None:
                     lowered = text.lower().decode()
                 found += [Detection(rule.label, m.start(), m.end(), rule.priority, rule.score) for m in regex.finditer(lowered)]
+        found = [d for d in found if d.score != GRANT_SCORE or not NEGATION.search(lowered[max(0, d.start - NEGATION_REACH) : d.start])]
+        if b"spdx" in present and lowered is not None:
+            found += [Detection(label, a, b, 10, 1.0) for label, a, b in tagged(lowered)]
+        for stop, priority, score in {(d.stop, d.priority, d.score) for d in found if d.priority == 30}:
+            found += [Detection(label, a, b, priority, score) for label, a, b in joined(lowered, stop)]
         if base:
             lowered = text.lower().decode() if lowered is None else lowered
             found += [Detection(label, m.start(), m.end(), BASE_PRIORITY, BASE_SCORE) for label, regex in self.places for m in regex.finditer(lowered)]

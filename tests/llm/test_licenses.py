@@ -1,5 +1,8 @@
 import random
 import re
+import time
+
+import pytest
 
 from ledgerlens.llm import license_rules, licenses
 
@@ -132,3 +135,43 @@ def test_every_family_is_found_by_a_plain_mention():
         for text in (f"This uses the {mention}.", mention.replace(" ", "\n"), f"see the {mention} applies"):
             found = set(labels(text).split(",")) - {name for _, name in license_rules.BASE if name != label}
             assert found == {label}, text
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit"),
+        ("SPDX-License-Identifier: ((MIT OR Foo-1.0) AND BSD-3-Clause) OR GPL-2.0-only WITH Classpath-exception-2.0", "bsd-3-clause,gpl-2.0,mit"),
+        ("SPDX-License-Identifier: LicenseRef-X OR ISC\nor MIT", "isc"),
+        ("spdx-license-identifier: mit order apache-2.0", "mit"),
+        ("dual licensed under MIT or Apache-2.0", "apache-2.0,mit"),
+        ("licensed under either of the Apache License, Version 2.0 or the MIT license at your option", "apache,apache-2.0,mit"),
+        ('license = "MIT OR Apache-2.0"', "apache-2.0,mit"),
+        ("license: MIT/Apache-2.0", "apache-2.0,mit"),
+        ("released under the MIT and PostgreSQL is needed", "mit"),
+        ("released under the MIT and PostgreSQL licenses", "mit,postgresql"),
+        ("MIT licensed", "mit"),
+        ("BSD-licensed code", "bsd"),
+        ("a BSD-style license", "bsd"),
+        ("an Apache 2.0 licensed tool", "apache-2.0"),
+        ("pictures: CC BY-SA 4.0, texts: CC-BY-NC-ND-4.0, data: CC0 1.0", "cc-by-nc-nd-4.0,cc-by-sa-4.0,cc0-1.0"),
+        ("cc by the way 4.0", ""),
+    ],
+)
+def test_expressions_adjectives_and_short_forms(text, want):
+    assert labels(text) == want
+
+
+def test_a_negated_grant_is_a_mention_only():
+    scan = licenses.Scanner()
+    for text in ("not licensed under the MIT license", "It isn't released under the MIT license", "no longer distributed under the MIT license"):
+        assert scan(text.encode())[5:7] == ("mit", 0.7), text
+    assert scan(b"It is not, and this is licensed under the MIT license")[6] == 0.9
+
+
+def test_long_expressions_take_time_in_proportion():
+    scan = licenses.Scanner()
+    for text in ("SPDX-License-Identifier: " + "MIT OR Foo AND " * 60_000, "licensed under MIT" + " or MIT" * 100_000, "licensed under MIT " + " " * 500_000, "spdx-license-identifier: " * 30_000):
+        start = time.time()
+        scan(text.encode())
+        assert time.time() - start < 6
