@@ -390,7 +390,7 @@ def rules() -> list[Rule]:
 TAG = re.compile(BEGIN + r"spdx-license-identifier:")
 TAG_PART = re.compile(r"[ \t(]*+([\w.+-]++)[ \t)]*+")
 TAG_JOIN = re.compile(r"(?:and|or|with)(?=[ \t(])")
-JOIN = re.compile(r"[\s)\"']*+(?:(and/or|or|/)|and)(?:(?<=/)|(?<=and/or)|\s)\s*+(?:\(\s*)?(?:the\s+)?")
+JOIN = re.compile(r"[\s)\"']*+(?:(and/or|or|/(?!libpng))|and)(?:(?<=/)|(?<=and/or)|\s)\s*+(?:\(\s*)?(?:the\s+)?")
 #: Names (or identifiers), with "license" behind them or not.
 NAMED = tuple((label, re.compile(rf"(?:{spdx}|{_spaced(name)})(?P<license>\s+licen[cs]es?)?(?![\w-])")) for label, spdx, name, _ in FAMILIES)
 IDENTIFIED = tuple((label, re.compile(spdx)) for label, spdx, _, _ in FAMILIES)
