@@ -180,3 +180,27 @@ def test_search_by_bounds_finds_what_all_scores_say(spark, limits):
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "chunk_id"))
     want = {(r["query_id"], r["place"]): (r["chunk_id"], round(r["score"], 6)) for r in index.scores(queries).withColumn("place", place).filter("place <= 5").collect()}
     assert got == want and len(want) > 150
+
+
+@pytest.mark.parametrize("limits", [{}, {"rare": 1, "step": 3}])
+def test_search_stores_no_pairs_and_agrees_over_groups(spark, monkeypatch, limits):
+    """Chunks of small groups, many of them the same text: what is stored are the chunks alone."""
+    from pyspark.sql.window import Window
+
+    rng = random.Random(8)
+    texts = ["same words again", *(" ".join(f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 30))) for _ in range(60))]
+    chunks = spark.createDataFrame([(i, "", texts[0] if i % 2 else texts[rng.randint(0, 60)]) for i in range(300)], "chunk_id long, heading string, text string").repartition(5)
+    queries = spark.createDataFrame([(i, " ".join(texts[i : i + 3])) for i in range(20)], "query_id long, text string")
+    index, rows, stored = bm25.Index(chunks), [], bm25.stored
+
+    def counted(df, label):
+        rows.append((kept := stored(df, label)).count())
+        return kept
+
+    monkeypatch.setattr(bm25, "stored", counted)
+    monkeypatch.setattr(bm25, "GROUP_WORDS", 200, raising=False)
+    got = {(r["query_id"], r["place"]): (r["chunk_id"], round(r["score"], 6)) for r in index.search(queries, 5, **limits).collect()}
+    assert rows == [300]
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "chunk_id"))
+    assert got == {(r["query_id"], r["place"]): (r["chunk_id"], round(r["score"], 6)) for r in index.scores(queries).withColumn("place", place).filter("place <= 5").collect()}
+    assert bm25.Index(chunks.limit(0)).search(queries).count() == 0
