@@ -45,6 +45,10 @@ def src_error_budget(spark, d):
     return spark.createDataFrame([(over.over_budget(), early.over_budget())], "over boolean, early boolean")
 
 
+#: Rows of a row group of the table of logs: what a task of the backfill holds at once.
+LOG_ROWS = 20_000
+
+
 @query("src_backfill", "SELECT event_id // 1000 * 1000 AS start, count(*) AS delivered, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def src_backfill(spark, d):
     """All events as logs of a block each, delivered by a stream over block ranges in three batches.
@@ -55,8 +59,8 @@ def src_backfill(spark, d):
     home = scratch(spark, "backfill")
     hexed = F.concat(F.lit("0x"), F.lower(F.hex("event_id")))
     held = {"removed": F.lit(False), "topics": F.array().cast("array<string>"), "blockNumber": hexed, "logIndex": F.lit("0x0")}
-    logs = [held.get(n, F.lit("0x")).alias(n) for n in (c.split()[0] for c in rpc.SCHEMA.split(", "))]
-    rows.repartitionByRange("event_id").sortWithinPartitions("event_id").select(F.col("event_id").alias("block"), *logs).write.parquet(f"{home}/logs")
+    logs = [held.get(n, F.lit("0x")).alias(n) for n in rpc.FIELDS]
+    rows.repartitionByRange("event_id").sortWithinPartitions("event_id").select(F.col("event_id").alias("block"), *logs).write.option("parquet.block.row.count.limit", LOG_ROWS).parquet(f"{home}/logs")
     failing = [1]
 
     def sink(batch, n):
@@ -67,7 +71,9 @@ def src_backfill(spark, d):
             raise OSError("the sink broke off")
         found.write.mode("overwrite").parquet(f"{home}/rows/batch={n}")
 
-    options = {"start": "0", "size": "1000", "transport": "ledgerlens.sources.rpc:TableTransport", "url": f"{home}/logs"}
+    # some tasks for each core in a batch, each with many calls: every task reads the table's footers
+    calls = max(1, -(-top // (3 * 1000 * 4 * spark.sparkContext.defaultParallelism)))
+    options = {"start": "0", "size": "1000", "calls": str(calls), "transport": "ledgerlens.sources.rpc:TableTransport", "url": f"{home}/logs"}
     spark.createDataFrame([], "block long").write.parquet(f"{home}/rows/batch=0")
     for third in (1, 2, 3):
         # a range of a thousand goes whole to the batch in which its first block lies

@@ -29,6 +29,7 @@ RETRY_RPC = {-32005, 429}
 #: JSON-RPC error codes for a method or parameters that a node does not know.
 UNKNOWN_RPC = {-32601, -32602}
 SCHEMA = "removed boolean, address string, topics array<string>, data string, blockNumber string, transactionIndex string, logIndex string, blockTimestamp string, blockHash string, transactionHash string"
+FIELDS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
 class RpcError(Exception):
@@ -212,7 +213,7 @@ class Blocks:
             for log in sorted(client.logs(start, stop, addresses, topics), key=lambda x: (int(x["blockNumber"], 16), int(x["logIndex"], 16))):
                 if not start <= int(log["blockNumber"], 16) <= stop:
                     raise RpcError("a log outside the range that was asked for")
-                yield tuple(log.get(c.split()[0]) for c in SCHEMA.split(", "))
+                yield tuple(log.get(c) for c in FIELDS)
 
 
 class LogReader(Blocks, DataSourceReader):
@@ -253,12 +254,17 @@ def follow_blocks(spark: SparkSession, options: dict[str, str], home: str, sink:
 class TableTransport:
     """Answers eth_getLogs from a Parquet table of logs with a column ``block`` beside those of
     SCHEMA; addresses and topics are taken as asked for. Only row groups that can hold the range are
-    read, so the table should be ordered by block."""
+    read, so the table should be ordered by block; those of the last call are kept, since the next
+    one mostly asks for what follows, and small groups keep a task small."""
 
     def __init__(self, url: str):
         import pyarrow.dataset as ds
 
-        self.table = ds.dataset(url, format="parquet")
+        table = ds.dataset(url, format="parquet")
+        self.groups, self.held = [], {}
+        for group in (g for f in table.get_fragments() for g in f.split_by_row_group()):
+            span = (group.row_groups[0].statistics or {}).get("block") or {}
+            self.groups.append((span.get("min"), span.get("max"), group))
 
     def __call__(self, method: str, params: list):
         import pyarrow.compute as pc
@@ -267,7 +273,11 @@ class TableTransport:
             raise RpcError("the table only has logs", code=-32601)
         asked = params[0]
         start, stop = (int(asked[k], 16) for k in ("fromBlock", "toBlock"))
-        rows = self.table.to_table(columns=[c.split()[0] for c in SCHEMA.split(", ")], filter=(pc.field("block") >= start) & (pc.field("block") <= stop)).to_pylist()
+        # a group without statistics may hold any block
+        needed = [i for i, (low, high, _) in enumerate(self.groups) if low is None or high is None or low <= stop and high >= start]
+        self.held = {i: self.held[i] if i in self.held else self.groups[i][2].to_table(columns=["block", *FIELDS]) for i in needed}
+        inside = (pc.field("block") >= start) & (pc.field("block") <= stop)
+        rows = [r for t in self.held.values() for r in t.filter(inside).drop_columns(["block"]).to_pylist()]
         allowed = [None if t is None else set([t] if isinstance(t, str) else t) for t in asked["topics"]]
         fits = lambda topics: all(a is None or i < len(topics) and topics[i] in a for i, a in enumerate(allowed))
         return [r for r in rows if (not asked["address"] or r["address"] in asked["address"]) and fits(r["topics"])]

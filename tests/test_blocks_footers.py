@@ -83,3 +83,25 @@ def test_footers_without_statistics_say_nothing(spark, tmp_path):
     assert (row["rows"], row["nulls"], row["low"], row["high"]) == (4, None, None, None)
     pq.write_table(table.slice(0, 0), tmp_path / "0.parquet")
     assert footers.tables(footers.row_groups(spark, f"file://{tmp_path}/0.parquet")).first()["rows"] == 0
+
+
+def test_calls_of_a_task_read_each_row_group_once(spark, tmp_path, monkeypatch):
+    url = f"file://{tmp_path}/logs"
+    _logs(spark.newSession(), f"{url}/all", 400)
+    spark.read.parquet(f"{url}/all").repartitionByRange(2, "block").sortWithinPartitions("block").write.option("parquet.block.row.count.limit", 50).parquet(f"{url}/cut")
+    table, read = rpc.TableTransport(f"{url}/cut"), []
+    assert len(table.groups) >= 8
+
+    class Counted:
+        def __init__(self, n, group):
+            self.n, self.group = n, group
+
+        def to_table(self, **asked):
+            read.append(self.n)
+            return self.group.to_table(**asked)
+
+    table.groups = [(low, high, Counted(n, group)) for n, (low, high, group) in enumerate(table.groups)]
+    found = [int(r["blockNumber"], 16) for a in range(0, 400, 7) for r in rpc.Client(table).logs(a, a + 6, [], [])]
+    assert found == list(range(400)) and sorted(read) == list(range(len(table.groups)))
+    table.groups = [(None, None, group) for _, _, group in table.groups]  # without statistics
+    assert sorted(int(r["blockNumber"], 16) for r in rpc.Client(table).logs(45, 52, [], [])) == list(range(45, 53))
