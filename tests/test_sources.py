@@ -212,3 +212,15 @@ def test_batches_and_fixtures_are_written_side_by_side(spark, tmp_path):
     files.write_tsv(rows.limit(0), f"file://{tmp_path}/none", ["id"], {"id": "UInt64", "v": "UInt64"})
     assert files.read_tsv(spark, f"file://{tmp_path}/none").count() == 0
     files.write_batches(rows.limit(0), f"file://{tmp_path}/empty")
+
+
+def test_a_range_of_many_rows_is_written_by_several_tasks_in_order(spark, tmp_path):
+    raw = spark.range(300).select(F.col("id").alias("n"), F.lit(None).cast(landing.LOG).alias("raw"))
+    number = {"block_number": F.floor(F.col("n") / 100), "log_index": F.col("n") % 100}
+    decoded = F.struct(*[number.get(c, F.lit("x")).cast("string").alias(c) for c in landing.DECODED])
+    lines = raw.select(number["block_number"].cast("long").alias("block_number"), decoded.alias("decoded"), "raw").repartition(3)
+    landing.write_landing(lines, str(tmp_path / "l"), 2, file_rows=40)
+    rows = landing.read_landing(spark, str(tmp_path / "l")).select("from_block", (F.col("block_number").cast("long") * 100 + F.col("log_index").cast("long")).alias("n"), F.input_file_name().alias("file"))
+    files = [r for r in rows.groupBy("file").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("low").collect()]
+    assert sum(r["rows"] for r in files) == 300 and max(r["rows"] for r in files) <= 120
+    assert all(a["high"] < b["low"] for a, b in zip(files, files[1:]))
