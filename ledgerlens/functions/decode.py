@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WORD = "^[0-9a-fA-F]{64}$"
 LIMB = "18446744073709551616"  # 2^64
 TOP = "18446744073709551615"
 
@@ -31,7 +32,9 @@ def int256_or_null(word: Column) -> Column:
     big, small = F.when(negative, _dec(TOP) - high).otherwise(high), F.when(negative, _dec(TOP) - low).otherwise(low)
     size = F.try_add(F.try_multiply(big.cast("decimal(20,0)"), _dec(LIMB)).cast("decimal(38,0)"), small.cast("decimal(38,0)")).cast("decimal(38,0)")
     # a difference, since the unary minus of a decimal keeps 34 digits only
-    return F.when(fits, F.when(negative, F.try_subtract(F.lit("-1").cast("decimal(38,0)"), size).cast("decimal(38,0)")).otherwise(size))
+    head, last = _near_zero(word)
+    near = F.when(head == "0" * 49, last).when(head == "f" * 49, last - (1 << 60)).cast("decimal(38,0)")
+    return F.when(fits, F.when(near.isNotNull(), near).when(negative, F.try_subtract(F.lit("-1").cast("decimal(38,0)"), size).cast("decimal(38,0)")).otherwise(size))
 
 
 def int256(word: Column) -> Column:
@@ -45,41 +48,46 @@ def _once(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def uint256_text(word: Column) -> Column:
-    """An unsigned word of 64 hex digits as decimal text, all of its digits; null if malformed."""
-    groups, base, shift = 5, F.lit(10**18).cast("decimal(19,0)"), F.lit(1 << 32).cast("decimal(10,0)")
-    limb = lambda i: F.conv(F.substring(word, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")
-    zero = F.lit(0).cast("decimal(38,0)")
+def _near_zero(word: Column) -> tuple[Column, Column]:
+    """The first 49 hex digits, lower case, and the last 15 as a bigint: if the first are all zero the
+    number is the last ones, if they are all f it is 2^60 less."""
+    return F.lower(F.substring(word, 1, 49)), F.conv(F.substring(word, 50, 15), 16, 10).cast("bigint")
+
+
+#: 2^(30 i) by groups of nine decimal digits, the lowest first: nine limbs times these add up within a bigint.
+_POWERS = [[(1 << 30 * i) // 10 ** (9 * j) % 10**9 for j in range(9)] for i in range(9)]
+
+
+def _long_text(word: Column, plus: int) -> Column:
+    """The text of an unsigned word that is at least 2^60, plus 0 or 1: its limbs of 30 bits count the
+    groups of nine digits, whose carries go up once."""
+    pieces = F.array(*[F.conv(F.substring(word, a, n), 16, 10).cast("bigint") for a, n in ((50, 15), (35, 15), (20, 15), (5, 15), (1, 4))])
 
-    def times_and_plus(digits: Column, x: Column) -> Column:
-        """Groups of 18 digits, the lowest first, times 2^32 plus x."""
+    def groups(p: Column) -> Column:
+        limb = lambda i: F.shiftright(p[i // 2], 30) if i % 2 else p[i // 2].bitwiseAND((1 << 30) - 1)
+        return F.array(*[sum((limb(i) * F.lit(_POWERS[i][j]).cast("bigint") for i in range(9) if _POWERS[i][j]), F.lit(0).cast("bigint")) for j in range(9)])
 
-        def step(s: Column, d: Column) -> Column:
-            value = (d.cast("decimal(18,0)") * shift + s["carry"].cast("decimal(28,0)")).cast("decimal(38,0)")
-            rest = (value % base).cast("decimal(38,0)")
-            return F.struct(F.concat(s["done"], F.array(rest)).alias("done"), ((value - rest) / base).cast("decimal(38,0)").alias("carry"))
+    def step(s: Column, x: Column) -> Column:
+        value = x + s["carry"]
+        return F.struct(F.concat(F.lpad((value % 10**9).cast("string"), 9, "0"), s["text"]).alias("text"), F.call_function("div", value, F.lit(10**9).cast("bigint")).alias("carry"))
 
-        start = F.struct(F.array().cast("array<decimal(38,0)>").alias("done"), x.alias("carry"))
-        return F.aggregate(digits, start, step)["done"]
+    start = F.struct(F.lit("").alias("text"), F.lit(plus).cast("bigint").alias("carry"))
+    return F.ltrim(F.aggregate(_once(pieces, groups), start, step)["text"], F.lit("0"))
 
-    found = F.aggregate(F.array(*[limb(i) for i in range(8)]), F.array(*[zero] * groups), times_and_plus)
-    text = _once(found, lambda g: F.concat(*[F.lpad(F.get(g, F.lit(i)).cast("string"), 18, "0") for i in reversed(range(groups))]))
-    return F.when(word.rlike("^[0-9a-fA-F]{64}$"), F.regexp_replace(text, "^0+(?=.)", ""))
+
+def uint256_text(word: Column) -> Column:
+    """An unsigned word of 64 hex digits as decimal text, all of its digits; null if malformed."""
+    head, low = _near_zero(word)
+    return F.when(word.rlike(WORD), F.when(head == "0" * 49, low.cast("string")).otherwise(_long_text(word, 0)))
 
 
 def int256_text(word: Column) -> Column:
     """Two's complement of 64 hex digits as decimal text, all of its digits; null if malformed."""
-    negative = F.substring(word, 1, 1).rlike("[89a-fA-F]")
+    head, low = _near_zero(word)
     # the digits' complement is one less than the size
     flipped = F.translate(F.lower(word), "0123456789abcdef", "fedcba9876543210")
-
-    def raised(size: Column) -> Column:
-        digits = F.length(F.regexp_extract(size, "9*$", 0))
-        head = F.substring(size, F.lit(1), F.length(size) - digits)
-        last = F.coalesce(F.right(head, F.lit(1)).try_cast("int"), F.lit(0)) + 1
-        return F.concat(F.lit("-"), F.substring(head, F.lit(1), F.length(head) - 1), last.cast("string"), F.repeat(F.lit("0"), digits))
-
-    return F.when(negative, _once(uint256_text(flipped), raised)).otherwise(uint256_text(word))
+    size = F.when(head.substr(1, 1).rlike("[89a-f]"), F.concat(F.lit("-"), _long_text(flipped, 1))).otherwise(_long_text(word, 0))
+    return F.when(word.rlike(WORD), F.when(head == "0" * 49, low.cast("string")).when(head == "f" * 49, (low - (1 << 60)).cast("string")).otherwise(size))
 
 
 def uint_double(word: Column) -> Column:

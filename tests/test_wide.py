@@ -78,3 +78,13 @@ def test_negation_and_products(spark):
     assert all(r["n"] == word(-values[r["i"]]) for r in got)
     with pytest.raises(Exception, match="beyond 256 bits"):
         wide.with_product(frame(spark, [1 << 250]), "word", F.lit(1000).cast("bigint"), "p").collect()
+
+
+def test_text_of_wide_words_by_longs_at_every_border(spark):
+    edges = [s * ((1 << b) + k) for b in (0, 29, 30, 59, 60, 64, 120, 128, 160, 192, 254) for k in (-1, 0, 1) for s in (1, -1)]
+    values = [*edges, (1 << 255) - 1, -(1 << 255), *(s * 10**k - k % 2 for k in range(1, 77) for s in (1, -1))]
+    df = spark.createDataFrame([(str(v), str(v % (1 << 256)), word(v)) for v in values] + [(None, None, "f" * 63), (None, None, "g" * 64), (None, None, None)], "signed string, unsigned string, w string")
+    found = df.select("signed", "unsigned", decode.int256_text(F.col("w")).alias("s"), decode.uint256_text(F.upper("w")).alias("u"))
+    assert all((r["s"], r["u"]) == (r["signed"], r["unsigned"]) for r in found.collect())
+    # by decimals of 38 digits a word took many times as long
+    assert "decimal" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
