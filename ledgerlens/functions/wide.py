@@ -76,20 +76,22 @@ def negated(word: Column) -> Column:
 
 def with_product(df: DataFrame, word: str, factor: Column, name: str) -> DataFrame:
     """A word times a bigint of 0 to 10^9, as a new column. Raises beyond 256 bits."""
-    columns = df.columns
-    df = df.withColumn("_w", F.when(_well(F.col(word)), F.lower(word))).withColumn("_f", factor)
-    negative = F.substring("_w", 1, 1).rlike("[89a-f]")
-    df = df.withColumn("_size", F.when(negative, negated(F.col("_w"))).otherwise(F.col("_w")))
-    parts = F.array(*[F.conv(F.substring("_size", 57 - 8 * i, 8), 16, 10).cast("bigint") for i in range(8)])
-
-    def step(state: Column, limb: Column) -> Column:
-        value = limb * F.col("_f") + state["carry"]
-        return F.struct(F.coalesce(F.concat(F.lpad(F.lower(F.hex(value.bitwiseAND(0xFFFFFFFF))), 8, "0"), state["done"]), F.lit("")).alias("done"), F.coalesce(F.shiftright(value, 32), F.lit(0)).cast("bigint").alias("carry"))
-
-    df = df.withColumn("_s", F.aggregate(parts, F.struct(F.lit("").alias("done"), F.lit(0).cast("bigint").alias("carry")), step))
-    over = (F.col("_s.carry") != 0) | F.substring("_s.done", 1, 1).rlike("[89a-f]")
-    found = F.when(over, F.raise_error(F.lit("a product beyond 256 bits")).cast("string")).when(negative, negated(F.col("_s.done"))).otherwise(F.col("_s.done"))
-    return df.select(*[c for c in columns if c != name], F.when(F.col("_w").isNotNull(), found).alias(name))
+    columns, low = df.columns, (1 << 30) - 1
+    well = F.when(_well(F.col(word)), F.col(word))
+    df = df.withColumns({"_w": well, "_f": factor})
+    # four pieces of 60 bits, the lowest first, and 16 bits with the sign; limbs are half a piece
+    pieces = {f"_p{i}": F.conv(F.substring("_w", 50 - 15 * i, 15), 16, 10).cast("bigint") for i in range(4)}
+    df = df.withColumns(pieces | {"_p4": F.conv(F.substring("_w", 1, 4), 16, 10).cast("bigint")})
+    limbs = [F.shiftright(f"_p{i // 2}", 30) if i % 2 else F.col(f"_p{i // 2}").bitwiseAND(low) for i in range(8)]
+    limbs.append(F.col("_p4") - F.shiftleft(F.shiftright("_p4", 15), 16))
+    for i, limb in enumerate(limbs):
+        value = limb * F.col("_f")
+        df = df.withColumn(f"_v{i}", value + F.shiftright(f"_v{i - 1}", 30) if i else value)
+    hexed = lambda c, n: F.lpad(F.lower(F.hex(c)), n, "0")
+    whole = [F.shiftleft(F.col(f"_v{2 * i + 1}").bitwiseAND(low), 30).bitwiseOR(F.col(f"_v{2 * i}").bitwiseAND(low)) for i in range(4)]
+    product = F.concat(hexed(F.col("_v8").bitwiseAND(0xFFFF), 4), *[hexed(c, 15) for c in reversed(whole)])
+    found = F.when(F.col("_v8").between(-(1 << 15), (1 << 15) - 1), product).otherwise(F.raise_error(F.lit("a product beyond 256 bits")).cast("string"))
+    return df.select(*[c for c in columns if c != name], F.when(F.col("_v8").isNotNull(), found).alias(name))
 
 
 def with_scaled(df: DataFrame, word: str, decimals: Column, name: str, to: int = 18) -> DataFrame:

@@ -88,3 +88,17 @@ def test_text_of_wide_words_by_longs_at_every_border(spark):
     assert all((r["s"], r["u"]) == (r["signed"], r["unsigned"]) for r in found.collect())
     # by decimals of 38 digits a word took many times as long
     assert "decimal" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_products_by_longs_up_to_the_last_bit(spark):
+    factors = [0, 1, 7, 10**9]
+    values = [v for v in [*numbers(6, 225), (1 << 225), -(1 << 225), (1 << 60) - 1, -(1 << 240) - 1] if abs(v) * 10**9 < 1 << 255]
+    df = frame(spark, [*values, None]).withColumn("f", F.explode(F.array(*[F.lit(f).cast("bigint") for f in factors])))
+    found = wide.with_product(df, "word", F.col("f"), "p")
+    assert all(r["p"] == (word(values[r["i"]] * r["f"]) if r["i"] < len(values) else None) for r in found.collect())
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()  # no fold that is interpreted row by row
+    edge = frame(spark, [(1 << 255) - 1, -(1 << 255)])
+    assert [r["p"] for r in wide.with_product(edge, "word", F.lit(1).cast("bigint"), "p").orderBy("i").collect()] == [word((1 << 255) - 1), word(-(1 << 255))]
+    for over in ((1 << 254), -(1 << 254) - 1):
+        with pytest.raises(Exception, match="beyond 256 bits"):
+            wide.with_product(frame(spark, [over]), "word", F.lit(2).cast("bigint"), "p").collect()
