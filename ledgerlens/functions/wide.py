@@ -26,7 +26,8 @@ def _dec(value: str | Column, digits: int = 38) -> Column:
 
 
 def _well(word: Column) -> Column:
-    return word.rlike("^[0-9a-fA-F]{64}$")
+    """64 hex digits; a regular expression took ten times as long."""
+    return (F.octet_length(word) == 64) & F.unhex(word).isNotNull()
 
 
 def limb_sums(word: Column) -> Column:
@@ -76,30 +77,44 @@ def negated(word: Column) -> Column:
 
 def with_product(df: DataFrame, word: str, factor: Column, name: str) -> DataFrame:
     """A word times a bigint of 0 to 10^9, as a new column. Raises beyond 256 bits."""
+    return _with_products(df, word, [factor], name)
+
+
+def _with_products(df: DataFrame, word: str, factors: list[Column], name: str) -> DataFrame:
+    """A word times several factors of 0 to 10^9: it is taken apart and put together once for all of them."""
     columns, low = df.columns, (1 << 30) - 1
-    well = F.when(_well(F.col(word)), F.col(word))
-    df = df.withColumns({"_w": well, "_f": factor})
-    # four pieces of 60 bits, the lowest first, and 16 bits with the sign; limbs are half a piece
-    pieces = {f"_p{i}": F.conv(F.substring("_w", 50 - 15 * i, 15), 16, 10).cast("bigint") for i in range(4)}
-    df = df.withColumns(pieces | {"_p4": F.conv(F.substring("_w", 1, 4), 16, 10).cast("bigint")})
+    df = df.withColumns({"_w": F.when(_well(F.col(word)), F.col(word))} | {f"_f{k}": f for k, f in enumerate(factors)})
+    missing = F.col("_w").isNull()
+    for k in range(len(factors)):
+        missing = missing | F.col(f"_f{k}").isNull()
+    # four pieces of 60 bits, the lowest first, and 16 bits with the sign; none is null, which keeps the generated code short
+    part = lambda at, n: F.coalesce(F.conv(F.substring("_w", at, n), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
+    factor = {f"_f{k}": F.coalesce(f"_f{k}", F.lit(0).cast("bigint")) for k in range(len(factors))}
+    df = df.withColumns({"_null": missing} | {f"_p{i}": part(50 - 15 * i, 15) for i in range(4)} | {"_p4": part(1, 4)} | factor)
+    # limbs are half a piece
     limbs = [F.shiftright(f"_p{i // 2}", 30) if i % 2 else F.col(f"_p{i // 2}").bitwiseAND(low) for i in range(8)]
     limbs.append(F.col("_p4") - F.shiftleft(F.shiftright("_p4", 15), 16))
-    for i, limb in enumerate(limbs):
-        value = limb * F.col("_f")
-        df = df.withColumn(f"_v{i}", value + F.shiftright(f"_v{i - 1}", 30) if i else value)
-    hexed = lambda c, n: F.lpad(F.lower(F.hex(c)), n, "0")
-    whole = [F.shiftleft(F.col(f"_v{2 * i + 1}").bitwiseAND(low), 30).bitwiseOR(F.col(f"_v{2 * i}").bitwiseAND(low)) for i in range(4)]
-    product = F.concat(hexed(F.col("_v8").bitwiseAND(0xFFFF), 4), *[hexed(c, 15) for c in reversed(whole)])
-    found = F.when(F.col("_v8").between(-(1 << 15), (1 << 15) - 1), product).otherwise(F.raise_error(F.lit("a product beyond 256 bits")).cast("string"))
-    return df.select(*[c for c in columns if c != name], F.when(F.col("_v8").isNotNull(), found).alias(name))
+    for k in range(len(factors)):
+        for i, limb in enumerate(limbs):
+            value = limb * F.col(f"_f{k}")
+            df = df.withColumn(f"_v{i}", value + F.shiftright(f"_v{i - 1}", 30) if i else value)
+        fits = F.col("_v8").between(-(1 << 15), (1 << 15) - 1)
+        df = df.withColumn("_v8", F.when(fits, F.col("_v8")).otherwise(F.raise_error(F.lit("a product beyond 256 bits")).cast("bigint")))
+        limbs = [*(F.col(f"_v{i}").bitwiseAND(low) for i in range(8)), F.col("_v8")]
+    # a bit above the digits keeps their zeros
+    hexed = lambda c, n: F.substring(F.hex(c.bitwiseOR(1 << 4 * n)), 2, n)
+    whole = [F.shiftleft(limbs[2 * i + 1], 30).bitwiseOR(limbs[2 * i]) for i in range(4)]
+    product = F.lower(F.concat(hexed(limbs[8].bitwiseAND(0xFFFF), 4), *[hexed(c, 15) for c in reversed(whole)]))
+    return df.select(*[c for c in columns if c != name], F.when(~F.col("_null"), product).alias(name))
 
 
 def with_scaled(df: DataFrame, word: str, decimals: Column, name: str, to: int = 18) -> DataFrame:
     """A raw amount of so many decimals (0 to ``to``, at most 18) as a whole number of 10^-to."""
     power = lambda n: F.element_at(F.array(*[F.lit(10**i).cast("bigint") for i in range(10)]), (n + 1).cast("int"))
+    columns = df.columns
     df = df.withColumn("_missing", F.lit(to) - decimals)
-    df = with_product(df, word, power(F.least(F.col("_missing"), F.lit(9))), name)
-    return with_product(df, name, power(F.greatest(F.col("_missing") - 9, F.lit(0))), name).drop("_missing")
+    factors = [power(F.least(F.col("_missing"), F.lit(9))), power(F.greatest(F.col("_missing") - 9, F.lit(0)))]
+    return _with_products(df, word, factors, name).select(*[c for c in columns if c != name], name)
 
 
 def with_fixed_text(df: DataFrame, word: str, name: str, places: int = 18) -> DataFrame:
@@ -114,7 +129,8 @@ def with_fixed_text(df: DataFrame, word: str, name: str, places: int = 18) -> Da
 def key(word: Column) -> Column:
     """32 bytes that compare (``ORDER BY``, ``<``, ``max``) as the numbers do."""
     first = F.translate(F.lower(F.substring(word, 1, 1)), _HEX, "89abcdef01234567")
-    return F.when(_well(word), F.unhex(F.concat(first, F.substring(word, 2, 63))))
+    # what is not a hex digit gives null
+    return F.when(F.octet_length(word) == 64, F.unhex(F.concat(first, F.substring(word, 2, 63))))
 
 
 def word_of_key(data: Column) -> Column:

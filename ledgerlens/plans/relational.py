@@ -563,9 +563,10 @@ def scale_exact_wide(spark, d):
 
 @query("wide_order", f"WITH {SCALED_SQL} SELECT log_index, row_number() OVER (ORDER BY hi DESC, lo DESC, log_index) AS place FROM fixed")
 def wide_order(spark, d):
-    """Places by amount, beyond the digits of any decimal: rows are dealt by range of the key."""
-    rows = scaled_amounts(spark, d).select("log_index", wide.key(F.col("word")).alias("key"))
-    return global_rank(rows, [F.desc("key"), F.asc("log_index")], "place").select("log_index", "place")
+    """Places by amount, beyond the digits of any decimal: rows are dealt by range of the key. The key
+    is stored, as it would be worked out once for the ranges' bounds and again for the rows."""
+    rows = stored(scaled_amounts(spark, d).select("log_index", wide.key(F.col("word")).alias("key")), "wide-amounts")
+    return global_rank(rows, [F.desc("key"), F.asc("log_index")], "place", keep=["log_index"])
 
 
 @query("wide_range", f"WITH {SCALED_SQL}, l AS (SELECT hi AS h, lo AS l FROM fixed WHERE log_index = 3), u AS (SELECT hi AS h, lo AS l FROM fixed WHERE log_index = 1002) SELECT pool, count(*) AS n, arg_min(amount, (hi, lo)) AS least, arg_max(amount, (hi, lo)) AS most FROM fixed, l, u WHERE (hi, lo) >= least((l.h, l.l), (u.h, u.l)) AND (hi, lo) <= greatest((l.h, l.l), (u.h, u.l)) GROUP BY 1")

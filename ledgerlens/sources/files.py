@@ -53,7 +53,8 @@ def write_tsv(df: DataFrame, path: str, keys: list[str], kinds: dict[str, str],
     cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\\N"))
     from ..operators.ranking import global_rank
 
-    body = global_rank(df, [F.asc(k) for k in keys], "_n").select((F.col("_n") + 1).alias("n"), F.concat_ws("\t", *[cell(c) for c in df.columns]).alias("value"))
+    shown = df.withColumn("_line", F.concat_ws("\t", *[cell(c) for c in df.columns]))
+    body = global_rank(shown, [F.asc(k) for k in keys], "_n", keep=["_line"]).select((F.col("_n") + 1).alias("n"), F.col("_line").alias("value"))
     lines = stored(spark.createDataFrame(head, "n long, value string").unionByName(body), "fixture-lines")
     parts = max(1, -(-lines.count() // file_rows))
     lines.repartitionByRange(parts, "n").sortWithinPartitions("n").select("value").write.mode("overwrite").text(path)

@@ -106,6 +106,18 @@ def test_global_rank(spark):
     assert got == {i: n for n, i in enumerate(want, 1)}
 
 
+def test_global_rank_has_no_gap_beside_columns_that_do_not_order(spark):
+    # the ranges' sizes need the key only: by a plan of their own they came from other bounds, and places were given twice
+    n = 40_000
+    rows = spark.range(n).select("id", ((F.col("id") * 7_919) % 40_009).alias("v"), F.hex("id").alias("more"))
+    placed = ranking.global_rank(rows, [F.desc("v")], "place", 7)
+    assert placed.columns == ["id", "v", "more", "place"]
+    want = {i: k for k, i in enumerate(sorted(range(n), key=lambda i: -((i * 7_919) % 40_009)), 1)}
+    assert {r["id"]: r["place"] for r in placed.collect()} == want
+    few = ranking.global_rank(rows, [F.desc("v")], "place", 7, keep=["id"])
+    assert few.columns == ["id", "place"] and {r["id"]: r["place"] for r in few.collect()} == want
+
+
 def random_stream(spark, n, pairs=("p",), seed=3):
     import random
 

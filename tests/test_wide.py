@@ -102,3 +102,26 @@ def test_products_by_longs_up_to_the_last_bit(spark):
     for over in ((1 << 254), -(1 << 254) - 1):
         with pytest.raises(Exception, match="beyond 256 bits"):
             wide.with_product(frame(spark, [over]), "word", F.lit(2).cast("bigint"), "p").collect()
+
+
+def test_scaling_takes_a_word_apart_once(spark):
+    values = [*numbers(8, 190), None]
+    df = frame(spark, values).withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(18))))
+    scaled = wide.with_scaled(df, "word", F.col("d"), "word")
+    assert scaled.columns == ["i", "g", "d", "word"]
+    for r in scaled.collect():
+        assert r["word"] == (None if values[r["i"]] is None else word(values[r["i"]] * 10 ** (18 - r["d"])))
+    plan = scaled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(") == 5 and "RLIKE" not in plan  # ten and two, for each of two products
+    for over in (1 << 240, 1 << 215, -(1 << 215)):  # beyond 256 bits by the first factor, by the second
+        with pytest.raises(Exception, match="beyond 256 bits"):
+            wide.with_scaled(frame(spark, [over]), "word", F.lit(0), "word").collect()
+
+
+def test_malformed_words_have_no_key_and_no_product(spark):
+    good = word(5)
+    bad = [good + "\n", good[1:] + "\n", good[1:], "g" + good[1:], "é" + good[2:], good[:-1] + " ", "", None]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate([*bad, good, good.upper()])], "i long, word string")
+    got = wide.with_product(df.withColumn("key", wide.key(F.col("word"))), "word", F.lit(3).cast("bigint"), "p").orderBy("i").collect()
+    assert [(r["key"], r["p"]) for r in got[: len(bad)]] == [(None, None)] * len(bad)
+    assert all(r["p"] == word(15) and r["key"] == bytes.fromhex("8" + good[1:]) for r in got[len(bad) :])
