@@ -13,14 +13,9 @@ from .relational import raw_logs
 RANGE = 5
 
 
-def landing_lines(spark, d) -> DataFrame:
-    """Landing lines of all good trades: decoded integers as strings, and the raw log."""
-    from ..functions import decode
-
-    logs = raw_logs(spark, d).filter("log_index % 97 != 0")
-    rows = logs.select("log", *[c.alias(n) for n, c in decode.trade_columns(F.col("log")).items()])
-    shown = [F.col(c).cast("string").alias(c) for c in landing.DECODED]
-    return rows.select("block_number", F.struct(*shown).alias("decoded"), F.col("log").alias("raw"))
+def good_logs(spark, d) -> DataFrame:
+    """The raw logs of all good trades."""
+    return raw_logs(spark, d).filter("log_index % 97 != 0").select(F.col("log").alias("raw"))
 
 
 LANDED = f"WITH {TRADES}, landed AS (SELECT *, date_diff('day', DATE '1970-01-01', day) AS block FROM trades WHERE log_index % 97 <> 0) "
@@ -28,7 +23,7 @@ LANDED = f"WITH {TRADES}, landed AS (SELECT *, date_diff('day', DATE '1970-01-01
 
 def landed(spark, d) -> str:
     path = scratch(spark, "landing")
-    landing.write_landing(landing_lines(spark, d), path, RANGE)
+    landing.write_logs(good_logs(spark, d), path, RANGE)
     return path
 
 
@@ -52,9 +47,9 @@ def src_jsonl(spark, d):
 @query("sink_jsonl", LANDED + f"SELECT block // {RANGE} * {RANGE} AS from_block, count(*) AS lines FROM landed GROUP BY 1")
 def sink_jsonl(spark, d):
     """Written twice, there once: ranges replace themselves."""
-    lines, path = landing_lines(spark, d), scratch(spark, "landing")
-    landing.write_landing(lines, path, RANGE)
-    landing.write_landing(lines, path, RANGE)
+    logs, path = good_logs(spark, d), scratch(spark, "landing")
+    landing.write_logs(logs, path, RANGE)
+    landing.write_logs(logs, path, RANGE)
     return landing.read_landing(spark, path).groupBy("from_block").agg(F.count("*").alias("lines"))
 
 

@@ -224,3 +224,25 @@ def test_a_range_of_many_rows_is_written_by_several_tasks_in_order(spark, tmp_pa
     files = [r for r in rows.groupBy("file").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("low").collect()]
     assert sum(r["rows"] for r in files) == 300 and max(r["rows"] for r in files) <= 120
     assert all(a["high"] < b["low"] for a, b in zip(files, files[1:]))
+
+
+def test_raw_logs_are_dealt_alone_and_land_small(spark, tmp_path):
+    from tests.test_decode_money import log
+
+    one = spark.createDataFrame([(log(),)], f"raw {landing.LOG}")
+    logs = one.crossJoin(spark.range(3000)).select(F.col("raw").withField("blockNumber", F.concat(F.lit("0x"), F.hex(F.floor(F.col("id") / 100)))).withField("logIndex", F.concat(F.lit("0x"), F.hex("id"))).alias("raw"))
+    kept = spark.conf.get(landing.METHOD_BYTES)
+    for _ in range(2):
+        landing.write_logs(logs, str(tmp_path / "l"), 10, file_rows=500)
+    assert spark.conf.get(landing.METHOD_BYTES) == kept
+    rows = landing.read_landing(spark, str(tmp_path / "l"))
+    assert {r["from_block"]: r["count"] for r in rows.groupBy("from_block").count().collect()} == {0: 1000, 10: 1000, 20: 1000}
+    again = landing.read_landing(spark, str(tmp_path / "l"), redecode=True)
+    same = again.select("from_block", *[F.col(c).cast("string").alias(c) for c in landing.DECODED])
+    assert rows.exceptAll(same).count() == 0 and rows.select("log_index").distinct().count() == 3000
+    found = [p for p in (tmp_path / "l").rglob("part-*")]
+    assert len(found) >= 6 and all(p.name.endswith(".json.gz") for p in found)
+    assert sum(p.stat().st_size for p in found) < 3000 * 150, "a line is some 1,400 bytes"
+    lines = logs.select(F.lit(7).cast("long").alias("block_number"), landing.decoded(F.col("raw")).alias("decoded"), "raw")
+    landing.write_landing(lines, str(tmp_path / "m"), 10)
+    assert landing.read_landing(spark, str(tmp_path / "m")).count() == 3000
