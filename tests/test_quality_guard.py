@@ -204,3 +204,24 @@ def test_search_stores_no_pairs_and_agrees_over_groups(spark, monkeypatch, limit
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "chunk_id"))
     assert got == {(r["query_id"], r["place"]): (r["chunk_id"], round(r["score"], 6)) for r in index.scores(queries).withColumn("place", place).filter("place <= 5").collect()}
     assert bm25.Index(chunks.limit(0)).search(queries).count() == 0
+
+
+def test_search_copies_no_query_for_a_group(spark, monkeypatch):
+    """However many groups there are, chunks and queries are stored once and only results shuffled."""
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randint(0, 60)}" for _ in range(n))
+    chunks = spark.createDataFrame([(i, "", text(rng.randint(0, 30))) for i in range(200)] + [(200, "", text(400))], "chunk_id long, heading string, text string").repartition(2)
+    queries = spark.createDataFrame([(i, text(6)) for i in range(30)], "query_id long, text string")
+    shown = lambda found: sorted((r["query_id"], r["place"], r["chunk_id"], round(r["score"], 6)) for r in found.collect())
+    whole = shown(bm25.Index(chunks).search(queries))
+    kept, files = {}, bm25._files
+    monkeypatch.setattr(bm25, "_files", lambda rows, label: kept.setdefault(label, files(rows, label)))
+    monkeypatch.setattr(bm25, "GROUP_WORDS", 100)
+    monkeypatch.setattr(bm25, "PART_TERMS", 20)
+    found = bm25.Index(chunks).search(queries)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and plan.count("Exchange") == 1
+    groups, parts = (kept[k].select(F.explode(c)) for k, c in (("bm25-groups", "ids"), ("bm25-queries", "queries")))
+    assert kept["bm25-groups"].count() > 25 and groups.count() == groups.distinct().count() == 201
+    assert kept["bm25-queries"].count() > 5 and parts.count() == parts.distinct().count() == 30
+    assert shown(found) == whole and len(whole) == 150
